@@ -92,12 +92,14 @@ def fill_from_parent(child: DataFrame, parent: DataFrame, fk: str, pk: str,
                           *[F.col(p).alias(a) for p, a in cols.items()])
     right = bounded_broadcast(right, max_broadcast_rows)
     joined = child.join(right, child[fk] == right["__fp_key"], "left")
-    hit = F.col(when_null).isNull() & F.col("__fp_key").isNotNull()
+    # Decide once, before any of the columns the test reads is overwritten.
+    joined = joined.withColumn("__fp_hit", F.col(when_null).isNull() & F.col("__fp_key").isNotNull())
+    hit = F.col("__fp_hit")
     if flag_col is not None:
         joined = joined.withColumn(flag_col, F.when(hit, F.lit(flag_value)).otherwise(F.col(flag_col)))
     for c, p in fill.items():
         joined = joined.withColumn(c, F.when(hit, F.col(cols[p])).otherwise(F.col(c)))
-    return joined.drop("__fp_key", *cols.values())
+    return joined.drop("__fp_key", "__fp_hit", *cols.values())
 
 
 def combine_counts(a: DataFrame, b: DataFrame, key: str, a_name: str, b_name: str) -> DataFrame:
