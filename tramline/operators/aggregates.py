@@ -7,6 +7,8 @@ the start (one row per column) instead of a transposed wide row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,26 +39,31 @@ def _long(df: DataFrame, columns: list[str], value: str = "value") -> DataFrame:
     return df.select(F.explode(F.array(*pairs)).alias("__p")).select("__p.*")
 
 
-def _distinct_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value, cells) with one row per distinct value of each
-    column: one grouping with map-side combining."""
-    return _long(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cells"))
+def _per_column_groups(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, n_distinct, n_rows) with NULL counted as a value.
+
+    One grouping per column on its own typed key, combined by a union: each
+    branch reads only its column from the columnar source (so the table is
+    still read once in total), groups without any text conversion, and
+    -0.0/0.0 and NaNs are normalised by Spark's grouping.
+    """
+    parts = [df.groupBy(F.col(c).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+               .agg(F.count(F.lit(1)).alias("n_distinct"), F.sum("__c").alias("n_rows"))
+               .select(F.lit(c).alias("column_name"), "n_distinct", "n_rows")
+             for c in columns]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def distinct_counts(df: DataFrame, columns: list[str] | None = None,
                     null_is_value: bool = True) -> DataFrame:
     """Exact number of distinct values per column (A3), NULL counted as a
-    value like pandas ``unique()``.
-
-    Cells are unpivoted to (column, value) and de-duplicated by one grouping
-    with map-side combining, then counted per column. This is one shuffle of
-    distinct pairs, instead of one expanded copy of the table per column.
-    """
+    value like pandas ``unique()`` (or not, with ``null_is_value=False``)."""
     columns = columns or df.columns
-    pairs = _distinct_pairs(df, columns)
     if not null_is_value:
-        pairs = pairs.where(F.col("value").isNotNull())
-    return pairs.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+        parts = [df.agg(F.count_distinct(F.col(c)).alias("n_distinct"))
+                   .select(F.lit(c).alias("column_name"), "n_distinct") for c in columns]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+    return _per_column_groups(df, columns).select("column_name", "n_distinct")
 
 
 def approx_distinct_counts(df: DataFrame, columns: list[str] | None = None,
@@ -69,15 +76,11 @@ def approx_distinct_counts(df: DataFrame, columns: list[str] | None = None,
 
 def unique_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Distinct count per column and whether every row is distinct (A4).
-
-    The row total is the sum of the per-value cell counts of a column, so no
-    second pass or join is needed.
-    """
+    The row total is the sum of the group sizes, so no second pass is
+    needed."""
     columns = columns or df.columns
-    per_col = (_distinct_pairs(df, columns).groupBy("column_name")
-               .agg(F.count(F.lit(1)).alias("n_distinct"), F.sum("cells").alias("__n")))
-    return per_col.select("column_name", "n_distinct",
-                          (F.col("n_distinct") == F.col("__n")).alias("is_unique"))
+    return _per_column_groups(df, columns).select(
+        "column_name", "n_distinct", (F.col("n_distinct") == F.col("n_rows")).alias("is_unique"))
 
 
 def _is_text(df: DataFrame, c: str) -> bool:

@@ -16,70 +16,102 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW_ROWS = 200_000      # rows a window may hold before it is fetched
+WINDOW_ROWS = 20_000       # rows a window may hold before it is fetched
 SKETCH_ACCURACY = 10_000
 
 
+class _Target:
+    """Search state of one 0-based rank: the answer lies in the open value
+    interval (lo, hi), which holds ``size`` rows; ``below`` rows are <= lo."""
+
+    def __init__(self, rank: int, n: int):
+        self.rank, self.lo, self.hi, self.below, self.size = rank, None, None, 0, n
+        self.value = None
+        self.done = False
+
+    def inside(self, x):
+        c = F.lit(True)
+        if self.lo is not None:
+            c = c & (x > F.lit(self.lo))
+        if self.hi is not None:
+            c = c & (x < F.lit(self.hi))
+        return c
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
-    """Linearly interpolated quantiles (pandas / ``quantile_cont``)."""
-    x = F.col(col)
-    base = df.select(x.cast("double").alias("x")).where(F.col("x").isNotNull())
+    """Linearly interpolated quantiles (pandas / ``quantile_cont``).
+
+    All target ranks are searched together: per round one sketch aggregate
+    and one counting aggregate over the still-open windows; once every
+    window is small, one histogram of the windows' distinct values is
+    fetched. Typically three or four jobs in total, each a distributed
+    aggregate.
+    """
+    base = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
     n = base.count()
     if n == 0:
         return [None] * len(probs)
-    out = []
+    plan = []
     for p in probs:
         r = p * (n - 1)
         k = int(math.floor(r))
-        frac = r - k
-        lo_v = _value_at_rank(base, n, k)
-        hi_v = _value_at_rank(base, n, k + 1) if frac > 0 else lo_v
-        out.append(lo_v + (hi_v - lo_v) * frac)
-    return out
-
-
-def _value_at_rank(base: DataFrame, n: int, k: int) -> float:
-    """The value of 0-based rank ``k`` in ascending order.
-
-    The window is the open interval (lo, hi); ``below`` rows are <= lo. Each
-    pass takes two sketch values from inside the window around the target
-    and counts the rows < and <= each of them; either one of them is the
-    answer, or the window shrinks to a side that excludes it. As sketch
-    values are data values of the window, every pass removes at least one
-    value, and usually all but a 1/1000 share of the rows.
-    """
-    lo, hi, below, size = None, None, 0, n
+        plan.append((k, min(k + 1, n - 1), r - k))
+    targets = {k: _Target(k, n) for a, b, _ in plan for k in (a, b)}
     x = F.col("x")
+    eps = 4.0 / SKETCH_ACCURACY
     while True:
-        w = base
-        if lo is not None:
-            w = w.where(x > F.lit(lo))
-        if hi is not None:
-            w = w.where(x < F.lit(hi))
-        if size <= WINDOW_ROWS:
-            hist = w.groupBy("x").agg(F.count(F.lit(1)).alias("c")).orderBy("x").collect()
-            pos = below
+        large = [t for t in targets.values() if not t.done and t.size > WINDOW_ROWS]
+        if not large:
+            break
+        sk = []
+        for t in large:
+            q = (t.rank - t.below) / max(t.size - 1, 1)
+            sk.append(F.percentile_approx(F.when(t.inside(x), x), [max(0.0, q - eps), min(1.0, q + eps)],
+                                          SKETCH_ACCURACY))
+        got = base.agg(*sk).first()
+        cand = [tuple(got[i]) for i in range(len(large))]
+        counts = []
+        for t, (v1, v2) in zip(large, cand):
+            w = t.inside(x)
+            counts += [F.count_if(w & (x < F.lit(v1))), F.count_if(w & (x <= F.lit(v1))),
+                       F.count_if(w & (x < F.lit(v2))), F.count_if(w & (x <= F.lit(v2)))]
+        c = base.agg(*counts).first()
+        for i, (t, (v1, v2)) in enumerate(zip(large, cand)):
+            lt1, le1, lt2, le2 = c[4 * i], c[4 * i + 1], c[4 * i + 2], c[4 * i + 3]
+            k, b = t.rank, t.below
+            if b + lt1 <= k < b + le1:
+                t.value, t.done = v1, True
+            elif b + lt2 <= k < b + le2:
+                t.value, t.done = v2, True
+            elif k < b + lt1:
+                t.hi, t.size = v1, lt1
+            elif k >= b + le2:
+                t.lo, t.below, t.size = v2, b + le2, t.size - le2
+            else:
+                t.lo, t.hi, t.below, t.size = v1, v2, b + le1, lt2 - le1
+    small = [t for t in targets.values() if not t.done]
+    if small:
+        cond = small[0].inside(x)
+        for t in small[1:]:
+            cond = cond | t.inside(x)
+        hist = base.where(cond).groupBy("x").agg(F.count(F.lit(1)).alias("c")).orderBy("x").collect()
+        for t in small:
+            pos = t.below
             for row in hist:
+                v = row["x"]
+                if (t.lo is not None and v <= t.lo) or (t.hi is not None and v >= t.hi):
+                    continue
                 pos += row["c"]
-                if k < pos:
-                    return row["x"]
-            raise RuntimeError("rank outside the window")
-        t = (k - below) / max(size - 1, 1)
-        eps = 4.0 / SKETCH_ACCURACY
-        v1, v2 = w.agg(F.percentile_approx(x, [max(0.0, t - eps), min(1.0, t + eps)],
-                                           SKETCH_ACCURACY).alias("q")).first()["q"]
-        c = w.agg(F.count_if(x < F.lit(v1)).alias("lt1"), F.count_if(x <= F.lit(v1)).alias("le1"),
-                  F.count_if(x < F.lit(v2)).alias("lt2"), F.count_if(x <= F.lit(v2)).alias("le2")).first()
-        if below + c["lt1"] <= k < below + c["le1"]:
-            return v1
-        if below + c["lt2"] <= k < below + c["le2"]:
-            return v2
-        if k < below + c["lt1"]:
-            hi, size = v1, c["lt1"]
-        elif k >= below + c["le2"]:
-            lo, below, size = v2, below + c["le2"], size - c["le2"]
-        else:
-            lo, hi, below, size = v1, v2, below + c["le1"], c["lt2"] - c["le1"]
+                if t.rank < pos:
+                    t.value, t.done = v, True
+                    break
+            if not t.done:
+                raise RuntimeError("rank outside its window")
+    out = []
+    for a, b, frac in plan:
+        va, vb = targets[a].value, targets[b].value
+        out.append(va + (vb - va) * frac)
+    return out
 
 
 def describe(df: DataFrame, col: str, digits: int = 4) -> DataFrame:

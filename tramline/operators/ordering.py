@@ -19,8 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.operators.joins import null_safe_on
-
 _SKETCHABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -94,17 +92,28 @@ def tail(df: DataFrame, order_cols: list[str], n: int = 10) -> DataFrame:
     return last.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
 
 
+def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``__k = struct(keys)``. Struct equality treats NULL fields as equal
+    (pandas semantics for NaN keys), and grouping and joining on the same
+    single column lets the join reuse the aggregation's hash partitioning, so
+    the rows are shuffled once and only the partial aggregates a second
+    time."""
+    return df.withColumn("__k", F.struct(*[F.col(k) for k in keys]))
+
+
 def attach_group_size(df: DataFrame, keys: list[str], name: str = "group_size") -> DataFrame:
     """Each row with the number of rows sharing its key (W2). NULL keys form
     one group, like pandas ``duplicated``."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return _join_back(df, sizes, keys)
+    kd = _keyed(df, keys)
+    sizes = kd.groupBy("__k").agg(F.count(F.lit(1)).alias(name))
+    return kd.join(sizes, "__k", "inner").drop("__k")
 
 
 def attach_group_agg(df: DataFrame, keys: list[str], agg: Column, name: str) -> DataFrame:
     """Each row with a per-group aggregate such as ``max(c)``."""
-    g = df.groupBy(*keys).agg(agg.alias(name))
-    return _join_back(df, g, keys)
+    kd = _keyed(df, keys)
+    g = kd.groupBy("__k").agg(agg.alias(name))
+    return kd.join(g, "__k", "inner").drop("__k")
 
 
 def flag_repeats(df: DataFrame, keys: list[str], order_cols: list[str],
@@ -114,19 +123,14 @@ def flag_repeats(df: DataFrame, keys: list[str], order_cols: list[str],
 
     ``order_cols`` should identify a row inside its group (e.g. the file
     position). Rows tied with the group's first row are all kept as first.
+    The group minimum is a partial (map-side) aggregation, so a key holding
+    a third of all rows is reduced to one row per task before the shuffle.
     """
     o = F.struct(*[F.col(c) for c in order_cols])
-    firsts = df.groupBy(*keys).agg(F.min(o).alias("__first"))
-    j = _join_back(df, firsts, keys)
-    return j.withColumn(name, F.coalesce(o != F.col("__first"), F.lit(False))).drop("__first")
-
-
-def _join_back(df: DataFrame, g: DataFrame, keys: list[str]) -> DataFrame:
-    """Join a per-key table back onto the rows, NULL keys matching NULL keys."""
-    ren = g.select(*[F.col(k).alias(f"__g_{k}") for k in keys],
-                   *[c for c in g.columns if c not in keys])
-    cond = null_safe_on(df, ren, [(k, f"__g_{k}") for k in keys])
-    return df.join(ren, cond, "inner").drop(*[f"__g_{k}" for k in keys])
+    kd = _keyed(df, keys)
+    firsts = kd.groupBy("__k").agg(F.min(o).alias("__first"))
+    j = kd.join(firsts, "__k", "inner")
+    return j.withColumn(name, F.coalesce(o != F.col("__first"), F.lit(False))).drop("__first", "__k")
 
 
 def carry_forward(df: DataFrame, partition_cols: list[str], order_col: str, value: str,

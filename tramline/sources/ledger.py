@@ -25,27 +25,31 @@ def ledger_rollup(ledger: DataFrame) -> DataFrame:
     'Table_2019_Step' rows are grouped by (Table, Step); times are summed
     (missing = 0) and rounded to 2 digits; outputs 'k: v; k2: v2' are parsed
     and summed per key, keeping the keys' order; an output of only 'True'
-    stays 'True'.
+    stays 'True'. One pass over the ledger: each row's time rides on its
+    first output part, so times and parts are summed by the same grouping.
     """
     y = ledger.where(F.col("process").rlike(YEAR_PROCESS)).select(
         F.regexp_extract("process", YEAR_PROCESS, 1).alias("table_name"),
         F.regexp_extract("process", YEAR_PROCESS, 3).alias("step"),
-        F.coalesce(F.col("time"), F.lit(0.0)).alias("time"), "output")
-    times = y.groupBy("table_name", "step").agg(F.round(F.sum("time"), 2).alias("time"))
-    parts = (y.where(F.col("output") != "True")
-             .select("table_name", "step", F.posexplode(F.split("output", "; ")).alias("pos", "kv")))
-    kv = parts.select("table_name", "step", "pos",
-                      F.split_part("kv", F.lit(": "), F.lit(1)).alias("key"),
-                      F.split_part("kv", F.lit(": "), F.lit(2)).try_cast("long").alias("v"))
-    sums = kv.groupBy("table_name", "step", "key").agg(F.min("pos").alias("pos"),
-                                                       F.sum("v").alias("total"))
-    text = sums.groupBy("table_name", "step").agg(
-        F.concat_ws("; ", F.transform(F.array_sort(F.collect_list(F.struct("pos", "key", "total"))),
+        F.coalesce(F.col("time"), F.lit(0.0)).alias("time"),
+        F.when(F.col("output") != "True", F.split("output", "; ")).alias("parts"))
+    parts = y.select("table_name", "step", "time",
+                     F.posexplode_outer("parts").alias("pos", "kv"))
+    kv = parts.select(
+        "table_name", "step", "pos",
+        F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col("time")).alias("time"),
+        F.split_part("kv", F.lit(": "), F.lit(1)).alias("key"),
+        F.split_part("kv", F.lit(": "), F.lit(2)).try_cast("long").alias("v"))
+    sums = kv.groupBy("table_name", "step", "key").agg(
+        F.min("pos").alias("pos"), F.sum("v").alias("total"), F.sum("time").alias("time"))
+    keyed = F.when(F.col("key").isNotNull(), F.struct("pos", "key", "total"))
+    out = sums.groupBy("table_name", "step").agg(
+        F.round(F.sum("time"), 2).alias("time"),
+        F.concat_ws("; ", F.transform(F.array_sort(F.collect_list(keyed)),
                                       lambda s: F.concat(s["key"], F.lit(": "), s["total"].cast("string"))))
         .alias("output"))
-    return (times.join(text, ["table_name", "step"], "left")
-            .select("table_name", F.concat("table_name", F.lit("_"), "step").alias("process"), "time",
-                    F.coalesce("output", F.lit("True")).alias("output")))
+    return out.select("table_name", F.concat("table_name", F.lit("_"), "step").alias("process"), "time",
+                      F.when(F.col("output") == "", F.lit("True")).otherwise(F.col("output")).alias("output"))
 
 
 def format_output(metrics: dict) -> str:
