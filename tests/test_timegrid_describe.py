@@ -59,7 +59,7 @@ def test_exact_quantiles_with_narrowing(spark, monkeypatch):
 
 
 def test_describe_one_row(spark):
-    df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, None]], "x double")
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in [1, 2, 3, 4, None]], "x double")
     r = Dm.describe(df, "x").first()
     assert (r["count"], r["mean"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]) == (4, 2.5, 1.0, 1.75, 2.5, 3.25, 4.0)
     assert Dm.exact_quantiles(spark.createDataFrame([], "x double"), "x", [0.5]) == [None]
