@@ -36,11 +36,10 @@ def ids_missing_next_year(df: DataFrame, id_col: str, year_col: str) -> DataFram
     """(id, year) of ids present in a year but absent in the next one, for
     every year below the last (Q4)."""
     ids = df.select(id_col, year_col).distinct()
-    last = df.agg(F.max(year_col).alias("__last"))
+    last = df.agg(F.max(year_col)).scalar()          # scalar subquery, no join
     nxt = ids.select(F.col(id_col), (F.col(year_col) - 1).alias(year_col))
     missing = ids.join(nxt, [id_col, year_col], "left_anti")
-    return (missing.join(F.broadcast(last), F.col(year_col) < F.col("__last"), "inner")
-            .drop("__last"))
+    return missing.where(F.col(year_col) < last)
 
 
 def reactivated(df: DataFrame, id_col: str, year_col: str, active_col: str) -> DataFrame:

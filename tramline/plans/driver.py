@@ -583,20 +583,20 @@ def ledger_rollup(spark, d):
 def report_lines(spark, d):
     """A sectioned text report rendered from the mismatch counts: one file
     per decade, a 'Year: y' header, 'column: n' lines, a time line with a
-    non-integer value and separators."""
+    non-integer value and separators. Rendered from one computation of the
+    counts: every count row emits its section's lines and the repeated
+    header/footer lines are de-duplicated."""
     mc = mismatch_counts(spark, d)
     yr = F.col("yr")
-    body = mc.select((yr / 10).cast("int").alias("file"), (yr * 100 + 10).alias("pos"),
-                     F.concat(F.lit("    "), F.col("column_name"), F.lit(": "),
-                              F.col("mismatches").cast("string")).alias("line"))
-    years = mc.select("yr").distinct()
-    head = years.select((yr / 10).cast("int").alias("file"), (yr * 100 + 1).alias("pos"),
-                        F.concat(F.lit("Year: "), yr.cast("string")).alias("line"))
-    sep = years.select((yr / 10).cast("int").alias("file"), (yr * 100 + 2).alias("pos"),
-                       F.lit("-----------------------------------").alias("line"))
-    tail = years.select((yr / 10).cast("int").alias("file"), (yr * 100 + 90).alias("pos"),
-                        F.lit("Total Time: 76.84 seconds").alias("line"))
-    return head.unionByName(sep).unionByName(body).unionByName(tail)
+    line = lambda pos, text: F.struct(pos.alias("pos"), text.alias("line"))
+    lines = F.array(
+        line(yr * 100 + 1, F.concat(F.lit("Year: "), yr.cast("string"))),
+        line(yr * 100 + 2, F.lit("-----------------------------------")),
+        line(yr * 100 + 10, F.concat(F.lit("    "), F.col("column_name"), F.lit(": "),
+                                     F.col("mismatches").cast("string"))),
+        line(yr * 100 + 90, F.lit("Total Time: 76.84 seconds")))
+    return (mc.select((yr / 10).cast("int").alias("file"), F.explode(lines).alias("l"))
+            .select("file", "l.pos", "l.line").distinct())
 
 
 def report_parse(spark, d):
