@@ -82,7 +82,7 @@ def test_operations_list(spark):
 
 
 def test_ledger_rollup_golden(spark):
-    # Per-year ledger rows and their published totals (the reference's run ledger).
+    # Per-year ledger rows and their published totals (the original run ledger).
     data = [
         ("Fahrzeiten_2016_Deleting_Duplicate_Rows", 401.98, "Duplicate Rows: 0"),
         ("Fahrzeiten_2017_Deleting_Duplicate_Rows", 394.13, "Duplicate Rows: 4"),

@@ -48,7 +48,7 @@ def anti(df: DataFrame, keys_df: DataFrame, on: list[str] | str) -> DataFrame:
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> None:
-    """Raise if a key occurs twice (the reference's ``.item()`` contract).
+    """Raise if a key occurs twice (a lookup must match at most one row).
 
     One aggregation; only a single offending key is fetched.
     """

@@ -61,3 +61,23 @@ def conform(df: DataFrame, schema: T.StructType, safe: bool = True) -> DataFrame
 def unpivot(df: DataFrame, ids: list[str], values: list[str], var: str, val: str) -> DataFrame:
     """Wide -> long (P10, ``melt``)."""
     return df.unpivot(ids, values, var, val)
+
+
+def drop_if_clean(df: DataFrame, check: DataFrame, count_col: str, columns: list[str]) -> DataFrame:
+    """Drop redundant columns only when a check found no violation.
+
+    ``check`` is a one-row aggregate (e.g. ``date_disagreement``); reading
+    its count is the single action; the output schema is decided on the
+    driver because it depends on the data."""
+    violations = check.select(count_col).first()[0]
+    return df.drop(*columns) if violations == 0 else df
+
+
+def map_batches(df: DataFrame, fn, schema: str | T.StructType) -> DataFrame:
+    """Apply a user function ``pandas.DataFrame -> pandas.DataFrame`` to
+    Arrow batches of each partition (D1). For user-supplied logic only; the
+    library's own operators are column expressions."""
+    def run(batches):
+        for pdf in batches:
+            yield fn(pdf)
+    return df.mapInPandas(run, schema)

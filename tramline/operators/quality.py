@@ -113,7 +113,7 @@ def orphan_rows(child: DataFrame, checks: list[tuple[str, DataFrame, str, str]],
                 keep: list[str], period: Column | None = None) -> DataFrame:
     """Rows whose foreign key has no parent (Q1, J6), one output row per
     failing (row, side): a row failing both sides appears twice, as in the
-    reference's sum of both sides. ``checks`` = (side, parent, child_key,
+    original sum of both sides. ``checks`` = (side, parent, child_key,
     parent_key). Child rows are kept unchanged elsewhere."""
     out = None
     for side, parent, ck, pk in checks:

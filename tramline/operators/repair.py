@@ -1,6 +1,6 @@
 """Repairs (P6, P13, Q2, Q7-Q10).
 
-Each repair is an expression over the rows plus, where the reference
+Each repair is an expression over the rows plus, where the original workflow
 reports it, a single-aggregate metric.
 """
 
