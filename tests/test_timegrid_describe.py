@@ -63,3 +63,17 @@ def test_describe_one_row(spark):
     r = Dm.describe(df, "x").first()
     assert (r["count"], r["mean"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]) == (4, 2.5, 1.0, 1.75, 2.5, 3.25, 4.0)
     assert Dm.exact_quantiles(spark.createDataFrame([], "x double"), "x", [0.5]) == [None]
+
+
+def test_grid_independent_of_session_time_zone(spark):
+    import datetime as dt
+    rows = [(dt.datetime(2024, 1, 1, 0, 1) + dt.timedelta(minutes=7 * i),) for i in range(100)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    before = [tuple(r) for r in G.missing_by(df, "ts", 300, "hour").orderBy("hour").collect()]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        after = [tuple(r) for r in G.missing_by(df, "ts", 300, "hour").orderBy("hour").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert before == after and before[0][0] == 0

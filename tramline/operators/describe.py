@@ -38,38 +38,55 @@ class _Target:
         return c
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, probs: list[float],
+                    extra: list | None = None) -> list[float | None] | tuple[list, object]:
     """Linearly interpolated quantiles (pandas / ``quantile_cont``).
 
-    All target ranks are searched together: per round one sketch aggregate
-    and one counting aggregate over the still-open windows; once every
-    window is small, one histogram of the windows' distinct values is
-    fetched. Typically three or four jobs in total, each a distributed
-    aggregate.
+    All target ranks are searched together. The first aggregate counts the
+    rows and sketches every target at once (plus any ``extra`` aggregates
+    the caller wants from the same pass); then, per round, one counting
+    aggregate narrows the windows and, once every window is small, one
+    histogram of the windows' distinct values is fetched. Typically three
+    jobs in total, each a distributed aggregate.
     """
     base = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    n = base.count()
+    x = F.col("x")
+    eps = 4.0 / SKETCH_ACCURACY
+    first_aggs = [F.count(x).alias("__n")]
+    first_aggs += [F.percentile_approx(x, [max(0.0, p - eps), min(1.0, p + eps)], SKETCH_ACCURACY)
+                   for p in probs]
+    src = df.select(F.col(col).cast("double").alias("x"), *([F.col(col).alias("__orig")] if extra else []))
+    head_row = src.agg(*first_aggs, *(extra or [])).first()
+    n = head_row["__n"]
+    extra_row = head_row[len(probs) + 1:] if extra else None
     if n == 0:
-        return [None] * len(probs)
+        return ([None] * len(probs), extra_row) if extra else [None] * len(probs)
     plan = []
     for p in probs:
         r = p * (n - 1)
         k = int(math.floor(r))
         plan.append((k, min(k + 1, n - 1), r - k))
     targets = {k: _Target(k, n) for a, b, _ in plan for k in (a, b)}
-    x = F.col("x")
-    eps = 4.0 / SKETCH_ACCURACY
+    # Seed every target's first round with the sketch of its quantile.
+    seeds = {}
+    for i, (a, b, _) in enumerate(plan):
+        for k in (a, b):
+            seeds.setdefault(k, tuple(head_row[i + 1]))
     while True:
         large = [t for t in targets.values() if not t.done and t.size > WINDOW_ROWS]
         if not large:
             break
-        sk = []
-        for t in large:
-            q = (t.rank - t.below) / max(t.size - 1, 1)
-            sk.append(F.percentile_approx(F.when(t.inside(x), x), [max(0.0, q - eps), min(1.0, q + eps)],
-                                          SKETCH_ACCURACY))
-        got = base.agg(*sk).first()
-        cand = [tuple(got[i]) for i in range(len(large))]
+        if all(t.rank in seeds for t in large):
+            cand = [seeds.pop(t.rank) for t in large]
+        else:
+            sk = []
+            for t in large:
+                q = (t.rank - t.below) / max(t.size - 1, 1)
+                sk.append(F.percentile_approx(F.when(t.inside(x), x), [max(0.0, q - eps), min(1.0, q + eps)],
+                                              SKETCH_ACCURACY))
+            got = base.agg(*sk).first()
+            cand = [tuple(got[i]) for i in range(len(large))]
+            seeds.clear()
         counts = []
         for t, (v1, v2) in zip(large, cand):
             w = t.inside(x)
@@ -111,20 +128,20 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float |
     for a, b, frac in plan:
         va, vb = targets[a].value, targets[b].value
         out.append(va + (vb - va) * frac)
-    return out
+    return (out, extra_row) if extra else out
 
 
 def describe(df: DataFrame, col: str, digits: int = 4) -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max of one column (pandas
-    ``describe``), as one row. Quantiles are exact (see above)."""
-    x = F.col(col)
-    q25, q50, q75 = exact_quantiles(df, col, [0.25, 0.5, 0.75])
-    lit = lambda v: F.lit(v).cast("double")
-    return df.agg(F.count(x).alias("count"),
-                  F.round(F.avg(x), digits).alias("mean"),
-                  F.round(F.stddev_samp(x), digits).alias("std"),
-                  F.min(x).cast("double").alias("min"),
-                  F.round(lit(q25), digits).alias("p25"),
-                  F.round(lit(q50), digits).alias("p50"),
-                  F.round(lit(q75), digits).alias("p75"),
-                  F.max(x).cast("double").alias("max"))
+    ``describe``), as one row. Quantiles are exact (see above); the plain
+    statistics ride along in the first quantile pass."""
+    o = F.col("__orig")
+    extra = [F.count(o).alias("count"), F.round(F.avg(o), digits).alias("mean"),
+             F.round(F.stddev_samp(o), digits).alias("std"), F.min(o).cast("double").alias("min"),
+             F.max(o).cast("double").alias("max")]
+    (q25, q50, q75), st = exact_quantiles(df, col, [0.25, 0.5, 0.75], extra=extra)
+    spark = df.sparkSession
+    rnd = lambda v: None if v is None else round(v, digits)
+    row = [(st[0], st[1], st[2], st[3], rnd(q25), rnd(q50), rnd(q75), st[4])]
+    return spark.createDataFrame(row, "count bigint, mean double, std double, min double, p25 double, "
+                                      "p50 double, p75 double, max double")

@@ -11,20 +11,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def _slot(ts_col: str, step_seconds: int):
-    secs = F.unix_timestamp(F.col(ts_col).cast("timestamp"))
+def _epoch_ntz():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _is_ntz(df: DataFrame, ts_col: str) -> bool:
+    return isinstance(df.schema[ts_col].dataType, T.TimestampNTZType)
+
+
+def _slot_of(df: DataFrame, ts_col: str, step_seconds: int):
+    """Slot number = whole seconds since the epoch // step. Wall-clock
+    (timestamp_ntz) values are measured against the wall-clock epoch, so
+    the grid does not depend on the session time zone."""
+    if _is_ntz(df, ts_col):
+        secs = F.timestamp_diff("SECOND", _epoch_ntz(), F.col(ts_col))
+    else:
+        secs = F.unix_seconds(F.col(ts_col).cast("timestamp"))
     return F.floor(secs / F.lit(step_seconds)).cast("long")
 
 
+def _slot_start(df: DataFrame, ts_col: str, step_seconds: int):
+    secs = F.col("slot") * F.lit(step_seconds)
+    if _is_ntz(df, ts_col):
+        return F.timestamp_add("SECOND", secs, _epoch_ntz())
+    return F.timestamp_seconds(secs)
+
+
 def occupied_slots(df: DataFrame, ts_col: str, step_seconds: int) -> DataFrame:
-    return df.select(_slot(ts_col, step_seconds).alias("slot")).where("slot IS NOT NULL").distinct()
+    return df.select(_slot_of(df, ts_col, step_seconds).alias("slot")).where("slot IS NOT NULL").distinct()
 
 
 def grid_bounds(df: DataFrame, ts_col: str, step_seconds: int) -> tuple[int, int]:
     """First and last slot of the data (one small aggregate)."""
-    s = _slot(ts_col, step_seconds)
+    s = _slot_of(df, ts_col, step_seconds)
     row = df.agg(F.min(s).alias("lo"), F.max(s).alias("hi")).first()
     return row["lo"], row["hi"]
 
@@ -35,10 +57,10 @@ def missing_slots(df: DataFrame, ts_col: str, step_seconds: int,
     spark = df.sparkSession
     lo, hi = bounds or grid_bounds(df, ts_col, step_seconds)
     if lo is None:
-        return spark.createDataFrame([], "slot_start timestamp")
+        return spark.createDataFrame([], "slot_start timestamp_ntz" if _is_ntz(df, ts_col) else "slot_start timestamp")
     grid = spark.range(lo, hi + 1).withColumnRenamed("id", "slot")
     missing = grid.join(occupied_slots(df, ts_col, step_seconds), "slot", "left_anti")
-    return missing.select(F.timestamp_seconds(F.col("slot") * step_seconds).alias("slot_start"))
+    return missing.select(_slot_start(df, ts_col, step_seconds).alias("slot_start"))
 
 
 def missing_summary(df: DataFrame, ts_col: str, step_seconds: int) -> DataFrame:
@@ -67,7 +89,7 @@ def grid_fill_counts(df: DataFrame, ts_col: str, step_seconds: int, entity: str,
     plus every grid cell with no row at all, which is
     entities x slots - observed cells.
     """
-    s = _slot(ts_col, step_seconds)
+    s = _slot_of(df, ts_col, step_seconds)
     v = F.col(value) if value else F.lit(1)
     cells = (df.select(F.col(entity), s.alias("slot"), v.alias("v"))
              .groupBy(entity, "slot").agg(F.sum("v").alias("v")))
