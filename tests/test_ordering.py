@@ -9,7 +9,7 @@ from tests.conftest import rows
 def test_row_number_is_consecutive_and_ordered(spark):
     keys = random.Random(1).sample(range(100000), 500)
     df = spark.createDataFrame([(k, f"n{k}") for k in keys], "k long, name string")
-    got = O.with_row_number(df, ["k"], "rid", start=26, n_buckets=7).collect()
+    got = O.with_row_number(df, ["k"], "rid", start=26, n_partitions=7).collect()
     by_rid = sorted((r.rid, r.k) for r in got)
     assert [r for r, _ in by_rid] == list(range(26, 526))
     assert [k for _, k in by_rid] == sorted(keys)
@@ -17,7 +17,7 @@ def test_row_number_is_consecutive_and_ordered(spark):
 
 def test_row_number_text_key(spark):
     df = spark.createDataFrame([(w,) for w in ["d", "b", "a", "c", "e"]], "w string")
-    got = sorted((r.row_id, r.w) for r in O.with_row_number(df, ["w"], n_buckets=3).collect())
+    got = sorted((r.row_id, r.w) for r in O.with_row_number(df, ["w"], n_partitions=3).collect())
     assert got == [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")]
 
 
@@ -61,3 +61,9 @@ def test_no_single_partition_window(spark):
     df = spark.range(0, 1000).withColumnRenamed("id", "k")
     plan = O.with_row_number(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_row_number_nulls_first(spark):
+    df = spark.createDataFrame([(3,), (None,), (1,), (2,)], "k int")
+    got = sorted((r.row_id, r.k) for r in O.with_row_number(df, ["k"], n_partitions=2).collect())
+    assert got == [(1, None), (2, 1), (3, 2), (4, 3)]

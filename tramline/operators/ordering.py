@@ -1,10 +1,10 @@
 """Ordering without a single-task window.
 
 A window with no partition (``row_number().over(orderBy(x))``) moves all rows
-into one task. Here row numbers come from range buckets instead: bounds from
-an approximate quantile sketch, exact per-bucket counts turned into offsets,
-and a window per bucket. Every step is distributed; only the bucket bounds
-and per-bucket counts (a few hundred numbers) reach the driver.
+into one task. Here row numbers come from a range-partitioned sort instead:
+per-partition counts become offsets and each row's position inside its
+partition is added, so every step is distributed and only one count per
+partition reaches the driver.
 
 Group attributes (size, maximum, first row) are computed by a partial
 aggregation and joined back, so a key holding a third of all rows is
@@ -17,62 +17,46 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_SKETCHABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-
 
 def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _bucket_bounds(df: DataFrame, col: str, n_buckets: int) -> list:
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, _SKETCHABLE):
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        row = df.select(F.percentile_approx(F.col(col), probs, 10000).alias("b")).first()
-        bounds = row["b"] or []
-    else:
-        # Text keys: bounds from a small seeded sample, sorted in the cluster.
-        frac = min(1.0, 100.0 * n_buckets / max(1, df.count()))
-        sample = (df.select(col).where(F.col(col).isNotNull())
-                  .sample(False, frac, seed=17).orderBy(col).collect())
-        step = max(1, len(sample) // n_buckets)
-        bounds = [r[0] for r in sample[step::step]]
-    return sorted(set(b for b in bounds if b is not None))
-
-
-def bucket_of(c: Column, bounds: list) -> Column:
-    """Index of the range bucket of ``c``: number of bounds <= c (NULL -> 0)."""
-    if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= c))
-
-
 def with_row_number(df: DataFrame, order_cols: list[str], name: str = "row_id",
-                    start: int = 1, n_buckets: int | None = None) -> DataFrame:
+                    start: int = 1, n_partitions: int | None = None) -> DataFrame:
     """Consecutive numbers ``start, start+1, ...`` in ascending order of
-    ``order_cols`` (NULLs first), computed bucket by bucket (W4, P8).
+    ``order_cols`` (NULLs first), without a single-partition window (W4, P8).
+
+    1. Range-partition and sort within partitions (Spark's range partitioner
+       samples the keys and finds each row's partition by binary search, for
+       any number of partitions).
+    2. Tag rows with their partition and ``monotonically_increasing_id``
+       (partition << 33 | position) and checkpoint that to the shared
+       checkpoint folder, so both following passes see identical tags and
+       the lineage is cut.
+    3. Count rows per partition (one small aggregate) -> prefix offsets.
+    4. row id = offset of the partition + position + start: a map-only pass.
 
     The order columns should identify rows; ties get an arbitrary order, as
     in any sort.
     """
-    n_buckets = n_buckets or _shuffle_partitions(df)
-    lead = order_cols[0]
-    bounds = _bucket_bounds(df, lead, n_buckets)
-    b = df.withColumn("__bucket", bucket_of(F.col(lead), bounds))
-    counts = sorted((r[0], r[1]) for r in b.groupBy("__bucket").count().collect())
-    offsets, running = {}, 0
-    for bucket, n in counts:
-        offsets[bucket] = running
-        running += n
-    offset_map = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v))]) \
-        if offsets else F.create_map()
-    w = Window.partitionBy("__bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    return (b.withColumn(name, (F.row_number().over(w) + F.element_at(offset_map, F.col("__bucket"))
-                                + F.lit(start - 1)).cast("long"))
-            .drop("__bucket"))
+    from tramline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    n = n_partitions or _shuffle_partitions(df)
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .select("*", F.spark_partition_id().alias("__pid"),
+                      F.monotonically_increasing_id().alias("__mid"))
+              .checkpoint(eager=True))
+    counts = sorted((r[0], r[1]) for r in tagged.groupBy("__pid").count().collect())
+    offsets, running = [], 0
+    for pid, cnt in counts:
+        offsets += [F.lit(pid), F.lit(running)]
+        running += cnt
+    offset_map = F.create_map(*offsets) if offsets else F.create_map()
+    position = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
+    rid = F.element_at(offset_map, F.col("__pid")) + position + F.lit(start)
+    return tagged.withColumn(name, rid.cast("long")).drop("__pid", "__mid")
 
 
 def page(df: DataFrame, order_cols: list[str], page_no: int, size: int = 10) -> DataFrame:
