@@ -83,8 +83,12 @@ class Ledger:
         return bool(hit.collect())
 
     def record(self, process: str, seconds: float | None, output: str) -> None:
-        row = self.spark.createDataFrame([(process, seconds, output)], "process string, time double, output string")
-        row.withColumn("recorded_at", F.current_timestamp()).write.mode("append").parquet(self.path)
+        self.record_many([(process, seconds, output)])
+
+    def record_many(self, rows: list[tuple[str, float | None, str]]) -> None:
+        """Append several (process, time, output) rows in one small write."""
+        df = self.spark.createDataFrame(rows, "process string, time double, output string")
+        df.withColumn("recorded_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.path)
 
     def pending(self, processes: list[str]) -> DataFrame:
         """Steps without a recorded time (anti join of the step list)."""
