@@ -38,13 +38,19 @@ def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
 
 
 def semi(df: DataFrame, keys_df: DataFrame, on: list[str] | str) -> DataFrame:
-    """Rows whose key occurs in ``keys_df`` (``isin`` of another table)."""
-    return df.join(keys_df.select(*([on] if isinstance(on, str) else on)), on=on, how="left_semi")
+    """Rows whose key occurs in ``keys_df`` (``isin`` of another table).
+
+    The key side is de-duplicated first (combined map-side), so a key that
+    repeats a billion times in ``keys_df`` arrives as one row: AQE can split
+    only the left side of a semi join, the right side must not be skewed.
+    """
+    return df.join(keys_df.select(*([on] if isinstance(on, str) else on)).distinct(), on=on, how="left_semi")
 
 
 def anti(df: DataFrame, keys_df: DataFrame, on: list[str] | str) -> DataFrame:
-    """Rows whose key does not occur in ``keys_df``; a NULL key stays."""
-    return df.join(keys_df.select(*([on] if isinstance(on, str) else on)), on=on, how="left_anti")
+    """Rows whose key does not occur in ``keys_df``; a NULL key stays. Key
+    side de-duplicated as in ``semi``."""
+    return df.join(keys_df.select(*([on] if isinstance(on, str) else on)).distinct(), on=on, how="left_anti")
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> None:
@@ -82,11 +88,14 @@ def lookup_fill(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
 
 def fill_from_parent(child: DataFrame, parent: DataFrame, fk: str, pk: str,
                      fill: dict[str, str], when_null: str,
-                     flag_col: str | None = None, flag_value=None,
+                     flag_col: str | None = None, flag_value=None, check_unique: bool = True,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Foreign-key fill (J8): where ``child[when_null]`` is NULL and the parent
     exists, copy ``fill = {child_col: parent_col}`` and set ``flag_col`` to
-    ``flag_value``, even if the parent's own values are NULL."""
+    ``flag_value``, even if the parent's own values are NULL. The parent key
+    must be unique (checked), so no child row is multiplied."""
+    if check_unique:
+        assert_unique(parent, [pk], "parent table")
     cols = {p: f"__fp_{i}" for i, p in enumerate(fill.values())}
     right = parent.select(F.col(pk).alias("__fp_key"),
                           *[F.col(p).alias(a) for p, a in cols.items()])

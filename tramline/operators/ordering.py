@@ -78,26 +78,35 @@ def tail(df: DataFrame, order_cols: list[str], n: int = 10) -> DataFrame:
 
 def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
     """Add ``__k = struct(keys)``. Struct equality treats NULL fields as equal
-    (pandas semantics for NaN keys), and grouping and joining on the same
-    single column lets the join reuse the aggregation's hash partitioning, so
-    the rows are shuffled once and only the partial aggregates a second
-    time."""
+    (pandas semantics for NaN keys)."""
     return df.withColumn("__k", F.struct(*[F.col(k) for k in keys]))
 
 
+def _join_back(kd: DataFrame, g: DataFrame, keys: list[str]) -> DataFrame:
+    """Join per-key results ``g`` (keyed by ``__k``) back onto the rows.
+
+    The per-key side is re-keyed with a rebuilt struct, so it is shuffled
+    once more (one row per key, cheap) instead of reusing the aggregation's
+    partitioning: then both join inputs are plain shuffle stages and AQE's
+    skew-join handling can split the partition of a key that holds a large
+    share of the rows (it cannot split a join fed by an aggregate).
+    """
+    gk = g.select(F.struct(*[F.col(f"__k.{k}").alias(k) for k in keys]).alias("__gk"),
+                  *[c for c in g.columns if c != "__k"])
+    return kd.join(gk, kd["__k"] == gk["__gk"], "inner").drop("__k", "__gk")
+
+
 def attach_group_size(df: DataFrame, keys: list[str], name: str = "group_size") -> DataFrame:
     """Each row with the number of rows sharing its key (W2). NULL keys form
     one group, like pandas ``duplicated``."""
     kd = _keyed(df, keys)
-    sizes = kd.groupBy("__k").agg(F.count(F.lit(1)).alias(name))
-    return kd.join(sizes, "__k", "inner").drop("__k")
+    return _join_back(kd, kd.groupBy("__k").agg(F.count(F.lit(1)).alias(name)), keys)
 
 
 def attach_group_agg(df: DataFrame, keys: list[str], agg: Column, name: str) -> DataFrame:
     """Each row with a per-group aggregate such as ``max(c)``."""
     kd = _keyed(df, keys)
-    g = kd.groupBy("__k").agg(agg.alias(name))
-    return kd.join(g, "__k", "inner").drop("__k")
+    return _join_back(kd, kd.groupBy("__k").agg(agg.alias(name)), keys)
 
 
 def flag_repeats(df: DataFrame, keys: list[str], order_cols: list[str],
@@ -112,9 +121,8 @@ def flag_repeats(df: DataFrame, keys: list[str], order_cols: list[str],
     """
     o = F.struct(*[F.col(c) for c in order_cols])
     kd = _keyed(df, keys)
-    firsts = kd.groupBy("__k").agg(F.min(o).alias("__first"))
-    j = kd.join(firsts, "__k", "inner")
-    return j.withColumn(name, F.coalesce(o != F.col("__first"), F.lit(False))).drop("__first", "__k")
+    j = _join_back(kd, kd.groupBy("__k").agg(F.min(o).alias("__first")), keys)
+    return j.withColumn(name, F.coalesce(o != F.col("__first"), F.lit(False))).drop("__first")
 
 
 def carry_forward(df: DataFrame, partition_cols: list[str], order_col: str, value: str,
