@@ -37,20 +37,40 @@ def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
 
 
-def semi(df: DataFrame, keys_df: DataFrame, on: list[str] | str) -> DataFrame:
-    """Rows whose key occurs in ``keys_df`` (``isin`` of another table).
-
-    The key side is de-duplicated first (combined map-side), so a key that
-    repeats a billion times in ``keys_df`` arrives as one row: AQE can split
-    only the left side of a semi join, the right side must not be skewed.
+def key_join(df: DataFrame, keys_df: DataFrame, on: list[tuple[str, str]], how: str,
+             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Semi or anti join of ``df`` against the distinct keys of ``keys_df``;
+    ``on`` = [(column of df, column of keys_df)].
+
+    * The key side is de-duplicated first (combined map-side) and keys with a
+      NULL are dropped, so a NULL key of ``df`` never matches (SQL / ``isin``
+      semantics) and a key repeated a billion times arrives as one row.
+    * A key side proven to hold at most ``max_broadcast_rows`` keys is
+      broadcast: ``df`` is streamed through a hash join and never shuffled.
+    * Otherwise both sides are joined on struct-wrapped keys, which makes both
+      inputs plain shuffle stages, the shape in which AQE splits the partition
+      of a key that holds a large share of ``df``.
     """
-    return df.join(keys_df.select(*([on] if isinstance(on, str) else on)).distinct(), on=on, how="left_semi")
-
-
-def anti(df: DataFrame, keys_df: DataFrame, on: list[str] | str) -> DataFrame:
-    """Rows whose key does not occur in ``keys_df``; a NULL key stays. Key
-    side de-duplicated as in ``semi``."""
-    return df.join(keys_df.select(*([on] if isinstance(on, str) else on)).distinct(), on=on, how="left_anti")
+    names = [f"__jk{i}" for i in range(len(on))]
+    keys = keys_df.select(*[F.col(r).alias(n) for (_, r), n in zip(on, names)]).dropna().distinct()
+    if row_bound_holds(keys, max_broadcast_rows):
+        cond = reduce(lambda a, b: a & b, [df[l] == keys[n] for (l, _), n in zip(on, names)])
+        return df.join(F.broadcast(keys), cond, how)
+    keys = keys.select(F.struct(*[F.col(n) for n in names]).alias("__jks"))
+    left = df.withColumn("__jkl", F.struct(*[F.col(l) for l, _ in on]))
+    return left.join(keys, left["__jkl"] == keys["__jks"], how).drop("__jkl")
+
+
+def semi(df: DataFrame, keys_df: DataFrame, on: list[str] | str, **kw) -> DataFrame:
+    """Rows whose key occurs in ``keys_df`` (``isin`` of another table)."""
+    on = [on] if isinstance(on, str) else on
+    return key_join(df, keys_df, [(c, c) for c in on], "left_semi", **kw)
+
+
+def anti(df: DataFrame, keys_df: DataFrame, on: list[str] | str, **kw) -> DataFrame:
+    """Rows whose key does not occur in ``keys_df``; a NULL key stays."""
+    on = [on] if isinstance(on, str) else on
+    return key_join(df, keys_df, [(c, c) for c in on], "left_anti", **kw)
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> None:

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tramline.operators.joins import key_join
 from tramline.operators.ordering import attach_group_size, flag_repeats
 
 
@@ -117,8 +118,7 @@ def orphan_rows(child: DataFrame, checks: list[tuple[str, DataFrame, str, str]],
     parent_key). Child rows are kept unchanged elsewhere."""
     out = None
     for side, parent, ck, pk in checks:
-        keys = parent.select(F.col(pk).alias("__pk")).distinct()
-        bad = (child.join(keys, child[ck] == keys["__pk"], "left_anti")
+        bad = (key_join(child, parent, [(ck, pk)], "left_anti")
                .select(*keep, *([period.alias("period")] if period is not None else []),
                        F.lit(side).alias("side"), F.col(ck).alias("fk_value")))
         out = bad if out is None else out.unionByName(bad)

@@ -29,7 +29,7 @@ from tramline.functions.text import literal_replace, split_once, strip_grouping_
 from tramline.operators import quality as Q
 from tramline.operators import repair as R
 from tramline.operators import snapshots as S
-from tramline.operators.joins import fill_from_parent, lookup_fill
+from tramline.operators.joins import fill_from_parent, key_join, lookup_fill
 from tramline.operators.projection import apply_operations
 from tramline.session import ensure_checkpoint_dir
 from tramline.sources.files import read_csv
@@ -309,11 +309,9 @@ def check_foreign_keys_segments(segments: DataFrame, stop_points: DataFrame, off
     """Segments whose from / to stop point does not exist in the same year
     (Q1). Offending rows are returned (and written per year and side when a
     path is given); the segments are kept unchanged."""
-    keys = stop_points.select("jahr", F.col("id").alias("__pk")).distinct()
     bad = []
     for side in ("von", "nach"):
-        col = f"halt_punkt_id_{side}"
-        b = segments.join(keys, (segments["jahr"] == keys["jahr"]) & (segments[col] == keys["__pk"]), "left_anti")
+        b = key_join(segments, stop_points, [("jahr", "jahr"), (f"halt_punkt_id_{side}", "id")], "left_anti")
         bad.append(b.withColumn("side", F.lit(side)))
     offenders = bad[0].unionByName(bad[1])
     if offenders_path:
@@ -324,7 +322,7 @@ def check_foreign_keys_segments(segments: DataFrame, stop_points: DataFrame, off
 
 
 def check_foreign_keys_stop_points(stop_points: DataFrame, stops: DataFrame) -> str:
-    bad = stop_points.join(stops.select(F.col("id").alias("halt_id")).distinct(), "halt_id", "left_anti")
+    bad = key_join(stop_points, stops, [("halt_id", "id")], "left_anti")
     return f"Foreign Keys not Existing: {bad.count()}"
 
 
