@@ -133,3 +133,34 @@ def test_segment_audits(spark, raw):
     assert sorted(r.jahr for r in refiled.select("jahr").distinct().collect()) == [2020, 2021, 2022]
     again, changed = TT.put_in_correct_years(refiled, f"{tmp}/refiled2")
     assert (again, changed) == ("Rows in Wrong Year: 0", False)   # idempotent
+
+
+def test_exploration_tables(spark, raw):
+    fz = TT.read_raw(spark, raw, "fahrzeiten")
+    hs = TT.read_raw(spark, raw, "haltestellen")
+    # halt_id_von / halt_id_nach are empty in the fixture: give them stop ids
+    fz = fz.withColumn("halt_id_von", F.when(F.col("linie") % 2 == 0, 1).otherwise(2).cast("long"))
+    types = {r.type_of_line: (r["count"], list(r.lines)) for r in TT.line_type_counts(fz).collect()}
+    assert types["Tram"][0] == 6 and "Other" not in types
+    top = TT.top_lines(fz, 3).collect()
+    assert [(r.linie, r["count"]) for r in top] == [(2, 2), (3, 1), (4, 1)]
+    stops = TT.top_stops(fz, hs, 5).collect()
+    assert [(r.stop, r["count"]) for r in stops] == [("Zürich, HB", 4), ("Bern", 3)]
+    cities = {r.city: r["count"] for r in TT.city_counts(fz, hs).collect()}
+    assert cities == {"Zürich": 1, "Bern": 1}
+    per_file = {r.city: r["count"] for r in TT.city_counts(fz, hs, per_file=True).collect()}
+    assert per_file == {"Zürich": 2, "Bern": 3}
+    assert TT.vehicle_count(fz).first().vehicles == 1
+
+
+def test_passenger_tables(spark, raw):
+    pf = TT.read_raw(spark, raw, "passagierfrequenz")
+    pf = TT.apply_operations(pf, TT.RENAME_DROP["passagierfrequenz"])
+    ov = {(r.company, r.type): r.stations for r in TT.owners_vs_operators(pf, sep=",").collect()}
+    assert ov[("SBB", "owner_stations")] == 2 and ov[("SBB", "operator_stations")] == 2
+    assert ov[("SZU", "owner_stations")] == 0 and ov[("SZU", "operator_stations")] == 1
+    top = TT.top_passenger_stations(pf, "durchschnittlicher_täglicher_verkehr", k=1)
+    assert [r.bahnhof_lang for r in top.collect()] == ["Bern"]          # Zürich has no year
+    top2 = TT.top_passenger_stations(pf, "durchschnittlicher_täglicher_verkehr", k=1, null_year_as=2018)
+    assert [r.bahnhof_lang for r in top2.collect()] == ["Zürich HB"]
+    assert [tuple(r) for r in TT.canton_counts(pf).collect()] == [("BE", "Bern", 1), ("ZH", "Zürich", 1)]

@@ -30,7 +30,7 @@ from tramline.operators import quality as Q
 from tramline.operators import repair as R
 from tramline.operators import snapshots as S
 from tramline.operators.joins import fill_from_parent, key_join, lookup_fill
-from tramline.operators.projection import apply_operations
+from tramline.operators.projection import apply_operations  # noqa: F401 (re-exported)
 from tramline.session import ensure_checkpoint_dir
 from tramline.sources.files import read_csv
 from tramline.sources.ledger import Ledger, format_output
@@ -407,3 +407,107 @@ def fill_passenger_values(passengers: DataFrame) -> tuple[DataFrame, str]:
     patches = {c: v for c, v in PASSENGER_PATCH.items() if c in passengers.columns}
     out = R.keyed_patch(passengers, "uic", patches)
     return out, f"Empty Cells: {out.agg(_null_cells(out)).first()[0]}"
+
+
+# ------------------------------------------------------------------ exploration tables (chart inputs)
+
+# Line number ranges of the line categories.
+LINE_TYPES = [(2, 17, "Tram"), (18, 28, "Bergbahn"), (29, 916, "Bus")]
+
+
+def line_type_counts(segments: DataFrame, line: str = "linie") -> DataFrame:
+    """Distinct lines per category, 'Other' for lines outside every range
+    (P7, A3, U5)."""
+    from tramline.functions.numbers import range_category
+    lines = segments.select(line).where(F.col(line).isNotNull()).distinct()
+    cat = range_category(F.col(line), LINE_TYPES, "Other").alias("type_of_line")
+    return lines.groupBy(cat).agg(F.count(F.lit(1)).alias("count"),
+                                  F.sort_array(F.collect_list(F.when(cat == "Other", F.col(line)))).alias("lines"))
+
+
+def top_lines(segments: DataFrame, k: int = 10, line: str = "linie") -> DataFrame:
+    """Most frequent lines over all files (A1, A2, T2); k is capped by the
+    number of lines automatically."""
+    from tramline.operators.ordering import top_k_by
+    counts = segments.where(F.col(line).isNotNull()).groupBy(line).agg(F.count(F.lit(1)).alias("count"))
+    return top_k_by(counts, "count", k, [line])
+
+
+def top_stops(segments: DataFrame, stops: DataFrame, k: int = 10, stop_key: str = "halt_id_von",
+              stop_id: str = "halt_id", stop_name: str = "halt_lang") -> DataFrame:
+    """Most frequent departure stops by name (A1, J9, T2): counted per id
+    first, then joined to the names and added up per name."""
+    from tramline.operators.ordering import top_k_by
+    per_id = segments.groupBy(F.col(stop_key).alias("__sid")).agg(F.count(F.lit(1)).alias("count"))
+    # one name per stop id (the smallest, so the choice is deterministic)
+    names = stops.groupBy(F.col(stop_id).alias("__sid")).agg(F.min(stop_name).alias("stop"))
+    by_name = per_id.join(names, "__sid").groupBy("stop").agg(F.sum("count").cast("long").alias("count"))
+    return top_k_by(by_name, "count", k, ["stop"])
+
+
+def city_counts(segments: DataFrame, stops: DataFrame, stop_keys=("halt_id_von",), stop_id: str = "halt_id",
+                stop_name: str = "halt_lang", per_file: bool = False) -> DataFrame:
+    """Cities (name text before the first comma) of the stops used by the
+    segments (X5, J5, Q20): ``stops`` = distinct used stop names per city,
+    or with ``per_file`` the number of (file, stop name) pairs, i.e. each
+    name counted once per weekly file."""
+    from tramline.functions.text import first_token
+    used = None
+    for c in stop_keys:
+        cols = [F.col(c).alias("__sid")] + ([F.col("_metadata.file_name").alias("__file")] if per_file else [])
+        part = segments.select(*cols)
+        used = part if used is None else used.unionByName(part)
+    used = used.where(F.col("__sid").isNotNull()).distinct()
+    names = stops.select(F.col(stop_id).alias("__sid"), F.col(stop_name).alias("__name")).distinct()
+    named = used.join(names, "__sid").drop("__sid").distinct()
+    city = first_token(F.col("__name"), ",").alias("city")
+    return named.groupBy(city).agg(F.count(F.lit(1)).alias("count"))
+
+
+def vehicle_count(segments: DataFrame, vehicle: str = "fahrzeug") -> DataFrame:
+    """Number of distinct vehicles (A3)."""
+    return segments.agg(F.count_distinct(vehicle).alias("vehicles"))
+
+
+def owners_vs_operators(passengers: DataFrame, owner: str = "bahnhofseigner",
+                        operators: str = "einbezogene_bahnunternehmen", sep: str = ";") -> DataFrame:
+    """Stations per owner and per operating company (Q19): value counts of
+    the owner, value counts of the split and trimmed operator lists (A8, X6),
+    combined by a full outer join with 0 for missing (J10), the larger of the
+    two (P9) and the long form (P10)."""
+    from tramline.functions.numbers import row_max
+    from tramline.functions.text import words
+    from tramline.operators.joins import combine_counts
+    own = passengers.where(F.col(owner).isNotNull()).groupBy(F.col(owner).alias("company")) \
+                    .agg(F.count(F.lit(1)).alias("count"))
+    ops = passengers.select(F.explode(words(F.col(operators), sep)).alias("company")) \
+                    .where(F.col("company").isNotNull() & (F.col("company") != "")) \
+                    .groupBy("company").agg(F.count(F.lit(1)).alias("count"))
+    wide = combine_counts(own, ops, "company", "owner_stations", "operator_stations")
+    wide = wide.withColumn("max_count", row_max(["owner_stations", "operator_stations"]))
+    return wide.unpivot(["company", "max_count"], ["owner_stations", "operator_stations"], "type", "stations")
+
+
+def top_passenger_stations(passengers: DataFrame, measure: str, k: int = 10, years=(2018, 2022),
+                           station: str = "bahnhof_lang", year: str = "jahr",
+                           null_year_as: int | None = None) -> DataFrame:
+    """All rows of the k stations with the largest maximum of ``measure`` over
+    the given years (Q18, W1, T3, F2); ``null_year_as`` treats a missing year
+    as that year (the second variant uses 2018)."""
+    from tramline.operators.ordering import top_k_by
+    p = passengers
+    if null_year_as is not None:
+        p = p.withColumn(year, F.coalesce(F.col(year), F.lit(null_year_as)))
+    p = p.where(F.col(year).isin(*years))
+    best = p.groupBy(station).agg(F.max(measure).alias("max_value"))
+    top = top_k_by(best, "max_value", k, [station])
+    # ``top`` holds at most k rows, so broadcasting it is bounded by k.
+    return p.join(F.broadcast(top), station).select(station, year, measure, "max_value")
+
+
+def canton_counts(passengers: DataFrame, canton: str = "kanton", year: str = "jahr",
+                  only_year: int | None = None) -> DataFrame:
+    """Stations per canton with full names (Q21), all years or one year."""
+    from tramline.sources.lookups import canton_table, counts_with_names
+    p = passengers if only_year is None else passengers.where(F.col(year) == only_year)
+    return counts_with_names(p, canton, canton_table(passengers.sparkSession))
