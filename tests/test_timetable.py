@@ -164,3 +164,20 @@ def test_passenger_tables(spark, raw):
     top2 = TT.top_passenger_stations(pf, "durchschnittlicher_täglicher_verkehr", k=1, null_year_as=2018)
     assert [r.bahnhof_lang for r in top2.collect()] == ["Zürich HB"]
     assert [tuple(r) for r in TT.canton_counts(pf).collect()] == [("BE", "Bern", 1), ("ZH", "Zürich", 1)]
+
+
+def test_copy_audit(spark, raw):
+    fz = TT.read_raw(spark, raw, "fahrzeiten")
+    hp = TT.read_raw(spark, raw, "haltepunkte")
+    hs = TT.read_raw(spark, raw, "haltestellen")
+    # copies in the segments: stop point 10 -> stop 1 (diva 100, ZUE in 2021 / ZHB in 2022)
+    fz = (fz.withColumn("halt_punkt_diva_von", F.when(F.col("halt_punkt_id_von") == 10, 1000).otherwise(1100))
+            .withColumn("halt_diva_von", F.lit(100)).withColumn("halt_id_von", F.lit(1).cast("long"))
+            .withColumn("halt_kurz_von1", F.lit("ZUE")))
+    counts = {(r.jahr, r.column_name): (r.mismatches, r.total_rows) for r in TT.copy_mismatch_counts(fz, hp, hs).collect()}
+    assert counts[(2021, "halt_kurz_von")] == (0, 6)
+    assert counts[(2022, "halt_kurz_von")] == (1, 1)             # the stop was renamed to ZHB in 2022
+    assert counts[(2021, "halt_punkt_diva_von")] == (0, 6)
+    pairs = {(r.jahr, r.direction, r.column_name, r.child_value, r.parent_value): r.n
+             for r in TT.copy_mismatch_pairs(fz, hp, hs).collect()}
+    assert pairs[(2022, "von", "halt_kurz", "ZUE", "ZHB")] == 1

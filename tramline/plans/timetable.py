@@ -511,3 +511,69 @@ def canton_counts(passengers: DataFrame, canton: str = "kanton", year: str = "ja
     from tramline.sources.lookups import canton_table, counts_with_names
     p = passengers if only_year is None else passengers.where(F.col(year) == only_year)
     return counts_with_names(p, canton, canton_table(passengers.sparkSession))
+
+
+# ------------------------------------------------------------------ copied columns vs parents (Q14-Q16)
+
+# (name, child column pattern, parent table, parent column) of the copies in
+# a segment; ``{d}`` is the direction ('von' / 'nach').
+COPY_PAIRS = [
+    ("halt_diva", "halt_diva_{d}", "h", "halt_diva"),
+    ("halt_punkt_diva", "halt_punkt_diva_{d}", "hp", "halt_punkt_diva"),
+    ("halt_kurz", "halt_kurz_{d}1", "h", "halt_kurz"),
+    ("halt_id", "halt_id_{d}", "h", "halt_id"),
+]
+
+
+def copy_audit_frame(segments: DataFrame, stop_points: DataFrame, stops: DataFrame) -> DataFrame:
+    """Raw segments (both directions) next to the attributes of the stop
+    point and stop they reference in the same year.
+
+    Each segment is unpivoted into a 'von' and a 'nach' row first, so both
+    directions go through one join of the segments with the stop points and
+    one with the stops (instead of one query per direction and year).
+    """
+    year = YEAR if YEAR in segments.columns else "jahr"
+    per_dir = []
+    for d in ("von", "nach"):
+        per_dir.append(F.struct(
+            F.lit(d).alias("direction"), F.col(f"halt_punkt_id_{d}").alias("key_hp_id"),
+            *[F.col(c.format(d=d)).cast("string").alias(f"f_{i}") for i, (_, c, _, _) in enumerate(COPY_PAIRS)]))
+    rows = segments.select(F.col(year).alias("jahr"), F.explode(F.array(*per_dir)).alias("s")).select("jahr", "s.*")
+    hp_year = YEAR if YEAR in stop_points.columns else "jahr"
+    h_year = YEAR if YEAR in stops.columns else "jahr"
+    hp = stop_points.select(F.col(hp_year).alias("__hp_j"), F.col("halt_punkt_id").alias("__hp_id"),
+                            F.col("halt_id").alias("key_h_id"),
+                            F.col("halt_punkt_diva").cast("string").alias("hp_halt_punkt_diva"))
+    h = stops.select(F.col(h_year).alias("__h_j"), F.col("halt_id").alias("__h_id"),
+                     *[F.col(p).cast("string").alias(f"h_{p}") for p in ("halt_diva", "halt_kurz", "halt_id")])
+    j = rows.join(hp, (rows["jahr"] == hp["__hp_j"]) & (rows["key_hp_id"] == hp["__hp_id"]), "inner") \
+            .join(h, (F.col("jahr") == h["__h_j"]) & (F.col("key_h_id") == h["__h_id"]), "inner")
+    return j.drop("__hp_j", "__hp_id", "__h_j", "__h_id")
+
+
+def _audit_pairs() -> list[tuple[str, str, str]]:
+    return [(name, f"f_{i}", f"{table}_{p}") for i, (name, _, table, p) in enumerate(COPY_PAIRS)]
+
+
+def copy_mismatch_counts(segments: DataFrame, stop_points: DataFrame, stops: DataFrame) -> DataFrame:
+    """(jahr, column_name, mismatches, total_rows, percent) with
+    column_name like 'halt_kurz_von' (A22, A24, A25, Q16): one aggregation
+    over the joined rows; the totals are the segment rows of the year."""
+    j = copy_audit_frame(segments, stop_points, stops)
+    pairs = _audit_pairs()
+    aggs = [F.count_if((F.col("direction") == d) & (F.col(c) != F.col(p))).alias(f"{n}_{d}")
+            for n, c, p in pairs for d in ("von", "nach")]
+    year = YEAR if YEAR in segments.columns else "jahr"
+    totals = segments.groupBy(F.col(year).alias("jahr")).agg(F.count(F.lit(1)).alias("total_rows"))
+    names = [f"{n}_{d}" for n, _, _ in pairs for d in ("von", "nach")]
+    counts = j.groupBy("jahr").agg(*aggs).unpivot(["jahr"], names, "column_name", "mismatches")
+    return counts.join(totals, "jahr").withColumn(
+        "percent", F.round(F.col("mismatches") * 100.0 / F.col("total_rows"), 4))
+
+
+def copy_mismatch_pairs(segments: DataFrame, stop_points: DataFrame, stops: DataFrame) -> DataFrame:
+    """Frequency of each (copied value, parent value) mismatch per year,
+    direction and column (A23, Q15)."""
+    j = copy_audit_frame(segments, stop_points, stops)
+    return Q.mismatch_pairs(j, _audit_pairs(), ["jahr", "direction"])
