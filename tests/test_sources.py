@@ -157,3 +157,13 @@ def test_catalog_and_canton_lookup(spark):
     prof = table_profile({"cantons": canton_table(spark)})
     assert tuple(prof.first()) == ("cantons", 4, 26)
     assert sql_source(spark, {"c": canton_table(spark)}, "SELECT count(*) AS n FROM c").first().n == 26
+
+
+def test_report_render_write_parse_roundtrip(spark, tmp):
+    from tramline.sources.reports import render_sectioned_report, write_report
+    counts = spark.createDataFrame([(2016, "halt_id_von", 5), (2016, "halt_kurz_von", 7), (2017, "halt_id_von", 1)],
+                                   "yr int, column_name string, n long")
+    lines = render_sectioned_report(counts, F.lit(1), "yr", "column_name", "n", footer="Total Time: 1.5 seconds")
+    write_report(lines, f"{tmp}/rep")
+    back = parse_sectioned_report(read_report_lines(spark, f"{tmp}/rep"), ["file"], "pos", "line")
+    assert rows(back) == [(2016, "halt_id_von", 5), (2016, "halt_kurz_von", 7), (2017, "halt_id_von", 1)]

@@ -28,7 +28,7 @@ from tramline.operators.projection import unpivot
 from tramline.plans.tables import AUDIT_PAIRS, TABLES, audit_frame, date_text, dirty_customer, \
     every, grid_coordinates, load, snapshots, year_ranges
 from tramline.sources.ledger import ledger_rollup as ledger_rollup_op
-from tramline.sources.reports import parse_sectioned_report
+from tramline.sources.reports import parse_sectioned_report, render_sectioned_report
 
 # Dimension tables that may be broadcast: their size is bounded by the row
 # check in ``bounded_broadcast``, not assumed.
@@ -581,22 +581,11 @@ def ledger_rollup(spark, d):
 
 
 def report_lines(spark, d):
-    """A sectioned text report rendered from the mismatch counts: one file
-    per decade, a 'Year: y' header, 'column: n' lines, a time line with a
-    non-integer value and separators. Rendered from one computation of the
-    counts: every count row emits its section's lines and the repeated
-    header/footer lines are de-duplicated."""
+    """A sectioned text report rendered from the mismatch counts, one file per
+    decade, with a time line whose value is no integer."""
     mc = mismatch_counts(spark, d)
-    yr = F.col("yr")
-    line = lambda pos, text: F.struct(pos.alias("pos"), text.alias("line"))
-    lines = F.array(
-        line(yr * 100 + 1, F.concat(F.lit("Year: "), yr.cast("string"))),
-        line(yr * 100 + 2, F.lit("-----------------------------------")),
-        line(yr * 100 + 10, F.concat(F.lit("    "), F.col("column_name"), F.lit(": "),
-                                     F.col("mismatches").cast("string"))),
-        line(yr * 100 + 90, F.lit("Total Time: 76.84 seconds")))
-    return (mc.select((yr / 10).cast("int").alias("file"), F.explode(lines).alias("l"))
-            .select("file", "l.pos", "l.line").distinct())
+    return render_sectioned_report(mc, (F.col("yr") / 10).cast("int"), "yr", "column_name", "mismatches",
+                                   footer="Total Time: 76.84 seconds")
 
 
 def report_parse(spark, d):

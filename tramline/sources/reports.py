@@ -30,3 +30,28 @@ def parse_sectioned_report(lines: DataFrame, file_cols: list[str], pos_col: str,
         F.trim(F.split_part(t, F.lit(": "), F.lit(1))).alias("column_name"),
         F.trim(F.split_part(t, F.lit(": "), F.lit(2))).try_cast("long").alias("count"))
     return kv.where(F.col("count").isNotNull() & F.col("year").isNotNull())
+
+
+def render_sectioned_report(counts: DataFrame, file_col, section_col: str, key_col: str, value_col: str,
+                            footer: str | None = None) -> DataFrame:
+    """(file, pos, line) of a sectioned text report: per section a
+    'Year: <section>' header and a separator, one '<key>: <value>' line per
+    count row and an optional footer line. Rendered from one pass over the
+    counts: each count row emits its section's lines and the repeated
+    header/footer lines are de-duplicated."""
+    sec = F.col(section_col)
+    line = lambda pos, text: F.struct(pos.alias("pos"), text.alias("line"))
+    parts = [line(sec * 100 + 1, F.concat(F.lit("Year: "), sec.cast("string"))),
+             line(sec * 100 + 2, F.lit("-----------------------------------")),
+             line(sec * 100 + 10, F.concat(F.lit("    "), F.col(key_col), F.lit(": "),
+                                           F.col(value_col).cast("string")))]
+    if footer is not None:
+        parts.append(line(sec * 100 + 90, F.lit(footer)))
+    return (counts.select(file_col.alias("file"), F.explode(F.array(*parts)).alias("l"))
+            .select("file", "l.pos", "l.line").distinct())
+
+
+def write_report(lines: DataFrame, path: str) -> None:
+    """One text file per report ``file`` value, lines in ``pos`` order."""
+    (lines.repartition("file").sortWithinPartitions("file", "pos").select("file", "line")
+     .write.mode("errorifexists").partitionBy("file").text(path))
