@@ -181,3 +181,13 @@ def test_copy_audit(spark, raw):
     pairs = {(r.jahr, r.direction, r.column_name, r.child_value, r.parent_value): r.n
              for r in TT.copy_mismatch_pairs(fz, hp, hs).collect()}
     assert pairs[(2022, "von", "halt_kurz", "ZUE", "ZHB")] == 1
+
+
+def test_command_line(spark, raw, capsys):
+    from tramline.__main__ import main
+    tmp = tempfile.mkdtemp(prefix="tramline-cli-")
+    assert main(["clean", "--raw", raw, "--out", f"{tmp}/clean", "--ledger", f"{tmp}/ledger",
+                 "--tables", "haltestellen"]) == 0
+    assert main(["rollup", "--ledger", f"{tmp}/ledger"]) == 0
+    out = capsys.readouterr().out
+    assert "Haltestellen_Deleting_Duplicate_Rows,0.0,Duplicate Rows: 0" in out
