@@ -52,8 +52,11 @@ def key_join(df: DataFrame, keys_df: DataFrame, on: list[tuple[str, str]], how:
       of a key that holds a large share of ``df``.
     """
     names = [f"__jk{i}" for i in range(len(on))]
-    keys = keys_df.select(*[F.col(r).alias(n) for (_, r), n in zip(on, names)]).dropna().distinct()
-    if row_bound_holds(keys, max_broadcast_rows):
+    raw = keys_df.select(*[F.col(r).alias(n) for (_, r), n in zip(on, names)])
+    keys = raw.dropna().distinct()
+    # The bound is proven on the raw key column (a limit that stops early,
+    # no aggregation): at most n rows means at most n distinct keys.
+    if row_bound_holds(raw, max_broadcast_rows):
         cond = reduce(lambda a, b: a & b, [df[l] == keys[n] for (l, _), n in zip(on, names)])
         return df.join(F.broadcast(keys), cond, how)
     keys = keys.select(F.struct(*[F.col(n) for n in names]).alias("__jks"))

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.numbers import ends_with_zero_fraction
-from tramline.operators.joins import bounded_broadcast
 
 
 def period_check(df: DataFrame, date_col: str, period_col: str) -> DataFrame:
@@ -48,7 +47,8 @@ def keyed_patch(df: DataFrame, key: str, patches: dict[str, dict], max_rows: int
                        [f"`__pv_{i}` {df.schema[c].dataType.simpleString()}" for i, c in enumerate(cols)] +
                        [f"`__ph_{i}` boolean" for i in range(len(cols))])
     patch = spark.createDataFrame(rows, schema)
-    j = df.join(bounded_broadcast(patch, max_rows), df[key] == F.col("__pk"), "left")
+    # The patch holds len(keys) <= max_rows rows (checked above): broadcast.
+    j = df.join(F.broadcast(patch), df[key] == F.col("__pk"), "left")
     for i, c in enumerate(cols):
         j = j.withColumn(c, F.when(F.coalesce(F.col(f"__ph_{i}"), F.lit(False)), F.col(f"__pv_{i}"))
                          .otherwise(F.col(c)))
