@@ -44,8 +44,16 @@ def duplicate_rows(df: DataFrame, subset: list[str], name: str = "group_size") -
 
 
 def repeats_after_first(df: DataFrame, subset: list[str], order_cols: list[str]) -> DataFrame:
-    """Rows after the first of their key (A18, ``keep='first'``)."""
-    return flag_repeats(df, subset, order_cols, "__rep").where("__rep").drop("__rep")
+    """Rows after the first of their key (A18, ``keep='first'``).
+
+    Only keys that occur more than once can have repeats: a hash count finds
+    them, a semi join (broadcast when that key set is proven small, else a
+    skew-splittable shuffle) keeps their rows, and only those rows go through
+    the sort-based search for each group's first row."""
+    kd = df.withColumn("__dk", F.struct(*[F.col(k) for k in subset]))
+    dup_keys = kd.groupBy("__dk").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__dk")
+    candidates = key_join(kd, dup_keys, [("__dk", "__dk")], "left_semi").drop("__dk")
+    return flag_repeats(candidates, subset, order_cols, "__rep").where("__rep").drop("__rep")
 
 
 def same_key_counts(df: DataFrame, keys: list[str], also: list[str], not_null: list[str],
