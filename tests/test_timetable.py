@@ -191,3 +191,21 @@ def test_command_line(spark, raw, capsys):
     assert main(["rollup", "--ledger", f"{tmp}/ledger"]) == 0
     out = capsys.readouterr().out
     assert "Haltestellen_Deleting_Duplicate_Rows,0.0,Duplicate Rows: 0" in out
+
+
+def test_segment_rules(spark):
+    import datetime as dt
+    d = dt.date(2022, 1, 3)
+    rows = [(1, d, d, 1, 2, 100, 200, 110, 210, 120, 220, 130, 230),
+            (3, d, dt.date(2022, 1, 2), 1, 3, 90000, 200, 110, 210, -5, 220, 130, 230)]
+    seg = spark.createDataFrame(rows, "richtung int, datum_von date, datum_nach date, seq_von int, seq_nach int, "
+                                      "soll_an_von int, soll_an_nach int, soll_ab_von int, soll_ab_nach int, "
+                                      "ist_an_von int, ist_an_nach int, ist_ab_von int, ist_ab_nach int")
+    res = {r.rule: r.violations for r in TT.check_segment_rules(seg).collect()}
+    assert res["richtung contains values other than 1 or 2."] == 1
+    assert res["datum_von is greater than datum_nach."] == 1
+    assert res["seq_von is not 1 smaller than seq_nach."] == 1
+    assert res["soll_an_von is not between 0 and 86399."] == 1
+    assert res["soll_an_von is greater than soll_ab_von."] == 1
+    assert res["Entries in ist_an_von/ist_an_nach less than 0"] == 1
+    assert res["ist_an_von is greater than ist_ab_von."] == 0

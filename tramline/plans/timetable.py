@@ -577,3 +577,39 @@ def copy_mismatch_pairs(segments: DataFrame, stop_points: DataFrame, stops: Data
     direction and column (A23, Q15)."""
     j = copy_audit_frame(segments, stop_points, stops)
     return Q.mismatch_pairs(j, _audit_pairs(), ["jahr", "direction"])
+
+
+# ------------------------------------------------------------------ segment rules (Q13)
+
+# Rules a valid segment satisfies, as (family, message, SQL
+# predicate); dates are the parsed DATE columns, times seconds after midnight.
+SEGMENT_RULES = [
+    ("Ungrouped", "richtung contains values other than 1 or 2.", "richtung IN (1, 2)"),
+    ("Ungrouped", "datum_von is greater than datum_nach.", "datum_von <= datum_nach"),
+    ("Ungrouped", "seq_von is not 1 smaller than seq_nach.", "seq_von + 1 = seq_nach"),
+    ("Between 0 and 86399", "soll_an_von is not between 0 and 86399.", "soll_an_von BETWEEN 0 AND 86399"),
+    ("Between 0 and 86399", "soll_an_nach is not between 0 and 86399.", "soll_an_nach BETWEEN 0 AND 86399"),
+    ("Less or equal", "ist_an_von is greater than ist_ab_von.", "ist_an_von <= ist_ab_von"),
+    ("Less or equal", "ist_an_nach is greater than ist_ab_nach.", "ist_an_nach <= ist_ab_nach"),
+    ("Less or equal", "soll_an_von is greater than soll_ab_von.", "soll_an_von <= soll_ab_von"),
+    ("Less or equal", "soll_an_nach is greater than soll_ab_nach.", "soll_an_nach <= soll_ab_nach"),
+]
+
+# Counted rules (a row violating the predicate is counted).
+SEGMENT_COUNT_RULES = [
+    ("Greater than 86399", "Entries in ist_an_von/ist_an_nach greater than 86399",
+     "ist_an_von <= 86399 AND ist_an_nach <= 86399"),
+    ("Greater than 86399", "Entries in ist_ab_von/ist_ab_nach greater than 86399",
+     "ist_ab_von <= 86399 AND ist_ab_nach <= 86399"),
+    ("Greater than 86399", "Entries in soll_ab_von/soll_ab_nach greater than 86399",
+     "soll_ab_von <= 86399 AND soll_ab_nach <= 86399"),
+    ("Less than 0", "Entries in ist_an_von/ist_an_nach less than 0", "ist_an_von >= 0 AND ist_an_nach >= 0"),
+    ("Less than 0", "Entries in ist_ab_von/ist_ab_nach less than 0", "ist_ab_von >= 0 AND ist_ab_nach >= 0"),
+]
+
+
+def check_segment_rules(segments: DataFrame) -> DataFrame:
+    """(family, rule, violations, all_pass) for every pass rule and counted
+    rule, all evaluated in one aggregation over the cleaned segments (every
+    failing rule is reported, not only the first of a family)."""
+    return Q.rule_violations(segments, SEGMENT_RULES + SEGMENT_COUNT_RULES)
