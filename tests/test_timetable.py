@@ -52,8 +52,8 @@ def raw():
                "dnwv_tmjno_tmgnl;evu_ef_itf;bemerkungen;remarques;note;remarks;geopos;lod")
     _write(f"{d}/passagierfrequenz.csv", [
         pf_head,
-        "ZUE;8503000;Zürich HB;ZH;SBB;;450000.0;480000.0;400000.0;SBB, SZU;;;;;47.378, 8.540;https://x/8503000",
-        "BER;8507000;Bern;BE;SBB;2022;200000.0;210000.0;150000.0;SBB;a;b;c;d;46.949, 7.439;https://x/8507000"])
+        "ZUE;8503000;Zürich HB;ZH;RAILA;;450000.0;480000.0;400000.0;RAILA, RAILB;;;;;47.378, 8.540;https://x/8503000",
+        "BER;8507000;Bern;BE;RAILA;2022;200000.0;210000.0;150000.0;RAILA;a;b;c;d;46.949, 7.439;https://x/8507000"])
     _write(f"{d}/haltestellen_liste.csv", ["Name;E-Koord.;N-Koord.", "Zürich, HB;2.683.184;1.248.067"])
     return d
 
@@ -157,8 +157,8 @@ def test_passenger_tables(spark, raw):
     pf = TT.read_raw(spark, raw, "passagierfrequenz")
     pf = TT.apply_operations(pf, TT.RENAME_DROP["passagierfrequenz"])
     ov = {(r.company, r.type): r.stations for r in TT.owners_vs_operators(pf, sep=",").collect()}
-    assert ov[("SBB", "owner_stations")] == 2 and ov[("SBB", "operator_stations")] == 2
-    assert ov[("SZU", "owner_stations")] == 0 and ov[("SZU", "operator_stations")] == 1
+    assert ov[("RAILA", "owner_stations")] == 2 and ov[("RAILA", "operator_stations")] == 2
+    assert ov[("RAILB", "owner_stations")] == 0 and ov[("RAILB", "operator_stations")] == 1
     top = TT.top_passenger_stations(pf, "durchschnittlicher_täglicher_verkehr", k=1)
     assert [r.bahnhof_lang for r in top.collect()] == ["Bern"]          # Zürich has no year
     top2 = TT.top_passenger_stations(pf, "durchschnittlicher_täglicher_verkehr", k=1, null_year_as=2018)
