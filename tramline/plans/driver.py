@@ -614,6 +614,37 @@ def grid_to_wgs84(spark, d):
     return c.select("c_custkey", F.round(lat, 6).alias("latitude"), F.round(lon, 6).alias("longitude"))
 
 
+def key_set_ops(spark, d):
+    """Customers ordering in 1996 vs 1997 as key sets: union, intersection
+    and difference (U3, U4, U5), each counted."""
+    from tramline.operators import setops as U
+    o = load(spark, d, "orders")
+    a = o.where(year_ranges("o_orderdate", [1996])).select("o_custkey")
+    b = o.where(year_ranges("o_orderdate", [1997])).select("o_custkey")
+    parts = [(name, df.agg(F.count(F.lit(1)).alias("n")))
+             for name, df in [("union", U.union_distinct(a, b)), ("intersect", U.intersect(a, b)),
+                              ("difference", U.difference(a, b))]]
+    out = None
+    for name, df in parts:
+        df = df.select(F.lit(name).alias("op"), "n")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def monthly_counts_named(spark, d):
+    """Orders per (year, month) with the German month name, the month's
+    length and the count with thousands separators (X9, X12, X13)."""
+    from tramline.functions.dates import german_month_name, month_length
+    from tramline.functions.numbers import thousands
+    o = load(spark, d, "orders").select(F.to_date("o_orderdate").alias("d"))
+    g = o.groupBy(F.year("d").alias("yr"), F.month("d").alias("mon")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("d").alias("__d"))
+    return g.select("yr", "mon", german_month_name(F.col("__d")).alias("monat"),
+                    month_length(F.col("__d")).alias("days"), "n",
+                    thousands(F.col("n"), 0, ",").alias("n_text"),
+                    thousands(F.col("n") * 1000, 0, ".").alias("n_thousands_dot"))
+
+
 QUERIES = {
     "daily_counts": daily_counts,
     "month_day_rollup": month_day_rollup,
@@ -688,4 +719,6 @@ QUERIES = {
     "report_parse": report_parse,
     "file_name_dates": file_name_dates,
     "grid_to_wgs84": grid_to_wgs84,
+    "key_set_ops": key_set_ops,
+    "monthly_counts_named": monthly_counts_named,
 }

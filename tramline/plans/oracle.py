@@ -487,6 +487,25 @@ ORACLE_SQL: dict[str, str] = {
                  AS file_name, ws AS week_start, ws + 6 AS week_end
         FROM (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS ws FROM orders)""",
 
+    "key_set_ops": """
+        WITH a AS (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1996),
+             b AS (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1997)
+        SELECT 'union' AS op, (SELECT COUNT(*) FROM (SELECT o_custkey FROM a UNION SELECT o_custkey FROM b)) AS n
+        UNION ALL
+        SELECT 'intersect', (SELECT COUNT(*) FROM (SELECT o_custkey FROM a INTERSECT SELECT o_custkey FROM b))
+        UNION ALL
+        SELECT 'difference', (SELECT COUNT(*) FROM (SELECT o_custkey FROM a EXCEPT SELECT o_custkey FROM b))""",
+
+    "monthly_counts_named": """
+        SELECT yr, mon,
+               ['Januar', 'Februar', 'März', 'April', 'Mai', 'Juni', 'Juli', 'August', 'September', 'Oktober',
+                'November', 'Dezember'][mon] AS monat,
+               CAST(dayofmonth(last_day(d)) AS INTEGER) AS days, n,
+               format('{:,}', n) AS n_text, replace(format('{:,}', n * 1000), ',', '.') AS n_thousands_dot
+        FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(month(o_orderdate) AS INTEGER) AS mon,
+                     COUNT(*) AS n, min(CAST(o_orderdate AS DATE)) AS d
+              FROM orders GROUP BY 1, 2)""",
+
     "grid_to_wgs84": f"""
         SELECT c_custkey, round({_GLAT}, 6) AS latitude, round({_GLON}, 6) AS longitude FROM customer""",
 }
