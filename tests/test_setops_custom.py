@@ -29,3 +29,10 @@ def test_map_batches(spark):
     df = spark.createDataFrame([(1,), (2,)], "x long")
     out = map_batches(df, lambda p: p.assign(y=p.x * 10), "x long, y long")
     assert rows(out) == [(1, 10), (2, 20)]
+
+
+def test_scale_settings():
+    from tramline.session import scale_settings
+    s = scale_settings(100 * 2 ** 40, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(10 << 20, 8)["spark.sql.shuffle.partitions"] == "24"

@@ -82,3 +82,23 @@ def _counter():
 
 
 _COUNTER = _counter()
+
+
+def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+                   max_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a given input size and cluster.
+
+    Shuffle partitions start at max(input / partition_bytes, 3 x cores) so a
+    partition of the largest shuffle fits in an executor's memory share and
+    every core has work; AQE then coalesces small partitions towards
+    ``partition_bytes`` and splits skewed ones. For 100 TB on 1000 executors
+    x 8 cores this gives about 400,000 initial partitions of 256 MB.
+    """
+    n = max(input_bytes // partition_bytes, 3 * total_cores, 1)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
