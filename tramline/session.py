@@ -34,23 +34,46 @@ def build_session(master: str | None = None, app_name: str = "tramline",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    ``master`` is only applied when given; on a cluster the launcher sets it.
+    Library defaults only fill settings that are not set already (by
+    spark-submit, the cluster's defaults or a running session); the explicit
+    arguments ``master``, ``shuffle_partitions`` and ``extra`` always apply.
     """
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    from pyspark import SparkConf
+
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        for key, value in DEFAULT_CONF.items():
+            if active.conf.get(key, None) is None:
+                _try_set(active, key, value)
+        for key, value in explicit.items():
+            _try_set(active, key, value)
+        spark = active
+    else:
+        submitted = SparkConf()          # spark-submit / spark-defaults values
+        builder = SparkSession.builder.appName(app_name)
+        if master:
+            builder = builder.master(master)
+        for key, value in DEFAULT_CONF.items():
+            if not submitted.contains(key):
+                builder = builder.config(key, value)
+        for key, value in explicit.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _try_set(spark: SparkSession, key: str, value: str) -> None:
+    try:
+        spark.conf.set(key, value)
+    except Exception:  # static settings cannot change on a running session
+        pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
