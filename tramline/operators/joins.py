@@ -38,7 +38,7 @@ def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
 
 
 def key_join(df: DataFrame, keys_df: DataFrame, on: list[tuple[str, str]], how: str,
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, check_bound: bool = True) -> DataFrame:
     """Semi or anti join of ``df`` against the distinct keys of ``keys_df``;
     ``on`` = [(column of df, column of keys_df)].
 
@@ -50,13 +50,17 @@ def key_join(df: DataFrame, keys_df: DataFrame, on: list[tuple[str, str]], how:
     * Otherwise both sides are joined on struct-wrapped keys, which makes both
       inputs plain shuffle stages, the shape in which AQE splits the partition
       of a key that holds a large share of ``df``.
+
+    ``check_bound=False`` skips the eager check, for a key side that is itself
+    an aggregate (checking it would cost a full pass): its shuffle stage's
+    measured size then lets AQE switch to a broadcast at runtime.
     """
     names = [f"__jk{i}" for i in range(len(on))]
     raw = keys_df.select(*[F.col(r).alias(n) for (_, r), n in zip(on, names)])
     keys = raw.dropna().distinct()
     # The bound is proven on the raw key column (a limit that stops early,
     # no aggregation): at most n rows means at most n distinct keys.
-    if row_bound_holds(raw, max_broadcast_rows):
+    if check_bound and row_bound_holds(raw, max_broadcast_rows):
         cond = reduce(lambda a, b: a & b, [df[l] == keys[n] for (l, _), n in zip(on, names)])
         return df.join(F.broadcast(keys), cond, how)
     keys = keys.select(F.struct(*[F.col(n) for n in names]).alias("__jks"))

@@ -52,7 +52,7 @@ def repeats_after_first(df: DataFrame, subset: list[str], order_cols: list[str])
     the sort-based search for each group's first row."""
     kd = df.withColumn("__dk", F.struct(*[F.col(k) for k in subset]))
     dup_keys = kd.groupBy("__dk").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__dk")
-    candidates = key_join(kd, dup_keys, [("__dk", "__dk")], "left_semi").drop("__dk")
+    candidates = key_join(kd, dup_keys, [("__dk", "__dk")], "left_semi", check_bound=False).drop("__dk")
     return flag_repeats(candidates, subset, order_cols, "__rep").where("__rep").drop("__rep")
 
 
