@@ -32,7 +32,7 @@ def dedup_counts(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """
     keys = subset or df.columns
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__m"))
-    return (groups.agg(F.sum("__m").cast("long").alias("rows_before"),
+    return (groups.agg(F.coalesce(F.sum("__m"), F.lit(0)).cast("long").alias("rows_before"),
                        F.count(F.lit(1)).alias("rows_after"))
             .select("rows_before", "rows_after",
                     (F.col("rows_before") - F.col("rows_after")).alias("duplicates_removed")))
