@@ -167,3 +167,11 @@ def test_report_render_write_parse_roundtrip(spark, tmp):
     write_report(lines, f"{tmp}/rep")
     back = parse_sectioned_report(read_report_lines(spark, f"{tmp}/rep"), ["file"], "pos", "line")
     assert rows(back) == [(2016, "halt_id_von", 5), (2016, "halt_kurz_von", 7), (2017, "halt_id_von", 1)]
+
+
+def test_read_latest_version(spark, tmp):
+    a = spark.createDataFrame([(2021, 1)], "year int, v1 int")
+    b = spark.createDataFrame([(2021, 2), (2022, 3)], "year int, v1 int")
+    sinks.write_versioned(a, tmp, "t", partition_by=["year"], version="20240101T000000")
+    sinks.write_versioned(b, tmp, "t", partition_by=["year"], version="20240102T000000")
+    assert rows(sinks.read_latest(spark, tmp, "t"), "year", "v1") == [(2021, 2), (2022, 3)]

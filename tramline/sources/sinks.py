@@ -69,3 +69,12 @@ def save_typed_table(df: DataFrame, name: str, schema: T.StructType, mode: str =
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             typed = typed.withColumn(f.name, F.when(F.isnan(f.name), None).otherwise(F.col(f.name)))
     save_table(typed, name, mode)
+
+
+def read_latest(spark, base: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """The newest version written by ``write_versioned`` (the 'switch' to a
+    new version is simply that readers take the largest ``v``). ``v`` is a
+    partition column, so the final filter prunes to that version's files."""
+    df = spark.read.format(fmt).load(f"{base.rstrip('/')}/{name}")
+    latest = df.select("v").distinct().agg(F.max("v")).first()[0]
+    return df.where(F.col("v") == F.lit(latest)).drop("v")
