@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tramline.operators import repair as R
 from tramline.operators import snapshots as S

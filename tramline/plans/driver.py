@@ -5,7 +5,6 @@ column names match the oracle SQL in ``tramline.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.functions.dates import dates_from_file_name, parse_dmy
