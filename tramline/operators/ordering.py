@@ -31,23 +31,21 @@ def with_row_number(df: DataFrame, order_cols: list[str], name: str = "row_id",
        samples the keys and finds each row's partition by binary search, for
        any number of partitions).
     2. Tag rows with their partition and ``monotonically_increasing_id``
-       (partition << 33 | position) and checkpoint that to the shared
-       checkpoint folder, so both following passes see identical tags and
-       the lineage is cut.
+       (partition << 33 | position) and write that as parquet below the
+       shared checkpoint folder, so both following passes see identical tags
+       and the lineage is cut.
     3. Count rows per partition (one small aggregate) -> prefix offsets.
     4. row id = offset of the partition + position + start: a map-only pass.
 
     The order columns should identify rows; ties get an arbitrary order, as
     in any sort.
     """
-    from tramline.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
+    from tramline.session import materialize
     n = n_partitions or _shuffle_partitions(df)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .select("*", F.spark_partition_id().alias("__pid"),
-                      F.monotonically_increasing_id().alias("__mid"))
-              .checkpoint(eager=True))
+    tagged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .select("*", F.spark_partition_id().alias("__pid"),
+                                 F.monotonically_increasing_id().alias("__mid")), "row-numbers")
     counts = sorted((r[0], r[1]) for r in tagged.groupBy("__pid").count().collect())
     offsets, running = [], 0
     for pid, cnt in counts:

@@ -7,10 +7,10 @@ file path), so a per-year metric is one grouped aggregate instead of a loop
 over years. The ledger receives one row per year and step in the usual text
 format, plus the step's total row with the step's time.
 
-Staging: the raw CSV is parsed once and checkpointed (shared checkpoint
-folder), and the frame is checkpointed again after the de-duplication
-shuffle, so the later metric aggregates read columnar data instead of
-re-parsing text and re-shuffling.
+Staging: the raw CSV is parsed once and written as parquet below the shared
+checkpoint folder, and again after the de-duplication shuffle, so the later
+metric aggregates read only their columns instead of re-parsing text and
+re-shuffling.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from tramline.operators import repair as R
 from tramline.operators import snapshots as S
 from tramline.operators.joins import fill_from_parent, key_join, lookup_fill
 from tramline.operators.projection import apply_operations  # noqa: F401 (re-exported)
-from tramline.session import ensure_checkpoint_dir
+from tramline.session import ensure_checkpoint_dir, materialize
 from tramline.sources.files import read_csv
 from tramline.sources.ledger import Ledger, format_output
 
@@ -180,7 +180,7 @@ def delete_duplicates(df: DataFrame) -> tuple[DataFrame, dict]:
     counts before and after come from one aggregation over the distinct rows
     with their multiplicities."""
     groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__m"))
-    dedup = groups.drop("__m").checkpoint(eager=True)
+    dedup = materialize(groups.drop("__m"), "dedup")
     m = _years(groups, {"Duplicate Rows": (F.sum("__m") - F.count(F.lit(1))).cast("long")})
     return dedup, m
 
@@ -291,7 +291,7 @@ def clean_table(spark: SparkSession, raw_dir: str, table: str, out_base: str, le
     """Raw CSV -> cleaned parquet (partitioned by year where there is one),
     written once to a new versioned path; returns the path."""
     ensure_checkpoint_dir(spark)
-    staged = read_raw(spark, raw_dir, table).checkpoint(eager=True)
+    staged = materialize(read_raw(spark, raw_dir, table), f"staged-{table}")
     df = run_yearly(staged, table, clean_steps(table), ledger)
     path = f"{out_base.rstrip('/')}/{table}/v={version or time.strftime('%Y%m%dT%H%M%S')}"
     w = df.write.mode("errorifexists")

@@ -125,3 +125,13 @@ def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 25
         "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
     }
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet below the shared checkpoint folder and read it
+    back: lineage is cut (a lost executor does not recompute the upstream
+    plan) and, unlike ``checkpoint()``'s serialized rows, later passes read
+    only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
