@@ -54,3 +54,8 @@ def test_weekday_totals_and_series(spark):
 def test_boolean_share(spark):
     df = spark.createDataFrame([(True,), (False,), (True,), (True,)], "b boolean")
     assert tuple(A.boolean_share(df, F.col("b")).first()) == (3, 1, 75.0)
+
+
+def test_empty_profile_counts_nan(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (1.0,)], "x double")
+    assert rows(A.empty_profile(df)) == [("x", 2, 66.6667)]

@@ -77,3 +77,9 @@ def test_grid_independent_of_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert before == after and before[0][0] == 0
+
+
+def test_describe_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    r = Dm.describe(df, "x").first()
+    assert (r["count"], r["mean"], r["p50"], r["max"]) == (2, 2.0, 2.0, 3.0)

@@ -16,10 +16,13 @@ def unify_empty(c: Column, markers=EMPTY_MARKERS) -> Column:
     return F.when(c.isin(*markers), F.lit(None)).otherwise(c)
 
 
-def is_empty(c: Column, string_like: bool = True) -> Column:
-    """NULL, or the empty string for text columns (the profilers' notion)."""
+def is_empty(c: Column, string_like: bool = True, floating: bool = False) -> Column:
+    """NULL, the empty string for text columns, NaN for floating-point
+    columns (all three are 'missing' to the profilers)."""
     if string_like:
         return c.isNull() | (c == F.lit(""))
+    if floating:
+        return c.isNull() | F.isnan(c)
     return c.isNull()
 
 

@@ -87,11 +87,16 @@ def _is_text(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.StringType)
 
 
+def _empty(df: DataFrame, c: str) -> Column:
+    dt = df.schema[c].dataType
+    return is_empty(F.col(c), isinstance(dt, T.StringType), isinstance(dt, (T.FloatType, T.DoubleType)))
+
+
 def empty_profile(df: DataFrame, columns: list[str] | None = None, digits: int = 4) -> DataFrame:
     """Per column: empty cells (NULL, or '' in text columns) and their share
     of all rows in percent (A5). One pass."""
     columns = columns or df.columns
-    aggs = [F.count_if(is_empty(F.col(c), _is_text(df, c))).alias(c) for c in columns]
+    aggs = [F.count_if(_empty(df, c)).alias(c) for c in columns]
     wide = df.agg(F.count(F.lit(1)).alias("__n"), *aggs)
     long = wide.unpivot(["__n"], columns, "column_name", "empty_cells")
     return long.select("column_name", F.col("empty_cells").cast("long").alias("empty_cells"),
@@ -105,7 +110,7 @@ def empty_profile_split(df: DataFrame, condition: Column, columns: list[str] | N
     columns = columns or df.columns
     aggs = []
     for c in columns:
-        e = is_empty(F.col(c), _is_text(df, c))
+        e = _empty(df, c)
         aggs.append(F.count_if(e & condition).alias(f"{c}__t"))
         aggs.append(F.count_if(e & ~F.coalesce(condition, F.lit(False))).alias(f"{c}__f"))
     wide = df.agg(*aggs)
@@ -117,7 +122,7 @@ def empty_profile_split(df: DataFrame, condition: Column, columns: list[str] | N
 def empty_total(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Total empty cells of a table (A7): one row."""
     columns = columns or df.columns
-    total = sum((F.count_if(is_empty(F.col(c), _is_text(df, c))) for c in columns), F.lit(0))
+    total = sum((F.count_if(_empty(df, c)) for c in columns), F.lit(0))
     return df.agg(total.cast("long").alias("empty_cells"))
 
 

@@ -49,13 +49,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     histogram of the windows' distinct values is fetched. Typically three
     jobs in total, each a distributed aggregate.
     """
-    base = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    # NaN counts as missing, as in pandas.
+    as_double = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+    base = df.select(as_double.alias("x")).where(F.col("x").isNotNull())
     x = F.col("x")
     eps = 4.0 / SKETCH_ACCURACY
     first_aggs = [F.count(x).alias("__n")]
     first_aggs += [F.percentile_approx(x, [max(0.0, p - eps), min(1.0, p + eps)], SKETCH_ACCURACY)
                    for p in probs]
-    src = df.select(F.col(col).cast("double").alias("x"), *([F.col(col).alias("__orig")] if extra else []))
+    src = df.select(as_double.alias("x"), *([as_double.alias("__orig")] if extra else []))
     head_row = src.agg(*first_aggs, *(extra or [])).first()
     n = head_row["__n"]
     extra_row = head_row[len(probs) + 1:] if extra else None
