@@ -166,7 +166,9 @@ def mismatch_long(joined: DataFrame, pairs: list[tuple[str, str, str]], by: list
                       F.col(p).cast("string").alias("parent_value"),
                       (F.col(c) != F.col(p)).alias("__diff"))
              for n, c, p in pairs]
-    return (joined.select(*by, F.explode(F.array(*cells)).alias("__c"))
+    # Only rows with some mismatch are unpivoted (usually a small share).
+    any_diff = reduce(lambda a, b: a | b, [F.col(c) != F.col(p) for _, c, p in pairs])
+    return (joined.where(any_diff).select(*by, F.explode(F.array(*cells)).alias("__c"))
             .select(*by, "__c.*").where("__diff").drop("__diff"))
 
 
