@@ -34,8 +34,10 @@ def with_row_number(df: DataFrame, order_cols: list[str], name: str = "row_id",
        (partition << 33 | position) and write that as parquet below the
        shared checkpoint folder, so both following passes see identical tags
        and the lineage is cut.
-    3. Count rows per partition (one small aggregate) -> prefix offsets.
-    4. row id = offset of the partition + position + start: a map-only pass.
+    3. Count rows per partition (one small aggregate) -> prefix offsets, a
+       table with one row per partition.
+    4. row id = offset of the partition + position + start: a broadcast
+       join with the offsets, no shuffle of the rows.
 
     The order columns should identify rows; ties get an arbitrary order, as
     in any sort.
@@ -49,12 +51,14 @@ def with_row_number(df: DataFrame, order_cols: list[str], name: str = "row_id",
     counts = sorted((r[0], r[1]) for r in tagged.groupBy("__pid").count().collect())
     offsets, running = [], 0
     for pid, cnt in counts:
-        offsets += [F.lit(pid), F.lit(running)]
+        offsets.append((pid, running))
         running += cnt
-    offset_map = F.create_map(*offsets) if offsets else F.create_map()
+    # One row per partition: its size is the partition count, known up front.
+    off = df.sparkSession.createDataFrame(offsets, "__pid int, __off long")
     position = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
-    rid = F.element_at(offset_map, F.col("__pid")) + position + F.lit(start)
-    return tagged.withColumn(name, rid.cast("long")).drop("__pid", "__mid")
+    rid = F.col("__off") + position + F.lit(start)
+    return (tagged.join(F.broadcast(off), "__pid").withColumn(name, rid.cast("long"))
+            .drop("__pid", "__mid", "__off"))
 
 
 def page(df: DataFrame, order_cols: list[str], page_no: int, size: int = 10) -> DataFrame:
