@@ -175,3 +175,9 @@ def test_read_latest_version(spark, tmp):
     sinks.write_versioned(a, tmp, "t", partition_by=["year"], version="20240101T000000")
     sinks.write_versioned(b, tmp, "t", partition_by=["year"], version="20240102T000000")
     assert rows(sinks.read_latest(spark, tmp, "t"), "year", "v1") == [(2021, 2), (2022, 3)]
+
+
+def test_table_profile_keeps_empty_tables(spark):
+    prof = table_profile({"a": spark.createDataFrame([(1, 2)], "x int, y int"),
+                          "empty": spark.createDataFrame([], "x int")})
+    assert rows(prof) == [("a", 2, 1), ("empty", 1, 0)]
