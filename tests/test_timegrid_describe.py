@@ -29,7 +29,7 @@ def test_missing_slots_match_brute_force(spark, events):
     lo, hi, missing = _brute(events.collect(), 300)
     s = G.missing_summary(events, "ts", 300).first()
     assert (s.grid_slots, s.missing) == (hi - lo + 1, len(missing))
-    for part in ("hour", "weekday", "month"):
+    for part in ("hour", "weekday", "month", "year"):
         total = sum(r.missing for r in G.missing_by(events, "ts", 300, part).collect())
         assert total == len(missing)  # each breakdown sums to the missing count
 

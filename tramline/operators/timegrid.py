@@ -74,10 +74,11 @@ def missing_summary(df: DataFrame, ts_col: str, step_seconds: int) -> DataFrame:
 
 
 def missing_by(df: DataFrame, ts_col: str, step_seconds: int, part: str) -> DataFrame:
-    """Missing slots per hour (0-23), weekday (0 = Monday) or month (1-12)."""
+    """Missing slots per hour (0-23), weekday (0 = Monday), month (1-12) or
+    year."""
     m = missing_slots(df, ts_col, step_seconds)
     t = F.col("slot_start")
-    parts = {"hour": F.hour(t), "weekday": F.weekday(t), "month": F.month(t)}
+    parts = {"hour": F.hour(t), "weekday": F.weekday(t), "month": F.month(t), "year": F.year(t)}
     return m.groupBy(parts[part].alias(part)).agg(F.count(F.lit(1)).alias("missing"))
 
 
