@@ -83,3 +83,9 @@ def test_describe_nan_is_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
     r = Dm.describe(df, "x").first()
     assert (r["count"], r["mean"], r["p50"], r["max"]) == (2, 2.0, 2.0, 3.0)
+
+
+def test_describe_columns_numeric_only(spark):
+    df = spark.createDataFrame([(1, 2.0, "a"), (3, 4.0, "b")], "i int, d double, s string")
+    out = {r.column_name: (r["count"], r["mean"], r["max"]) for r in Dm.describe_columns(df).collect()}
+    assert out == {"i": (2, 2.0, 3.0), "d": (2, 3.0, 4.0)}

@@ -147,3 +147,15 @@ def describe(df: DataFrame, col: str, digits: int = 4) -> DataFrame:
     row = [(st[0], st[1], st[2], st[3], rnd(q25), rnd(q50), rnd(q75), st[4])]
     return spark.createDataFrame(row, "count bigint, mean double, std double, min double, p25 double, "
                                       "p50 double, p75 double, max double")
+
+
+def describe_columns(df: DataFrame, columns: list[str] | None = None, digits: int = 4) -> DataFrame:
+    """``describe`` of several columns (all numeric columns by default), long
+    form: one row per column with column_name first."""
+    from pyspark.sql import types as T
+    columns = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    parts = [describe(df, c, digits).select(F.lit(c).alias("column_name"), "*") for c in columns]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
