@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -94,7 +95,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A per-run path below the shared checkpoint folder (never machine-local
     on a cluster, since the folder comes from the cluster's configuration)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_COUNTER)}"
+    # pid + counter + random part: unique even when a later run (or another
+    # container) reuses the process id while the shared folder persists.
+    return f"{base}/{name}-{os.getpid()}-{next(_COUNTER)}-{uuid.uuid4().hex[:12]}"
 
 
 def _counter():
