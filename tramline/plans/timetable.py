@@ -33,6 +33,7 @@ from tramline.operators.joins import fill_from_parent, key_join, lookup_fill
 from tramline.operators.projection import apply_operations  # noqa: F401 (re-exported)
 from tramline.session import ensure_checkpoint_dir, materialize
 from tramline.sources.files import read_csv
+from tramline.sources.sinks import versioned_path
 from tramline.sources.ledger import Ledger, format_output
 
 # Raw schemas of the source files (column names and types).
@@ -301,7 +302,7 @@ def clean_table(spark: SparkSession, raw_dir: str, table: str, out_base: str, le
     ensure_checkpoint_dir(spark)
     staged = materialize(read_raw(spark, raw_dir, table), f"staged-{table}")
     df = run_yearly(staged, table, clean_steps(table), ledger)
-    path = f"{out_base.rstrip('/')}/{table}/v={version or time.strftime('%Y%m%dT%H%M%S')}"
+    path = versioned_path(out_base, table, version)
     w = df.write.mode("errorifexists")
     if YEAR in df.columns:
         df = df.select(F.col(YEAR).alias("jahr"), *[F.col(f"`{c}`") for c in df.columns if c != YEAR])

@@ -18,8 +18,14 @@ from tramline.operators.projection import conform
 SINGLE_FILE_MAX_ROWS = 5_000_000
 
 
+def version_stamp() -> str:
+    """Sortable version label with milliseconds, e.g. '20240102T030405123'."""
+    now = time.time()
+    return time.strftime("%Y%m%dT%H%M%S", time.gmtime(now)) + f"{int(now * 1000) % 1000:03d}"
+
+
 def versioned_path(base: str, name: str, version: str | None = None) -> str:
-    return f"{base.rstrip('/')}/{name}/v={version or time.strftime('%Y%m%dT%H%M%S')}"
+    return f"{base.rstrip('/')}/{name}/v={version or version_stamp()}"
 
 
 def write_versioned(df: DataFrame, base: str, name: str, fmt: str = "parquet",
