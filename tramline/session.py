@@ -6,6 +6,7 @@ configuration (shuffle partitions, checkpoint folder, memory) always wins.
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 import uuid
@@ -100,14 +101,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}-{next(_COUNTER)}-{uuid.uuid4().hex[:12]}"
 
 
-def _counter():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_COUNTER = _counter()
+_COUNTER = itertools.count(1)   # safe to advance from several threads
 
 
 def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
