@@ -68,3 +68,14 @@ def test_share_of_total(spark):
     c = spark.createDataFrame([(2020, "a", 5)], "yr int, col string, n long")
     t = spark.createDataFrame([(2020, 20)], "yr int, total long")
     assert Q.share_of_total(c, t, ["yr"], "n", "total").first().percent == 25.0
+
+
+def test_orphan_paths_agree(spark):
+    child = spark.createDataFrame([(1, 10, 100, 2020), (2, 11, 100, 2020), (3, 99, 999, 2021), (4, None, 100, 2021)],
+                                  "id int, a int, b int, yr int")
+    pa = spark.createDataFrame([(10, 2020), (11, 2020), (11, 2021)], "a int, yr int")
+    pb = spark.createDataFrame([(100,)], "b int")
+    checks = [("a", pa, ["a", "yr"], ["a", "yr"]), ("b", pb, "b", "b")]
+    one_pass = rows(Q.orphan_rows(child, checks, ["id"]), "id", "side")
+    per_side = rows(Q.orphan_rows(child, checks, ["id"], max_broadcast_rows=0), "id", "side")
+    assert one_pass == per_side == [(3, "a"), (3, "b"), (4, "a")]

@@ -118,17 +118,57 @@ def rule_violations(df: DataFrame, rules: list[tuple[str, str, str]]) -> DataFra
 
 # ---------------------------------------------------------------- foreign keys
 
-def orphan_rows(child: DataFrame, checks: list[tuple[str, DataFrame, str, str]],
-                keep: list[str], period: Column | None = None) -> DataFrame:
+def orphan_rows(child: DataFrame, checks: list[tuple], keep: list[str] | None = None,
+                period: Column | None = None, max_broadcast_rows: int | None = None) -> DataFrame:
     """Rows whose foreign key has no parent (Q1, J6), one output row per
     failing (row, side): a row failing both sides appears twice, as in the
-    original sum of both sides. ``checks`` = (side, parent, child_key,
-    parent_key). Child rows are kept unchanged elsewhere."""
-    out = None
+    original sum of both sides; a NULL key has no parent. ``checks`` =
+    (side, parent, child_key(s), parent_key(s)); ``keep`` = child columns to
+    return (all when None). Child rows are otherwise unchanged.
+
+    When every parent key set is proven small, the child is read once: one
+    broadcast left join per side flags a missing parent and only the failing
+    (row, side) pairs are emitted. Otherwise each side is a semi/anti join on
+    its distinct parent keys (``key_join``), which AQE can split for hot keys.
+    """
+    from tramline.operators.joins import DEFAULT_BROADCAST_ROWS, row_bound_holds
+    limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    norm = []
     for side, parent, ck, pk in checks:
-        bad = (key_join(child, parent, [(ck, pk)], "left_anti")
-               .select(*keep, *([period.alias("period")] if period is not None else []),
-                       F.lit(side).alias("side"), F.col(ck).alias("fk_value")))
+        ck = [ck] if isinstance(ck, str) else list(ck)
+        pk = [pk] if isinstance(pk, str) else list(pk)
+        norm.append((side, parent, ck, pk))
+    keep_cols = keep or child.columns
+    extra = [period.alias("period")] if period is not None else []
+    # fk_value keeps the key type when every side has one key of the same
+    # type; otherwise (composite or mixed keys) it is the key as text.
+    types = {child.schema[ck[0]].dataType.simpleString() if len(ck) == 1 else None for _, _, ck, _ in norm}
+    fk_type = types.pop() if len(types) == 1 and None not in types else "string"
+
+    def fk_text(ck):
+        v = F.col(ck[0]) if len(ck) == 1 else F.struct(*[F.col(c) for c in ck])
+        return v.cast("string")
+
+    if all(row_bound_holds(parent.select(*pk), limit) for _, parent, _, pk in norm):
+        flagged = child
+        flags = []
+        for i, (side, parent, ck, pk) in enumerate(norm):
+            keys = (parent.select(*[F.col(p).alias(f"__o{i}_{j}") for j, p in enumerate(pk)]).dropna().distinct()
+                    .withColumn(f"__hit{i}", F.lit(True)))
+            cond = reduce(lambda a, b: a & b, [flagged[c] == keys[f"__o{i}_{j}"] for j, c in enumerate(ck)])
+            flagged = flagged.join(F.broadcast(keys), cond, "left").drop(*[f"__o{i}_{j}" for j in range(len(pk))])
+            flags.append(F.when(F.col(f"__hit{i}").isNull(),
+                                F.struct(F.lit(side).alias("side"), fk_text(ck).alias("fk_value"))))
+        failing = F.filter(F.array(*flags), lambda x: x.isNotNull())
+        out = (flagged.select(*keep_cols, *extra, F.explode(failing).alias("__f"))
+               .select(*keep_cols, *(["period"] if extra else []), "__f.side", "__f.fk_value"))
+        return out.withColumn("fk_value", F.col("fk_value").cast(fk_type))
+
+    out = None
+    for side, parent, ck, pk in norm:
+        bad = (key_join(child, parent, list(zip(ck, pk)), "left_anti")
+               .select(*keep_cols, *extra, F.lit(side).alias("side"),
+                       fk_text(ck).cast(fk_type).alias("fk_value")))
         out = bad if out is None else out.unionByName(bad)
     return out
 

@@ -318,11 +318,8 @@ def check_foreign_keys_segments(segments: DataFrame, stop_points: DataFrame, off
     """Segments whose from / to stop point does not exist in the same year
     (Q1). Offending rows are returned (and written per year and side when a
     path is given); the segments are kept unchanged."""
-    bad = []
-    for side in ("von", "nach"):
-        b = key_join(segments, stop_points, [("jahr", "jahr"), (f"halt_punkt_id_{side}", "id")], "left_anti")
-        bad.append(b.withColumn("side", F.lit(side)))
-    offenders = bad[0].unionByName(bad[1])
+    checks = [(side, stop_points, ["jahr", f"halt_punkt_id_{side}"], ["jahr", "id"]) for side in ("von", "nach")]
+    offenders = Q.orphan_rows(segments, checks).drop("fk_value")
     if offenders_path:
         offenders.write.mode("errorifexists").partitionBy("jahr", "side").parquet(offenders_path)
         offenders = segments.sparkSession.read.parquet(offenders_path)
