@@ -209,3 +209,14 @@ def test_segment_rules(spark):
     assert res["soll_an_von is greater than soll_ab_von."] == 1
     assert res["Entries in ist_an_von/ist_an_nach less than 0"] == 1
     assert res["ist_an_von is greater than ist_ab_von."] == 0
+
+
+def test_command_line_stream(spark, raw):
+    from tramline.__main__ import main
+    tmp = tempfile.mkdtemp(prefix="tramline-cli-stream-")
+    assert main(["stream", "--source", f"{raw}/fahrzeiten_2021", "--out", f"{tmp}/out",
+                 "--ledger", f"{tmp}/ledger", "--checkpoint", f"{tmp}/ckpt"]) == 0
+    out = spark.read.parquet(f"{tmp}/out")
+    assert out.count() == 6                               # both weekly files of 2021, duplicates kept
+    assert dict(out.dtypes)["betriebsdatum"] == "date"
+    assert Ledger(spark, f"{tmp}/ledger").rows().count() >= 1
