@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from .dart_minhash import op3_dart_minhash
+from .decontam import op8_decontamination
 from .line_dedup import OP10_SQL, op10_line_dedup
+from .mixing import op4_mixing
 from .toxicity import op9_toxicity
 
 QUERIES = {
+    "op3_dart_minhash": op3_dart_minhash,
+    "op4_mixing": op4_mixing,
+    "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
