@@ -4,18 +4,30 @@ from __future__ import annotations
 
 from .dart_minhash import op3_dart_minhash
 from .decontam import op8_decontamination
+from .html_text import op5_html_text
+from .license_scan import op2_license
 from .line_dedup import OP10_SQL, op10_line_dedup
 from .mixing import op4_mixing
+from .repetition import op7_repetition
 from .toxicity import op9_toxicity
+from .url_filter import OP6_SQL, op6_url_filter
+from .warc import OP1_SQL, op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_license": op2_license,
     "op3_dart_minhash": op3_dart_minhash,
     "op4_mixing": op4_mixing,
+    "op5_html_text": op5_html_text,
+    "op6_url_filter": op6_url_filter,
+    "op7_repetition": op7_repetition,
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_warc": OP1_SQL,
+    "op6_url_filter": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
 }
