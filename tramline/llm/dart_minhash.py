@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import col, materialize, packed, table, unpacked
 from .components import components
+from .prefilter import may_be_in
 from .shingles import WordHashes, mix, shingles, weighted_jaccard
 
 SIMILARITY = 0.8
@@ -159,8 +160,8 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def _forest(nodes: np.ndarray, sig: np.ndarray, first: int) -> pd.DataFrame:
     """Links among the rows of ``sig`` with an end before row ``first`` (all
-    rows: first = len): a maximum spanning forest of the estimates, and each
-    node's four closest uncertain links."""
+    rows: first = len): a maximum spanning forest of the estimates, and a second
+    uncertain link of nodes that have one, should the first not hold."""
     left, right, score = [], [], []
     floor = SIMILARITY - UNSURE
     for i in range(min(first, len(nodes))):
@@ -188,7 +189,7 @@ def _forest(nodes: np.ndarray, sig: np.ndarray, first: int) -> pd.DataFrame:
         if fx != fy:
             root[max(fx, fy)] = min(fx, fy)
             keep.append(e)
-        elif score[e] < SIMILARITY + UNSURE and min(near[x], near[y]) < 4:
+        elif score[e] < SIMILARITY + UNSURE and min(near[x], near[y]) < 2:
             keep.append(e)
         else:
             continue
@@ -246,20 +247,24 @@ def near_duplicate_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                                    F.first("bands").alias("bands")), "dart-nodes")
 
     def texts(ends: DataFrame) -> DataFrame:
-        reps = nodes.join(ends, "node").select("node", "rep")
-        return (docs.select(F.struct(F.col("id").cast("long").alias("id"), "h").alias("rep"), "text")
-                .join(reps, "rep").select("node", "text").dropDuplicates(["node"]))
+        reps = materialize(nodes.join(ends, "node").select("node", "rep", F.xxhash64("rep.id", "rep.h").alias("key")), "dart-ends")
+        wanted = docs.select(F.struct(F.col("id").cast("long").alias("id"), "h").alias("rep"), "text")
+        likely = may_be_in(reps, "key", F.xxhash64("rep.id", "rep.h"))
+        wanted = wanted if likely is None else wanted.where(likely)
+        return wanted.join(reps, "rep").select("node", "text").dropDuplicates(["node"])
 
     at = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = materialize(at.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a"),
-                                                   F.max("node").alias("b")).where("n > 1"), "dart-buckets")
+                                                   F.max("node").alias("b"), F.bit_xor(F.xxhash64("node")).alias("x"))
+                          .where("n > 1"), "dart-buckets")
     sigs = nodes.select("node", "sig")
     pairs = buckets.where("n = 2").select("a", "b").distinct()
     pairs = (pairs.join(sigs.withColumnRenamed("node", "a"), "a")
              .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b"))
     links = pairs.select("a", "b", "sig", "sig_b").mapInPandas(_pair_links, LINKS)
 
-    crowds = buckets.where("n > 2").select("bucket", "n")
+    # bands that put the same nodes together need one comparison
+    crowds = buckets.where("n > 2").groupBy("n", "a", "b", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
     crowd = materialize(at.join(crowds, "bucket").join(sigs, "node").select("bucket", "n", "node", "sig"), "dart-crowd")
     block = F.when(F.col("n") > CELL, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).otherwise(F.lit(0))
     members = crowd.withColumn("cell", block.cast("long")).withColumn("asking", F.lit(True))
@@ -344,7 +349,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     classes = materialize(near_duplicates(docs, id_col, text_col), "dart-members")
     # struct keys: null ids match each other
     gone = classes.where(~F.struct("id", "h").eqNullSafe(F.col("rep"))).select(F.struct("id", "h").alias("key")).distinct()
-    kept = rows.withColumn("key", F.struct(F.col("id").cast("long").alias("id"), "h")).join(gone, "key", "left_anti")
+    gone = materialize(gone, "dart-gone")
+    rows = rows.withColumn("key", F.struct(F.col("id").cast("long").alias("id"), "h"))
+    likely = may_be_in(gone.select(F.xxhash64("key.id", "key.h").alias("key64")), "key64", F.xxhash64("key.id", "key.h"))
+    if likely is None:
+        kept = rows.join(gone, "key", "left_anti")
+    else:                                        # most texts are not shuffled
+        kept = rows.where(~likely).unionByName(rows.where(likely).join(gone, "key", "left_anti"))
     twice = materialize(classes.where(F.struct("id", "h").eqNullSafe(F.col("rep"))).groupBy("id", "h")
                         .agg(F.count("*").alias("n")).where("n > 1").select(F.struct("id", "h").alias("key")), "dart-twice")
     if not twice.isEmpty():
