@@ -32,6 +32,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import materialize, packed, table
+from .prefilter import may_be_in
 
 MAX_FIT_ROWS = 12_000
 LEXICON_SIZE = 1_500
@@ -116,8 +117,11 @@ def fit_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
              .where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id")))
              .groupBy("id").agg(F.max("label").cast("double").alias("label")))
     part = F.pmod(F.xxhash64(F.lit("part"), "text"), F.lit(10))
-    return (docs.select(F.col("id"), F.coalesce("text", F.lit("")).alias("text"), "h")
-            .join(label, "id").orderBy("h", "id").limit(max_rows)
+    # the rows are chosen by id and hash alone; only the texts of those chosen are fetched
+    chosen = materialize(docs.select("id", "h").join(label, "id").orderBy("h", "id").limit(max_rows), "toxicity-rows")
+    likely = may_be_in(chosen, "id", F.col("id"))
+    texts = docs if likely is None else docs.where(likely)
+    return (texts.select("id", F.coalesce("text", F.lit("")).alias("text"), "h").join(chosen, ["id", "h"])
             .select("text", "label", "h", part.alias("part")))
 
 
