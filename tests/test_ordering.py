@@ -67,3 +67,31 @@ def test_row_number_nulls_first(spark):
     df = spark.createDataFrame([(3,), (None,), (1,), (2,)], "k int")
     got = sorted((r.row_id, r.k) for r in O.with_row_number(df, ["k"], n_partitions=2).collect())
     assert got == [(1, None), (2, 1), (3, 2), (4, 3)]
+
+
+def test_one_first_row_per_key_despite_ties(spark):
+    from tramline.operators import quality as Q
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (2, "c"), (3, None), (None, "x"), (None, "x")], "k int, v string")
+    assert rows(Q.repeats_after_first(df, ["k"], ["v"])) == [(1, "a"), (1, "b"), (2, "c"), (None, "x")]
+    flagged = O.flag_repeats(df, ["k"], ["k"]).collect()
+    assert len(flagged) == 8 and sum(not r.is_repeat for r in flagged) == 4
+
+
+def test_rename_chain(spark):
+    from tramline.operators.projection import apply_operations
+    df = spark.createDataFrame([(1, 2)], "a int, x int")
+    assert apply_operations(df, ["RENAME a TO b", "RENAME b TO c", "RENAME x TO a"]).columns == ["c", "a"]
+
+
+def test_large_period_is_dealt_to_several_files(spark, tmp_path):
+    import glob
+    from tramline.sources import sinks
+    df = spark.range(200000).selectExpr("id", "uuid() AS v", "IF(id % 10 < 9, 2021, 2022) AS jahr")
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+        sinks.write_partitioned(df, str(tmp_path / "o"), "jahr")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(glob.glob(f"{tmp_path}/o/jahr=2021/*.parquet")) > 1
+    assert spark.read.parquet(str(tmp_path / "o")).groupBy("jahr").count().count() == 2

@@ -2,6 +2,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,8 +57,8 @@ def test_versioned_sinks_never_overwrite(spark, tmp):
         sinks.write_versioned(df, tmp, "t", version="1")
     sinks.write_single_file(df, f"{tmp}/single")
     assert len([f for f in os.listdir(f"{tmp}/single") if f.endswith(".csv")]) == 1
-    with pytest.raises(ValueError):
-        sinks.write_single_file(df, f"{tmp}/single2", max_rows=1)
+    with pytest.raises(AnalysisException):
+        sinks.write_single_file(df, f"{tmp}/single")                # never over an existing result
 
 
 def test_typed_table_nan_to_null(spark, tmp):

@@ -76,10 +76,30 @@ def test_clean_fahrzeiten_ledger_and_output(spark, raw):
     assert "ist_an_nach" in clean.columns and "halt_id_von" not in clean.columns
     assert clean.where("fw_kurz IS NULL").count() == 1
     assert dict(clean.dtypes)["betriebsdatum"] == "date"
-    # a second run skips every recorded step
+    # a second run writes nothing and names the version that is there
     before = led.rows().count()
-    TT.clean_table(spark, raw, "fahrzeiten", f"{tmp}/clean", led, version="2")
+    assert TT.clean_table(spark, raw, "fahrzeiten", f"{tmp}/clean", led, version="2") == path
     assert led.rows().count() == before
+    assert not os.path.exists(f"{tmp}/clean/fahrzeiten/v=2")
+
+
+def test_stopped_run_starts_anew(spark, raw, monkeypatch):
+    tmp = tempfile.mkdtemp(prefix="tramline-out-")
+    want = sorted(map(str, spark.read.parquet(TT.clean_table(
+        spark, raw, "haltestellen", f"{tmp}/a", Ledger(spark, f"{tmp}/ledger-a"), version="1")).collect()))
+    led, steps = Ledger(spark, f"{tmp}/ledger-b"), TT.clean_steps("haltestellen")
+
+    def stop(df):
+        raise RuntimeError("stopped")
+
+    for n in range(len(steps)):
+        with monkeypatch.context() as m:
+            m.setattr(TT, "clean_steps", lambda table, n=n: [*steps[:n], (stop, steps[n][1])])
+            with pytest.raises(RuntimeError):
+                TT.clean_table(spark, raw, "haltestellen", f"{tmp}/b", led, version=f"s{n}")
+        assert led.rows().count() == 0
+    path = TT.clean_table(spark, raw, "haltestellen", f"{tmp}/b", led, version="2")
+    assert sorted(map(str, spark.read.parquet(path).collect())) == want
 
 
 def test_clean_stops_points_passengers(spark, raw):

@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--source", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--ledger", required=True)
-    s.add_argument("--checkpoint")
+    s.add_argument("--checkpoint", required=True)
     args = p.parse_args(argv)
 
     from tramline.session import build_session
@@ -41,7 +41,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(paths))
     elif args.cmd == "rollup":
         from tramline.sources.ledger import ledger_rollup
-        for row in ledger_rollup(ledger.rows()).orderBy("process").collect():
+        for row in ledger_rollup(ledger.latest()).orderBy("process").collect():
             print(f"{row['process']},{row['time']},{row['output']}")
     elif args.cmd == "stream":
         from tramline.plans.timetable import RAW_SCHEMAS

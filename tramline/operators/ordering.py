@@ -116,15 +116,18 @@ def flag_repeats(df: DataFrame, keys: list[str], order_cols: list[str],
     """Mark rows after the first of their key group, first = smallest
     ``order_cols`` (W3, pandas ``duplicated(keep='first')``).
 
-    ``order_cols`` should identify a row inside its group (e.g. the file
-    position). Rows tied with the group's first row are all kept as first.
-    The group minimum is a partial (map-side) aggregation, so a key holding
-    a third of all rows is reduced to one row per task before the shuffle.
+    Exactly one row of each key is its first. Ties in ``order_cols`` are
+    broken by the other columns; rows equal in all columns are counted, and
+    one of their copies is the first. Equal rows travel as one row with a
+    count, and the group minimum is a partial (map-side) aggregation, so a key
+    holding a third of all rows is reduced to one row per task before the
+    shuffle.
     """
-    o = F.struct(*[F.col(c) for c in order_cols])
-    kd = _keyed(df, keys)
+    o = F.struct(*[F.col(c) for c in [*order_cols, *[c for c in df.columns if c not in order_cols]]])
+    kd = _keyed(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies")), keys)
     j = _join_back(kd, kd.groupBy("__k").agg(F.min(o).alias("__first")), keys)
-    return j.withColumn(name, F.coalesce(o != F.col("__first"), F.lit(False))).drop("__first")
+    copy = j.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return copy.select(*df.columns, (~(o.eqNullSafe(F.col("__first")) & (F.col("__copy") == 1))).alias(name))
 
 
 def carry_forward(df: DataFrame, partition_cols: list[str], order_col: str, value: str,

@@ -18,6 +18,8 @@ def apply_operations(df: DataFrame, operations: list[str]) -> DataFrame:
         parts = op.split(" ")
         if parts[0] == "RENAME":
             src, dst = parts[1], parts[-1]
+            if src in renames.values() or dst in renames:
+                df, renames = df.withColumnsRenamed(renames), {}
             if src in df.columns:
                 renames[src] = dst
         elif parts[0] == "DROP":

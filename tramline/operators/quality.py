@@ -213,8 +213,9 @@ def mismatch_long(joined: DataFrame, pairs: list[tuple[str, str, str]], by: list
 
 
 def mismatch_counts(joined: DataFrame, pairs: list[tuple[str, str, str]], by: list[str]) -> DataFrame:
-    """Differing cells per compared column (A22): one aggregation, unpivoted."""
-    aggs = [F.count_if(F.col(c) != F.col(p)).alias(n) for n, c, p in pairs]
+    """Differing cells per compared column (A22): one aggregation, unpivoted.
+    A missing copy beside a value differs from it; two missing cells agree."""
+    aggs = [F.count_if(~F.col(c).eqNullSafe(F.col(p))).alias(n) for n, c, p in pairs]
     wide = joined.groupBy(*by).agg(*aggs)
     return wide.unpivot(by, [n for n, _, _ in pairs], "column_name", "mismatches")
 

@@ -467,7 +467,7 @@ def mismatch_share(spark, d):
     """Mismatches per (year, column) with the year's child rows and percent
     (A24, A25, J4): counts and totals come from the same aggregation."""
     j = audit_frame(spark, d)
-    aggs = [F.count_if(F.col(c) != F.col(p)).alias(n) for n, c, p in AUDIT_PAIRS]
+    aggs = [F.count_if(~F.col(c).eqNullSafe(F.col(p))).alias(n) for n, c, p in AUDIT_PAIRS]
     wide = j.groupBy("yr").agg(F.count(F.lit(1)).alias("total_rows"), *aggs)
     long = wide.unpivot(["yr", "total_rows"], [n for n, _, _ in AUDIT_PAIRS], "column_name", "mismatches")
     return long.select("yr", "column_name", "mismatches", "total_rows",

@@ -100,7 +100,7 @@ AUDIT_COLS = [("custkey", "f_custkey", "c_custkey"), ("nationkey", "f_nationkey"
               ("orderstatus", "f_orderstatus", "o_orderstatus"), ("mktsegment", "f_mktsegment", "c_mktsegment")]
 
 MISMATCH_COUNTS = "mc AS (" + " UNION ALL ".join(
-    f"SELECT yr, '{n}' AS column_name, count_if({c} <> {p}) AS mismatches FROM j GROUP BY yr"
+    f"SELECT yr, '{n}' AS column_name, count_if({c} IS DISTINCT FROM {p}) AS mismatches FROM j GROUP BY yr"
     for n, c, p in AUDIT_COLS) + ")"
 
 GRID = """

@@ -189,7 +189,8 @@ def delete_duplicates(df: DataFrame) -> tuple[DataFrame, dict]:
     counts before and after come from one aggregation over the distinct rows
     with their multiplicities."""
     groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__m"))
-    dedup = materialize(groups.drop("__m"), "dedup")
+    groups = materialize(groups, "dedup")           # with the counts, so that the metric needs no second shuffle
+    dedup = groups.drop("__m")
     m = _years(groups, {"Duplicate Rows": (F.sum("__m") - F.count(F.lit(1))).cast("long")})
     return dedup, m
 
@@ -268,21 +269,19 @@ def clean_steps(table: str) -> list[tuple[Step, str]]:
     return steps
 
 
-def run_yearly(df: DataFrame, table: str, steps: list[tuple[Step, str]], ledger: Ledger) -> DataFrame:
-    """Run steps over all years at once. Per year and step one ledger row
-    ('Table_2019_Step', output); per step one total row ('Table_Step') with
-    the step's time and summed output. A step whose total row has a time is
-    skipped."""
+def run_yearly(df: DataFrame, table: str, steps: list[tuple[Step, str]]) -> tuple[DataFrame, list[tuple]]:
+    """Run steps over all years at once; returns the frame and the ledger
+    rows. Per year and step one row ('Table_2019_Step', output); per step one
+    total row ('Table_Step') with the step's time and summed output."""
     title = table.capitalize()
+    recorded: list[tuple] = []
     for step, name in steps:
         total = f"{title}_{name}"
-        if ledger.done(total):
-            continue
         t0 = time.time()
         df, metrics = step(df)
         seconds = round(time.time() - t0, 2)
         if metrics is None:
-            ledger.record(total, seconds, "True")
+            recorded.append((total, seconds, "True"))
             continue
         summed: dict = {}
         rows = []
@@ -291,23 +290,33 @@ def run_yearly(df: DataFrame, table: str, steps: list[tuple[Step, str]], ledger:
                 rows.append((f"{title}_{year}_{name}", None, format_output(vals)))
             for k, v in vals.items():
                 summed[k] = summed.get(k, 0) + (v or 0)
-        ledger.record_many(rows + [(total, seconds, format_output(summed))])
-    return df
+        recorded += [*rows, (total, seconds, format_output(summed))]
+    return df, recorded
 
 
 def clean_table(spark: SparkSession, raw_dir: str, table: str, out_base: str, ledger: Ledger,
                 version: str | None = None) -> str:
     """Raw CSV -> cleaned parquet (partitioned by year where there is one),
-    written once to a new versioned path; returns the path."""
+    written once to a new versioned path; returns the path.
+
+    All steps or none: the steps' ledger rows are written in one go after the
+    data, with the path under 'Table_Written'. If that is recorded, its path
+    is returned and nothing is written; a run that stopped before starts anew."""
     ensure_checkpoint_dir(spark)
+    written = f"{table.capitalize()}_Written"
+    before = ledger.latest().where((F.col("process") == written) & F.col("time").isNotNull()).select("output").first()
+    if before:
+        return before["output"]
+    t0 = time.time()
     staged = materialize(read_raw(spark, raw_dir, table), f"staged-{table}")
-    df = run_yearly(staged, table, clean_steps(table), ledger)
+    df, recorded = run_yearly(staged, table, clean_steps(table))
     path = versioned_path(out_base, table, version)
     w = df.write.mode("errorifexists")
     if YEAR in df.columns:
         df = df.select(F.col(YEAR).alias("jahr"), *[F.col(f"`{c}`") for c in df.columns if c != YEAR])
         w = df.write.mode("errorifexists").partitionBy("jahr")
     w.parquet(path)
+    ledger.record_many([*recorded, (written, round(time.time() - t0, 2), path)])
     return path
 
 
@@ -338,7 +347,7 @@ def put_in_correct_years(segments: DataFrame, out_path: str) -> tuple[str, bool]
     anything moved."""
     moved = segments.where(F.year("betriebsdatum") != F.col("jahr")).count()
     fixed = segments.withColumn("jahr", F.coalesce(F.year("betriebsdatum"), F.col("jahr")))
-    fixed.repartition("jahr").write.mode("errorifexists").partitionBy("jahr").parquet(out_path)
+    fixed.hint("rebalance", F.col("jahr")).write.mode("errorifexists").partitionBy("jahr").parquet(out_path)
     return f"Rows in Wrong Year: {moved}", moved > 0
 
 

@@ -70,9 +70,9 @@ def file_week_dates(df: DataFrame) -> DataFrame:
 
 def list_files(spark: SparkSession, directory: str, glob_filter: str = "*.csv") -> DataFrame:
     """Distinct files of a directory matching a name pattern, with their week
-    dates (S8), read from file metadata (only the first line of each file is
-    parsed)."""
-    r = spark.read.option("pathGlobFilter", glob_filter).option("recursiveFileLookup", True).text(directory)
-    names = r.select(F.col("_metadata.file_name").alias("file_name")).distinct()
+    dates (S8), empty files included. Only the files' paths are selected, so
+    their content is not read."""
+    r = spark.read.format("binaryFile").option("pathGlobFilter", glob_filter).option("recursiveFileLookup", True).load(directory)
+    names = r.select(F.element_at(F.split("path", "/"), -1).alias("file_name")).distinct()
     start, end = dates_from_file_name(F.col("file_name"))
     return names.select("file_name", start.alias("week_start"), end.alias("week_end"))

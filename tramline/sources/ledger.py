@@ -11,6 +11,7 @@ import time as _time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,8 +69,10 @@ class Ledger:
     def rows(self) -> DataFrame:
         try:
             return self.spark.read.parquet(self.path)
-        except Exception:  # no ledger written yet
-            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)  # no ledger written yet
 
     def latest(self) -> DataFrame:
         """Current state per process: its most recent row."""
@@ -111,20 +114,26 @@ def run_steps(df: DataFrame, steps: list[tuple[Step, str]], ledger: Ledger,
               write: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run ``(step, process_name)`` pairs in order.
 
-    A process with a recorded time is skipped. Each step returns the new
-    frame, its metrics and whether it changed the data; the time and metrics
-    are appended to the ledger. When any step changed the data and ``write``
-    is given, the result is written once (to a new path, never over the
-    input) and the written table is returned, which also cuts the lineage.
+    Each step returns the new frame, its metrics and whether it changed the
+    data. Steps with a recorded time at the front of the list are skipped:
+    ``df`` is the table they have written. From the first pending step on all
+    run, for a later step's record says nothing about data that lacks an
+    earlier step. When any step changed the data and ``write`` is given, the
+    result is written once (to a new path, never over the input) and the
+    written table is returned, which also cuts the lineage. The ledger rows
+    follow the data: a run that stops before has recorded nothing.
     """
-    changed = False
+    changed, rows, begun = False, [], False
     for step, name in steps:
-        if ledger.done(name):
+        if not begun and ledger.done(name):
             continue
+        begun = True
         t0 = _time.time()
         res = step(df)
-        ledger.record(name, round(_time.time() - t0, 2), format_output(res.metrics))
+        rows.append((name, round(_time.time() - t0, 2), format_output(res.metrics)))
         df, changed = res.df, changed or res.changed
     if changed and write is not None:
         df = write(df)
+    if rows:
+        ledger.record_many(rows)
     return df

@@ -12,11 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.operators.joins import row_bound_holds
 from tramline.operators.projection import conform
 
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
 
 def version_stamp() -> str:
     """Sortable version label with milliseconds, e.g. '20240102T030405123'."""
@@ -44,17 +41,14 @@ def write_versioned(df: DataFrame, base: str, name: str, fmt: str = "parquet",
 def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet") -> None:
     """Re-file rows into one folder per value of ``by`` (Q2): rows whose date
     belongs to another year land in that year's folder, new years create new
-    folders. Rows are clustered by the partition value first so each task
-    writes few files."""
-    df.repartition(by).write.mode("errorifexists").format(fmt).partitionBy(by).save(path)
+    folders. Rows are rebalanced by the partition value, so that a task writes
+    few values and a value that holds much of the data is dealt to many tasks."""
+    df.hint("rebalance", F.col(by)).write.mode("errorifexists").format(fmt).partitionBy(by).save(path)
 
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "csv",
-                      max_rows: int = SINGLE_FILE_MAX_ROWS) -> None:
-    """One output file (S10), for bounded tables only: the row bound is
-    checked before everything is funnelled through one task."""
-    if not row_bound_holds(df, max_rows):
-        raise ValueError(f"more than {max_rows} rows: write multi-part instead")
+def write_single_file(df: DataFrame, path: str, fmt: str = "csv") -> None:
+    """One output file (S10). One task writes it row by row, whatever the
+    size; for large tables prefer ``write_versioned``."""
     w = df.coalesce(1).write.mode("errorifexists").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)

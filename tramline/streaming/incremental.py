@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 
 from tramline.functions.dates import parse_dmy
 from tramline.functions.nulls import unify_empty
-from tramline.session import ensure_checkpoint_dir
 from tramline.sources.ledger import Ledger, format_output
 
 
@@ -44,12 +43,13 @@ def cleaned_stream(spark: SparkSession, source_dir: str, schema: T.StructType, s
 
 def clean_new_files(spark: SparkSession, source_dir: str, schema: T.StructType, out_path: str,
                     ledger_path: str, process: str, sep: str = ",", date_cols: list[str] | None = None,
-                    checkpoint: str | None = None, glob: str = "*.csv") -> None:
-    """Process every file that arrived since the last call, then stop."""
+                    glob: str = "*.csv", *, checkpoint: str) -> None:
+    """Process every file that arrived since the last call, then stop.
+    ``checkpoint`` remembers the files seen and the batch number: always the
+    same shared folder, or old files are read again."""
     date_cols = date_cols or []
     stream = cleaned_stream(spark, source_dir, schema, sep, date_cols, glob)
     ledger = Ledger(spark, ledger_path)
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{process}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"{process}_{batch_id}")
@@ -61,6 +61,6 @@ def clean_new_files(spark: SparkSession, source_dir: str, schema: T.StructType,
         observed.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
         ledger.record(f"{process}_Batch_{batch_id}", None, format_output(obs.get))
 
-    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
