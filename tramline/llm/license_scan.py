@@ -198,8 +198,12 @@ def train(spark: SparkSession, corpus: list[str]) -> LicenseModel:
 def corpus_paragraphs(docs: DataFrame, text_col: str = "text", most: int = MAX_UNKNOWN) -> list[str]:
     """At most ``most`` different paragraphs, by the smallest hash; the first
     lines of the texts with the smallest hashes are enough to choose from."""
-    lines = (docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL")
-             .orderBy(F.xxhash64("text")).limit(most)
+    hashed = docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+    # the limit sorts hashes alone; no text goes to its one task
+    last = hashed.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    lines = (hashed.where(F.col("h") <= last)
              .select(F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''").distinct()
              .orderBy(F.xxhash64("line")).limit(most).select(F.substring("line", 1, 2000).alias("line")))
     return [r["line"] for r in lines.collect()]
