@@ -42,8 +42,10 @@ def test_orphans_counted_per_side(spark):
     # row 3 fails both sides and is counted twice; a NULL key is an orphan
     assert rows(o, "id", "side") == [(3, "a"), (3, "b"), (4, "a")]
     assert rows(Q.orphan_counts(o, ["period"])) == [(2021, 3)]
-    again = Q.orphans_reappear(o.where("side = 'a'").withColumn("fk_value", F.coalesce("fk_value", F.lit(0))))
-    assert rows(again) == [(2021, 2, 0)]
+    # keys of both sides: 99 is a parent later, 999 only before and in the same year, the null key never
+    parents = spark.createDataFrame([("a", 99, 2020), ("a", 99, 2023), ("b", 999, 2020), ("b", 999, 2021),
+                                     ("b", 99, 2022)], "side string, fk_value int, period int")
+    assert rows(Q.orphans_reappear(o, parents, ["side", "fk_value"])) == [(2021, 3, 1)]
 
 
 def test_mismatch_semantics(spark):

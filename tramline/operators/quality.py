@@ -177,13 +177,14 @@ def orphan_counts(orphans: DataFrame, by: list[str]) -> DataFrame:
     return orphans.groupBy(*by).agg(F.count(F.lit(1)).alias("orphans"))
 
 
-def orphans_reappear(orphans: DataFrame, key: str = "fk_value", period: str = "period") -> DataFrame:
-    """Per period: distinct orphan keys and how many of them are orphans again
-    in a later period (Q17, U3, U4). Uses each key's last period instead of
-    pairwise set intersections."""
-    pairs = orphans.select(key, period).distinct()
-    last = pairs.groupBy(key).agg(F.max(period).alias("__last"))
-    j = pairs.join(last, key)
+def orphans_reappear(orphans: DataFrame, parents: DataFrame, key: list[str], period: str = "period") -> DataFrame:
+    """Per period: distinct orphan keys of all sides and how many of them
+    stand in the parent table of a later period (Q17, U3, U4). ``parents``
+    holds ``key`` and ``period``; a parent's last period decides, so there is
+    no intersection per pair of periods. Orphans with a null key part count
+    as one key that never reappears."""
+    last = parents.groupBy(*key).agg(F.max(period).alias("__last"))
+    j = orphans.select(*key, period).distinct().join(last, key, "left")
     return j.groupBy(period).agg(F.count(F.lit(1)).alias("orphan_keys"),
                                  F.count_if(F.col("__last") > F.col(period)).alias("reappear_later"))
 

@@ -32,14 +32,12 @@ def add_sentinel_bearing(df: DataFrame, lat: str, lon: str, bearing: str,
     return sentinel_where(df, bearing, cond, value)
 
 
-def keyed_patch(df: DataFrame, key: str, patches: dict[str, dict], max_rows: int = 100_000) -> DataFrame:
-    """Apply {column: {key: value}} (Q10): the patch becomes a small table
-    joined by key; a patched cell is overwritten whether it was NULL or not.
-    The patch is a user parameter, so its size is known up front."""
+def keyed_patch(df: DataFrame, key: str, patches: dict[str, dict]) -> DataFrame:
+    """Apply {column: {key: value}} (Q10): the patch becomes a table joined by
+    key; a patched cell is overwritten whether it was NULL or not. A patch of
+    any size is taken; Catalyst broadcasts it if its bytes allow."""
     spark = df.sparkSession
     keys = sorted({k for vals in patches.values() for k in vals})
-    if len(keys) > max_rows:
-        raise ValueError("patch table larger than the broadcast bound")
     cols = list(patches)
     key_type = df.schema[key].dataType.simpleString()
     rows = [[k] + [patches[c].get(k) for c in cols] + [k in patches[c] for c in cols] for k in keys]
@@ -47,8 +45,7 @@ def keyed_patch(df: DataFrame, key: str, patches: dict[str, dict], max_rows: int
                        [f"`__pv_{i}` {df.schema[c].dataType.simpleString()}" for i, c in enumerate(cols)] +
                        [f"`__ph_{i}` boolean" for i in range(len(cols))])
     patch = spark.createDataFrame(rows, schema)
-    # The patch holds len(keys) <= max_rows rows (checked above): broadcast.
-    j = df.join(F.broadcast(patch), df[key] == F.col("__pk"), "left")
+    j = df.join(patch, df[key] == F.col("__pk"), "left")
     for i, c in enumerate(cols):
         j = j.withColumn(c, F.when(F.coalesce(F.col(f"__ph_{i}"), F.lit(False)), F.col(f"__pv_{i}"))
                          .otherwise(F.col(c)))

@@ -336,10 +336,16 @@ ORACLE_SQL: dict[str, str] = {
     "fk_check": "WITH " + ORPHANS + " SELECT period, side, COUNT(*) AS orphans FROM orph GROUP BY 1, 2",
 
     "orphan_reappears": "WITH " + ORPHANS + """,
-        pr AS (SELECT DISTINCT fk_value, period FROM orph WHERE side = 'supplier'),
-        la AS (SELECT fk_value, max(period) AS last FROM pr GROUP BY 1)
-        SELECT period, COUNT(*) AS orphan_keys, count_if(last > period) AS reappear_later
-        FROM pr JOIN la USING (fk_value) GROUP BY period""",
+        yr AS (SELECT CAST(unnest(generate_series(1992, 1997)) AS INTEGER) AS y),
+        reg AS (SELECT 'supplier' AS side, s_suppkey AS fk_value, y FROM supplier, yr
+                WHERE s_acctbal > 0 OR y >= 1994 + s_suppkey % 4
+                UNION ALL
+                SELECT 'part', p_partkey, y FROM part, yr WHERE p_size > 3 OR y >= 1994 + p_partkey % 4),
+        pr AS (SELECT DISTINCT side, fk_value, period FROM orph)
+        SELECT period, COUNT(*) AS orphan_keys,
+               count_if(EXISTS (SELECT 1 FROM reg WHERE reg.side = pr.side AND reg.fk_value = pr.fk_value
+                                AND reg.y > pr.period)) AS reappear_later
+        FROM pr GROUP BY period""",
 
     "wrong_period_rows": """
         WITH f AS (SELECT o_orderdate,
