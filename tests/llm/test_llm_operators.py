@@ -230,6 +230,17 @@ def test_page_text(spark):
     assert html_text.extract_text(frame.limit(0)).count() == 0
 
 
+def test_page_text_template_inside_articles(spark):
+    page = ("<body><main><div class=xa><a href=/>One</a> <a href=/>Two {0}</a></div><div class=xb><p>Sentence of every page.</p>"
+            "<p>Body text of page {0}.</p></div></main><article class=card><p>Card {0}</p></article></body>")
+    beside = "<body><div class=a><p>" + "The long main text of the page. " * 9 + "</p></div><article><p>Short card {0}</p></article></body>"
+    rows = [(i, f"http://h.x/{i}", page.format(i)) for i in range(4)] + [(9, "http://z.x/", beside.format(9))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_text(frame).collect()}
+    want = {i: f"Body text of page {i}.\nCard {i}" for i in range(4)}
+    assert got == want | {9: " ".join(["The long main text of the page."] * 9) + "\nShort card 9"}
+
+
 # --- URLs ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("most", [4 << 20, 1000])

@@ -1,7 +1,7 @@
 """Main text of web pages by equivalence-class template deduction.
 
 Pages of one host share a template. Tokens are container elements, named by
-their path of tags, classes and ids, and text blocks outside of articles. The
+their path of tags, classes and ids, and text blocks, those of articles too. The
 occurrence vector of a token (how often it occurs on which page) is kept as a
 fingerprint that adds up by exclusive or, with partial aggregation, so that a
 host of any size costs one row per token and task.
@@ -13,9 +13,11 @@ host of any size costs one row per token and task.
    containers are the slots.
 3. Text blocks in valid classes are the template's own words. Slots whose text
    is mostly links are menus.
-4. Per page, the text of the remaining slots is the result: if the page has an
-   article or main element, what lies in those, else all. Containers that name
-   themselves menu, advert, notice, comment and the like never hold main text.
+4. Per page, the text of the remaining slots is the result. An article or main
+   element only hints at the main one: beside it, a region is main text too if
+   its unlinked text is at least ``MIN_REGION`` of the article's. Containers
+   that name themselves menu, advert, notice, comment and the like never hold
+   main text.
 
 Templates are at most one page's tokens per host; they are written first and
 then meet the pages by host, without a shuffle of the pages where they are
@@ -46,6 +48,7 @@ from .url_filter import url_parts
 MIN_SUPPORT = 0.5
 MIN_PAGES = 3
 MAX_LINK_SHARE = 0.5
+MIN_REGION = 0.25
 
 #: HTML element classes.
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset
@@ -170,12 +173,25 @@ def main_text(page: str | None, link_slots=(), template_texts=(), template=None)
     containers, of its link slots, and the hashes of its own text blocks."""
     blocks, _ = page_blocks(page)
     link_slots, template_texts = set(link_slots), set(template_texts)
-    open_ = [b for b in blocks if not b[2].barred]
-    in_article = [b for b in open_ if b[2].inside]
-    if in_article:
-        return "\n".join(b[0] for b in in_article)
-    return "\n".join(text for text, _, node, path in open_
-                     if _slot(path, template) not in link_slots and _text_token(node.role, text) not in template_texts)
+    left = [b for b in blocks if not b[2].barred and _slot(b[3], template) not in link_slots
+            and _text_token(b[2].role, b[0]) not in template_texts]
+    return "\n".join(b[0] for b in _main(left))
+
+
+def _main(left: list) -> list:
+    """Of the blocks that are not the template's, those of the main text: all
+    in articles, and those of large regions beside them (the outermost
+    containers without an article); all blocks if there is no article."""
+    around = {r for _, _, node, path in left if node.inside for r in path}
+    if not around:
+        return left
+    article = sum(len(text) - linked for text, linked, node, _ in left if node.inside)
+    beside, regions = {}, []
+    for text, linked, node, path in left:
+        region = None if node.inside else next((r for r in path if r not in around), 0)
+        regions.append(region)
+        beside[region] = beside.get(region, 0) + len(text) - linked
+    return [b for b, r in zip(left, regions, strict=True) if r is None or beside[r] >= MIN_REGION * article]
 
 
 def _slot(path: list[int], template) -> int:
@@ -197,7 +213,7 @@ def _page_tokens(batches):
                 for r in path:
                     chars[r] = chars.get(r, 0) + len(text)
                     links[r] = links.get(r, 0) + linked
-                if not node.inside and not node.barred:
+                if not node.barred:
                     t = _text_token(node.role, text)
                     texts[t] = texts.get(t, 0) + 1
             tokens = [((host, r, 0, parent), n, chars.get(r, 0), links.get(r, 0)) for r, (parent, n) in roles.items()]
