@@ -241,6 +241,23 @@ def test_page_text_template_inside_articles(spark):
     assert got == want | {9: " ".join(["The long main text of the page."] * 9) + "\nShort card 9"}
 
 
+def test_page_text_classes(spark):
+    # sections and a language with a template of their own, each on under half of the host's pages
+    page = "<html lang={1}><body><div class=s{2}><p>{3}</p></div><div class=text><p>Body text {0}.</p></div></body></html>"
+    heads = [("en", "sport", "News of sport"), ("en", "arts", "News of the arts"), ("en", "town", "News of the town"),
+             ("de", "plain", "Nachrichten")]
+    rows = [(10 * k + i, f"http://h.x/{k}/{i}", page.format(f"{k} {i}", *head)) for k, head in enumerate(heads) for i in range(4)]
+    rows += [(60 + i, f"http://h.x/f/{i}", page.format(f"f {i}", "fr", "plain", "Nouvelles")) for i in range(4)]
+    # copies are no support: half of a host's pages are one page
+    rows += [(100 + i, f"http://c.x/{i}", "<body><div class=a><p>Copied words.</p></div></body>") for i in range(6)]
+    rows += [(110 + i, f"http://c.x/o/{i}", f"<body><div class=a><p>Other words {i}.</p></div></body>") for i in range(6)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_text(frame).collect()}
+    want = {10 * k + i: f"Body text {k} {i}." for k in range(4) for i in range(4)}
+    want |= {60 + i: f"Body text f {i}." for i in range(4)} | {100 + i: "Copied words." for i in range(6)}
+    assert got == want | {110 + i: f"Other words {i}." for i in range(6)}
+
+
 # --- URLs ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("most", [4 << 20, 1000])

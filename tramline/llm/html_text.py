@@ -1,27 +1,32 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Pages of one host share a template. Tokens are container elements, named by
-their path of tags, classes and ids, and text blocks, those of articles too. The
-occurrence vector of a token (how often it occurs on which page) is kept as a
-fingerprint that adds up by exclusive or, with partial aggregation, so that a
-host of any size costs one row per token and task.
+Pages of one host share one or several templates. Tokens are container
+elements, named by their path of tags, classes and ids, and text blocks, those
+of articles too. Pages of a host with the same main text blocks count once, so
+that copies are no support. The occurrence vector of a token (how often it
+occurs on which page) and its page set are kept as fingerprints that add up by
+exclusive or, with partial aggregation.
 
 1. Tokens of a host with the same vector form an equivalence class. A class is
-   valid if it occurs on at least ``MIN_SUPPORT`` of the host's pages.
-2. Valid classes nest: a container belongs to the template if its class is
-   valid and its parent belongs to the template. What lies between template
-   containers are the slots.
-3. Text blocks in valid classes are the template's own words. Slots whose text
-   is mostly links are menus.
+   valid if it has at least ``MIN_CLASS`` tokens on at least ``MIN_PAGES``
+   pages of distinct content, however large the host is: each section or
+   language of a host has classes of its own.
+2. The containers of valid classes are the templates'. A path holds the paths
+   around it, so a class nests in those of the containers around its own.
+   What lies between template containers are the slots.
+3. A text block is the template's own if the container around it (outside of
+   articles: or the page's language) has the same page set: wherever that
+   stands, the text stands. Slots whose text is mostly links are menus.
 4. Per page, the text of the remaining slots is the result. An article or main
    element only hints at the main one: beside it, a region is main text too if
    its unlinked text is at least ``MIN_REGION`` of the article's. Containers
    that name themselves menu, advert, notice, comment and the like never hold
    main text.
 
-Templates are at most one page's tokens per host; they are written first and
-then meet the pages by host, without a shuffle of the pages where they are
-small. Hosts of one page have no template and are judged by names alone.
+A class is at most one page's tokens, a host's templates are its valid classes;
+they are written first and then meet the pages by host, without a shuffle of
+the pages where they are small. Hosts of fewer than ``MIN_PAGES`` contents have
+no template and are judged by names alone.
 
 Blocks are the texts between block-level tags; white space inside a block
 (line breaks, no-break spaces and ``<br>`` included) becomes one space.
@@ -43,9 +48,10 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import col, materialize, table
+from .shingles import mix
 from .url_filter import url_parts
 
-MIN_SUPPORT = 0.5
+MIN_CLASS = 2
 MIN_PAGES = 3
 MAX_LINK_SHARE = 0.5
 MIN_REGION = 0.25
@@ -71,6 +77,7 @@ HEADER_WORDS = frozenset(("header", "head", "top"))
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""", re.S)
 _NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_LANG = re.compile(r"""(?:^|\s)lang\s*=\s*["']?([\w-]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -102,11 +109,12 @@ def _opened(tag: str, attributes: str, parent: _Node) -> _Node:
 
 def page_blocks(page: str | None):
     """(text, link characters, node, node path from the root) of every block
-    in page order, and the counts of opened containers by role with their parent."""
+    in page order, the counts of opened containers by role, and the role of
+    the page's language (0: none)."""
     page = page or ""
     root = _Node("", "", False, False)
     stack, parts, blocks, roles = [root], [], [], {}
-    links, link_chars, at = 0, 0, 0
+    links, link_chars, at, language = 0, 0, 0, 0
 
     def flush():
         nonlocal link_chars
@@ -158,10 +166,13 @@ def page_blocks(page: str | None):
             while len(stack) > 1 and (stack[-1].tag == "p" or closes and stack[-1].tag in closes):
                 stack.pop()
         node = _opened(tag, m[3], stack[-1])
-        roles.setdefault(node.role, [stack[-1].role, 0])[1] += 1
+        roles[node.role] = roles.get(node.role, 0) + 1
         stack.append(node)
+        if tag == "html" and not language and (m := _LANG.search(m[3])):
+            language = _hash(f"lang={m[1].lower()}")
+            roles[language] = 1
     flush()
-    return blocks, roles
+    return blocks, roles, language
 
 
 def _text_token(role: int, text: str) -> int:
@@ -171,7 +182,7 @@ def _text_token(role: int, text: str) -> int:
 def main_text(page: str | None, link_slots=(), template_texts=(), template=None) -> str:
     """Main text of one page, given its host's template: roles of its
     containers, of its link slots, and the hashes of its own text blocks."""
-    blocks, _ = page_blocks(page)
+    blocks, _, _ = page_blocks(page)
     link_slots, template_texts = set(link_slots), set(template_texts)
     left = [b for b in blocks if not b[2].barred and _slot(b[3], template) not in link_slots
             and _text_token(b[2].role, b[0]) not in template_texts]
@@ -199,67 +210,94 @@ def _slot(path: list[int], template) -> int:
     return next((r for r in reversed(path) if template is None or r in template), 0)
 
 
-#: kind 0: a container, with its parent's role; kind 1: a text block
-TOKENS = "host string, token long, kind int, parent long, n long, vector long, chars long, links long"
+#: A page's tokens: rows of seven numbers. kind 0: a container; kind 1: a text
+#: block with its container and, outside of articles, its page's language.
+PAGE = ["token", "kind", "parent", "language", "n", "chars", "links"]
+TOKENS = ("host string, token long, kind int, parent long, language long, pages long, vector long, page_set long, "
+          "chars long, links long")
 
 
 def _page_tokens(batches):
+    """(host, content, tokens) per page; equal contents: equal main text blocks."""
     for pdf in batches:
-        out: dict[tuple, list[int]] = {}
-        for host, key, page in zip(pdf["host"], pdf["page"], pdf["html"], strict=True):
-            blocks, roles = page_blocks(page)
-            chars, links, texts = {}, {}, {}
+        out = []
+        for host, page in zip(pdf["host"], pdf["html"], strict=True):
+            blocks, roles, language = page_blocks(page)
+            chars, links, texts, open_ = {}, {}, {}, []
             for text, linked, node, path in blocks:
                 for r in path:
                     chars[r] = chars.get(r, 0) + len(text)
                     links[r] = links.get(r, 0) + linked
                 if not node.barred:
                     t = _text_token(node.role, text)
-                    texts[t] = texts.get(t, 0) + 1
-            tokens = [((host, r, 0, parent), n, chars.get(r, 0), links.get(r, 0)) for r, (parent, n) in roles.items()]
-            tokens += [((host, t, 1, 0), n, 0, 0) for t, n in texts.items()]
-            for at, n, c, k in tokens:
-                seen = out.setdefault(at, [0, 0, 0, 0])
-                seen[0] += 1
-                seen[1] ^= _hash(f"{key}/{n}")
-                seen[2] += c
-                seen[3] += k
-        yield pd.DataFrame([(*at, *v) for at, v in out.items()], columns=[c.split()[0] for c in TOKENS.split(", ")])
+                    texts.setdefault(t, [node.role, 0 if node.inside else language, 0])[2] += 1
+                    open_.append(text)
+            tokens = [(r, 0, 0, 0, n, chars.get(r, 0), links.get(r, 0)) for r, n in roles.items()]
+            tokens += [(t, 1, parent, spoken, n, 0, 0) for t, (parent, spoken, n) in texts.items()]
+            packed = np.array(sorted(tokens), np.int64).reshape(-1, len(PAGE)).tobytes()
+            out.append((host, _hash("\n".join(open_)), packed))
+        yield pd.DataFrame(out, columns=["host", "content", "tokens"])
+
+
+def _counted(batches):
+    """Tokens summed up over a batch of pages."""
+    names = [c.split()[0] for c in TOKENS.split(", ")]
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        pages = [np.frombuffer(t, np.int64).reshape(-1, len(PAGE)) for t in pdf["tokens"]]
+        sizes = [len(p) for p in pages]
+        token, kind, parent, language, n, chars, links = np.concatenate(pages).T
+        code, hosts = pd.factorize(pdf["host"], use_na_sentinel=False)
+        host = np.repeat(code, sizes)
+        page = np.repeat(mix(pdf["content"].to_numpy(np.int64).view(np.uint64)), sizes)
+        vector = mix(page ^ (n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        order = np.lexsort((token, host))
+        if not len(order):
+            continue
+        host, token = host[order], token[order]
+        first = np.flatnonzero(np.r_[True, (host[1:] != host[:-1]) | (token[1:] != token[:-1])])
+        own = order[first]
+        summed = lambda x: np.add.reduceat(x[order], first)
+        mixed = lambda x: np.bitwise_xor.reduceat(x[order], first).view(np.int64)
+        values = [hosts[host[first]], token[first], kind[own], parent[own], language[own], summed(np.ones(len(n), np.int64)),
+                  mixed(vector), mixed(page), summed(chars), summed(links)]
+        yield pd.DataFrame(dict(zip(names, values, strict=True)))
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """(host, template, link_slots, texts) per host of at least MIN_PAGES pages.
-    ``pages``: host, page (a key of the row), html."""
-    tokens = (pages.mapInPandas(_page_tokens, TOKENS).groupBy("host", "token", "kind", "parent")
-              .agg(F.sum("n").alias("n"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"),
-                   F.sum("links").alias("links")))
-    size = pages.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= MIN_PAGES)
-    # the classes: tokens of a host with one occurrence vector; one support for all of them
-    classes = (tokens.join(size, "host").where(F.col("n") >= F.col("pages") * MIN_SUPPORT)
-               .groupBy("host", "n", "vector")
-               .agg(F.collect_list(F.struct("token", "kind", "parent", "chars", "links")).alias("tokens")))
-    return materialize(classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
-                       .mapInPandas(_nested, "host string, template array<long>, link_slots array<long>, texts array<long>"),
-                       "html-templates")
-
-
-def _nested(batches):
-    """Nests the valid classes of a host: at most one page's containers."""
+    """(host, template, link_slots, texts) per host with valid classes.
+    ``pages``: host, html."""
+    contents = (pages.mapInPandas(_page_tokens, "host string, content long, tokens binary")
+                .groupBy("host", "content").agg(F.min("tokens").alias("tokens")))
+    tokens = (contents.mapInPandas(_counted, TOKENS).groupBy("host", "token", "kind")
+              .agg(F.min("parent").alias("parent"), F.min("language").alias("language"), F.sum("pages").alias("pages"),
+                   F.bit_xor("vector").alias("vector"), F.bit_xor("page_set").alias("page_set"),
+                   F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+              .where(F.col("pages") >= MIN_PAGES))
+    # the classes on one set of pages: at most one page's tokens
+    classes = (tokens.groupBy("host", "pages", "page_set")
+               .agg(F.collect_list(F.struct("token", "kind", "parent", "language", "vector", "chars", "links")).alias("tokens"))
+               .mapInPandas(_valid, "host string, template array<long>, link_slots array<long>, texts array<long>"))
+    return materialize(classes.groupBy("host").agg(*[F.flatten(F.collect_list(c)).alias(c)
+                                                     for c in ("template", "link_slots", "texts")]), "html-templates")
+
+
+def _valid(batches):
+    """Containers of the valid classes on one set of pages, the link slots
+    among them, and the texts that stand wherever the container around them does."""
     for pdf in batches:
         out = []
         for host, tokens in zip(pdf["host"], pdf["tokens"], strict=True):
-            parents = {t["token"]: t["parent"] for t in tokens if t["kind"] == 0}
-            root = _hash("")
-            template: set[int] = set()
-            for r in parents:
-                chain = []
-                while r in parents and r not in template and r not in chain:
-                    chain.append(r)
-                    r = parents[r]
-                if r == root or r in template:
-                    template.update(chain)
-            menus = [t["token"] for t in tokens if t["token"] in template and t["links"] > MAX_LINK_SHARE * t["chars"] > 0]
-            out.append((host, sorted(template), menus, [t["token"] for t in tokens if t["kind"] == 1]))
+            size: dict[int, int] = {}
+            for t in tokens:
+                size[t["vector"]] = size.get(t["vector"], 0) + 1
+            here = {t["token"] for t in tokens if t["kind"] == 0}
+            template = [t for t in tokens if t["kind"] == 0 and size[t["vector"]] >= MIN_CLASS]
+            menus = [t["token"] for t in template if t["links"] > MAX_LINK_SHARE * t["chars"] > 0]
+            texts = [t["token"] for t in tokens if t["kind"] == 1 and (t["parent"] in here or t["language"] in here)]
+            if template or texts:
+                out.append((host, [t["token"] for t in template], menus, texts))
         yield pd.DataFrame(out, columns=["host", "template", "link_slots", "texts"])
 
 
@@ -267,8 +305,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """(id, url, text, n_chars) of every row."""
     rows = pages.select(col(id_col).alias(id_col), col(url_col).alias(url_col), url_parts(col(url_col))[0].alias("host"),
                         F.coalesce(col(html_col), F.lit("")).alias("html"))
-    keyed = rows.select("host", F.xxhash64(F.col(id_col), F.col(url_col)).alias("page"), "html")
-    templates = deduce_templates(keyed)
+    templates = deduce_templates(rows.select("host", "html"))
 
     @F.pandas_udf("string")
     def texts(html: pd.Series, template: pd.Series, menus: pd.Series, own: pd.Series) -> pd.Series:
