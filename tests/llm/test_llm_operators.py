@@ -108,6 +108,24 @@ def test_near_duplicate_classes(spark, monkeypatch):
     assert dart_minhash.drop_near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("cell", [400, 10])
+def test_links_near_the_threshold(spark, monkeypatch, cell):
+    monkeypatch.setattr(dart_minhash, "CELL", cell)
+    monkeypatch.setattr(dart_minhash, "BLOCK", cell // 2)
+    rng = random.Random(11)
+    texts = []
+    for _ in range(6):                                  # most pairs lie just under 0.8, few above
+        base = prose(rng, 400).split()
+        for _ in range(25):
+            near = list(base)
+            for p in rng.sample(range(400), rng.choice((4, 5, 5, 6))):
+                near[p] = "zz" + near[p]
+            texts.append(" ".join(near))
+    got = {r.id: r.rep.id for r in dart_minhash.near_duplicates(docs_frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    want = classes_by_hand(texts)
+    assert len(set(want)) > 12 and got == dict(enumerate(want))
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (10, 11), (12, 11), (20, 20)] + [(100 + i, 101 + i) for i in range(30)]
     label = {r.node: r.label for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -20,9 +20,12 @@ Plan:
    found (and the closest uncertain ones): its output grows with its nodes.
 3. Links whose estimate is clear are taken; those in between are verified by
    the exact weighted Jaccard similarity of the texts.
-4. Components of the links. In dealt buckets, nodes outside the bucket's
-   largest component are then compared with all its nodes, in blocks, and the
-   components taken again; links inside a component add nothing.
+4. Components of the links. In buckets of more than two nodes, those outside
+   the bucket's largest component are then compared with all its nodes, in
+   blocks. Links between different components that were not tested yet are
+   verified, ``SPARE`` per node and round at first and four times as many in
+   each further round, and the components taken again, until no such link is
+   left; links inside a component add nothing.
 
 Defined results: texts without words (null, empty, blank) stay alone; texts of
 fewer than five words are one shingle; words are lower-cased; rows equal in id
@@ -51,6 +54,7 @@ COORDINATES, BANDS, ROWS = 128, 25, 5
 #: 3.5 standard deviations of the estimate at the threshold; exact outside of chance 0.0005.
 UNSURE = 0.12
 CELL, BLOCK, PIVOTS = 400, 200, 15
+SPARE = 4
 
 
 def dart_signatures(documents: list[tuple[np.ndarray, np.ndarray]], k: int = COORDINATES) -> np.ndarray:
@@ -158,29 +162,38 @@ def signatures(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(_signature_rows, "id long, h long, node long, sig binary, bands array<long>")
 
 
-def _forest(nodes: np.ndarray, sig: np.ndarray, first: int) -> pd.DataFrame:
-    """Links among the rows of ``sig`` with an end before row ``first`` (all
-    rows: first = len): a maximum spanning forest of the estimates, and a second
-    uncertain link of nodes that have one, should the first not hold."""
-    left, right, score = [], [], []
+def _likely(sig: np.ndarray, first: int, label: np.ndarray | None = None):
+    """(left, right, estimate) of the pairs with an end before row ``first``
+    whose similarity may hold; with ``label``: of different labels."""
+    left, right, score = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
     floor = SIMILARITY - UNSURE
-    for i in range(min(first, len(nodes))):
+    for i in range(min(first, len(sig))):
         estimate = (sig[i] == sig[i + 1:]).mean(axis=1)
-        j = np.flatnonzero(estimate >= floor)
+        likely = estimate >= floor
+        j = np.flatnonzero(likely if label is None else likely & (label[i + 1:] != label[i]))
         left.append(np.full(len(j), i))
         right.append(j + i + 1)
         score.append(estimate[j])
-    if not left or not sum(map(len, left)):
-        return pd.DataFrame({"a": [], "b": [], "estimate": []}).astype({"a": "int64", "b": "int64", "estimate": "float64"})
-    left, right, score = np.concatenate(left), np.concatenate(right), np.concatenate(score)
-    root = np.arange(len(nodes))
+    return np.concatenate(left), np.concatenate(right), np.concatenate(score)
+
 
+def _finder(root: np.ndarray):
     def find(x):
         while root[x] != x:
             root[x] = root[root[x]]
             x = root[x]
         return x
 
+    return find, root
+
+
+def _forest(nodes: np.ndarray, sig: np.ndarray, first: int) -> pd.DataFrame:
+    """Links among the rows of ``sig`` with an end before row ``first`` (all
+    rows: first = len): a maximum spanning forest of the estimates, and a second
+    uncertain link of nodes that have one, should the first not hold. What this
+    leaves untested ``_between`` offers again."""
+    left, right, score = _likely(sig, first)
+    find, root = _finder(np.arange(len(nodes)))
     near = np.zeros(len(nodes), np.int64)
     keep = []
     for e in np.argsort(-score, kind="stable"):
@@ -207,6 +220,47 @@ def _cell_links(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 LINKS = "a long, b long, estimate double"
+#: ``more``: the task has links beyond those put out
+OFFERS = LINKS + ", more boolean"
+
+
+def _offers(most: int):
+    def offers(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _between(pdf, most)
+
+    return offers
+
+
+def _between(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
+    """One task's nodes, of which those marked ``asking`` are compared with
+    all: clear links that join components, and per node the ``most`` closest
+    untested uncertain links to other components. ``tested`` lists the nodes
+    that an asking node has already been tested against."""
+    pdf = pdf.sort_values(["asking", "node"], ascending=[False, True]).drop_duplicates("node")
+    nodes, first = pdf["node"].to_numpy(np.int64), int(pdf["asking"].sum())
+    _, label = np.unique(pdf["label"].to_numpy(np.int64), return_inverse=True)
+    left, right, score = _likely(np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1), first, label)
+    find, root = _finder(np.arange(len(nodes)))
+    tested = [set() if t is None else set(t) for t in pdf["tested"]]
+    near = np.zeros(len(nodes), np.int64)
+    keep, more = [], False
+    for e in np.argsort(-score, kind="stable"):
+        x, y = left[e], right[e]
+        fx, fy = find(label[x]), find(label[y])
+        if fx == fy or nodes[y] in tested[x] or nodes[x] in tested[y]:
+            continue
+        if score[e] >= SIMILARITY + UNSURE:
+            root[max(fx, fy)] = min(fx, fy)
+        elif min(near[x], near[y]) >= most:
+            more = True
+            continue
+        keep.append(e)
+        near[x] += 1
+        near[y] += 1
+    a, b = nodes[left[keep]], nodes[right[keep]]
+    out = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "estimate": score[keep]})
+    out["more"] = more
+    return out
 
 
 def _pair_links(batches):
@@ -277,14 +331,36 @@ def near_duplicate_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = materialize(_verified(links, texts), "dart-edges")
     labels = components(spark, edges)
 
-    rest = _unsettled(crowd.where(F.col("n") > CELL), labels)
-    if rest is not None:
-        more = materialize(rest.groupBy("bucket", "cell").applyInPandas(_cell_links, LINKS)
-                           .groupBy("a", "b").agg(F.max("estimate").alias("estimate")), "dart-more-links")
-        labels = components(spark, edges.unionByName(_verified(more, texts)))
+    tested, most = links.select("a", "b"), SPARE
+    while (rest := _unsettled(crowd, labels, tested)) is not None:
+        offered = materialize(rest.groupBy("bucket", "cell").applyInPandas(_offers(most), OFFERS)
+                              .groupBy("a", "b").agg(F.max("estimate").alias("estimate"), F.max("more").alias("more")),
+                              "dart-more-links")
+        more = offered.agg(F.max("more")).first()[0]
+        if more is None:                             # nothing was offered
+            break
+        held = materialize(_verified(offered.select("a", "b", "estimate"), texts), "dart-more-edges")
+        if not held.isEmpty():
+            labels = _joined(spark, labels, held)
+        if not more:                                 # every link between components was tested
+            break
+        tested, most = materialize(tested.unionByName(offered.select("a", "b")), "dart-tested"), most * 4
     return signed.select("id", "h", "node"), labels
 
 
+def _joined(spark, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links; only the labels at their ends are joined."""
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    known = materialize(labels.unionByName(ends.join(labels, "node", "left_anti")
+                                           .select("node", F.col("node").alias("label"))), "dart-labels")
+    pairs = (links.join(known.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
+             .join(known.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
+             .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    step = components(spark, pairs).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return materialize(known.join(step, "label", "left").select("node", F.coalesce("to", "label").alias("label")),
+                       "dart-labels")
+
+
 def _pivots(crowd: DataFrame) -> DataFrame:
     """Up to PIVOTS nodes of each dealt bucket: per class of a hash, the node
     that meets the most others over all buckets (an original meets its copies
@@ -296,9 +372,10 @@ def _pivots(crowd: DataFrame) -> DataFrame:
     return best.select("bucket", "best.node", "best.sig")
 
 
-def _unsettled(crowd: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Cells that compare every node outside a dealt bucket's largest
-    component with all nodes of the bucket, block by block."""
+def _unsettled(crowd: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame | None:
+    """Cells that compare every node outside a bucket's largest component with
+    all nodes of the bucket, block by block; with an asking node, the nodes of
+    other components that it was ``tested`` against."""
     if crowd.isEmpty():
         return None
     known = materialize(crowd.join(labels, "node", "left")
@@ -311,16 +388,24 @@ def _unsettled(crowd: DataFrame, labels: DataFrame) -> DataFrame | None:
     if outside.isEmpty():
         return None
     there = known.join(outside, "bucket")
+    # links inside a component are not asked for again; only asking nodes need to know theirs
+    label = known.groupBy("node").agg(F.first("label").alias("label"))
+    apart = (tested.join(label.select(F.col("node").alias("a"), F.col("label").alias("label_a")), "a")
+             .join(label.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b")
+             .where("label_a <> label_b").select("a", "b"))
+    apart = (apart.unionByName(apart.select(F.col("b").alias("a"), F.col("a").alias("b")))
+             .withColumnRenamed("a", "node").join(there.where("label <> main").select("node").distinct(), "node", "left_semi")
+             .groupBy("node").agg(F.collect_set("b").alias("tested")))
     mine = F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.col("chunks"))
-    asking = (there.where("label <> main").withColumn("chunk", mine)
+    asking = (there.where("label <> main").join(apart, "node", "left").withColumn("chunk", mine)
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .withColumn("asking", F.lit(True)))
     asked = (there.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
              .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .withColumn("asking", F.lit(False)))
+             .withColumn("asking", F.lit(False)).withColumn("tested", F.lit(None).cast("array<long>")))
     cell = (F.col("chunk") * F.col("blocks") + F.col("block")).alias("cell")
-    return (asking.select("bucket", cell, "node", "sig", "asking")
-            .unionByName(asked.select("bucket", cell, "node", "sig", "asking")))
+    return (asking.select("bucket", cell, "node", "sig", "label", "tested", "asking")
+            .unionByName(asked.select("bucket", cell, "node", "sig", "label", "tested", "asking")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
