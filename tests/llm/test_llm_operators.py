@@ -126,6 +126,14 @@ def test_links_near_the_threshold(spark, monkeypatch, cell):
     assert len(set(want)) > 12 and got == dict(enumerate(want))
 
 
+def test_texts_of_any_white_space_stay_alone(spark, tmp_path):
+    blank = ["\u00a0", "\u3000 \u2003", "\u0085\n", "\x1c\x1d\x1e\x1f", " \t", "", None]
+    rows = [(i, t, "s") for i, t in enumerate(blank)] + [(50, "one two", "s"), (51, "\u00a0one\u3000two", "s"), (52, "\x00", "s")]
+    docs_frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.class_id, r.class_size, r.kept) for r in dart_minhash.op3_dart_minhash(spark, str(tmp_path)).collect()}
+    assert got == {(i, i, 1, True) for i in (*range(len(blank)), 52)} | {(50, 50, 2, True), (51, 50, 2, False)}
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (10, 11), (12, 11), (20, 20)] + [(100 + i, 101 + i) for i in range(30)]
     label = {r.node: r.label for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import col, materialize, packed, table, unpacked
 from .components import components
 from .prefilter import may_be_in
-from .shingles import WordHashes, mix, shingles, weighted_jaccard
+from .shingles import WHITE_SPACE, WordHashes, mix, shingles, weighted_jaccard
 
 SIMILARITY = 0.8
 COORDINATES, BANDS, ROWS = 128, 25, 5
@@ -453,7 +453,7 @@ def op3_dart_minhash(spark, sf_dir: str) -> DataFrame:
     """Every document with its class: (doc_id, class_id, class_size, kept)."""
     docs = table(spark, sf_dir, "documents")
     found = near_duplicates(docs)
-    alone = docs.where(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s", " ")) == "")
+    alone = docs.where(F.translate(F.coalesce("text", F.lit("")), WHITE_SPACE, "") == "")
     return (found.select(F.col("id").alias("doc_id"), F.col("rep.id").alias("class_id"), "class_size",
                          F.struct("id", "h").eqNullSafe(F.col("rep")).alias("kept"))
             .unionByName(alone.select(col("doc_id"), col("doc_id").alias("class_id"),

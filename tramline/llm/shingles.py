@@ -6,6 +6,8 @@ import numpy as np
 import xxhash
 
 SHINGLE = 5
+#: Where ``str.split`` parts words; Java's \\s and trim know fewer.
+WHITE_SPACE = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
