@@ -200,6 +200,28 @@ def test_raking_meets_the_targets(spark):
     assert abs(drawn / (0.5 * m.sum()) - 1) < 0.01
 
 
+def test_drawn_margins_meet_the_targets(spark):
+    rng = random.Random(6)
+    cells = [(s, g, t, float(rng.randint(20, 900)) * (6 if g == "en" else 1)) for s in "abcdef" for g in ("en", "de", "fr")
+             for t in ("x", "y", "z")]
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens double")
+    given = {"lang_targets": {"en": 3, "de": 1, "fr": 1}, "topic_targets": {"x": 1, "y": 1, "z": 1}}
+    got = mixing.rake(frame, **given)
+    drawn = (frame.join(got.sources, "source").withColumn("weight", got.weight()).withColumn("p", got.probability())
+             .select("lang", "topic", "source", "tokens", "p", (F.col("weight") * got.scale > 1).alias("cut")).collect())
+    total, budget = sum(c[3] for c in cells), 0.5 * sum(c[3] for c in cells)
+    assert any(r.cut for r in drawn) and all(0 <= r.p <= 1 for r in drawn)
+    share = lambda axis, k: sum(r.p * r.tokens for r in drawn if r[axis] == k) / budget
+    raw = {k: sum(c[3] for c in cells if c[0] == k) ** 0.5 for k in "abcdef"}
+    # a group with fewer tokens than its target is drawn whole
+    for axis, want in ((0, {"en": 0.6, "de": 0.2, "fr": 0.2}), (1, dict.fromkeys("xyz", 1 / 3)),
+                       (2, {k: v / sum(raw.values()) for k, v in raw.items()})):
+        most = np.array([sum(c[3] for c in cells if k in c[:3]) for k in want]) / budget
+        goal = mixing._filled(np.array(list(want.values())), most, 1.0)
+        assert np.allclose([share(axis, k) for k in want], goal, atol=2e-3)
+    assert got.draw_error < 1e-3 and total > 0
+
+
 def test_mixing_odd_rows(spark):
     rows = [(i, "w " * (i % 7), "s" if i % 3 else None) for i in range(60)] + [(None, None, "s"), (3, "", None)]
     frame = docs_frame(spark, rows)
