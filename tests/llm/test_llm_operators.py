@@ -380,6 +380,15 @@ def test_licenses(spark):
     assert got == sorted(((i, want.get(i, [])) for i, _, _ in rows), key=str)
 
 
+def test_license_sample_of_different_whole_texts(spark):
+    first = spark.range(200).select(F.concat(F.lit("text "), "id").alias("t")).orderBy(F.xxhash64("t")).first().t
+    long = "word " * 1000 + "end"
+    texts = [first] * 50 + [f"text {i}" for i in range(200)] + [long]
+    got = license_scan.corpus_paragraphs(docs_frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), most=30)
+    assert len(got) == len(set(got)) == 30 and first in got
+    assert license_scan.corpus_paragraphs(docs_frame(spark, [(1, long, "s")])) == [long]
+
+
 def test_license_held_out_accuracy(spark):
     model = license_scan.train(spark, [prose(random.Random(k), 40) for k in range(200)])
     held = [(c, g) for c, g, h in license_scan.training_rows([prose(random.Random(k), 40) for k in range(200, 400)], seed=77) if h]

@@ -5,7 +5,7 @@ three-grams, present or not. A multinomial logistic regression (Spark ML)
 tells the licence families and the class ``unknown`` apart. It is trained on
 licence notices (phrases x names and short standard notices, below), worn by a
 fixed generator: words dropped, replaced and surrounded by words of the
-corpus; and, as unknown, on at most ``MAX_UNKNOWN`` paragraphs of the corpus
+corpus; and, as unknown, on at most ``MAX_UNKNOWN`` whole paragraphs of the corpus
 (by the smallest hash) and on broken notices. A fifth of it is held back to
 calibrate the probabilities by one temperature. A family stands if its
 calibrated probability is at least one half, and if at least
@@ -33,10 +33,11 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import packed, table
+from .common import materialize, packed, table
 
 UNKNOWN = "unknown"
 MAX_UNKNOWN = 2_000
+MAX_UNKNOWN_CHARS = 4_000_000
 MIN_TEMPLATE = 0.6
 WORN_COPIES = 6
 
@@ -196,17 +197,23 @@ def train(spark: SparkSession, corpus: list[str]) -> LicenseModel:
 
 
 def corpus_paragraphs(docs: DataFrame, text_col: str = "text", most: int = MAX_UNKNOWN) -> list[str]:
-    """At most ``most`` different paragraphs, by the smallest hash; the first
-    lines of the texts with the smallest hashes are enough to choose from."""
+    """At most ``most`` different whole paragraphs of at most MAX_UNKNOWN_CHARS
+    characters in all, by the smallest hash (one that does not fit is passed
+    over); the different texts with the smallest hashes are enough to choose from."""
     hashed = docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL").withColumn("h", F.xxhash64("text"))
-    # the limit sorts hashes alone; no text goes to its one task
-    last = hashed.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    # the limit sorts different hashes alone; no text goes to its one task
+    last = hashed.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
     if last is None:
         return []
-    lines = (hashed.where(F.col("h") <= last)
-             .select(F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''").distinct()
-             .orderBy(F.xxhash64("line")).limit(most).select(F.substring("line", 1, 2000).alias("line")))
-    return [r["line"] for r in lines.collect()]
+    lines = materialize(hashed.where(F.col("h") <= last).dropDuplicates(["h"])
+                        .select(F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''").distinct()
+                        .select("line", F.xxhash64("line").alias("k")), "license-lines")
+    chosen, left = [], MAX_UNKNOWN_CHARS
+    for r in lines.select("k", F.length("line").alias("n")).orderBy("k").limit(most).collect():
+        if r["n"] <= left:
+            chosen.append(r["k"])
+            left -= r["n"]
+    return [r["line"] for r in lines.where(F.col("k").isin(chosen)).orderBy("k", "line").collect()]
 
 
 FOUND = "n_paragraphs long, n_license_paragraphs long, licenses array<string>, license string, probability double, template_share double"
