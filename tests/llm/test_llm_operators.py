@@ -423,3 +423,15 @@ def test_toxicity_held_out(spark):
     one_class = toxicity.score_documents(frame.limit(5), table.where("toxic = 0")).collect()
     assert len(one_class) == 5 and len({r.score for r in one_class}) == 1
     assert toxicity.score_documents(frame.limit(0), table.limit(0)).count() == 0
+
+
+def test_toxicity_sample_of_different_texts(spark):
+    first = spark.range(200).select(F.concat(F.lit("text "), "id").alias("t")).orderBy(F.xxhash64("t")).first().t
+    texts = [f"text {i}" for i in range(200)] + [first] * 300
+    frame = docs_frame(spark, [(i, t, "s") for i, t in enumerate(texts)]).select(
+        F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("h"))
+    labels = spark.createDataFrame([(i, int(i == 499)) for i in range(500)], "doc_id long, toxic int")
+    fit = toxicity.fit_rows(frame, labels, 40).collect()
+    assert len(fit) == len({r.text for r in fit}) == 40
+    caps = toxicity.FEATURES.index("capital_words")
+    assert toxicity.text_features("quiet words " * 200 + "YOU ARE LOUD", {}, {})[caps] == 3 / 403

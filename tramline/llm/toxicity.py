@@ -1,7 +1,8 @@
 """Toxicity by gradient-boosted trees over dense features.
 
-1. At most ``MAX_FIT_ROWS`` labelled documents are taken for the fit (by the
-   smallest hash of their text), never a held-out one. They are dealt by text
+1. At most ``MAX_FIT_ROWS`` different labelled texts are taken for the fit (by
+   the smallest hash), never a held-out one; copies count once and are toxic if
+   one of their labels says so. They are dealt by text
    hash, so that copies stay together: half learns the lexicon, three tenths
    the trees, two tenths the calibration.
 2. Lexicon: words and word beginnings (4 to 8 letters) that mark toxic
@@ -86,7 +87,7 @@ def text_features(text: str, words: dict[str, float], stems: dict[str, float], w
     second = yous / n
     upper = sum(map(str.isupper, text))
     letters = sum(map(len, tokens))
-    caps = sum(1 for w in _WORD.findall(text) if len(w) > 1 and w.isupper()) if upper * 10 > letters else 0
+    caps = sum(1 for w in _WORD.findall(text) if len(w) > 1 and w.isupper()) if upper else 0
     mixed = _MIXED.findall(low)
     disguised = sum(1 for m in mixed if (p := m.translate(DISGUISE)) in words or p[:6] in stems)
     length = len(text)
@@ -118,10 +119,11 @@ def fit_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
              .groupBy("id").agg(F.max("label").cast("double").alias("label")))
     part = F.pmod(F.xxhash64(F.lit("part"), "text"), F.lit(10))
     # the rows are chosen by id and hash alone; only the texts of those chosen are fetched
-    chosen = materialize(docs.select("id", "h").join(label, "id").orderBy("h", "id").limit(max_rows), "toxicity-rows")
+    chosen = materialize(docs.select("id", "h").join(label, "id").groupBy("h")
+                         .agg(F.min("id").alias("id"), F.max("label").alias("label")).orderBy("h").limit(max_rows), "toxicity-rows")
     likely = may_be_in(chosen, "id", F.col("id"))
     texts = docs if likely is None else docs.where(likely)
-    return (texts.select("id", F.coalesce("text", F.lit("")).alias("text"), "h").join(chosen, ["id", "h"])
+    return (texts.select("id", F.coalesce("text", F.lit("")).alias("text"), "h").join(chosen, ["id", "h"]).dropDuplicates(["h"])
             .select("text", "label", "h", part.alias("part")))
 
 
