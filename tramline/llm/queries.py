@@ -7,6 +7,7 @@ from .decontam import op8_decontamination
 from .html_text import op5_html_text
 from .license_scan import op2_license
 from .line_dedup import OP10_SQL, op10_line_dedup
+from .merkle import OP13_SQL, op13_merkle
 from .mixing import op4_mixing
 from .repetition import op7_repetition
 from .toxicity import op9_toxicity
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE_SQL = {
     "op1_warc": OP1_SQL,
     "op6_url_filter": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op13_merkle": OP13_SQL,
 }
