@@ -13,7 +13,7 @@ Segment (little-endian, sections padded to 8 bytes)::
     b"DACTOK01" | u32 partition, u32 number in it | u64 ids, u64 documents, u32 levels, u32 0
     documents: i64 doc ids | u8 flags (1: id is null, 2: goes on in the next segment,
                4: comes from the one before) | u64 first place of each document
-    level: u32 width, u32 0, u64 entries | chunks | continuation bits | u32 ranks
+    level: u32 width, u32 0, u64 entries | chunks, and but for the last | continuation bits | u32 ranks
 
 Writing: documents are dealt by ranges of (doc_id, text hash) and sorted, so
 partitions follow each other in the order of the ids; a task encodes its texts
@@ -43,9 +43,11 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import col, materialize, scratch_path, table
@@ -57,7 +59,11 @@ HEAD_BYTES, LEVEL_BYTES = struct.calcsize(HEAD), struct.calcsize(LEVEL)
 STRETCH = 256
 SEGMENT_IDS = 1 << 21
 #: Pieces whose ids a task keeps.
-CACHE = 200_000
+CACHE = 600_000
+#: Characters that are cut up at once.
+BATCH_CHARS = 8 << 20
+#: New pieces that are encoded as one text.
+TOGETHER = 64
 NULL_ID, GOES_ON, CAME_IN = 1, 2, 4
 
 
@@ -97,7 +103,9 @@ def encode(ids: np.ndarray) -> bytes:
     for k, width in enumerate(widths):
         chunk = rest & np.uint32((1 << width) - 1)
         out += [struct.pack(LEVEL, width, 0, len(rest)), _pack(chunk, width)]
-        rest = rest >> np.uint32(width) if width < 32 else rest * 0
+        if k + 1 == len(widths):                                # nothing goes on behind the last level
+            break
+        rest = rest >> np.uint32(width)
         goes = rest > 0
         bits = np.packbits(goes, bitorder="little").tobytes()
         words = np.frombuffer(bits + bytes(-len(bits) % (STRETCH // 8)) + bytes(STRETCH // 8), np.uint64)
@@ -113,13 +121,16 @@ class Codes:
 
     def __init__(self, data, at: int, levels: int):
         self.levels = []
-        for _ in range(levels):
+        for k in range(levels):
             width, _, n = struct.unpack_from(LEVEL, data, at)
             at += LEVEL_BYTES
             size = -(-(n * width) // 8)
             size += -size % 8 + 8
             chunks = np.frombuffer(data, np.uint64, size // 8, at)
             at += size
+            if k + 1 == levels:
+                self.levels.append((width, n, chunks, None, None))
+                break
             size = -(-n // 8)
             size += -size % (STRETCH // 8) + STRETCH // 8
             words = np.frombuffer(data, np.uint64, size // 8, at)
@@ -163,8 +174,42 @@ class Codes:
             place, shift = rank, shift + width
         return out
 
+    def _rank(self, level: int, place: int) -> int:
+        """How many of the level's first ``place`` entries go on."""
+        _, _, _, words, ranks = self.levels[level]
+        stretch, word = place // STRETCH, place >> 6
+        inside = words[stretch * (STRETCH // 64):word]
+        part = int(words[word]) & ((1 << (place & 63)) - 1)
+        return int(ranks[stretch]) + int(np.bitwise_count(inside).sum()) + part.bit_count()
+
     def slice(self, start: int, end: int) -> np.ndarray:
-        return self.at(np.arange(start, end))
+        """The ids at the places start .. end - 1: their chunks stand side by
+        side on every level, between the ranks of the two ends."""
+        start, end = int(start), int(end)
+        out = np.zeros(max(end - start, 0), np.uint32)
+        if not len(out):
+            return out
+        who, shift = None, 0
+        for k, (width, _, chunks, words, _) in enumerate(self.levels):
+            bit = np.arange(start * width, end * width, width, dtype=np.int64)
+            word, off = bit >> 6, (bit & 63).astype(np.uint64)
+            got = chunks[word] >> off | (chunks[word + 1] << np.uint64(1)) << (np.uint64(63) - off)
+            got = ((got & np.uint64((1 << width) - 1)) << np.uint64(shift)).astype(np.uint32)
+            if who is None:
+                out |= got
+            else:
+                out[who] |= got
+            if k + 1 == len(self.levels):
+                break
+            first = start >> 6
+            bits = np.unpackbits(words[first:(end - 1 >> 6) + 1].view(np.uint8), bitorder="little")
+            goes = np.flatnonzero(bits[start - 64 * first:end - 64 * first])
+            if not len(goes):
+                break
+            who, shift = goes if who is None else who[goes], shift + width
+            start = self._rank(k, start)
+            end = start + len(goes)
+        return out
 
 
 class Segment:
@@ -196,48 +241,126 @@ def segment(part: int, number: int, doc_ids, flags, starts, ids: np.ndarray) ->
 
 #: A place before a blank or line feed and behind a character that is no white space.
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
-#: Characters of a piece at most that are worth remembering.
-LONG = 64
-
-
-def encoder(config: str):
-    """A function text -> uint32 ids for a tokenizer's JSON."""
-    import json
-    import os
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    tokenizer, made = Tokenizer.from_str(config), json.loads(config)
-    pre = made.get("pre_tokenizer") or {}
-    added = made.get("added_tokens") or []
-    pieces = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-              and not made.get("normalizer") and not made.get("truncation")
-              and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in added))
-    kept: dict[str, bytes] = {}
-
-    def fetch(new: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch(new, add_special_tokens=False)]
-
-    def ids(text: str) -> np.ndarray:
-        if not pieces:
-            return np.frombuffer(fetch([text])[0], np.uint32)
+#: White space side by side: only ``CUT`` tells where such a text can be cut.
+CROWDED = r"[\s\v\p{Z}\x{85}\x1c-\x1f][\s\v\p{Z}\x{85}\x1c-\x1f]"
+
+
+class Encoder:
+    """Texts to ids for a tokenizer's JSON."""
+
+    def __init__(self, config: str):
+        import json
+        import os
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tokenizer, made = Tokenizer.from_str(config), json.loads(config)
+        pre = made.get("pre_tokenizer") or {}
+        self.in_pieces = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+                          and not made.get("normalizer") and not made.get("truncation")
+                          and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in made.get("added_tokens") or []))
+        self.kept: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces (as bytes), from the cache where they
+        are known."""
+        out = list(map(self.kept.get, pieces))
+        places = [i for i, b in enumerate(out) if b is None]
+        new = [pieces[i] for i in places]
+        made = self._new(new)
+        for i, b in zip(places, made, strict=True):
+            out[i] = b
+        if len(self.kept) + len(new) > CACHE:
+            self.kept.clear()
+        if len(new) <= CACHE:
+            self.kept.update(zip(new, made, strict=True))
+        return out
+
+    def _new(self, pieces: list[str]) -> list[bytes]:
+        """Pieces that begin with a blank or line feed and end with neither are
+        encoded some at a time, as one text cut by the ids' places in it."""
+        plain = [i for i, p in enumerate(pieces) if p and p[0] in " \n" and not p[-1].isspace()]
+        runs = [plain[k:k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
+        out: list = [None] * len(pieces)
+        texts = ["".join([pieces[i] for i in run]) for run in runs]
+        for run, got in zip(runs, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+            ids, at = np.array(got.ids, np.uint32).tobytes(), [o[0] for o in got.offsets]
+            begin = place = 0
+            for i in run:
+                place += len(pieces[i])
+                end = bisect_left(at, place, begin)
+                out[i] = ids[4 * begin:4 * end]
+                begin = end
+        rest = [i for i, b in enumerate(out) if b is None]
+        for i, b in zip(rest, self._whole([pieces[i] for i in rest]), strict=True):
+            out[i] = b
+        return out
+
+    def text(self, text: str) -> np.ndarray:
+        """The ids of one text, cut wherever white space follows anything else."""
+        if not self.in_pieces:
+            return np.frombuffer(self._whole([text])[0], np.uint32)
         parts = CUT.split(text)
-        new = list({p for p in parts if p not in kept})
-        made = dict(zip(new, fetch(new), strict=True))
-        out = b"".join([made[p] if p in made else kept[p] for p in parts])
-        if len(kept) + len(new) > CACHE:
-            kept.clear()
-        kept.update((p, v) for p, v in list(made.items())[:CACHE] if len(p) <= LONG)
-        return np.frombuffer(out, np.uint32)
-    return ids
+        different = list(set(parts))
+        ids = dict(zip(different, self.pieces(different), strict=True))
+        return np.frombuffer(b"".join(map(ids.__getitem__, parts)), np.uint32)
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text. Texts without white space side by side are
+        cut at every blank and line feed, all at once, and their pieces are
+        looked up by number."""
+        if not self.in_pieces:
+            return [np.frombuffer(b, np.uint32) for b in self._whole(texts.to_pylist())]
+        crowded = pc.match_substring_regex(texts, CROWDED)
+        out: list = [None] * len(texts)
+        for i in np.flatnonzero(crowded.to_numpy(zero_copy_only=False)):
+            out[i] = self.text(texts[int(i)].as_py())
+        even = np.flatnonzero(~crowded.to_numpy(zero_copy_only=False))
+        if not len(even):
+            return out
+        # a blank ahead of each line feed: the split leaves the line feed with its piece, and takes the blanks
+        parts = pc.split_pattern(pc.replace_substring(texts.take(pa.array(even)), "\n", " \n"), " ")
+        numbered = parts.flatten().dictionary_encode()
+        number, words = numbered.indices.to_numpy().astype(np.int64), numbered.dictionary
+        offsets = parts.offsets.to_numpy().astype(np.int64)
+        offsets = offsets - offsets[0]
+        # a text's first piece has no blank before it
+        plain, own = np.unique(number[offsets[:-1]], return_inverse=True)
+        number[offsets[:-1]] = len(words) + own
+        spaced = pc.if_else(pc.starts_with(words, "\n"), words, pc.binary_join_element_wise(pa.scalar(" ", words.type), words, pa.scalar("", words.type)))
+        table = self.pieces(spaced.to_numpy(zero_copy_only=False).tolist()) + self.pieces(words.take(pa.array(plain)).to_pylist())
+        flat = np.frombuffer(b"".join(table), np.uint32)
+        size = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        begin = np.cumsum(size) - size
+        n = size[number]
+        ends = np.cumsum(n)
+        stream = flat[np.repeat(begin[number] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[offsets]
+        for k, i in enumerate(even):
+            out[i] = stream[bounds[k]:bounds[k + 1]]
+        return out
 
 
 # --- files ------------------------------------------------------------------
 
+def _encoded(encoder: Encoder, batch: pa.RecordBatch):
+    """(doc id, ids) of a batch, in runs of about BATCH_CHARS bytes."""
+    texts = batch.column("text").cast(pa.large_string())
+    sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+    run = np.cumsum(sizes) // BATCH_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(batch)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield from zip(batch.column("doc_id").slice(a, b - a).to_pylist(), encoder.batch(texts.slice(a, b - a)), strict=True)
+
+
 def _writing(config, end_id: int, segment_ids: int):
     def run(batches):
         from pyspark import TaskContext
         part, number = TaskContext.get().partitionId(), 0
-        ids_of = encoder(config.value)
+        encoder = config.value.get("encoder") or config.value.setdefault("encoder", Encoder(config.value["config"]))
         ids, doc_ids, flags, starts, held = [], [], [], [], 0
 
         def close(goes_on: bool):
@@ -248,19 +371,18 @@ def _writing(config, end_id: int, segment_ids: int):
             ids, doc_ids, flags, starts, held, number = [], [], [], [], 0, number + 1
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["segment"])
 
-        for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                own = np.append(ids_of(text.as_py()), np.uint32(end_id)).astype(np.uint32)
-                at = 0
-                while at < len(own):
-                    take = own[at:at + segment_ids - held]
-                    doc_ids.append(doc or 0)
-                    flags.append((NULL_ID if doc is None else 0) | (CAME_IN if at else 0))
-                    starts.append(held)
-                    ids.append(take)
-                    held, at = held + len(take), at + len(take)
-                    if held >= segment_ids:
-                        yield close(at < len(own))
+        for doc, ids_of_doc in ((d, x) for batch in batches for d, x in _encoded(encoder, batch)):
+            own = np.append(ids_of_doc, np.uint32(end_id))
+            at = 0
+            while at < len(own):
+                take = own[at:at + segment_ids - held]
+                doc_ids.append(doc or 0)
+                flags.append((NULL_ID if doc is None else 0) | (CAME_IN if at else 0))
+                starts.append(held)
+                ids.append(take)
+                held, at = held + len(take), at + len(take)
+                if held >= segment_ids:
+                    yield close(at < len(own))
         if held:
             yield close(False)
     return run
@@ -272,7 +394,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     ids in ascending order of the ids of the documents below ``path``."""
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
-        config = spark.sparkContext.broadcast(f.read())         # a vocabulary: a few MB
+        # a vocabulary of a few MB; a worker keeps its encoder in the dictionary, for all its tasks
+        config = spark.sparkContext.broadcast({"config": f.read()})
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     # the running id only deals equal rows over several partitions
     rows = rows.withColumn("h", F.xxhash64("text")).withColumn("tie", F.monotonically_increasing_id())
