@@ -49,6 +49,7 @@ REFS, SAMPLE, BLOCK = 16, 2048, 256
 GROUP_BYTES = 8 << 20
 #: Beyond the error of arccos near its ends (the root of the double's epsilon).
 SLACK = 1e-7
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def quantized(vectors: DataFrame, id_col: str, vec_col: str, label_col: str, scale: int = 256) -> DataFrame:
@@ -118,7 +119,10 @@ def build_index(rows: DataFrame, refs: int = REFS) -> tuple[DataFrame, int]:
     by = ["label", "home", "near", "vec_id", "tie"]
     placed = materialize(angled, "negatives-angles").repartitionByRange(n, *by).sortWithinPartitions(*by)
     index = placed.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "label", "vec", "norm", "angles")
-    return materialize(index, "negatives-index"), width
+    index = materialize(index, "negatives-index")
+    if (index.agg(F.max("norm")).first()[0] or 0.0) ** 2 >= 2.0 ** 62:
+        raise OverflowError("inner products may not fit 64 bits")
+    return index, width
 
 
 class Anchors:
@@ -126,15 +130,13 @@ class Anchors:
 
     def __init__(self, rid, label, vec, norm, angles, low, high):
         self.rid, self.label, self.vec, self.norm, self.angles = rid, label, vec, norm, angles
-        self.low, self.high = low, high            # float64, anchors x slots; no window: low > high
+        self.low, self.high = low, high            # whole numbers, anchors x slots; no window: low > high
 
 
 def _products(a: np.ndarray, b: np.ndarray, most: float) -> np.ndarray:
     if most < 2.0 ** 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    if most < 2.0 ** 62:
-        return a.astype(np.int64) @ b.astype(np.int64).T
-    raise OverflowError("inner products do not fit 64 bits")
+    return a.astype(np.int64) @ b.astype(np.int64).T
 
 
 def _bounds(angles: np.ndarray, low: np.ndarray, high: np.ndarray, norm: np.ndarray, short: np.ndarray, long: np.ndarray):
@@ -158,7 +160,7 @@ class Best:
 
     def __init__(self, anchors: int, slots: int, k: int):
         self.k, self.kept = k, np.empty((0, 6), np.int64)
-        self.floor = np.full((anchors, slots), -np.inf)     # the last kept score of full lists
+        self.floor = np.full((anchors, slots), LEAST)       # the last kept score of full lists
 
     def add(self, anchor, slot, score, vec_id, none, rid):
         rows = np.column_stack([anchor, slot, -score, none, vec_id, rid]).astype(np.int64)
@@ -232,7 +234,7 @@ FOUND = "anchor long, slot int, rid long, score long, vec_id long"
 
 def search(index: DataFrame, width: int, asking: DataFrame, slots: int, k: int, same: bool, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The first ``k`` rows of the index for every row of ``asking`` (rid,
-    label, vec, norm, angles, low array<double>, high array<double>: the
+    label, vec, norm, angles, low array<long>, high array<long>: the
     windows), of the same label or of others: (anchor, slot, rid, score,
     vec_id, rank). Anchors come in groups of ``group_bytes``."""
     spark = index.sparkSession
@@ -249,7 +251,7 @@ def search(index: DataFrame, width: int, asking: DataFrame, slots: int, k: int,
         group = spark.sparkContext.broadcast(Anchors(
             got["rid"].to_numpy(), got["label"].to_numpy(), _matrix(got["vec"].combine_chunks(), len(got), np.int64),
             got["norm"].to_numpy(), _matrix(got["angles"].combine_chunks(), len(got), np.float64),
-            _matrix(got["low"].combine_chunks(), len(got), np.float64), _matrix(got["high"].combine_chunks(), len(got), np.float64)))
+            _matrix(got["low"].combine_chunks(), len(got), np.int64), _matrix(got["high"].combine_chunks(), len(got), np.int64)))
         found = index.mapInArrow(_searching(group, k, same), FOUND)
         first = Window.partitionBy("anchor", "slot").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "rid")
         parts.append(materialize(found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k), "negatives-found"))
@@ -270,21 +272,20 @@ def mine(rows: DataFrame, is_anchor, positives: int = 5, negatives: int = 3, low
     ``high`` hundredths of the positive's."""
     index, width = build_index(rows)
     anchors = index.where(is_anchor)
-    every = F.array(F.lit(float("-inf"))), F.array(F.lit(float("inf")))
-    asking = anchors.select("rid", "label", "vec", "norm", "angles", every[0].alias("low"), every[1].alias("high"))
+    asking = anchors.select("rid", "label", "vec", "norm", "angles", F.array(F.lit(LEAST)).alias("low"), F.array(F.lit(MOST)).alias("high"))
     near = search(index, width, asking, 1, positives, True, group_bytes)
     # 100 n >= low p and 100 n <= high p: the least and the greatest integers
-    p = F.col("score")
-    least, most = -F.floor(-(p * low) / F.lit(100)), F.floor((p * high) / F.lit(100))
+    hundredths = lambda x: f"((CAST(score AS DECIMAL(20, 0)) * {x}) - pmod(CAST(score AS DECIMAL(20, 0)) * {x}, 100)) div 100"
+    least, most = F.expr(f"-({hundredths(-low)})"), F.expr(hundredths(high))
     wide = materialize(near.select(F.col("anchor").alias("rid"), F.struct(
         (F.col("rank") - 1).alias("slot"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"),
-        least.cast("double").alias("least"), most.cast("double").alias("most")).alias("p"))
+        least.cast("long").alias("least"), most.cast("long").alias("most")).alias("p"))
         .groupBy("rid").agg(F.array_sort(F.collect_list("p")).alias("p")), "negatives-windows")
     fill = lambda name, none: F.concat(F.transform("p", lambda x: x[name]),
                                        F.array_repeat(F.lit(none), F.lit(positives) - F.size("p")))
     named = anchors.select("rid", "vec_id", "label", "vec", "norm", "angles").join(wide, "rid")
-    asking = named.select("rid", "label", "vec", "norm", "angles", fill("least", float("inf")).alias("low"),
-                          fill("most", float("-inf")).alias("high"))
+    asking = named.select("rid", "label", "vec", "norm", "angles", fill("least", MOST).alias("low"),
+                          fill("most", LEAST).alias("high"))
     far = search(index, width, asking, positives, negatives, False, group_bytes)
     slots = named.select(F.col("rid").alias("anchor"), F.col("vec_id").alias("anchor_id"), F.explode("p").alias("p")).select(
         "anchor", "anchor_id", F.col("p.slot").cast("int").alias("slot"), "p.positive_id", "p.positive_score")
