@@ -22,10 +22,12 @@ Plan:
    the exact weighted Jaccard similarity of the texts.
 4. Components of the links. In buckets of more than two nodes, those outside
    the bucket's largest component are then compared with all its nodes, in
-   blocks. Links between different components that were not tested yet are
-   verified, ``SPARE`` per node and round at first and four times as many in
-   each further round, and the components taken again, until no such link is
-   left; links inside a component add nothing.
+   tiles. The nodes of a tile that have an uncertain link to another component
+   get their texts, and a second pass over the tile verifies these links where
+   they are: it puts out only links that hold and join components, so its
+   output grows with its nodes, not with its pairs. Of all buckets that two
+   nodes share, the least one tests them. No link between components is left
+   untested; links inside a component add nothing.
 
 Defined results: texts without words (null, empty, blank) stay alone; texts of
 fewer than five words are one shingle; words are lower-cased; rows equal in id
@@ -54,7 +56,8 @@ COORDINATES, BANDS, ROWS = 128, 25, 5
 #: 3.5 standard deviations of the estimate at the threshold; exact outside of chance 0.0005.
 UNSURE = 0.12
 CELL, BLOCK, PIVOTS = 400, 200, 15
-SPARE = 4
+#: Characters of text on each side of a tile.
+BLOCK_CHARS = 16 << 20
 
 
 def dart_signatures(documents: list[tuple[np.ndarray, np.ndarray]], k: int = COORDINATES) -> np.ndarray:
@@ -128,38 +131,41 @@ def _bands(signature: np.ndarray) -> np.ndarray:
 
 
 def _chunks(pdf: pd.DataFrame, words: WordHashes, most: int = 20_000):
-    """Rows with words, in runs of about ``most`` shingles."""
-    rows, sets, n = [], [], 0
+    """Rows with words, their lengths and their shingles, in runs of about
+    ``most`` shingles."""
+    rows, sizes, sets, n = [], [], [], 0
     for i, h, text in zip(pdf["id"], pdf["h"], pdf["text"], strict=True):
         elements, counts = shingles(text, words)
         if len(elements):
             rows.append((i, h))
+            sizes.append(len(text))
             sets.append((elements, counts))
             n += len(elements)
         if n >= most:
-            yield rows, sets
-            rows, sets, n = [], [], 0
+            yield rows, sizes, sets
+            rows, sizes, sets, n = [], [], [], 0
     if rows:
-        yield rows, sets
+        yield rows, sizes, sets
 
 
 def _signature_rows(batches):
     words = WordHashes()
     for pdf in batches:
-        for rows, sets in _chunks(pdf, words):
+        for rows, sizes, sets in _chunks(pdf, words):
             signed = dart_signatures(sets)
             frame = pd.DataFrame(rows, columns=["id", "h"])
             frame["id"] = frame["id"].astype("Int64")
             frame["node"] = [int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).view(np.int64)) for s in signed]
             frame["sig"] = [s.tobytes() for s in (signed & np.uint64(255)).astype(np.uint8)]
             frame["bands"] = [_bands(s).tolist() for s in signed]
+            frame["size"] = sizes
             yield frame
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(id, h, node, sig, bands) of the documents with words; ``docs``: id, h, text."""
+    """(id, h, node, sig, bands, size) of the documents with words; ``docs``: id, h, text."""
     rows = docs.select(F.col("id").cast("long").alias("id"), "h", "text")
-    return rows.mapInPandas(_signature_rows, "id long, h long, node long, sig binary, bands array<long>")
+    return rows.mapInPandas(_signature_rows, "id long, h long, node long, sig binary, bands array<long>, size long")
 
 
 def _likely(sig: np.ndarray, first: int, label: np.ndarray | None = None):
@@ -191,7 +197,7 @@ def _forest(nodes: np.ndarray, sig: np.ndarray, first: int) -> pd.DataFrame:
     """Links among the rows of ``sig`` with an end before row ``first`` (all
     rows: first = len): a maximum spanning forest of the estimates, and a second
     uncertain link of nodes that have one, should the first not hold. What this
-    leaves untested ``_between`` offers again."""
+    leaves untested the tiles test."""
     left, right, score = _likely(sig, first)
     find, root = _finder(np.arange(len(nodes)))
     near = np.zeros(len(nodes), np.int64)
@@ -220,47 +226,52 @@ def _cell_links(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 LINKS = "a long, b long, estimate double"
-#: ``more``: the task has links beyond those put out
-OFFERS = LINKS + ", more boolean"
+#: One row of a tile: ``reps`` are all buckets of the node, ``asking`` rows are compared with all.
+TILE = "bucket long, cell long, node long, sig binary, label long, reps array<long>, asking boolean"
 
 
-def _offers(most: int):
-    def offers(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _between(pdf, most)
-
-    return offers
-
-
-def _between(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
-    """One task's nodes, of which those marked ``asking`` are compared with
-    all: clear links that join components, and per node the ``most`` closest
-    untested uncertain links to other components. ``tested`` lists the nodes
-    that an asking node has already been tested against."""
-    pdf = pdf.sort_values(["asking", "node"], ascending=[False, True]).drop_duplicates("node")
-    nodes, first = pdf["node"].to_numpy(np.int64), int(pdf["asking"].sum())
+def _across(pdf: pd.DataFrame):
+    """The rows of a tile, asking ones first, and its likely pairs between
+    components (left, right, estimate; best first) that no lesser bucket tests."""
+    pdf = pdf.sort_values(["asking", "node"], ascending=[False, True]).drop_duplicates("node").reset_index(drop=True)
     _, label = np.unique(pdf["label"].to_numpy(np.int64), return_inverse=True)
-    left, right, score = _likely(np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1), first, label)
-    find, root = _finder(np.arange(len(nodes)))
-    tested = [set() if t is None else set(t) for t in pdf["tested"]]
-    near = np.zeros(len(nodes), np.int64)
-    keep, more = [], False
-    for e in np.argsort(-score, kind="stable"):
-        x, y = left[e], right[e]
+    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
+    left, right, score = _likely(sig, int(pdf["asking"].sum()), label)
+    reps, here = [set(x) for x in pdf["reps"]], pdf["bucket"].iloc[0]
+    own = np.array([min(reps[x] & reps[y]) == here for x, y in zip(left, right, strict=True)], bool)
+    left, right, score = left[own], right[own], score[own]
+    order = np.argsort(-score, kind="stable")
+    return pdf, label, left[order], right[order], score[order]
+
+
+def _unsure_rows(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a tile that have a likely link to another component."""
+    pdf, _, left, right, _ = _across(pdf)
+    return pdf.iloc[np.union1d(left, right)]
+
+
+def _tile_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links of a tile that hold and join components: clear ones by their
+    estimate, the others by the texts."""
+    pdf, label, left, right, score = _across(pdf)
+    find, root = _finder(np.arange(len(label)))
+    words, texts, known = WordHashes(), pdf["text"].to_numpy(), {}
+
+    def shingled(x):
+        if x not in known:
+            if len(known) >= BLOCK:                  # bounds what is kept of long texts
+                known.clear()
+            known[x] = shingles(texts[x], words)
+        return known[x]
+
+    keep = []
+    for x, y, estimate in zip(left, right, score, strict=True):
         fx, fy = find(label[x]), find(label[y])
-        if fx == fy or nodes[y] in tested[x] or nodes[x] in tested[y]:
-            continue
-        if score[e] >= SIMILARITY + UNSURE:
+        if fx != fy and (estimate >= SIMILARITY + UNSURE or weighted_jaccard(shingled(x), shingled(y)) >= SIMILARITY):
             root[max(fx, fy)] = min(fx, fy)
-        elif min(near[x], near[y]) >= most:
-            more = True
-            continue
-        keep.append(e)
-        near[x] += 1
-        near[y] += 1
-    a, b = nodes[left[keep]], nodes[right[keep]]
-    out = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "estimate": score[keep]})
-    out["more"] = more
-    return out
+            keep.append((x, y))
+    nodes = pdf["node"].to_numpy(np.int64)
+    return pd.DataFrame([(nodes[x], nodes[y]) for x, y in keep], columns=["a", "b"], dtype=np.int64)
 
 
 def _pair_links(batches):
@@ -298,7 +309,7 @@ def near_duplicate_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     signed = materialize(signatures(docs), "dart-signatures")
     nodes = materialize(
         signed.groupBy("node").agg(F.min(F.struct("id", "h")).alias("rep"), F.first("sig").alias("sig"),
-                                   F.first("bands").alias("bands")), "dart-nodes")
+                                   F.first("bands").alias("bands"), F.first("size").alias("size")), "dart-nodes")
 
     def texts(ends: DataFrame) -> DataFrame:
         reps = materialize(nodes.join(ends, "node").select("node", "rep", F.xxhash64("rep.id", "rep.h").alias("key")), "dart-ends")
@@ -311,15 +322,15 @@ def near_duplicate_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = materialize(at.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a"),
                                                    F.max("node").alias("b"), F.bit_xor(F.xxhash64("node")).alias("x"))
                           .where("n > 1"), "dart-buckets")
-    sigs = nodes.select("node", "sig")
+    sigs = nodes.select("node", "sig", "size")
     pairs = buckets.where("n = 2").select("a", "b").distinct()
-    pairs = (pairs.join(sigs.withColumnRenamed("node", "a"), "a")
+    pairs = (pairs.join(sigs.select(F.col("node").alias("a"), "sig"), "a")
              .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b"))
     links = pairs.select("a", "b", "sig", "sig_b").mapInPandas(_pair_links, LINKS)
 
     # bands that put the same nodes together need one comparison
     crowds = buckets.where("n > 2").groupBy("n", "a", "b", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    crowd = materialize(at.join(crowds, "bucket").join(sigs, "node").select("bucket", "n", "node", "sig"), "dart-crowd")
+    crowd = materialize(at.join(crowds, "bucket").join(sigs, "node").select("bucket", "n", "node", "sig", "size"), "dart-crowd")
     block = F.when(F.col("n") > CELL, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).otherwise(F.lit(0))
     members = crowd.withColumn("cell", block.cast("long")).withColumn("asking", F.lit(True))
     pivots = _pivots(crowd)
@@ -331,20 +342,14 @@ def near_duplicate_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = materialize(_verified(links, texts), "dart-edges")
     labels = components(spark, edges)
 
-    tested, most = links.select("a", "b"), SPARE
-    while (rest := _unsettled(crowd, labels, tested)) is not None:
-        offered = materialize(rest.groupBy("bucket", "cell").applyInPandas(_offers(most), OFFERS)
-                              .groupBy("a", "b").agg(F.max("estimate").alias("estimate"), F.max("more").alias("more")),
-                              "dart-more-links")
-        more = offered.agg(F.max("more")).first()[0]
-        if more is None:                             # nothing was offered
-            break
-        held = materialize(_verified(offered.select("a", "b", "estimate"), texts), "dart-more-edges")
-        if not held.isEmpty():
-            labels = _joined(spark, labels, held)
-        if not more:                                 # every link between components was tested
-            break
-        tested, most = materialize(tested.unionByName(offered.select("a", "b")), "dart-tested"), most * 4
+    if (rest := _unsettled(crowd, labels)) is not None:
+        unsure = materialize(rest.groupBy("bucket", "cell").applyInPandas(_unsure_rows, TILE), "dart-unsure")
+        if not unsure.isEmpty():
+            found = materialize(texts(unsure.select("node").distinct()), "dart-texts")
+            held = unsure.join(found, "node").groupBy("bucket", "cell").applyInPandas(_tile_links, "a long, b long")
+            held = materialize(held.distinct(), "dart-more-edges")
+            if not held.isEmpty():
+                labels = _joined(spark, labels, held)
     return signed.select("id", "h", "node"), labels
 
 
@@ -372,40 +377,36 @@ def _pivots(crowd: DataFrame) -> DataFrame:
     return best.select("bucket", "best.node", "best.sig")
 
 
-def _unsettled(crowd: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame | None:
-    """Cells that compare every node outside a bucket's largest component with
-    all nodes of the bucket, block by block; with an asking node, the nodes of
-    other components that it was ``tested`` against."""
+def _unsettled(crowd: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Tiles that compare every node outside a bucket's largest component with
+    all nodes of the bucket; bounded in nodes and in characters of text."""
     if crowd.isEmpty():
         return None
-    known = materialize(crowd.join(labels, "node", "left")
+    reps = crowd.groupBy("node").agg(F.collect_set("bucket").alias("reps"))     # a bucket per band at most
+    known = materialize(crowd.join(labels, "node", "left").join(reps, "node")
                         .withColumn("label", F.coalesce("label", "node")), "dart-known")
-    sizes = known.groupBy("bucket", "label").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("m"), F.sum("size").alias("n"))
-    outside = largest.select("bucket", F.col("m.label").alias("main"), (F.col("n") - F.col("m.size")).alias("n_out"),
-                             F.ceil(F.col("n") / BLOCK).alias("blocks")).where("n_out > 0")
-    outside = materialize(outside.withColumn("chunks", F.ceil(F.col("n_out") / BLOCK)), "dart-outside")
+    sizes = known.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.sum("size").alias("chars"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "label", "chars")).alias("m"), F.sum("size").alias("n"),
+                                          F.sum("chars").alias("chars"))
+    parts = lambda n, chars: F.ceil(F.greatest(n / BLOCK, chars / BLOCK_CHARS, F.lit(1.0)))
+    outside = largest.select(
+        "bucket", F.col("m.label").alias("main"), (F.col("n") - F.col("m.size")).alias("n_out"),
+        parts(F.col("n"), F.col("chars")).alias("blocks"),
+        parts(F.col("n") - F.col("m.size"), F.col("chars") - F.col("m.chars")).alias("chunks")).where("n_out > 0")
+    outside = materialize(outside, "dart-outside")
     if outside.isEmpty():
         return None
     there = known.join(outside, "bucket")
-    # links inside a component are not asked for again; only asking nodes need to know theirs
-    label = known.groupBy("node").agg(F.first("label").alias("label"))
-    apart = (tested.join(label.select(F.col("node").alias("a"), F.col("label").alias("label_a")), "a")
-             .join(label.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b")
-             .where("label_a <> label_b").select("a", "b"))
-    apart = (apart.unionByName(apart.select(F.col("b").alias("a"), F.col("a").alias("b")))
-             .withColumnRenamed("a", "node").join(there.where("label <> main").select("node").distinct(), "node", "left_semi")
-             .groupBy("node").agg(F.collect_set("b").alias("tested")))
     mine = F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.col("chunks"))
-    asking = (there.where("label <> main").join(apart, "node", "left").withColumn("chunk", mine)
+    asking = (there.where("label <> main").withColumn("chunk", mine)
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .withColumn("asking", F.lit(True)))
     asked = (there.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
              .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .withColumn("asking", F.lit(False)).withColumn("tested", F.lit(None).cast("array<long>")))
+             .withColumn("asking", F.lit(False)))
     cell = (F.col("chunk") * F.col("blocks") + F.col("block")).alias("cell")
-    return (asking.select("bucket", cell, "node", "sig", "label", "tested", "asking")
-            .unionByName(asked.select("bucket", cell, "node", "sig", "label", "tested", "asking")))
+    columns = ["bucket", cell, "node", "sig", "label", "reps", "asking"]
+    return asking.select(*columns).unionByName(asked.select(*columns))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
