@@ -21,7 +21,11 @@ exclusive or, with partial aggregation.
    element only hints at the main one: beside it, a region is main text too if
    its unlinked text is at least ``MIN_REGION`` of the article's. Containers
    that name themselves menu, advert, notice, comment and the like never hold
-   main text.
+   main text: a name counts if all its words are known ones (``cookie-notice``,
+   not ``has-sidebar`` or ``research-share``), and not on html, body and main.
+   A bar by name, by a form or by hiding is lifted from the containers around
+   the main text: around the largest article if all articles are barred, and
+   from a form that holds half of the page's text, with headings or paragraphs.
 
 A class is at most one page's tokens, a host's templates are its valid classes;
 they are written first and then meet the pages by host, without a shuffle of
@@ -64,22 +68,36 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes template".split())
 SELF_CLOSING = {"li": ("li",), "p": ("p",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
                 "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
-#: Elements and name words that never hold main text.
-NO_TEXT_TAGS = frozenset("""aside audio button canvas dialog fieldset footer form head iframe menu nav noscript object option
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p article main".split())
+#: Elements that never hold main text, and those that rarely do.
+NO_TEXT_TAGS = frozenset("""aside audio button canvas dialog footer head iframe menu nav noscript object option
     script select style svg template textarea title video xmp noembed noframes""".split())
-NO_TEXT_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising alert aside banner breadcrumb breadcrumbs comment
-    comments complementary consent contentinfo cookie cookies copyright disqus footer form gdpr login masthead menu menus modal
-    nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion
-    related replies reply respond rail search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe
-    subscription teaser toolbar topbar widget widgets""".split())
+FORM_TAGS = frozenset(("form", "fieldset"))
+#: Words of names that say what is no main text, and words that go with them.
+NO_TEXT_WORDS = frozenset("""ad ads adv advert adverts advertisement advertisements advertising alert alerts aside banner banners
+    breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies copyright disclaimer disqus footer form
+    forms gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices notification notifications overlay
+    pagination pager popup promo promos promoted promotion promotions related replies reply respond search share sharing sidebar
+    sidebars sidenav signup signin skip social sponsor sponsored sponsors subscribe subscription teaser teasers toolbar topbar
+    widget widgets""".split())
+FILLER_WORDS = frozenset("""a above all area article articles bar below block body bottom box btn button buttons center col column
+    container content cta field fields fixed for global group header heading holder home icons inline inner input item items js
+    layout left link links list local main message messages mobile module of on out outer page panel position post posts primary
+    region right row section secondary site slot small sticky story strip tertiary text the title to top unit user wrap wrapper
+    zone""".split())
 #: Of a page, but not of an article (there they hold its title).
-HEADER_WORDS = frozenset(("header", "head", "top"))
+HEADER_WORDS = frozenset(("header", "head", "top", "masthead"))
+#: How much an element bars its text: not, unless it holds the main text, always.
+OPEN, WEAK, SHUT = 0, 1, 2
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""", re.S)
+#: Comments, declarations, tags; attributes with closed quotes, else up to the next bracket.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)
+    |<(/?)([a-zA-Z][^\s/>]*)(?:((?:"[^"]*"(?=[\s/>])|'[^']*'(?=[\s/>])|[^'">])*)>|([^>]*)(?:>|\Z))""", re.S | re.X)
 _NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _LANG = re.compile(r"""(?:^|\s)lang\s*=\s*["']?([\w-]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 
 
 def _hash(text: str) -> int:
@@ -87,24 +105,86 @@ def _hash(text: str) -> int:
 
 
 class _Node:
-    """An open container. ``path`` names its role, ``barred`` says that it can
-    hold no main text, ``inside`` that it is, or is in, an article."""
-    __slots__ = ("tag", "path", "role", "barred", "inside")
-
-    def __init__(self, tag: str, path: str, barred: bool, inside: bool):
-        self.tag, self.path, self.barred, self.inside = tag, path, barred, inside
+    """A container. ``path`` names its role, ``bar`` says how it bars its text,
+    ``within`` that it is, or is in, an article or main element."""
+    __slots__ = ("tag", "path", "role", "parent", "bar", "article", "within", "prose", "_state")
+
+    def __init__(self, tag: str, path: str, parent, bar: int, article: bool):
+        self.tag, self.path, self.parent, self.bar, self.article = tag, path, parent, bar, article
+        self.within = article or parent is not None and parent.within
+        self.prose = False
         self.role = _hash(path)
+        self._state = None
+
+    def state(self) -> tuple[bool, bool]:
+        """(barred, in an article that is not barred); asked for when the
+        whole page is read and bars are lifted."""
+        if self._state is None:
+            barred, inside = self.parent.state() if self.parent else (False, False)
+            barred = barred or self.bar != OPEN
+            self._state = barred, not barred and (inside or self.article)
+        return self._state
+
+    @property
+    def barred(self) -> bool:
+        return self.state()[0]
+
+    @property
+    def inside(self) -> bool:
+        return self.state()[1]
+
+    def upwards(self):
+        node = self
+        while node is not None:
+            yield node
+            node = node.parent
+
+
+def _says_no_text(name: str) -> bool:
+    words = [w.lower() for w in _WORDS.findall(name)]
+    return any(w in NO_TEXT_WORDS for w in words) and all(w in NO_TEXT_WORDS or w in FILLER_WORDS for w in words)
+
+
+def _says_header(name: str) -> bool:
+    words = [w.lower() for w in _WORDS.findall(name)]
+    return any(w in HEADER_WORDS for w in words) and all(w in HEADER_WORDS or w in FILLER_WORDS for w in words)
 
 
 def _opened(tag: str, attributes: str, parent: _Node) -> _Node:
     names = " ".join(v for m in _NAME.finditer(attributes) for v in [m[2] or m[3] or m[4] or ""]) if attributes else ""
-    words = {w.lower() for w in _WORDS.findall(names)}
-    article = tag in ("article", "main") or "main" in words and "role" in attributes.lower()
-    barred = parent.barred or tag in NO_TEXT_TAGS or bool(words & NO_TEXT_WORDS) or bool(attributes and _HIDDEN.search(attributes))
-    if not parent.inside and not article:
-        barred = barred or tag == "header" or bool(words & HEADER_WORDS)
+    article = tag in ("article", "main") or "role" in attributes.lower() and "main" in names.lower().split()
+    frame = tag in ("html", "body", "main") or article and tag != "article"
+    bar = OPEN
+    if tag in NO_TEXT_TAGS:
+        bar = SHUT
+    elif tag in FORM_TAGS or attributes and _HIDDEN.search(attributes) or not frame and any(map(_says_no_text, names.split())):
+        bar = WEAK
+    elif not parent.within and not article and not frame and (tag == "header" or any(map(_says_header, names.split()))):
+        bar = WEAK
     label = tag + "".join("." + n for n in sorted(set(re.sub(r"\d+", "0", names).split())))
-    return _Node(tag, f"{parent.path}>{label}", barred, parent.inside or article and not barred)
+    return _Node(tag, f"{parent.path}>{label}", parent, bar, article)
+
+
+def _lift(blocks: list, nodes: list) -> None:
+    """Takes weak bars from what is around the page's main text."""
+    held: dict[int, int] = {}
+    for text, linked, node, _ in blocks:
+        for up in node.upwards():
+            if up.bar == SHUT:
+                break
+        else:
+            for up in node.upwards():
+                held[id(up)] = held.get(id(up), 0) + len(text) - linked
+    weight = lambda n: held.get(id(n), 0)
+    articles = [n for n in nodes if n.article and n.bar == OPEN and weight(n)]
+    around = lambda n: [u for u in n.upwards() if u is not n and u.bar]
+    if articles and all(around(n) for n in articles):
+        for up in around(max(articles, key=weight)):
+            up.bar = OPEN
+    page = weight(nodes[0])
+    for n in nodes:
+        if n.bar == WEAK and n.tag in FORM_TAGS and n.prose and 2 * weight(n) >= page > 0:
+            n.bar = OPEN
 
 
 def page_blocks(page: str | None):
@@ -112,9 +192,9 @@ def page_blocks(page: str | None):
     in page order, the counts of opened containers by role, and the role of
     the page's language (0: none)."""
     page = page or ""
-    root = _Node("", "", False, False)
-    stack, parts, blocks, roles = [root], [], [], {}
-    links, link_chars, at, language = 0, 0, 0, 0
+    root = _Node("", "", None, OPEN, False)
+    stack, parts, blocks, roles, nodes = [root], [], [], {}, [root]
+    link_depth, link_chars, at, language = 0, 0, 0, 0      # link_depth: containers around the open link, 0: none
 
     def flush():
         nonlocal link_chars
@@ -128,7 +208,7 @@ def page_blocks(page: str | None):
         nonlocal link_chars
         text = entities.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if links > 0:
+        if link_depth:
             link_chars += len(text.strip())
 
     while at < len(page):
@@ -141,9 +221,9 @@ def page_blocks(page: str | None):
         at = m.end()
         if not m[2]:
             continue
-        tag = m[2].lower()
-        if tag == "a":
-            links = max(0, links + (-1 if m[1] else 1))
+        tag, attributes = m[2].lower(), m[3] or m[4] or ""
+        if tag == "a":                           # a link ends with its end tag, the next anchor or its block
+            link_depth = len(stack) if not m[1] and _HREF.search(attributes) else 0
         if tag == "br":
             parts.append(" ")
         if tag in RAW and not m[1]:
@@ -160,18 +240,28 @@ def page_blocks(page: str | None):
                 if stack[i].tag == tag:
                     del stack[i:]
                     break
+        else:
+            closes = SELF_CLOSING.get(tag)
+            if closes or stack[-1].tag == "p":
+                while len(stack) > 1 and (stack[-1].tag == "p" or closes and stack[-1].tag in closes):
+                    stack.pop()
+        if len(stack) < link_depth:
+            link_depth = 0
+        if m[1]:
             continue
-        closes = SELF_CLOSING.get(tag)
-        if closes or stack[-1].tag == "p":
-            while len(stack) > 1 and (stack[-1].tag == "p" or closes and stack[-1].tag in closes):
-                stack.pop()
-        node = _opened(tag, m[3], stack[-1])
+        node = _opened(tag, attributes, stack[-1])
+        if tag in PROSE:
+            for up in stack:
+                up.prose = True
         roles[node.role] = roles.get(node.role, 0) + 1
         stack.append(node)
-        if tag == "html" and not language and (m := _LANG.search(m[3])):
+        nodes.append(node)
+        if tag == "html" and not language and (m := _LANG.search(attributes)):
             language = _hash(f"lang={m[1].lower()}")
             roles[language] = 1
     flush()
+    if any(n.bar == WEAK for n in nodes):
+        _lift(blocks, nodes)
     return blocks, roles, language
 
 
@@ -179,11 +269,10 @@ def _text_token(role: int, text: str) -> int:
     return _hash(f"{role}|{text}")
 
 
-def main_text(page: str | None, link_slots=(), template_texts=(), template=None) -> str:
-    """Main text of one page, given its host's template: roles of its
+def main_text(page: str | None, link_slots=frozenset(), template_texts=frozenset(), template=None) -> str:
+    """Main text of one page, given its host's template as sets: roles of its
     containers, of its link slots, and the hashes of its own text blocks."""
     blocks, _, _ = page_blocks(page)
-    link_slots, template_texts = set(link_slots), set(template_texts)
     left = [b for b in blocks if not b[2].barred and _slot(b[3], template) not in link_slots
             and _text_token(b[2].role, b[0]) not in template_texts]
     return "\n".join(b[0] for b in _main(left))
@@ -308,12 +397,15 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     templates = deduce_templates(rows.select("host", "html"))
 
     @F.pandas_udf("string")
-    def texts(html: pd.Series, template: pd.Series, menus: pd.Series, own: pd.Series) -> pd.Series:
-        return pd.Series([main_text(h, () if m is None else m.tolist(), () if o is None else o.tolist(),
-                                    None if t is None else set(t.tolist()))
-                          for h, t, m, o in zip(html, template, menus, own, strict=True)], dtype=object)
-
-    text = texts("html", "template", "link_slots", "texts")
+    def texts(host: pd.Series, html: pd.Series, template: pd.Series, menus: pd.Series, own: pd.Series) -> pd.Series:
+        sets, out = {}, []                           # the sets of a host are built once per batch
+        for name, page, t, m, o in zip(host, html, template, menus, own, strict=True):
+            if name not in sets:
+                sets[name] = (frozenset(), frozenset(), None) if t is None else tuple(frozenset(x.tolist()) for x in (m, o, t))
+            out.append(main_text(page, *sets[name]))
+        return pd.Series(out, dtype=object)
+
+    text = texts("host", "html", "template", "link_slots", "texts")
     return (rows.join(templates, "host", "left").select(id_col, url_col, text.alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))
 
