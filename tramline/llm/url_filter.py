@@ -13,12 +13,15 @@ As long as all levels fit in ``MAX_BYTES``, they go with the plan as one
 literal per level. A larger cascade stays a table of shards (one row each, all
 levels in it) that meets the rows by shard number.
 
-The listed keys here: hosts with a word of ``BLOCKED_WORDS`` in their name,
-among all hosts of the table. The rules come first (longest host + path wins).
+The keys are addresses (host and path). The list is a statistic of the corpus
+that no row knows alone: thin addresses, all of whose pages hold less than
+1 / ``THIN`` of the mean payload of their host's pages. Any other list is passed
+as ``universe``. The rules come first (longest host + path wins).
 
 Defined results: a null url or one without ``://`` has an empty host and path,
-fits no rule and is allowed; equal rows get equal verdicts; an empty table or
-an empty list gives an empty cascade, which lists nothing.
+fits no rule, is never listed and is allowed; a null payload has 0 bytes; equal
+rows get equal verdicts; an empty table or an empty list gives an empty
+cascade, which lists nothing.
 """
 
 from __future__ import annotations
@@ -33,8 +36,8 @@ SHARD_BITS = 32_768
 SHARD_BYTES = SHARD_BITS // 8
 #: Literals of all levels together; beyond it the shards are joined.
 MAX_BYTES = 4 << 20
-#: Words that mark a host as blocked, between the name's dots and hyphens.
-BLOCKED_WORDS = ("casino", "porn", "xxx", "pills", "viagra", "betting", "escort", "warez")
+#: A page is thin if this many of it do not reach the mean of its host.
+THIN = 2
 #: Fixed values: (verdict, host, path) of the path rules.
 RULES = (
     ("allow", "org", "/"),
@@ -149,20 +152,26 @@ def build_cascade(universe: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
     return Cascade(levels, table_, n_shards)
 
 
-def blocked_host(host: Column) -> Column:
-    return F.arrays_overlap(F.split(host, "[.-]"), F.array(*[F.lit(w) for w in BLOCKED_WORDS]))
+def thin_addresses(rows: DataFrame, thin: int = THIN) -> DataFrame:
+    """(key, listed) of every address; ``rows``: host, key, bytes. A host's
+    sums are aggregated per task; hosts are few beside their pages."""
+    hosts = rows.groupBy("host").agg(F.sum("bytes").alias("all"), F.count("*").alias("n"))
+    addresses = rows.groupBy("host", "key").agg(F.max("bytes").alias("most"))
+    return addresses.join(hosts, "host").select("key", (thin * F.col("most") * F.col("n") < F.col("all")).alias("listed"))
 
 
 def judge_urls(pages: DataFrame, universe: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url",
-               rules=RULES, max_bytes: int = MAX_BYTES) -> DataFrame:
+               html_col: str = "html", rules=RULES, max_bytes: int = MAX_BYTES) -> DataFrame:
     """(id, host, path, rule, verdict, listed) of every row. ``universe``: all
-    hosts of the corpus with ``listed``; by default those of ``pages``, listed
-    by BLOCKED_WORDS."""
+    addresses (host + path) of the corpus with ``listed``; by default those of
+    ``pages``, the thin ones listed."""
     host, path = url_parts(col(url_col))
     rows = pages.select(col(id_col).alias(id_col), host.alias("host"), path.alias("path"))
+    key = F.when(F.col("host") != "", F.concat("host", "path"))
     if universe is None:
-        universe = rows.select(F.col("host").alias("key")).distinct().withColumn("listed", blocked_host(F.col("key")))
-    rows = build_cascade(universe, max_bytes).listed(rows, F.col("host"), "listed")
+        seen = pages.select(host.alias("host"), path.alias("path"), F.coalesce(F.octet_length(col(html_col)), F.lit(0)).cast("long").alias("bytes"))
+        universe = thin_addresses(seen.select("host", key.alias("key"), "bytes").where("key IS NOT NULL"))
+    rows = build_cascade(universe, max_bytes).listed(rows, key, "listed")
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     return rows.select(id_col, "host", "path", rule.alias("rule"),
                        F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed")
@@ -181,10 +190,12 @@ h AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijkl
 rules(kind, rh, rp) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
                         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 m AS (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(kind, length(rh || rp)) AS kind
-      FROM h JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
-SELECT h.page_id, h.host, h.path, m.rule,
-       regexp_matches(h.host, '(^|[.-])(casino|porn|xxx|pills|viagra|betting|escort|warez)([.-]|$)') AS listed,
-       coalesce(m.kind, CASE WHEN regexp_matches(h.host, '(^|[.-])(casino|porn|xxx|pills|viagra|betting|escort|warez)([.-]|$)')
-                             THEN 'block' ELSE 'allow' END) AS verdict
-FROM h LEFT JOIN m ON h.page_id = m.page_id
+      FROM h JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+z AS (SELECT h.*, octet_length(encode(coalesce(html, ''))) AS bytes FROM h JOIN pages USING (page_id) WHERE host <> ''),
+w AS (SELECT host || path AS address FROM z GROUP BY host, path
+      HAVING 2 * max(bytes) * (SELECT count(*) FROM z y WHERE y.host = z.host) < (SELECT sum(bytes) FROM z y WHERE y.host = z.host)),
+v AS (SELECT h.*, h.host || h.path IN (SELECT address FROM w) AS listed FROM h)
+SELECT v.page_id, v.host, v.path, m.rule, v.listed,
+       coalesce(m.kind, CASE WHEN v.listed THEN 'block' ELSE 'allow' END) AS verdict
+FROM v LEFT JOIN m ON v.page_id = m.page_id
 """
