@@ -1,14 +1,16 @@
 """Quality rules on repetition, by suffix arrays over the words of each text.
 
-The suffix array of a text's words is built by prefix doubling; the ranks of
-the doublings give the longest common prefix (LCP) of neighbouring suffixes.
+The suffix array of a text's words is built by prefix doubling; the longest
+common prefix (LCP) of neighbouring suffixes follows from the ranks of the
+doublings, or, where those are many (long texts that repeat themselves), from
+one pass in text order that never goes back more than a word (Kasai).
 An LCP interval of at least ``MIN_REPEAT`` words that cannot be extended to
 the left is a maximal repeat; the union of the spans of all its occurrences is
 what is repeated. A text fails if more than ``MAX_COVERED`` of its word
 characters are, or if its longest repeat exceeds ``MAX_LONGEST`` words.
 
-Each text is one row and judged where it is; no shuffle. Time and memory of a
-text grow with n log n of its words.
+Each text is one row and judged where it is; no shuffle. Memory grows with the
+number of a text's words, time with n log n of it.
 
 Defined results: a null, empty or blank text has no words, all counts are 0
 and the base rule fails; a text of fewer words than the window has no repeat.
@@ -17,6 +19,7 @@ and the base rule fails; a text of fewer words than the window has no repeat.
 from __future__ import annotations
 
 import re
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -39,11 +42,16 @@ class Repeats(NamedTuple):
     n_maximal: int           # number of different maximal repeats
 
 
-def suffix_array(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+#: Ranks kept for the LCP; more than that, and it is computed in text order.
+KEPT_RANKS = 1 << 22
+
+
+def suffix_array(words: np.ndarray, kept: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array of integers and the LCP of each suffix with the one before."""
-    n = len(words)
-    rank = np.unique(words, return_inverse=True)[1].astype(np.int64)
-    ranks, step = [rank], 1
+    n, kept = len(words), KEPT_RANKS if kept is None else kept
+    first = np.unique(words, return_inverse=True)[1].astype(np.int64)
+    rank, step = first, 1
+    ranks: list[np.ndarray] | None = [rank]
     order = np.argsort(rank, kind="stable")
     while step < n and rank.max() < n - 1:
         key = rank * (n + 1)
@@ -52,8 +60,11 @@ def suffix_array(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sorted_ = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
-        ranks.append(rank)
+        if ranks is not None:
+            ranks = [*ranks, rank] if (len(ranks) + 1) * n <= kept else None
         step *= 2
+    if ranks is None:
+        return order, _lcp_in_text_order(first, order)
     i, j, lcp = order[:-1].copy(), order[1:].copy(), np.zeros(n - 1, np.int64)
     for level in range(len(ranks) - 1, -1, -1):
         width, rank = 1 << level, ranks[level]
@@ -65,6 +76,28 @@ def suffix_array(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate([[0], lcp])
 
 
+def _lcp_in_text_order(words: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """LCP by Kasai's rule: the suffix after one that shares h words with its
+    predecessor shares at least h - 1 with its own."""
+    n = len(words)
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    before = np.where(place > 0, order[place - 1], -1)
+    text, prior, out = array("q", words.tobytes()), array("q", before.tobytes()), array("q", bytes(8 * n))
+    h = 0
+    for i in range(n):
+        j = prior[i]
+        if j < 0:
+            h = 0
+            continue
+        top = n - max(i, j)
+        while h < top and text[i + h] == text[j + h]:
+            h += 1
+        out[i] = h
+        h = max(h - 1, 0)
+    return np.frombuffer(out, np.int64)[order]
+
+
 def maximal_repeats(words: np.ndarray, least: int = MIN_REPEAT) -> Repeats:
     n = len(words)
     covered = np.zeros(n, bool)
