@@ -9,7 +9,10 @@ differ by at most k. So the shared q-grams, each once, are counted in diagonal
 bands of width 2 (k + 1) that overlap by half; a band that reaches the bound
 is a candidate region, which a banded alignment of the item verifies. (With all
 q-grams the bound is m + 1 - q - k q: it separates no better here, for q times
-the postings.) The budget k is ``MAX_ERROR`` of the item's length, lowered for
+the postings.) Places of the document where a q-gram stands close together
+(within a half band, as in a run of one letter) are one run; it meets every
+half band between its ends, so self-similar texts give postings per band, not
+per character. Neighbouring candidate bands are one region. The budget k is ``MAX_ERROR`` of the item's length, lowered for
 short items until the bound is at least one; items shorter than q must occur
 as they are.
 
@@ -87,6 +90,8 @@ class ItemIndex:
         order = np.argsort(code, kind="stable")
         self.item, self.place = item[order], place[order].astype(np.int64)
         self.code, self.first, self.count = np.unique(code[order], return_index=True, return_counts=True)
+        # a q-gram's places in a text this close to each other leave out no half band of any of its items
+        self.near = np.minimum.reduceat(self.budget[self.item] + 1, self.first) if len(self.code) else np.empty(0, np.int64)
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[(self.code & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)] = True
         self.short = [(i, "".join(map(chr, c))) for i, c in enumerate(self.chars) if 0 < len(c) < Q]
@@ -122,36 +127,54 @@ class ItemIndex:
         at, row = at[same], row[same]
         if not len(at):
             return
+        # runs: places of one q-gram that leave out no half band between them
+        order = np.argsort(row, kind="stable")
+        at, row = at[order], row[order]
+        begins = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (np.diff(at) > self.near[row[1:]])]))
+        low, high, row = at[begins], at[np.append(begins[1:], len(at)) - 1], row[begins]
         n = self.count[row]
         where = np.repeat(self.first[row] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
         # diagonals start at -length: shifted to be non-negative; a region is two neighbouring half bands
-        item = self.item[where]
+        item, place = self.item[where], self.place[where]
         many = (len(chars) + int(self.length.max())) // int(self.budget.min() + 1) + 2
-        kind = np.int32 if many * len(self.length) < 2 ** 31 else np.int64
-        half = (item * many + (np.repeat(at, n) - self.place[where] + self.length[item]) // (self.budget[item] + 1)).astype(kind)
+        shift, wide = self.length[item] - place, self.budget[item] + 1
+        half = (np.repeat(low, n) + shift) // wide
+        spans = (np.repeat(high, n) + shift) // wide - half + 1
+        half = (item * many + half)
+        if int(spans.max()) > 1:                     # a run over several half bands is in each of them
+            inside = np.arange(int(spans.sum())) - np.repeat(np.cumsum(spans) - spans, spans)
+            half, place = np.repeat(half, spans) + inside, np.repeat(place, spans)
         ordered = np.sort(half)
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        halves, hits = ordered[first].astype(np.int64), np.diff(np.append(first, len(ordered)))
+        halves, hits = ordered[first], np.diff(np.append(first, len(ordered)))
         hits[:-1] += np.where(np.diff(halves) == 1, hits[1:], 0)
         dense = halves[hits >= self.bound[halves // many]]
         if not len(dense):
             return
         # in those, each q-gram of the item counts once
-        pairs = [np.stack([half[on].astype(np.int64) - side, self.place[where[on]]])
-                 for side in (0, 1) for on in [np.flatnonzero(np.isin(half - side, dense))]]
+        pairs = [np.stack([half[on] - side, place[on]]) for side in (0, 1) for on in [np.flatnonzero(np.isin(half - side, dense))]]
         found, hits = np.unique(np.unique(np.concatenate(pairs, axis=1), axis=1)[0], return_counts=True)
+        found = found[hits >= self.bound[found // many]]
+        if not len(found):
+            return
+        # neighbouring bands of an item are one region
+        edges = np.flatnonzero(np.concatenate([[True], (np.diff(found) > 1) | (found[1:] // many != found[:-1] // many)]))
+        regions = list(zip(found[edges].tolist(), found[np.append(edges[1:], len(found)) - 1].tolist(), strict=True))
         offsets = np.array([at for _, at in starts])
+        ends = np.append(offsets[1:], len(chars)) - (int(self.budget.max()) + Q)
         best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-        for r in map(int, found[hits >= self.bound[found // many]]):
+        for r, last in regions:
             i = r // many
             k, m = int(self.budget[i]), int(self.length[i])
-            low = (r % many) * (k + 1) - m                     # first diagonal of the band
-            left = max(0, low - k)
-            edits, end = banded_edits(self.chars[i], chars[left:max(left, low + 2 * (k + 1) + m + k)], k)
-            if edits <= k:
-                no, offset = starts[int(np.searchsorted(offsets, left + end - 1, side="right")) - 1]
-                if (no, i) not in best or edits < best[no, i][3]:
-                    best[no, i] = (i, max(0, left + end - m - offset), left + end - offset, edits)
+            left, right = (r % many) * (k + 1) - m - k, (last % many + 2) * (k + 1) + k
+            for t in range(max(0, int(np.searchsorted(offsets, left, side="right")) - 1), int(np.searchsorted(offsets, right))):
+                low, high = max(left, int(offsets[t])), min(right, int(ends[t]))
+                if high - low < m - k:
+                    continue
+                edits, end = banded_edits(self.chars[i], chars[low:high], k)
+                no, offset = starts[t]
+                if edits <= k and ((no, i) not in best or edits < best[no, i][3]):
+                    best[no, i] = (i, max(0, low + end - m - offset), low + end - offset, edits)
         for (no, _), match in best.items():
             out[no].append(match)
 
