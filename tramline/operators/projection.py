@@ -47,16 +47,32 @@ def keep_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[c for c in columns if c in df.columns])
 
 
-def conform(df: DataFrame, schema: T.StructType, safe: bool = True) -> DataFrame:
-    """Cast the columns to a declared schema (P5). ``safe`` uses try_cast so a
-    bad cell becomes NULL instead of failing the job under ANSI mode."""
-    cols = []
+def conform(df: DataFrame, schema: T.StructType, safe: bool = True, rescue: str | None = None,
+            record: str | None = None) -> DataFrame:
+    """Cast the columns to a declared schema (P5). ``safe`` uses try_cast, so
+    a bad cell becomes NULL instead of failing the job under ANSI mode.
+
+    ``rescue`` names a column that keeps what such a cast loses: an array of
+    (column_name, value) with each cell that holds a value and has none of the
+    declared type, empty if all fit. ``record`` names a column with the raw
+    text of malformed records; it joins the array without a column name."""
+    cols, lost = [], []
     for f in schema.fields:
         if f.name in df.columns:
             c = F.col(f"`{f.name}`")
-            cols.append((c.try_cast(f.dataType) if safe else c.cast(f.dataType)).alias(f.name))
+            fit = c.try_cast(f.dataType) if safe or rescue else c.cast(f.dataType)
+            cols.append(fit.alias(f.name))
+            if rescue and df.schema[f.name].dataType != f.dataType:
+                lost.append(F.when(c.isNotNull() & fit.isNull(), F.struct(
+                    F.lit(f.name).alias("column_name"), c.cast("string").alias("value"))))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    if rescue:
+        if record:
+            lost.append(F.when(F.col(f"`{record}`").isNotNull(), F.struct(
+                F.lit(None).cast("string").alias("column_name"), F.col(f"`{record}`").alias("value"))))
+        cells = F.filter(F.array(*lost), lambda x: x.isNotNull()) if lost else F.array()
+        cols.append(cells.cast("array<struct<column_name:string,value:string>>").alias(rescue))
     return df.select(*cols)
 
 
