@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,13 +47,62 @@ def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet") -
     df.hint("rebalance", F.col(by)).write.mode("errorifexists").format(fmt).partitionBy(by).save(path)
 
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """One output file (S10). One task writes it row by row, whatever the
-    size; for large tables prefer ``write_versioned``."""
-    w = df.coalesce(1).write.mode("errorifexists").format(fmt)
-    if fmt == "csv":
-        w = w.option("header", True)
-    w.save(path)
+def write_single_file(df: DataFrame, path: str, fmt: str = "csv", order_by: list[str] | None = None) -> str:
+    """One output file (S10) of a line format (csv, json, text) in the folder
+    ``path``; returns the file's path.
+
+    All tasks write their rows as part files beside the target; at commit the
+    parts' bytes are joined in order of their names. Where the file system can
+    concatenate (HDFS), no byte is copied; elsewhere one stream copies them.
+    So rows are computed, sorted and formatted in parallel, whatever the size.
+    The folder appears by one rename, and never over an existing one."""
+    if fmt not in ("csv", "json", "text"):
+        raise ValueError(f"{fmt} files cannot be joined by their bytes")
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    at = jvm.org.apache.hadoop.fs.Path
+    base, stamp = path.rstrip("/"), version_stamp()
+    target, folder, staged = at(base), at(f"{base}.parts-{stamp}"), at(f"{base}.joined-{stamp}")
+    fs = target.getFileSystem(conf)
+    if fs.exists(target):
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] Path {path} already exists.")
+    rows = df.orderBy(*order_by) if order_by else df
+    rows.write.mode("errorifexists").format(fmt).save(folder.toString())
+    parts = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-") and f.getLen() > 0),
+                   key=lambda p: p.getName())
+    joined = at(staged, f"data.{'txt' if fmt == 'text' else fmt}")
+    out = fs.create(joined, False)
+    try:
+        if fmt == "csv":
+            out.write(bytearray(",".join(_csv_cell(c) for c in df.columns) + "\n", "utf-8"))
+        if not _can_concat(fs):
+            for part in parts:
+                source = fs.open(part)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+                finally:
+                    source.close()
+    finally:
+        out.close()
+    if _can_concat(fs) and parts:
+        array = spark.sparkContext._gateway.new_array(at, len(parts))
+        for i, part in enumerate(parts):
+            array[i] = part
+        fs.concat(joined, array)
+    if not fs.rename(staged, target):
+        raise OSError(f"cannot move the joined file to {path}")
+    fs.delete(folder, True)
+    return f"{base}/{joined.getName()}"
+
+
+def _can_concat(fs) -> bool:
+    return fs.getScheme() == "hdfs"
+
+
+def _csv_cell(text: str) -> str:
+    if any(c in text for c in ',"\n\r') or text != text.strip():
+        return '"' + text.replace("\\", "\\\\").replace('"', '\\"') + '"'
+    return text
 
 
 def save_table(df: DataFrame, name: str, mode: str = "errorifexists") -> None:
