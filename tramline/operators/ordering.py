@@ -42,22 +42,48 @@ def with_row_number(df: DataFrame, order_cols: list[str], name: str = "row_id",
     The order columns should identify rows; ties get an arbitrary order, as
     in any sort.
     """
+    tagged = sorted_tags(df, order_cols, n_partitions)
+    off = partition_offsets(tagged, F.count(F.lit(1)))
+    position = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
+    rid = F.col("__off") + position + F.lit(start)
+    return (tagged.join(F.broadcast(off), "__pid").withColumn(name, rid.cast("long"))
+            .drop("__pid", "__mid", "__off"))
+
+
+def sorted_tags(df: DataFrame, order_cols: list[str], n_partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order_cols`` (NULLs first),
+    with its partition ``__pid`` and running id ``__mid``, written as parquet
+    below the shared checkpoint folder: all later passes see the same tags."""
     from tramline.session import materialize
     n = n_partitions or _shuffle_partitions(df)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    tagged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                         .select("*", F.spark_partition_id().alias("__pid"),
-                                 F.monotonically_increasing_id().alias("__mid")), "row-numbers")
-    counts = sorted((r[0], r[1]) for r in tagged.groupBy("__pid").count().collect())
+    return materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                       .select("*", F.spark_partition_id().alias("__pid"),
+                               F.monotonically_increasing_id().alias("__mid")), "row-numbers")
+
+
+def partition_offsets(tagged: DataFrame, weight: Column) -> DataFrame:
+    """(__pid, __off): the sum of ``weight`` (an aggregate) over all earlier
+    partitions. One row per partition, a number known up front, so the table
+    may pass the driver and be broadcast."""
+    counts = sorted((r[0], r[1]) for r in tagged.groupBy("__pid").agg(weight).collect())
     offsets, running = [], 0
     for pid, cnt in counts:
         offsets.append((pid, running))
         running += cnt
-    # One row per partition: its size is the partition count, known up front.
-    off = df.sparkSession.createDataFrame(offsets, "__pid int, __off long")
-    position = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
-    rid = F.col("__off") + position + F.lit(start)
-    return (tagged.join(F.broadcast(off), "__pid").withColumn(name, rid.cast("long"))
+    return tagged.sparkSession.createDataFrame(offsets, "__pid int, __off long")
+
+
+def running_total(df: DataFrame, order_cols: list[str], weight: str, name: str = "running",
+                  n_partitions: int | None = None) -> DataFrame:
+    """Sum of ``weight`` over the rows before each row in the order of
+    ``order_cols``, without a single-partition window: sums inside the range
+    partitions plus the partitions' offsets."""
+    tagged = sorted_tags(df, order_cols, n_partitions)
+    off = partition_offsets(tagged, F.sum(weight))
+    inside = Window.partitionBy("__pid").orderBy("__mid").rowsBetween(Window.unboundedPreceding, -1)
+    return (tagged.withColumn(name, F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+            .join(F.broadcast(off), "__pid").withColumn(name, (F.col(name) + F.col("__off")).cast("long"))
             .drop("__pid", "__mid", "__off"))
 
 
@@ -105,10 +131,14 @@ def attach_group_size(df: DataFrame, keys: list[str], name: str = "group_size")
     return _join_back(kd, kd.groupBy("__k").agg(F.count(F.lit(1)).alias(name)), keys)
 
 
-def attach_group_agg(df: DataFrame, keys: list[str], agg: Column, name: str) -> DataFrame:
-    """Each row with a per-group aggregate such as ``max(c)``."""
+def attach_group_agg(df: DataFrame, keys: list[str], agg: Column, name: str, min_rows: int = 1) -> DataFrame:
+    """Each row with a per-group aggregate such as ``max(c)`` (W1), rows of
+    groups of at least ``min_rows`` rows only."""
     kd = _keyed(df, keys)
-    return _join_back(kd, kd.groupBy("__k").agg(agg.alias(name)), keys)
+    g = kd.groupBy("__k").agg(agg.alias(name), *([F.count(F.lit(1)).alias("__rows")] if min_rows > 1 else []))
+    if min_rows > 1:
+        g = g.where(F.col("__rows") >= min_rows).drop("__rows")
+    return _join_back(kd, g, keys)
 
 
 def flag_repeats(df: DataFrame, keys: list[str], order_cols: list[str],
@@ -131,12 +161,26 @@ def flag_repeats(df: DataFrame, keys: list[str], order_cols: list[str],
 
 
 def carry_forward(df: DataFrame, partition_cols: list[str], order_col: str, value: str,
-                  name: str) -> DataFrame:
-    """Last non-null ``value`` up to each row (W5), per partition (e.g. per
-    report file)."""
-    w = (Window.partitionBy(*partition_cols).orderBy(order_col)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(name, F.last(F.col(value), ignorenulls=True).over(w))
+                  name: str, n_partitions: int | None = None) -> DataFrame:
+    """Last non-null ``value`` up to each row (W5), per group (e.g. per report
+    file), as a prefix scan: a group of any size is dealt to many tasks.
+
+    1. Range-partition and sort by (group, order); partitions are written once.
+    2. One row per (partition, group) with its last value; over these few rows
+       a window finds what each partition takes over from the earlier ones.
+    3. Inside a partition, a window over its own rows, bounded by the
+       partition's size; rows before its first value get what is taken over.
+    """
+    tagged = sorted_tags(df, [*partition_cols, order_col], n_partitions)
+    tagged = tagged.withColumn("__g", F.struct(*[F.col(c) for c in partition_cols]) if partition_cols else F.lit(0))
+    last = tagged.groupBy("__pid", "__g").agg(F.max(F.when(F.col(value).isNotNull(), F.struct("__mid", F.col(value).alias("v")))).alias("l"))
+    earlier = Window.partitionBy("__g").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    taken = last.select(F.col("__pid").alias("__p"), F.col("__g").alias("__h"),
+                        F.last(F.col("l.v"), ignorenulls=True).over(earlier).alias("__taken"))
+    inside = Window.partitionBy("__pid", "__g").orderBy("__mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = tagged.withColumn("__own", F.last(F.col(value), ignorenulls=True).over(inside))
+    j = own.join(taken, (F.col("__pid") == F.col("__p")) & F.col("__g").eqNullSafe(F.col("__h")))
+    return j.select(*df.columns, F.coalesce("__own", "__taken").alias(name))
 
 
 def top_k_by(df: DataFrame, measure: str, k: int, tiebreak: list[str],

@@ -9,11 +9,20 @@ from tramline.operators.ordering import carry_forward
 
 
 def read_report_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, pos, line) of text files: one whole file per row, split into
-    numbered lines, so the line order of each file is known exactly."""
-    raw = spark.read.option("wholetext", True).text(path) \
-        .select(F.col("_metadata.file_path").alias("file"), F.col("value"))
-    return raw.select("file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
+    """(file, pos, line) of text files, read line by line in as many splits as
+    the files have, so a report of any size is dealt to many tasks. ``pos`` is
+    (part, block, row): the order of the lines in their report, to sort by.
+
+    The part files below a folder ``file=<value>`` (see ``write_report``) are
+    one report, in the order of their names; any other file is its own."""
+    raw = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row"))
+    folder = F.regexp_extract("__path", "^(.*/file=[^/]*)/[^/]*$", 1)
+    # the lines of one block come in order, in one task
+    return raw.select(F.when(folder != "", folder).otherwise(F.col("__path")).alias("file"),
+                      F.struct(F.element_at(F.split("__path", "/"), -1).alias("part"), F.col("__block").alias("block"),
+                               F.col("__row").alias("row")).alias("pos"), "line")
 
 
 def parse_sectioned_report(lines: DataFrame, file_cols: list[str], pos_col: str,
@@ -37,8 +46,8 @@ def render_sectioned_report(counts: DataFrame, file_col, section_col: str, key_c
     """(file, pos, line) of a sectioned text report: per section a
     'Year: <section>' header and a separator, one '<key>: <value>' line per
     count row and an optional footer line. Rendered from one pass over the
-    counts: each count row emits its section's lines and the repeated
-    header/footer lines are de-duplicated."""
+    counts: each count row emits its section's lines; repeated headers and
+    footers are one line each, equal count lines stay as many as they are."""
     sec = F.col(section_col)
     line = lambda pos, text: F.struct(pos.alias("pos"), text.alias("line"))
     parts = [line(sec * 100 + 1, F.concat(F.lit("Year: "), sec.cast("string"))),
@@ -47,11 +56,15 @@ def render_sectioned_report(counts: DataFrame, file_col, section_col: str, key_c
                                            F.col(value_col).cast("string")))]
     if footer is not None:
         parts.append(line(sec * 100 + 90, F.lit(footer)))
-    return (counts.select(file_col.alias("file"), F.explode(F.array(*parts)).alias("l"))
-            .select("file", "l.pos", "l.line").distinct())
+    lines = (counts.select(file_col.alias("file"), F.explode(F.array(*parts)).alias("l"))
+             .groupBy("file", "l.pos", "l.line").agg(F.count(F.lit(1)).alias("n")))
+    copies = F.when(F.pmod("pos", F.lit(100)) == 10, F.col("n")).otherwise(F.lit(1))
+    return lines.select("file", "pos", "line", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))).alias("c")).drop("c")
 
 
 def write_report(lines: DataFrame, path: str) -> None:
-    """One text file per report ``file`` value, lines in ``pos`` order."""
-    (lines.repartition("file").sortWithinPartitions("file", "pos").select("file", "line")
+    """A folder ``file=<value>`` per report with its lines in ``pos`` order:
+    the rows are dealt by ranges of (file, pos), so a long report becomes
+    several part files, whose names follow the order of their lines."""
+    (lines.repartitionByRange("file", "pos").sortWithinPartitions("file", "pos").select("file", "line")
      .write.mode("errorifexists").partitionBy("file").text(path))
