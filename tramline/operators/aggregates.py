@@ -54,16 +54,45 @@ def _per_column_groups(df: DataFrame, columns: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _typed_cell(df: DataFrame, i: int, c: str) -> Column:
+    """A cell as (column number, whole number, number, digest): one of the
+    three holds the value, none for NULL. Text and other types are grouped by
+    128 bits of their text, so long values are not shuffled."""
+    kind, v = df.schema[c].dataType, F.col(f"`{c}`")
+    whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType))
+    real = isinstance(kind, (T.FloatType, T.DoubleType))
+    text = v.cast("string") if not isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else F.to_json(F.struct(v))
+    digest = F.when(v.isNotNull(), F.unhex(F.md5(v if isinstance(kind, T.BinaryType) else text.cast("binary"))))
+    return F.struct(F.lit(i).alias("i"), (v.cast("long") if whole else F.lit(None).cast("long")).alias("l"),
+                    (v.cast("double") if real else F.lit(None).cast("double")).alias("d"),
+                    (F.lit(None).cast("binary") if whole or real else digest).alias("s"))
+
+
+def _cell_groups(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, n_distinct, n_rows) with NULL counted as a value, in one
+    pass over ``df``: every row gives a cell per column, equal cells are
+    combined per task before the one shuffle. For frames that are dear to
+    compute (joins, text parsing): their plan runs once, not once per column."""
+    cells = df.select(F.explode(F.array(*[_typed_cell(df, i, c) for i, c in enumerate(columns)])).alias("x")).select("x.*")
+    groups = cells.groupBy("i", "l", "d", "s").agg(F.count(F.lit(1)).alias("c"))
+    per = groups.groupBy("i").agg(F.count(F.lit(1)).alias("n_distinct"), F.sum("c").alias("n_rows"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return per.select(F.element_at(names, F.col("i") + 1).alias("column_name"), "n_distinct", "n_rows")
+
+
 def distinct_counts(df: DataFrame, columns: list[str] | None = None,
-                    null_is_value: bool = True) -> DataFrame:
+                    null_is_value: bool = True, one_pass: bool = False) -> DataFrame:
     """Exact number of distinct values per column (A3), NULL counted as a
-    value like pandas ``unique()`` (or not, with ``null_is_value=False``)."""
+    value like pandas ``unique()`` (or not, with ``null_is_value=False``).
+    ``one_pass`` for derived frames (see ``_cell_groups``); a stored columnar
+    table is better read by column."""
     columns = columns or df.columns
     if not null_is_value:
         parts = [df.agg(F.count_distinct(F.col(c)).alias("n_distinct"))
                    .select(F.lit(c).alias("column_name"), "n_distinct") for c in columns]
         return reduce(lambda a, b: a.unionByName(b), parts)
-    return _per_column_groups(df, columns).select("column_name", "n_distinct")
+    groups = _cell_groups if one_pass else _per_column_groups
+    return groups(df, columns).select("column_name", "n_distinct")
 
 
 def approx_distinct_counts(df: DataFrame, columns: list[str] | None = None,
@@ -74,12 +103,13 @@ def approx_distinct_counts(df: DataFrame, columns: list[str] | None = None,
     return row.unpivot([], columns, "column_name", "n_distinct")
 
 
-def unique_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def unique_profile(df: DataFrame, columns: list[str] | None = None, one_pass: bool = False) -> DataFrame:
     """Distinct count per column and whether every row is distinct (A4).
     The row total is the sum of the group sizes, so no second pass is
-    needed."""
+    needed; ``one_pass`` as for ``distinct_counts``."""
     columns = columns or df.columns
-    return _per_column_groups(df, columns).select(
+    groups = _cell_groups if one_pass else _per_column_groups
+    return groups(df, columns).select(
         "column_name", "n_distinct", (F.col("n_distinct") == F.col("n_rows")).alias("is_unique"))
 
 

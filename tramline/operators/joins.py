@@ -1,9 +1,9 @@
 """Joins and lookups.
 
-Spark picks the physical join. We only force a broadcast behind a proven
-size bound (``bounded_broadcast``); beyond the bound the plan stays a
-shuffle join, which AQE may still turn into a broadcast at runtime and
-whose skewed partitions it splits.
+Spark picks the physical join: Catalyst broadcasts a side whose bytes are
+known to be small, AQE turns a shuffle join into a broadcast where the
+measured size allows and splits skewed partitions. The library forces no
+broadcast by counting rows and runs no job to decide on a plan.
 """
 
 from __future__ import annotations
@@ -13,23 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a side may hold to be broadcast by the library itself.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows (a limit, not a full count), so the
-    check stays cheap even when the answer is no.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the row bound is proven; otherwise unchanged."""
-    return F.broadcast(df) if row_bound_holds(df, max_rows) else df
-
 
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     """Join condition with ``<=>`` per key pair (NULL keys match NULL keys,
@@ -37,47 +20,34 @@ def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
 
 
-def key_join(df: DataFrame, keys_df: DataFrame, on: list[tuple[str, str]], how: str,
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, check_bound: bool = True) -> DataFrame:
+def key_join(df: DataFrame, keys_df: DataFrame, on: list[tuple[str, str]], how: str) -> DataFrame:
     """Semi or anti join of ``df`` against the distinct keys of ``keys_df``;
     ``on`` = [(column of df, column of keys_df)].
 
-    * The key side is de-duplicated first (combined map-side) and keys with a
-      NULL are dropped, so a NULL key of ``df`` never matches (SQL / ``isin``
-      semantics) and a key repeated a billion times arrives as one row.
-    * A key side proven to hold at most ``max_broadcast_rows`` keys is
-      broadcast: ``df`` is streamed through a hash join and never shuffled.
-    * Otherwise both sides are joined on struct-wrapped keys, which makes both
-      inputs plain shuffle stages, the shape in which AQE splits the partition
-      of a key that holds a large share of ``df``.
-
-    ``check_bound=False`` skips the eager check, for a key side that is itself
-    an aggregate (checking it would cost a full pass): its shuffle stage's
-    measured size then lets AQE switch to a broadcast at runtime.
+    The key side is de-duplicated first (combined map-side) and keys with a
+    NULL are dropped, so a NULL key of ``df`` never matches (SQL / ``isin``
+    semantics) and a key repeated a billion times arrives as one row. Both
+    sides join on struct-wrapped keys, which makes both inputs plain shuffle
+    stages: the shape in which AQE splits the partition of a key that holds a
+    large share of ``df``, or broadcasts a key side that turns out small.
     """
     names = [f"__jk{i}" for i in range(len(on))]
-    raw = keys_df.select(*[F.col(r).alias(n) for (_, r), n in zip(on, names)])
-    keys = raw.dropna().distinct()
-    # The bound is proven on the raw key column (a limit that stops early,
-    # no aggregation): at most n rows means at most n distinct keys.
-    if check_bound and row_bound_holds(raw, max_broadcast_rows):
-        cond = reduce(lambda a, b: a & b, [df[l] == keys[n] for (l, _), n in zip(on, names)])
-        return df.join(F.broadcast(keys), cond, how)
+    keys = keys_df.select(*[F.col(r).alias(n) for (_, r), n in zip(on, names)]).dropna().distinct()
     keys = keys.select(F.struct(*[F.col(n) for n in names]).alias("__jks"))
     left = df.withColumn("__jkl", F.struct(*[F.col(l) for l, _ in on]))
     return left.join(keys, left["__jkl"] == keys["__jks"], how).drop("__jkl")
 
 
-def semi(df: DataFrame, keys_df: DataFrame, on: list[str] | str, **kw) -> DataFrame:
+def semi(df: DataFrame, keys_df: DataFrame, on: list[str] | str) -> DataFrame:
     """Rows whose key occurs in ``keys_df`` (``isin`` of another table)."""
     on = [on] if isinstance(on, str) else on
-    return key_join(df, keys_df, [(c, c) for c in on], "left_semi", **kw)
+    return key_join(df, keys_df, [(c, c) for c in on], "left_semi")
 
 
-def anti(df: DataFrame, keys_df: DataFrame, on: list[str] | str, **kw) -> DataFrame:
+def anti(df: DataFrame, keys_df: DataFrame, on: list[str] | str) -> DataFrame:
     """Rows whose key does not occur in ``keys_df``; a NULL key stays."""
     on = [on] if isinstance(on, str) else on
-    return key_join(df, keys_df, [(c, c) for c in on], "left_anti", **kw)
+    return key_join(df, keys_df, [(c, c) for c in on], "left_anti")
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> None:
@@ -91,8 +61,7 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> None:
 
 
 def lookup_fill(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
-                fill: dict[str, str], check_unique: bool = True,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                fill: dict[str, str], check_unique: bool = True) -> DataFrame:
     """Left lookup by key (J7): for each child row with a matching parent,
     set ``child[c] = parent[p]`` for ``fill = {c: p}``; other rows keep their
     value. The parent key must be unique."""
@@ -101,7 +70,6 @@ def lookup_fill(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     cols = {p: f"__lk_{i}" for i, p in enumerate(fill.values())}
     right = parent.select(F.col(parent_key).alias("__lk_key"),
                           *[F.col(p).alias(a) for p, a in cols.items()])
-    right = bounded_broadcast(right, max_broadcast_rows)
     joined = child.join(right, child[child_key] == right["__lk_key"], "left")
     matched = F.col("__lk_key").isNotNull()
     for c, p in fill.items():
@@ -115,8 +83,7 @@ def lookup_fill(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
 
 def fill_from_parent(child: DataFrame, parent: DataFrame, fk: str, pk: str,
                      fill: dict[str, str], when_null: str,
-                     flag_col: str | None = None, flag_value=None, check_unique: bool = True,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     flag_col: str | None = None, flag_value=None, check_unique: bool = True) -> DataFrame:
     """Foreign-key fill (J8): where ``child[when_null]`` is NULL and the parent
     exists, copy ``fill = {child_col: parent_col}`` and set ``flag_col`` to
     ``flag_value``, even if the parent's own values are NULL. The parent key
@@ -126,7 +93,6 @@ def fill_from_parent(child: DataFrame, parent: DataFrame, fk: str, pk: str,
     cols = {p: f"__fp_{i}" for i, p in enumerate(fill.values())}
     right = parent.select(F.col(pk).alias("__fp_key"),
                           *[F.col(p).alias(a) for p, a in cols.items()])
-    right = bounded_broadcast(right, max_broadcast_rows)
     joined = child.join(right, child[fk] == right["__fp_key"], "left")
     # Decide once, before any of the columns the test reads is overwritten.
     joined = joined.withColumn("__fp_hit", F.col(when_null).isNull() & F.col("__fp_key").isNotNull())
@@ -153,7 +119,7 @@ def composite_consistency(triples: DataFrame, reference: DataFrame, key: str,
 
     Returns one row per distinct tuple with ``consistent`` = every compared
     column is null-safe equal to the dictionary's value (a missing key is
-    inconsistent).
+    inconsistent); any number of columns is compared per key.
     """
     t = triples.select(key, *compare).distinct()
     r = reference.select(F.col(key).alias("__ck"), *[F.col(c).alias(f"__r_{c}") for c in compare])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.operators.joins import key_join
-from tramline.operators.ordering import attach_group_size, flag_repeats
+from tramline.operators.ordering import attach_group_agg, attach_group_size
 
 
 # ---------------------------------------------------------------- duplicates
@@ -44,34 +44,37 @@ def duplicate_rows(df: DataFrame, subset: list[str], name: str = "group_size") -
 
 
 def repeats_after_first(df: DataFrame, subset: list[str], order_cols: list[str]) -> DataFrame:
-    """Rows after the first of their key (A18, ``keep='first'``).
-
-    Only keys that occur more than once can have repeats: a hash count finds
-    them, a semi join (broadcast when that key set is proven small, else a
-    skew-splittable shuffle) keeps their rows, and only those rows go through
-    the sort-based search for each group's first row."""
-    kd = df.withColumn("__dk", F.struct(*[F.col(k) for k in subset]))
-    dup_keys = kd.groupBy("__dk").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__dk")
-    candidates = key_join(kd, dup_keys, [("__dk", "__dk")], "left_semi", check_bound=False).drop("__dk")
-    return flag_repeats(candidates, subset, order_cols, "__rep").where("__rep").drop("__rep")
+    """Rows after the first of their key (A18, ``keep='first'``), first =
+    smallest ``order_cols``, ties broken by the other columns.
+
+    One grouping by key gives each repeated key's smallest row (combined
+    map-side); joined back, rows that differ from it are repeats. Of the rows
+    equal to it all but one are: they are counted per key and put out again
+    that often, in portions, so a row copied a billion times stays one row
+    with a count until then."""
+    o = F.struct(*[F.col(c) for c in [*order_cols, *[c for c in df.columns if c not in order_cols]]])
+    joined = attach_group_agg(df, subset, F.struct(F.count(F.lit(1)).alias("n"), F.min(o).alias("first")), "__g", min_rows=2)
+    is_first = o.eqNullSafe(F.col("__g.first"))
+    rest = joined.where(~is_first).select(*df.columns)
+    copies = joined.where(is_first).groupBy(F.col("__g.first").alias("r")).agg((F.count(F.lit(1)) - 1).alias("n")).where("n > 0")
+    portion = 10_000
+    starts = copies.select("r", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / portion))).alias("p"))
+    again = starts.select(F.explode(F.array_repeat("r", F.least(F.lit(portion), F.col("n") - F.col("p") * portion).cast("int"))).alias("r"))
+    return rest.unionByName(again.select(*[F.col(f"r.{c}").alias(c) for c in df.columns]))
 
 
 def same_key_counts(df: DataFrame, keys: list[str], also: list[str], not_null: list[str],
                     names=("same", "also_same")) -> DataFrame:
     """Rows sharing ``keys`` with another row, and rows that also share
     ``also`` (Q6). Rows with a NULL in ``not_null`` are dropped first; NULLs
-    elsewhere compare equal (pandas ``duplicated``). Pure aggregation: sum of
-    the sizes of groups larger than one."""
-    base = df.dropna(subset=not_null)
-
-    def shared(cols):
-        g = base.groupBy(*cols).agg(F.count(F.lit(1)).alias("__m"))
-        return g.agg(F.coalesce(F.sum(F.when(F.col("__m") > 1, F.col("__m"))), F.lit(0))
-                     .cast("long").alias("__s"))
-
-    a = shared(keys).withColumnRenamed("__s", names[0])
-    b = shared(keys + also).withColumnRenamed("__s", names[1])
-    return side_by_side(a, b)
+    elsewhere compare equal (pandas ``duplicated``). Sums of the sizes of
+    groups larger than one, from one pass: the groups by ``keys`` are made of
+    those by ``keys`` and ``also``."""
+    fine = df.dropna(subset=not_null).groupBy(*keys, *also).agg(F.count(F.lit(1)).alias("__m"))
+    m = F.col("__m")
+    coarse = fine.groupBy(*keys).agg(F.sum("__m").alias("__m"), F.sum(F.when(m > 1, m)).alias("__f"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return coarse.agg(total(F.when(m > 1, m)).alias(names[0]), total(F.col("__f")).alias(names[1]))
 
 
 def side_by_side(*single_rows: DataFrame) -> DataFrame:
@@ -83,15 +86,19 @@ def side_by_side(*single_rows: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- row rules
 
+def disagreement_counts(cols: list[str]) -> list[Column]:
+    """Two aggregates: rows whose ``cols`` are all present but not all the
+    same, and rows that miss one (A20, F5)."""
+    values = F.array(*cols)
+    missing = F.exists(values, lambda v: v.isNull())
+    return [F.count_if(~missing & (F.size(F.array_distinct(values)) > 1)), F.count_if(missing)]
+
+
 def date_disagreement(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row: rows where all dates are present but not all equal, and rows
     with any missing date (A20, F5)."""
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    differ = reduce(lambda a, b: a | b, [F.col(cols[i]) != F.col(cols[j])
-                                         for i in range(len(cols)) for j in range(i + 1, len(cols))])
-    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    return df.agg(F.count_if(present & differ).alias("different_dates"),
-                  F.count_if(missing).alias("false_dates"))
+    differ, missing = disagreement_counts(cols)
+    return df.agg(differ.alias("different_dates"), missing.alias("false_dates"))
 
 
 def partially_filled(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -119,58 +126,45 @@ def rule_violations(df: DataFrame, rules: list[tuple[str, str, str]]) -> DataFra
 # ---------------------------------------------------------------- foreign keys
 
 def orphan_rows(child: DataFrame, checks: list[tuple], keep: list[str] | None = None,
-                period: Column | None = None, max_broadcast_rows: int | None = None) -> DataFrame:
+                period: Column | None = None) -> DataFrame:
     """Rows whose foreign key has no parent (Q1, J6), one output row per
     failing (row, side): a row failing both sides appears twice, as in the
     original sum of both sides; a NULL key has no parent. ``checks`` =
     (side, parent, child_key(s), parent_key(s)); ``keep`` = child columns to
     return (all when None). Child rows are otherwise unchanged.
 
-    When every parent key set is proven small, the child is read once: one
-    broadcast left join per side flags a missing parent and only the failing
-    (row, side) pairs are emitted. Otherwise each side is a semi/anti join on
-    its distinct parent keys (``key_join``), which AQE can split for hot keys.
+    The child is read once: each row gives a (side, key) pair per side, and
+    one anti join against the distinct (side, key) pairs of all parents leaves
+    the failing ones. Catalyst and AQE choose the join: small parents are
+    broadcast, hot keys of the child are split.
     """
-    from tramline.operators.joins import DEFAULT_BROADCAST_ROWS, row_bound_holds
-    limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
     norm = []
     for side, parent, ck, pk in checks:
-        ck = [ck] if isinstance(ck, str) else list(ck)
-        pk = [pk] if isinstance(pk, str) else list(pk)
-        norm.append((side, parent, ck, pk))
+        norm.append((side, parent, [ck] if isinstance(ck, str) else list(ck), [pk] if isinstance(pk, str) else list(pk)))
     keep_cols = keep or child.columns
     extra = [period.alias("period")] if period is not None else []
     # fk_value keeps the key type when every side has one key of the same
     # type; otherwise (composite or mixed keys) it is the key as text.
     types = {child.schema[ck[0]].dataType.simpleString() if len(ck) == 1 else None for _, _, ck, _ in norm}
-    fk_type = types.pop() if len(types) == 1 and None not in types else "string"
-
-    def fk_text(ck):
-        v = F.col(ck[0]) if len(ck) == 1 else F.struct(*[F.col(c) for c in ck])
-        return v.cast("string")
-
-    if all(row_bound_holds(parent.select(*pk), limit) for _, parent, _, pk in norm):
-        flagged = child
-        flags = []
-        for i, (side, parent, ck, pk) in enumerate(norm):
-            keys = (parent.select(*[F.col(p).alias(f"__o{i}_{j}") for j, p in enumerate(pk)]).dropna().distinct()
-                    .withColumn(f"__hit{i}", F.lit(True)))
-            cond = reduce(lambda a, b: a & b, [flagged[c] == keys[f"__o{i}_{j}"] for j, c in enumerate(ck)])
-            flagged = flagged.join(F.broadcast(keys), cond, "left").drop(*[f"__o{i}_{j}" for j in range(len(pk))])
-            flags.append(F.when(F.col(f"__hit{i}").isNull(),
-                                F.struct(F.lit(side).alias("side"), fk_text(ck).alias("fk_value"))))
-        failing = F.filter(F.array(*flags), lambda x: x.isNotNull())
-        out = (flagged.select(*keep_cols, *extra, F.explode(failing).alias("__f"))
-               .select(*keep_cols, *(["period"] if extra else []), "__f.side", "__f.fk_value"))
-        return out.withColumn("fk_value", F.col("fk_value").cast(fk_type))
-
-    out = None
+    fk_type = types.pop() if len(types) == 1 and None not in types else None
+
+    def key(columns: list[Column], kinds) -> Column:
+        typed = [c.cast(t) for c, t in zip(columns, kinds, strict=True)]
+        if fk_type:
+            return typed[0]
+        whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in typed])
+        return F.when(whole, F.to_json(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(typed)])))
+
+    sides, known = [], []
     for side, parent, ck, pk in norm:
-        bad = (key_join(child, parent, list(zip(ck, pk)), "left_anti")
-               .select(*keep_cols, *extra, F.lit(side).alias("side"),
-                       fk_text(ck).cast(fk_type).alias("fk_value")))
-        out = bad if out is None else out.unionByName(bad)
-    return out
+        kinds = [child.schema[c].dataType for c in ck]
+        shown = F.col(ck[0]) if len(ck) == 1 else F.struct(*[F.col(c) for c in ck])
+        sides.append(F.struct(F.lit(side).alias("side"), shown.cast(fk_type or "string").alias("fk_value"),
+                              key([F.col(c) for c in ck], kinds).alias("__key")))
+        known.append(parent.select(F.lit(side).alias("side"), key([F.col(c) for c in pk], kinds).alias("__key")))
+    pairs = child.select(*keep_cols, *extra, F.explode(F.array(*sides)).alias("__f")).select(
+        *keep_cols, *(["period"] if extra else []), "__f.*")
+    return key_join(pairs, reduce(DataFrame.unionByName, known), [("side", "side"), ("__key", "__key")], "left_anti").drop("__key")
 
 
 def orphan_counts(orphans: DataFrame, by: list[str]) -> DataFrame:

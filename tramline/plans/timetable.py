@@ -30,7 +30,7 @@ from tramline.operators import quality as Q
 from tramline.operators import repair as R
 from tramline.operators import snapshots as S
 from tramline.operators.joins import fill_from_parent, key_join, lookup_fill
-from tramline.operators.projection import apply_operations  # noqa: F401 (re-exported)
+from tramline.operators.projection import apply_operations, drop_if_clean  # noqa: F401 (re-exported)
 from tramline.session import ensure_checkpoint_dir, materialize
 from tramline.sources.files import read_csv
 from tramline.sources.sinks import versioned_path
@@ -227,17 +227,12 @@ def change_date_format(df: DataFrame) -> tuple[DataFrame, dict]:
     return df.select(*[parse_dmy(F.col(c)).alias(c) if c in DATE_COLS else F.col(c) for c in df.columns]), m
 
 
-def check_dates(df: DataFrame) -> tuple[DataFrame, dict]:
-    """Rows whose three dates disagree / have a gap; when no row disagrees,
-    the two copies are dropped."""
-    present = F.col(DATE_COLS[0]).isNotNull() & F.col(DATE_COLS[1]).isNotNull() & F.col(DATE_COLS[2]).isNotNull()
-    differ = ((F.col(DATE_COLS[0]) != F.col(DATE_COLS[1])) | (F.col(DATE_COLS[0]) != F.col(DATE_COLS[2]))
-              | (F.col(DATE_COLS[1]) != F.col(DATE_COLS[2])))
-    missing = F.col(DATE_COLS[0]).isNull() | F.col(DATE_COLS[1]).isNull() | F.col(DATE_COLS[2]).isNull()
-    m = _years(df, {"Different Dates in Rows": F.count_if(present & differ), "False Dates": F.count_if(missing)})
-    if sum(v["Different Dates in Rows"] for v in m.values()) == 0:
-        df = df.drop(*DATE_COLS[1:])
-    return df, m
+def compare_date_copies(df: DataFrame) -> tuple[DataFrame, dict]:
+    """The operating day against its copies, per year; the copies go when they
+    say nothing of their own."""
+    found = _years(df, dict(zip(("Different Dates in Rows", "False Dates"), Q.disagreement_counts(DATE_COLS), strict=True)))
+    total = df.sparkSession.createDataFrame([(sum(v["Different Dates in Rows"] for v in found.values()),)], "n long")
+    return drop_if_clean(df, total, "n", DATE_COLS[1:]), found
 
 
 def split_geopos(df: DataFrame) -> tuple[DataFrame, None]:
@@ -262,7 +257,7 @@ def clean_steps(table: str) -> list[tuple[Step, str]]:
     steps = [(rename_and_delete(table), "Renaming_And_Deletion"), (delete_duplicates, "Deleting_Duplicate_Rows"),
              (unify_empty_step, "Unifying_Empty")]
     if table == "fahrzeiten":
-        return steps + [(change_date_format, "Changing_Date_Format"), (check_dates, "Checking_Dates")]
+        return steps + [(change_date_format, "Changing_Date_Format"), (compare_date_copies, "Checking_Dates")]
     steps.append((unify_values(table), "Unifying_Values"))
     if table == "passagierfrequenz":
         steps += [(split_geopos, "Splitting_Geopos"), (check_remarks, "Checking_Remarks")]
@@ -371,8 +366,12 @@ def check_ids_in_next_year(snapshots: DataFrame) -> str:
 
 def merge_stops(snapshots: DataFrame) -> DataFrame:
     """Stops: the last year's snapshot (Q12)."""
-    last = snapshots.agg(F.max("jahr")).scalar()
-    return snapshots.where(F.col("jahr") == last).drop("jahr")
+    return S.last_year(snapshots, "jahr")
+
+
+def merge_stop_points(years: dict[int, DataFrame]) -> DataFrame:
+    """Stop points: all years under one another, the year in front (Q12)."""
+    return S.stack_years(years)
 
 
 def check_reactivated(stop_points: DataFrame) -> str:
@@ -596,31 +595,35 @@ def copy_mismatch_pairs(segments: DataFrame, stop_points: DataFrame, stops: Data
 
 # ------------------------------------------------------------------ segment rules (Q13)
 
-# Rules a valid segment satisfies, as (family, message, SQL
-# predicate); dates are the parsed DATE columns, times seconds after midnight.
-SEGMENT_RULES = [
-    ("Ungrouped", "richtung contains values other than 1 or 2.", "richtung IN (1, 2)"),
-    ("Ungrouped", "datum_von is greater than datum_nach.", "datum_von <= datum_nach"),
-    ("Ungrouped", "seq_von is not 1 smaller than seq_nach.", "seq_von + 1 = seq_nach"),
-    ("Between 0 and 86399", "soll_an_von is not between 0 and 86399.", "soll_an_von BETWEEN 0 AND 86399"),
-    ("Between 0 and 86399", "soll_an_nach is not between 0 and 86399.", "soll_an_nach BETWEEN 0 AND 86399"),
-    ("Less or equal", "ist_an_von is greater than ist_ab_von.", "ist_an_von <= ist_ab_von"),
-    ("Less or equal", "ist_an_nach is greater than ist_ab_nach.", "ist_an_nach <= ist_ab_nach"),
-    ("Less or equal", "soll_an_von is greater than soll_ab_von.", "soll_an_von <= soll_ab_von"),
-    ("Less or equal", "soll_an_nach is greater than soll_ab_nach.", "soll_an_nach <= soll_ab_nach"),
-]
+DAY = 24 * 60 * 60
+
+
+def _in_day(column: str) -> tuple[str, str, str]:
+    return "time of day", f"{column} lies within its day", f"{column} BETWEEN 0 AND {DAY - 1}"
+
 
-# Counted rules (a row violating the predicate is counted).
-SEGMENT_COUNT_RULES = [
-    ("Greater than 86399", "Entries in ist_an_von/ist_an_nach greater than 86399",
-     "ist_an_von <= 86399 AND ist_an_nach <= 86399"),
-    ("Greater than 86399", "Entries in ist_ab_von/ist_ab_nach greater than 86399",
-     "ist_ab_von <= 86399 AND ist_ab_nach <= 86399"),
-    ("Greater than 86399", "Entries in soll_ab_von/soll_ab_nach greater than 86399",
-     "soll_ab_von <= 86399 AND soll_ab_nach <= 86399"),
-    ("Less than 0", "Entries in ist_an_von/ist_an_nach less than 0", "ist_an_von >= 0 AND ist_an_nach >= 0"),
-    ("Less than 0", "Entries in ist_ab_von/ist_ab_nach less than 0", "ist_ab_von >= 0 AND ist_ab_nach >= 0"),
+def _in_order(first: str, then: str) -> tuple[str, str, str]:
+    return "order of times", f"{first} comes no later than {then}", f"{first} <= {then}"
+
+
+def _not_over(name: str) -> tuple[str, str, str]:
+    return "beyond midnight", f"{name} at both stops ends with the day", f"{name}_von < {DAY} AND {name}_nach < {DAY}"
+
+
+def _not_under(name: str) -> tuple[str, str, str]:
+    return "before the day", f"{name} at both stops is not negative", f"{name}_von >= 0 AND {name}_nach >= 0"
+
+
+#: (family, rule, what a valid row satisfies)
+SEGMENT_RULES = [
+    ("single", "the direction is 1 or 2", "richtung IN (1, 2)"),
+    ("single", "the trip does not end before its day", "datum_von <= datum_nach"),
+    ("single", "the stops follow each other", "seq_von + 1 = seq_nach"),
+    *[_in_day(f"soll_an_{stop}") for stop in ("von", "nach")],
+    *[_in_order(f"{kind}_an_{stop}", f"{kind}_ab_{stop}") for kind in ("ist", "soll") for stop in ("von", "nach")],
 ]
+#: Rules whose violations are counted.
+SEGMENT_COUNT_RULES = [*[_not_over(name) for name in ("ist_an", "ist_ab", "soll_ab")], *[_not_under(name) for name in ("ist_an", "ist_ab")]]
 
 
 def check_segment_rules(segments: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def ledger_rollup(ledger: DataFrame) -> DataFrame:
     """Sum per-year ledger rows into one row per (table, step).
 
     'Table_2019_Step' rows are grouped by (Table, Step); times are summed
-    (missing = 0) and rounded to 2 digits; outputs 'k: v; k2: v2' are parsed
+    (missing = 0) and rounded to 2 digits (half to even); outputs 'k: v; k2: v2' are parsed
     and summed per key, keeping the keys' order; an output of only 'True'
     stays 'True'. One pass over the ledger: each row's time rides on its
     first output part, so times and parts are summed by the same grouping.
@@ -45,7 +45,7 @@ def ledger_rollup(ledger: DataFrame) -> DataFrame:
         F.min("pos").alias("pos"), F.sum("v").alias("total"), F.sum("time").alias("time"))
     keyed = F.when(F.col("key").isNotNull(), F.struct("pos", "key", "total"))
     out = sums.groupBy("table_name", "step").agg(
-        F.round(F.sum("time"), 2).alias("time"),
+        F.bround(F.sum("time"), 2).alias("time"),
         F.concat_ws("; ", F.transform(F.array_sort(F.collect_list(keyed)),
                                       lambda s: F.concat(s["key"], F.lit(": "), s["total"].cast("string"))))
         .alias("output"))
