@@ -1,3 +1,4 @@
+import contextlib
 import os
 import sys
 
@@ -14,6 +15,20 @@ def spark():
     s.stop()
 
 
+@contextlib.contextmanager
+def broadcasts(spark, allowed):
+    """Joins inside may broadcast a small side, or none may."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "10m" if allowed else "-1")
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def rows(df, *cols):
     """Sorted list of tuples of the given columns (all columns by default)."""
     cols = cols or tuple(df.columns)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions.dates import (dates_from_file_name, german_month_name, month_length, parse_dmy,
                                       weekday_index)
-from tramline.functions.geo import lv95_to_wgs84
+from tramline.functions.geo import lv95_to_bessel, lv95_to_wgs84, lv95_to_wgs84_approx
 from tramline.functions.nulls import unify_empty
 from tramline.functions.numbers import (decimal_comma_to_double, ends_with_zero_fraction, range_category,
                                         round_half_even, row_max, thousands)
@@ -21,11 +21,51 @@ def test_parse_dmy_pivot_and_invalid(spark):
 
 def test_lv95_origin(spark):
     df = spark.createDataFrame([(2600000.0, 1200000.0)], "e double, n double")
-    lat, lon = lv95_to_wgs84(F.col("e"), F.col("n"))
+    lat, lon = lv95_to_wgs84_approx(F.col("e"), F.col("n"))
     r = df.select(F.round(lat, 6), F.round(lon, 6)).first()
     assert (r[0], r[1]) == (46.951081, 7.438637)
 
 
+def test_lv95_published_points(spark):
+    """The published examples: a point on the ellipsoid (Rigi) and one in
+    WGS84, both well within a centimetre (3e-9 rad are 2 cm)."""
+    def dms(d, m, s):
+        return d + m / 60 + s / 3600
+    df = spark.createDataFrame([(2679520.05, 1212273.44), (2700000.0, 1100000.0)], "e double, n double").coalesce(1)
+    lat, lon = lv95_to_bessel(F.col("e"), F.col("n"))
+    rigi = df.select(F.degrees(lat), F.degrees(lon)).first()
+    assert abs(rigi[0] - dms(47, 3, 28.95659233)) < 5e-9 and abs(rigi[1] - dms(8, 29, 11.11127154)) < 5e-9
+    lat, lon = lv95_to_wgs84(F.col("e"), F.col("n"))
+    south = df.select(lat, lon).collect()[1]
+    assert abs(south[0] - dms(46, 2, 38.87)) < 0.005 / 3600 and abs(south[1] - dms(8, 43, 49.79)) < 0.005 / 3600
+
+
+def test_lv95_undoes_the_projection(spark):
+    """Forward formulas in plain Python, there and back within a millimetre."""
+    import math
+    a, e2 = 6377397.155, 0.006674372230614
+    e = math.sqrt(e2)
+    p0, l0 = math.radians(46 + 57 / 60 + 8.66 / 3600), math.radians(7 + 26 / 60 + 22.5 / 3600)
+    r = a * math.sqrt(1 - e2) / (1 - e2 * math.sin(p0) ** 2)
+    al = math.sqrt(1 + e2 / (1 - e2) * math.cos(p0) ** 4)
+    b0 = math.asin(math.sin(p0) / al)
+    s = lambda p: al * math.log(math.tan(math.pi / 4 + p / 2)) - al * e / 2 * math.log((1 + e * math.sin(p)) / (1 - e * math.sin(p)))
+    k = math.log(math.tan(math.pi / 4 + b0 / 2)) - s(p0)
+
+    def forward(p, lam):
+        b = 2 * (math.atan(math.exp(s(p) + k)) - math.pi / 4)
+        l = al * (lam - l0)
+        lb = math.atan(math.sin(l) / (math.sin(b0) * math.tan(b) + math.cos(b0) * math.cos(l)))
+        bb = math.asin(math.cos(b0) * math.sin(b) - math.sin(b0) * math.cos(b) * math.cos(l))
+        return 2600000 + r * lb, 1200000 + r / 2 * math.log((1 + math.sin(bb)) / (1 - math.sin(bb)))
+
+    points = [(2480000.0 + 35000 * i, 1070000.0 + 23000 * i) for i in range(10)]
+    lat, lon = lv95_to_bessel(F.col("e"), F.col("n"))
+    for row in spark.createDataFrame(points, "e double, n double").select("e", "n", lat, lon).collect():
+        back = forward(row[2], row[3])
+        assert abs(back[0] - row[0]) < 1e-3 and abs(back[1] - row[1]) < 1e-3
+
+
 def test_unify_empty_and_literal_replace(spark):
     df = spark.createDataFrame([("",), ("None",), ("Null",), ("x.y",), (None,)], "s string")
     got = [r[0] for r in df.select(unify_empty(F.col("s"))).collect()]

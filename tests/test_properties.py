@@ -8,6 +8,7 @@ from tramline.operators import describe as Dm
 from tramline.operators import ordering as O
 from tramline.operators import quality as Q
 from tramline.operators.joins import key_join
+from tests.conftest import broadcasts
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 keys = st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=0, max_size=30)
@@ -18,9 +19,9 @@ keys = st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=0, max_size=30
 def test_semi_plus_anti_is_all(spark, child, parent, small):
     c = spark.createDataFrame([(i, k) for i, k in enumerate(child)], "rid long, k long")
     p = spark.createDataFrame([(k,) for k in parent], "k long")
-    limit = 10 ** 6 if small else 0
-    semi = {r.rid for r in key_join(c, p, [("k", "k")], "left_semi", max_broadcast_rows=limit).collect()}
-    anti = {r.rid for r in key_join(c, p, [("k", "k")], "left_anti", max_broadcast_rows=limit).collect()}
+    with broadcasts(spark, small):
+        semi = {r.rid for r in key_join(c, p, [("k", "k")], "left_semi").collect()}
+        anti = {r.rid for r in key_join(c, p, [("k", "k")], "left_anti").collect()}
     assert semi | anti == set(range(len(child))) and not semi & anti
     assert semi == {i for i, k in enumerate(child) if k is not None and k in set(parent)}
 

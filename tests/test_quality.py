@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tramline.operators import quality as Q
-from tests.conftest import rows
+from tests.conftest import broadcasts, rows
 
 
 def test_dedup_counts_and_exact(spark):
@@ -78,6 +78,8 @@ def test_orphan_paths_agree(spark):
     pa = spark.createDataFrame([(10, 2020), (11, 2020), (11, 2021)], "a int, yr int")
     pb = spark.createDataFrame([(100,)], "b int")
     checks = [("a", pa, ["a", "yr"], ["a", "yr"]), ("b", pb, "b", "b")]
-    one_pass = rows(Q.orphan_rows(child, checks, ["id"]), "id", "side")
-    per_side = rows(Q.orphan_rows(child, checks, ["id"], max_broadcast_rows=0), "id", "side")
-    assert one_pass == per_side == [(3, "a"), (3, "b"), (4, "a")]
+    for allowed in (True, False):
+        with broadcasts(spark, allowed):
+            assert rows(Q.orphan_rows(child, checks, ["id"]), "id", "side") == [(3, "a"), (3, "b"), (4, "a")]
+    plan = Q.orphan_rows(child, checks, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1                                  # one anti join for all sides

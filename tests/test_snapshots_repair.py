@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tramline.operators import repair as R
 from tramline.operators import snapshots as S
@@ -25,11 +26,37 @@ def test_latest_snapshot_and_gate(spark):
     df = spark.createDataFrame(SNAP, SCHEMA)
     assert rows(S.latest_snapshot(df, "id", "jahr")) == [(1, 2018, "b", 1, True), (2, 2016, "x", 5, False),
                                                          (3, 2018, "y", 1, True)]
-    gate = S.merge_gate(S.changed_cells(df, "id", "jahr", ["name", "grp"]),
-                        S.ids_missing_next_year(df, "id", "jahr"), ["grp"]).first()
+    gate = S.merge_gate(df, "id", "jahr", ["grp"]).first()
     assert (gate.consistent, gate.contained, gate.mergeable) == (False, False, False)
 
 
+def test_gate_asks_the_ledger(spark):
+    df = spark.createDataFrame([(1, 2016, "a"), (1, 2017, "b"), (None, 2016, "x"), (2, 2017, "y"), (3, None, "z")], "id int, jahr int, name string")
+    led = spark.createDataFrame([("A_Csv_Merging", 1.5), ("B_Csv_Merging", None)], "process string, time double")
+    gate = lambda *a: tuple(S.merge_gate(df, "id", "jahr", *a).first())
+    assert gate(["name"]) == (False, True, True, False)
+    df = df.withColumn("name", F.lit("same"))
+    assert gate(["name"]) == (True, True, True, True)
+    assert gate(["name"], led, "A_Csv_Merging") == (True, True, False, False)
+    assert gate(["name"], led, "B_Csv_Merging") == (True, True, True, True)
+
+
+def test_copies_of_a_snapshot_row_count_once(spark):
+    df = spark.createDataFrame(SNAP * 3, SCHEMA)
+    assert rows(S.changed_cells(df, "id", "jahr", ["name", "grp"])) == [("grp", 1), ("name", 1)]
+    assert rows(S.ids_missing_next_year(df, "id", "jahr")) == [(2, 2016)]
+    assert rows(S.reactivated(df, "id", "jahr", "aktiv")) == [(1, 2017)]
+    assert rows(S.latest_snapshot(df.unionByName(df.withColumn("name", F.lit("0"))), "id", "jahr"), "id", "name") == [(1, "b"), (2, "x"), (3, "y")]
+    assert rows(S.last_year(spark.createDataFrame(SNAP, SCHEMA), "jahr"), "id") == [(1,), (3,)]
+    assert S.changed_cells(df.limit(0), "id", "jahr", ["name"]).first().inconsistent == 0
+
+
+def test_snapshot_checks_share_one_shuffle(spark):
+    df = spark.createDataFrame(SNAP, SCHEMA)
+    plan = S.merge_gate(df, "id", "jahr", ["grp"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_stack_years(spark):
     a = spark.createDataFrame([(1,)], "id int")
     b = spark.createDataFrame([(2,)], "id int")

@@ -222,13 +222,13 @@ def test_segment_rules(spark):
                                       "soll_an_von int, soll_an_nach int, soll_ab_von int, soll_ab_nach int, "
                                       "ist_an_von int, ist_an_nach int, ist_ab_von int, ist_ab_nach int")
     res = {r.rule: r.violations for r in TT.check_segment_rules(seg).collect()}
-    assert res["richtung contains values other than 1 or 2."] == 1
-    assert res["datum_von is greater than datum_nach."] == 1
-    assert res["seq_von is not 1 smaller than seq_nach."] == 1
-    assert res["soll_an_von is not between 0 and 86399."] == 1
-    assert res["soll_an_von is greater than soll_ab_von."] == 1
-    assert res["Entries in ist_an_von/ist_an_nach less than 0"] == 1
-    assert res["ist_an_von is greater than ist_ab_von."] == 0
+    assert res["the direction is 1 or 2"] == 1
+    assert res["the trip does not end before its day"] == 1
+    assert res["the stops follow each other"] == 1
+    assert res["soll_an_von lies within its day"] == 1
+    assert res["soll_an_von comes no later than soll_ab_von"] == 1
+    assert res["ist_an at both stops is not negative"] == 1
+    assert res["ist_an_von comes no later than ist_ab_von"] == 0
 
 
 def test_command_line_stream(spark, raw):

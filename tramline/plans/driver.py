@@ -20,20 +20,15 @@ from tramline.operators import snapshots as S
 from tramline.operators import timegrid as G
 from tramline.operators.describe import describe as describe_op
 from tramline.operators.filters import date_text_mismatch, hash_sample as hash_sample_op, search as search_op
-from tramline.operators.joins import bounded_broadcast, combine_counts, composite_consistency, \
-    fill_from_parent, lookup_fill, semi
+from tramline.operators.joins import combine_counts, composite_consistency, fill_from_parent, lookup_fill, semi
 from tramline.operators.ordering import attach_group_agg, page as page_op, top_k_by, with_row_number
 from tramline.operators.projection import unpivot
+from tramline.plans.runs import QUERIES as RUNS
 from tramline.plans.tables import AUDIT_PAIRS, TABLES, audit_frame, date_text, dirty_customer, \
     every, grid_coordinates, load, snapshots, year_ranges
 from tramline.sources.ledger import ledger_rollup as ledger_rollup_op
 from tramline.sources.reports import parse_sectioned_report, render_sectioned_report
 
-# Dimension tables that may be broadcast: their size is bounded by the row
-# check in ``bounded_broadcast``, not assumed.
-DIM_ROWS = 100_000
-
-
 # ------------------------------------------------------------------ calendar
 
 def daily_counts(spark, d):
@@ -141,8 +136,7 @@ def first_token_counts(spark, d):
 def lookup_label_counts(spark, d):
     c = load(spark, d, "customer")
     per_nation = A.group_count(c, "c_nationkey")
-    nation = bounded_broadcast(load(spark, d, "nation"), DIM_ROWS)
-    region = bounded_broadcast(load(spark, d, "region"), DIM_ROWS)
+    nation, region = load(spark, d, "nation"), load(spark, d, "region")
     j = per_nation.join(nation, per_nation["c_nationkey"] == nation["n_nationkey"], "inner") \
                   .join(region, nation["n_regionkey"] == region["r_regionkey"], "inner")
     return j.select("r_name", "n_name", "n")
@@ -379,9 +373,7 @@ def snapshot_merge(spark, d):
 
 
 def merge_gate(spark, d):
-    snap = snapshots(spark, d)
-    return S.merge_gate(S.changed_cells(snap, "id", "jahr", SNAP_COLS),
-                        S.ids_missing_next_year(snap, "id", "jahr"), ["grp"])
+    return S.merge_gate(snapshots(spark, d), "id", "jahr", ["grp"]).drop("unmerged")
 
 
 # ------------------------------------------------------------------ repairs
@@ -417,7 +409,7 @@ def fill_by_name(spark, d):
                              strip_grouping_dots(F.col("n_koord")).cast("double"))
     reg = reg.select("name", lat.alias("r_lat"), lon.alias("r_lon"))
     c = load(spark, d, "customer").select("c_custkey", "c_nationkey")
-    nation = bounded_broadcast(load(spark, d, "nation").select("n_nationkey", "n_name"), DIM_ROWS)
+    nation = load(spark, d, "nation").select("n_nationkey", "n_name")
     # The child stores the name with ';' for ' ' (as the source files do);
     # it is normalised before the lookup.
     child = c.join(nation, c["c_nationkey"] == nation["n_nationkey"], "inner") \
@@ -471,13 +463,17 @@ def mismatch_pairs(spark, d):
 
 
 def mismatch_share(spark, d):
-    """Mismatches per (year, column) with the year's child rows and percent
-    (A24, A25, J4): counts and totals come from the same aggregation."""
-    j = audit_frame(spark, d)
-    aggs = [F.count_if(~F.col(c).eqNullSafe(F.col(p))).alias(n) for n, c, p in AUDIT_PAIRS]
-    wide = j.groupBy("yr").agg(F.count(F.lit(1)).alias("total_rows"), *aggs)
-    long = wide.unpivot(["yr", "total_rows"], [n for n, _, _ in AUDIT_PAIRS], "column_name", "mismatches")
-    return long.select("yr", "column_name", "mismatches", "total_rows",
+    """Mismatches per (filed year, column) with percent of the year's child
+    rows (A24, A25, J4, Q16). Some children have no parent (the orders of
+    every 29th key are missing): they match nothing, but the year's total
+    counts them, as it counts all rows of the year's file. One left join and
+    one aggregation give both counts and totals."""
+    j = audit_frame(spark, d, how="left", missing_orders=29)
+    known = F.col("o_orderkey").isNotNull()
+    aggs = [F.count_if(known & ~F.col(c).eqNullSafe(F.col(p))).alias(n) for n, c, p in AUDIT_PAIRS]
+    wide = j.groupBy("file_year").agg(F.count(F.lit(1)).alias("total_rows"), *aggs)
+    long = wide.unpivot(["file_year", "total_rows"], [n for n, _, _ in AUDIT_PAIRS], "column_name", "mismatches")
+    return long.select(F.col("file_year").alias("yr"), "column_name", "mismatches", "total_rows",
                        F.round(F.col("mismatches") * 100.0 / F.col("total_rows"), 4).alias("percent"))
 
 
@@ -727,4 +723,5 @@ QUERIES = {
     "grid_to_wgs84": grid_to_wgs84,
     "key_set_ops": key_set_ops,
     "monthly_counts_named": monthly_counts_named,
+    **RUNS,
 }

@@ -8,8 +8,7 @@ same key. Dirt recipes are written as the same key rules as in
 
 from __future__ import annotations
 
-from tramline.functions.geo import lv95_sql
-from tramline.plans.driver import EVENT_RULES, LINEITEM_RULES, PATCHES
+from tramline.plans.runs_oracle import ORACLE_SQL as RUNS_SQL
 
 D = "CAST(100.0 AS DOUBLE)"
 
@@ -81,11 +80,37 @@ lc AS (SELECT c_custkey, c_nationkey,
               CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey % 360 AS DOUBLE) END AS bearing
        FROM customer)"""
 
-_RLAT, _RLON = lv95_sql("CAST(2600000 + n_nationkey * 10000 + n_regionkey * 100 AS DOUBLE)",
-                        "CAST(1200000 + n_regionkey * 20000 + n_nationkey * 500 AS DOUBLE)")
+def _wgs84(source: str) -> str:
+    """``source`` (a subquery with grid coordinates e, n) with lat and lon:
+    the projection's formulas step by step, the ellipsoid by iteration."""
+    deg = "{} + {} / 60.0 + {} / 3600.0"
+    steps = [
+        ("*, 6377397.155::DOUBLE AS a, 0.006674372230614::DOUBLE AS e2, "
+         f"radians({deg.format(46, 57, 8.66)}) AS p0, radians({deg.format(7, 26, 22.5)}) AS l0"),
+        "*, sqrt(e2) AS x, a * sqrt(1 - e2) / (1 - e2 * pow(sin(p0), 2)) AS r, sqrt(1 + e2 / (1 - e2) * pow(cos(p0), 4)) AS al",
+        "*, asin(sin(p0) / al) AS b0",
+        ("*, ln(tan(pi() / 4 + b0 / 2)) - al * ln(tan(pi() / 4 + p0 / 2)) + al * x / 2 * ln((1 + x * sin(p0)) / (1 - x * sin(p0))) AS k, "
+         "(e - 2600000) / r AS l, 2 * (atan(exp((n - 1200000) / r)) - pi() / 4) AS b"),
+        ("*, asin(cos(b0) * sin(b) + sin(b0) * cos(b) * cos(l)) AS p, "
+         "l0 + atan(sin(l) / (cos(b0) * cos(l) - sin(b0) * tan(b))) / al AS lam"),
+        "*, (ln(tan(pi() / 4 + p / 2)) - k) / al AS q",
+        *["* REPLACE (2 * atan(exp(q + x * ln(tan(pi() / 4 + asin(x * sin(p)) / 2)))) - pi() / 2 AS p)"] * 8,
+        "*, a / sqrt(1 - e2 * pow(sin(p), 2)) AS nu, 6378137::DOUBLE AS wa, 1 / 298.257223563 AS f",
+        ("*, nu * cos(p) * cos(lam) + 674.374 AS gx, nu * cos(p) * sin(lam) + 15.056 AS gy, nu * (1 - e2) * sin(p) + 405.346 AS gz, "
+         "f * (2 - f) AS w2"),
+        "*, sqrt(gx * gx + gy * gy) AS gp, atan2(gz, sqrt(gx * gx + gy * gy) * (1 - w2)) AS phi",
+        *["* REPLACE (atan2(gz + w2 * wa / sqrt(1 - w2 * pow(sin(phi), 2)) * sin(phi), gp) AS phi)"] * 12,
+        "*, degrees(phi) AS lat, degrees(atan2(gy, gx)) AS lon",
+    ]
+    for step in steps:
+        source = f"(SELECT {step} FROM {source})"
+    return source
+
+
+_REG = _wgs84("(SELECT n_name AS name, n_nationkey, CAST(2600000 + n_nationkey * 10000 + n_regionkey * 100 AS DOUBLE) AS e, "
+              "CAST(1200000 + n_regionkey * 20000 + n_nationkey * 500 AS DOUBLE) AS n FROM nation WHERE n_regionkey < 4)")
 REGISTER = f"""
-reg AS (SELECT n_name AS name, n_nationkey, {_RLAT} AS r_lat, {_RLON} AS r_lon
-        FROM nation WHERE n_regionkey < 4)"""
+reg AS (SELECT name, n_nationkey, lat AS r_lat, lon AS r_lon FROM {_REG})"""
 
 AUDIT = """
 j AS (SELECT l_orderkey, l_linenumber, CAST(year(o_orderdate) AS INTEGER) AS yr,
@@ -134,24 +159,30 @@ def _rules(rules, source: str, with_counts: bool) -> str:
     return f"WITH {source}, w AS (SELECT {aggs} FROM src) " + " UNION ALL ".join(rows)
 
 
-def _patch_sql() -> str:
-    cols = []
-    for c, vals in PATCHES.items():
-        cases = []
-        for k, v in vals.items():
-            if v is None:
-                lit = "NULL"
-            elif isinstance(v, str):
-                lit = f"'{v}'"
-            else:
-                lit = f"CAST({v} AS DOUBLE)"
-            cases.append(f"WHEN c_custkey = {k} THEN {lit}")
-        cols.append(f"CASE {' '.join(cases)} ELSE {c} END AS {c}")
-    return f"SELECT c_custkey, {', '.join(cols)} FROM customer"
-
-
-_GLAT, _GLON = lv95_sql("CAST(2480000 + (c_custkey * 37) % 350000 AS DOUBLE)",
-                        "CAST(1070000 + (c_custkey * 53) % 220000 AS DOUBLE)")
+PATCHED = """
+    SELECT c_custkey, CASE c_custkey WHEN 1 THEN 0.0 WHEN 2 THEN 100.5 WHEN 3 THEN -1.0 ELSE c_acctbal END AS c_acctbal,
+           CASE c_custkey WHEN 2 THEN 'PATCHED' WHEN 5 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+    FROM customer"""
+
+# Rules as (family, rule, what a valid row satisfies).
+LINEITEM_RULES = [
+    ("Ungrouped", "linenumber between 1 and 7", "l_linenumber >= 1 AND l_linenumber <= 7"),
+    ("Ungrouped", "returnflag is R, A or N", "l_returnflag = 'R' OR l_returnflag = 'A' OR l_returnflag = 'N'"),
+    ("Ungrouped", "ships on or after the order date", "NOT l_shipdate < o_orderdate"),
+    ("Between", "quantity between 1 and 50", "l_quantity >= 1 AND l_quantity <= 50"),
+    ("Between", "discount between 0 and 0.1", "l_discount >= 0 AND l_discount <= CAST(0.1 AS DOUBLE)"),
+    ("Less or equal", "tax at most 0.08", "NOT l_tax > CAST(0.08 AS DOUBLE)"),
+    ("Less or equal", "discount at most tax", "NOT l_discount > l_tax"),
+]
+EVENT_RULES = [
+    ("Between 0 and 86399", "second of day in range", "sec_of_day >= 0 AND sec_of_day < 86400"),
+    ("Ungrouped", "value not negative", "NOT value < 0"),
+    ("Ungrouped", "known event type", "list_contains(['signup', 'view', 'click', 'purchase', 'error'], event_type)"),
+    ("Less or equal", "value at most 250", "NOT value > 250"),
+]
+
+_GRID = _wgs84("(SELECT c_custkey, CAST(2480000 + (c_custkey * 37) % 350000 AS DOUBLE) AS e, "
+               "CAST(1070000 + (c_custkey * 53) % 220000 AS DOUBLE) AS n FROM customer)")
 
 ORACLE_SQL: dict[str, str] = {
     "daily_counts": "SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders GROUP BY 1",
@@ -392,7 +423,7 @@ ORACLE_SQL: dict[str, str] = {
                round(CASE WHEN hit THEN p_lon ELSE longitude END, 6) AS longitude,
                CASE WHEN hit THEN CAST(-2.0 AS DOUBLE) ELSE bearing END AS bearing FROM h""",
 
-    "keyed_patch": _patch_sql(),
+    "keyed_patch": PATCHED,
 
     "denorm_audit": "WITH " + AUDIT + """
         SELECT l_orderkey, l_linenumber, yr, f_custkey, c_custkey, f_nationkey, c_nationkey,
@@ -407,10 +438,18 @@ ORACLE_SQL: dict[str, str] = {
         f"FROM j WHERE {c} <> {p}" for n, c, p in AUDIT_COLS) +
         ") SELECT yr, column_name, child_value, parent_value, COUNT(*) AS n FROM mm GROUP BY ALL",
 
-    "mismatch_share": "WITH " + AUDIT + ", " + MISMATCH_COUNTS + f""",
-        tot AS (SELECT yr, COUNT(*) AS total_rows FROM j GROUP BY yr)
-        SELECT yr, column_name, mismatches, total_rows, round(mismatches * {D} / total_rows, 4) AS percent
-        FROM mc JOIN tot USING (yr)""",
+    "mismatch_share": f"""
+        WITH o AS (SELECT * FROM orders WHERE o_orderkey % 29 <> 0),
+             k AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS yr, l_orderkey, l_linenumber FROM lineitem),
+             tot AS (SELECT yr, COUNT(*) AS total_rows FROM k GROUP BY yr),
+             j AS (SELECT yr, l_orderkey % 7 = 0 AS custkey, l_orderkey % 11 = 0 AS nationkey,
+                          (CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END)
+                            IS DISTINCT FROM o_orderstatus AS orderstatus,
+                          (CASE WHEN l_linenumber = 7 THEN lower(c_mktsegment) ELSE c_mktsegment END)
+                            IS DISTINCT FROM c_mktsegment AS mktsegment
+                   FROM k JOIN o ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+             mc AS ({" UNION ALL ".join(f"SELECT tot.yr, '{c}' AS column_name, (SELECT count_if({c}) FROM j WHERE j.yr = tot.yr) AS mismatches, total_rows FROM tot" for c in ("custkey", "nationkey", "orderstatus", "mktsegment"))})
+        SELECT yr, column_name, mismatches, total_rows, round(mismatches * {D} / total_rows, 4) AS percent FROM mc""",
 
     "composite_lookup": "WITH " + AUDIT + """,
         t AS (SELECT DISTINCT l_orderkey, f_custkey FROM j)
@@ -512,8 +551,8 @@ ORACLE_SQL: dict[str, str] = {
                      COUNT(*) AS n, min(CAST(o_orderdate AS DATE)) AS d
               FROM orders GROUP BY 1, 2)""",
 
-    "grid_to_wgs84": f"""
-        SELECT c_custkey, round({_GLAT}, 6) AS latitude, round({_GLON}, 6) AS longitude FROM customer""",
+    "grid_to_wgs84": f"SELECT c_custkey, round(lat, 6) AS latitude, round(lon, 6) AS longitude FROM {_GRID}",
+    **RUNS_SQL,
 }
 
 

@@ -79,23 +79,28 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((idc + yc) % 5 != 0).alias("aktiv"))
 
 
-def audit_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def audit_frame(spark: SparkSession, sf_dir: str, how: str = "inner", missing_orders: int | None = None) -> DataFrame:
     """Child rows (lineitem) with their denormalised copies next to the
-    parent values (orders, customer), joined along the parent path.
+    parent values (orders, customer), joined along the parent path; ``yr`` is
+    the parent's year, ``file_year`` the one the child is filed under.
 
     orders and customer are joined first (the smaller pair) so lineitem is
     shuffled once, by its order key. The copies are the parent values altered
     on a key rule, and NULL on another (a NULL copy is no mismatch under SQL
-    ``!=``).
+    ``!=``). With ``how="left"``, children without a parent stay, with NULL in
+    ``o_orderkey``; ``missing_orders`` leaves out every n-th order.
     """
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *(["l_shipdate"] if how == "left" else []))
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    if missing_orders:
+        o = o.where(~every("o_orderkey", missing_orders))
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     oc = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
-    j = li.join(oc, li["l_orderkey"] == oc["o_orderkey"], "inner")
+    j = li.join(oc, li["l_orderkey"] == oc["o_orderkey"], how)
     k = F.col("l_orderkey")
+    filed = ["o_orderkey", F.year("l_shipdate").alias("file_year")] if how == "left" else []
     return j.select(
-        "l_orderkey", "l_linenumber", F.year("o_orderdate").alias("yr"),
+        "l_orderkey", "l_linenumber", F.year("o_orderdate").alias("yr"), *filed,
         F.when(k % 7 == 0, F.col("c_custkey") + 1).otherwise(F.col("c_custkey")).alias("f_custkey"),
         "c_custkey",
         F.when(k % 11 == 0, F.col("c_nationkey") + 1).otherwise(F.col("c_nationkey")).alias("f_nationkey"),
