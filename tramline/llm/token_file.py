@@ -6,7 +6,8 @@ and a bitmap that says which of them continue in the next level. A directory
 of ranks (ones before every 256th bit) and a count of bits inside that stretch
 give an id's place in the next level. So any id is read by one chunk and one
 rank per level; nothing before it is decoded. The widths of the levels are
-those that take the fewest bits for the segment's own ids.
+those that take the fewest bits for the segment's own ids, a visit to a further
+level counted as a bit.
 
 Segment (little-endian, sections padded to 8 bytes)::
 
@@ -58,6 +59,8 @@ HEAD_BYTES, LEVEL_BYTES = struct.calcsize(HEAD), struct.calcsize(LEVEL)
 #: Bits between two entries of a rank directory.
 STRETCH = 256
 SEGMENT_IDS = 1 << 21
+#: What it costs to visit a further level for an id, in bits of space.
+VISIT_BITS = 1.0
 #: Pieces whose ids a task keeps.
 CACHE = 600_000
 #: Characters that are cut up at once.
@@ -70,7 +73,8 @@ NULL_ID, GOES_ON, CAME_IN = 1, 2, 4
 # --- codes ------------------------------------------------------------------
 
 def widths_for(ids: np.ndarray) -> list[int]:
-    """Chunk widths with the fewest bits: chunks, continuation bits, ranks."""
+    """Chunk widths of least cost: chunks, continuation bits, ranks, and visits
+    to further levels."""
     need = np.maximum(np.frexp(ids.astype(np.float64))[1], 1) if len(ids) else np.ones(1, np.int64)
     top = int(need.max())
     count = np.bincount(need, minlength=top + 1)
@@ -79,7 +83,8 @@ def widths_for(ids: np.ndarray) -> list[int]:
     best: list[tuple[float, list[int]]] = [(0.0, [])] * (top + 1)
     for done in range(top - 1, -1, -1):                         # bits below ``done`` are placed already
         here = int(reach[done + 1])
-        best[done] = min((here * (w + (per_bit if done + w < top else 0)) + best[done + w][0], [w, *best[done + w][1]])
+        visit = VISIT_BITS if done else 0.0
+        best[done] = min((here * (w + visit + (per_bit if done + w < top else 0)) + best[done + w][0], [w, *best[done + w][1]])
                          for w in range(1, top - done + 1))
     return best[0][1]
 
@@ -91,8 +96,9 @@ def _padded(data: bytes) -> bytes:
 def _pack(values: np.ndarray, width: int) -> bytes:
     out = []
     for at in range(0, len(values), 1 << 16):                   # whole bytes: a multiple of 8 values
-        part = values[at:at + (1 << 16), None] >> np.arange(width, dtype=np.uint32)
-        out.append(np.packbits((part & 1).astype(np.uint8).ravel(), bitorder="little").tobytes())
+        part = values[at:at + (1 << 16)].astype("<u2" if width <= 16 else "<u4")
+        bits = np.unpackbits(part.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little", count=width)
+        out.append(np.packbits(bits.ravel(), bitorder="little").tobytes())
     return _padded(b"".join(out)) + bytes(8)                    # a word is read behind the last one
 
 
