@@ -1,16 +1,19 @@
 """Licence scan: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a non-blank line. Its features are its word one- to
-three-grams, present or not. A multinomial logistic regression (Spark ML)
-tells the licence families and the class ``unknown`` apart. It is trained on
-licence notices (phrases x names and short standard notices, below), worn by a
-fixed generator: words dropped, replaced and surrounded by words of the
-corpus; and, as unknown, on at most ``MAX_UNKNOWN`` whole paragraphs of the corpus
-(by the smallest hash) and on broken notices. A fifth of it is held back to
-calibrate the probabilities by one temperature. A family stands if its
-calibrated probability is at least one half, and if at least
-``MIN_TEMPLATE`` of the word pairs of one of the family's templates stand in
-the paragraph.
+A paragraph is a run of non-blank lines. It is judged by its lines and, since
+notices are wrapped and broken off anywhere, by its runs of ``WINDOW`` lines
+(each begins in the middle of the one before): what is found in any of them is
+found in the paragraph. The features are word one- to three-grams, present or
+not. A multinomial logistic regression (Spark ML) tells the licence families
+and the class ``unknown`` apart. It is trained on licence notices (phrases x
+names, standard notices and whole short licences, below), worn by a fixed
+generator: words dropped, replaced and surrounded by words of the corpus; and,
+as unknown, on at most ``MAX_UNKNOWN`` whole paragraphs of the corpus (by the
+smallest hash) and on broken notices. All copies of a fifth of the templates
+are held back, so that one temperature calibrates the probabilities on notices
+that the fit has not seen. A family stands if its calibrated probability is at
+least one half, and if at least ``MIN_TEMPLATE`` of the word pairs of one of the
+family's templates stand in the lines.
 
 N-grams that no notice has carry no weight, so the model that travels to the
 executors is as large as the notices. Texts are judged where they are, whole.
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -40,6 +44,8 @@ MAX_UNKNOWN = 2_000
 MAX_UNKNOWN_CHARS = 4_000_000
 MIN_TEMPLATE = 0.6
 WORN_COPIES = 6
+#: Lines of a paragraph that are judged together.
+WINDOW = 8
 
 #: Names of the licence families.
 NAMES = {
@@ -56,6 +62,8 @@ NAMES = {
     "LGPL": ["GNU Lesser General Public License", "GNU Lesser General Public License, version 2.1", "LGPL-2.1"],
     "MIT": ["MIT License", "MIT license terms", "Expat License"],
     "MPL": ["Mozilla Public License, version 2.0", "Mozilla Public License", "MPL-2.0"],
+    "Unlicense": ["Unlicense", "The Unlicense"],
+    "Zlib": ["zlib License", "zlib/libpng license"],
 }
 #: Phrases that name a licence.
 PHRASES = ["licensed under the {}", "licensed under {}", "released under the {}", "this work is licensed under the {}",
@@ -63,9 +71,26 @@ PHRASES = ["licensed under the {}", "licensed under {}", "released under the {}"
            "spdx license identifier {}", "published under a {}"]
 #: Beginnings of standard notices.
 NOTICES = {
-    "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
-    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+            "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+            "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+            "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies "
+            "or substantial portions of the Software."],
+    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+            "in the documentation and/or other materials provided with the distribution.",
+            "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+            "from this software without specific prior written permission."],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies.",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.",
+                  "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+                  "as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
+    "Zlib": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+             "and redistribute it freely, subject to the following restrictions",
+             "The origin of this software must not be misrepresented; you must not claim that you wrote the original software."],
     "GPL": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"],
     "LGPL": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"],
     "AGPL": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"],
@@ -101,17 +126,19 @@ def training_rows(corpus: list[str], seed: int = 5) -> list[tuple[str, list[str]
     rng = random.Random(seed)
     pool = [w for p in corpus for w in words_of(p)] or ["text"]
     pick = lambda n: [rng.choice(pool) for _ in range(n)]
-    rows = []
-    for family, words in templates():
+    rows, of = [], []                                # of: the template a row is a copy of
+    for no, (family, words) in enumerate(templates()):
         name = {w for n in NAMES[family] for w in words_of(n)}
         for _ in range(WORN_COPIES):
             worn = [w for w in words if w in name or rng.random() > 0.1]
             worn = [w if w in name or rng.random() > 0.05 else pick(1)[0] for w in worn]
             around = rng.choice((0, 0, 3, 30))
             rows.append((family, pick(around) + worn + pick(around)))
+            of.append(no)
         broken = list(words)
         rng.shuffle(broken)
         rows.append((UNKNOWN, broken[:max(1, len(words) // 3)] + pick(5)))
+        of.append(no)
     rows += [(UNKNOWN, words_of(s) + pick(rng.choice((0, 5, 20)))) for s in NEAR_MISSES for _ in range(10)]
     known = [set(zip(t, t[1:], strict=False)) for _, t in templates()]
     for p in corpus:
@@ -119,7 +146,11 @@ def training_rows(corpus: list[str], seed: int = 5) -> list[tuple[str, list[str]
         pairs = set(zip(words, words[1:], strict=False))
         if not any(k and len(k & pairs) >= 0.4 * len(k) for k in known):      # a licence notice is no example of unknown
             rows.append((UNKNOWN, words))
-    return [(c, sorted(ngrams(w)), rng.random() < 0.2) for c, w in rows]
+    # whole templates are held back, of families with more than one; other rows one by one
+    split = random.Random(seed + 1)
+    count = Counter(f for f, _ in templates())
+    held = {no for no, (f, _) in enumerate(templates()) if count[f] > 1 and split.random() < 0.2}
+    return [(c, sorted(ngrams(w)), of[i] in held if i < len(of) else split.random() < 0.2) for i, (c, w) in enumerate(rows)]
 
 
 class LicenseModel:
@@ -181,6 +212,28 @@ class LicenseModel:
         return (family, float(p[best]), share) if share >= MIN_TEMPLATE else None
 
 
+def paragraphs_of(text: str) -> list[list[str]]:
+    """The runs of non-blank lines of a text."""
+    out: list[list[str]] = [[]]
+    for line in text.split("\n"):
+        if line.strip():
+            out[-1].append(line)
+        elif out[-1]:
+            out.append([])
+    return [p for p in out if p]
+
+
+def judge_paragraph(model: LicenseModel, lines: list[str]) -> list[tuple[str, float, float]]:
+    """The best finding per family of a paragraph's lines and runs of lines."""
+    found: dict[str, tuple[str, float, float]] = {}
+    step = WINDOW // 2
+    runs = [" ".join(lines[i:i + WINDOW]) for i in range(0, max(1, len(lines) - step), step)] if len(lines) > 1 else []
+    for hit in map(model.paragraph, [*lines, *runs]):
+        if hit and (hit[0] not in found or hit[1:] > found[hit[0]][1:]):
+            found[hit[0]] = hit
+    return list(found.values())
+
+
 def train(spark: SparkSession, corpus: list[str]) -> LicenseModel:
     rows = training_rows(corpus)
     classes = [UNKNOWN, *sorted(NAMES)]
@@ -231,10 +284,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         own = model.value
         out = []
         for text in texts:
-            lines = [x for x in (text or "").split("\n") if x.strip()]
-            hits = [h for h in map(own.paragraph, lines) if h]
+            found = [judge_paragraph(own, lines) for lines in paragraphs_of(text or "")]
+            hits = [h for hs in found for h in hs]
             best = max(hits, key=lambda h: (h[1], [-ord(c) for c in h[0]]), default=(None, None, None))
-            out.append((len(lines), len(hits), sorted({h[0] for h in hits}), best[0], best[1], best[2]))
+            out.append((len(found), sum(map(bool, found)), sorted({h[0] for h in hits}), best[0], best[1], best[2]))
         return pd.DataFrame(out, columns=names)
 
     return rows.select("row", "id", scan(F.col("text")).alias("v")).select("row", "id", "v.*")
