@@ -274,6 +274,13 @@ def _tile_links(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([(nodes[x], nodes[y]) for x, y in keep], columns=["a", "b"], dtype=np.int64)
 
 
+def _dealt(cells: DataFrame):
+    """Cells by bucket and number, in as many partitions as shuffles have: they
+    are few bytes and much work, so they are not to be put together by size."""
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return cells.repartition(n, "bucket", "cell").groupBy("bucket", "cell")
+
+
 def _pair_links(batches):
     for pdf in batches:
         if len(pdf):
@@ -337,16 +344,16 @@ def near_duplicate_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     dealt = members.where(F.col("n") > CELL).select("bucket", "cell").distinct().join(pivots, "bucket")
     cells = (members.select("bucket", "cell", "node", "sig", "asking")
              .unionByName(dealt.select("bucket", "cell", "node", "sig", F.lit(True).alias("asking"))))
-    links = links.unionByName(cells.groupBy("bucket", "cell").applyInPandas(_cell_links, LINKS))
+    links = links.unionByName(_dealt(cells).applyInPandas(_cell_links, LINKS))
     links = materialize(links.groupBy("a", "b").agg(F.max("estimate").alias("estimate")), "dart-links")
     edges = materialize(_verified(links, texts), "dart-edges")
     labels = components(spark, edges)
 
     if (rest := _unsettled(crowd, labels)) is not None:
-        unsure = materialize(rest.groupBy("bucket", "cell").applyInPandas(_unsure_rows, TILE), "dart-unsure")
+        unsure = materialize(_dealt(rest).applyInPandas(_unsure_rows, TILE), "dart-unsure")
         if not unsure.isEmpty():
             found = materialize(texts(unsure.select("node").distinct()), "dart-texts")
-            held = unsure.join(found, "node").groupBy("bucket", "cell").applyInPandas(_tile_links, "a long, b long")
+            held = _dealt(unsure.join(found, "node")).applyInPandas(_tile_links, "a long, b long")
             held = materialize(held.distinct(), "dart-more-edges")
             if not held.isEmpty():
                 labels = _joined(spark, labels, held)
