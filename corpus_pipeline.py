@@ -4,7 +4,8 @@ benchmark passages go, and the rest is drawn to the target mixture.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is
 written as Parquet and read again as the next stage's docs. All stages but the
-last return the columns of ``documents``; the last adds weight and probability.
+last return the columns of ``documents``; the last adds topic, weight and
+probability (named ``mix_...`` where documents has a column of that name).
 """
 
 from __future__ import annotations
@@ -40,7 +41,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     drawn = mix(docs)
-    return drawn.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], "topic", "weight", "probability")
+    free = lambda c: c if c not in docs.columns else free(f"mix_{c}")
+    return drawn.select(*[F.col("row").getField(c).alias(c) for c in docs.columns],
+                        *[F.col(c).alias(free(c)) for c in ("topic", "weight", "probability")])
 
 
 STAGES = [

@@ -306,6 +306,79 @@ def test_page_text_classes(spark):
     assert got == want | {110 + i: f"Other words {i}." for i in range(6)}
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<body class="has-sidebar"><article><p>Text.</p></article></body>', "Text."),
+    ('<article class="post hentry comments-open"><p>Text.</p></article>', "Text."),
+    ("<body><form id=f><div><article><p>Text.</p></article></div></form></body>", "Text."),
+    ("<body><form><h1>Title</h1><p>Text.</p></form></body>", "Title\nText."),
+    ("<body><p>Text.</p><form>Name <input></form></body>", "Text."),
+    ('<div id="research-share"><p>Text.</p></div>', "Text."),
+    ("<body class=sidebar><div class=cookie-notice>c</div><p>Text.</p></body>", "Text."),
+    ('<body style="display:none"><article><p>Text.</p></article></body>', "Text."),
+    ("<article><p>Text.</p></article><div id=comments><article class=comment-body><p>me</p></article></div>", "Text."),
+    ("<div class=site-header>h</div><div class=main-nav>n</div><div class=sidebar-left>s</div><article><header>T</header><p>x</p></article>", "T\nx"),
+    ("<body><a name=top><p>Text.</p><p>More.</p></body>", "Text.\nMore."),
+    ('<p title="a>Hello world</p>', "Hello world"),
+    ('<p title="a>Hello <b class="x">bold</b></p><p>next</p>', "Hello bold\nnext"),
+    ('<div data-x="<p>no</p>">yes</div>', "yes"),
+])
+def test_page_frames_and_broken_markup(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_unclosed_anchors_are_no_link_slots(spark):
+    rows = [(i, f"http://h.x/{i}", f"<body><a name=top><div class=a><p>Text {i} of the page.</p></div><div class=b><p>More {i}.</p></div></body>")
+            for i in range(6)]
+    rows += [(10 + i, f"http://k.x/{i}", f"<body><div class=a><p><a href=/x>open {i}</p><p>Text {i}.</p></div></body>") for i in range(6)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_text(frame).collect()}
+    assert got == {i: f"Text {i} of the page.\nMore {i}." for i in range(6)} | {10 + i: f"open {i}\nText {i}." for i in range(6)}
+
+
+def test_no_page_with_an_article_is_empty(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = html_text.extract_text(frame).join(frame.select("page_id", "html"), "page_id").collect()
+    assert len(got) == frame.count() and all(r.text for r in got if "<article" in (r.html or ""))
+
+
+def template_by_hand(pages):
+    """Classes of equal occurrence vectors over the different contents of one
+    host: (containers of valid classes, texts that stand wherever their container does)."""
+    seen = {}
+    for page in pages:
+        blocks, roles, language = html_text.page_blocks(page)
+        seen.setdefault(tuple(b[0] for b in blocks if not b[2].barred), (blocks, roles, language))
+    vectors, parents = {}, {}
+    for no, (blocks, roles, language) in enumerate(seen.values()):
+        for role, n in roles.items():
+            vectors.setdefault(role, {})[no] = n
+        for text, _, node, _ in blocks:
+            if not node.barred:
+                token = html_text._text_token(node.role, text)
+                vectors.setdefault(token, {}).setdefault(no, 0)
+                vectors[token][no] += 1
+                parents[token] = (node.role, 0 if node.inside else language)
+    classes = {}
+    for token, vector in vectors.items():
+        if len(vector) >= html_text.MIN_PAGES:
+            classes.setdefault(frozenset(vector.items()), []).append(token)
+    template = {t for c in classes.values() if len(c) >= html_text.MIN_CLASS for t in c if t not in parents}
+    texts = {t for t, ps in parents.items() if len(vectors[t]) >= html_text.MIN_PAGES
+             and any(set(vectors.get(p, ())) == set(vectors[t]) for p in ps if p not in parents)}
+    return template, texts
+
+
+def test_templates_equal_brute_force(spark):
+    rng = random.Random(12)
+    part = lambda k: f"<div class=d{k}><p>{rng.choice(['Shared words', 'Other words', str(rng.random())])} {k}</p></div>"
+    hosts = {f"h{h}": ["<html lang=en><body>" + "".join(part(rng.randint(0, 4)) for _ in range(rng.randint(1, 6))) + "</body></html>"
+                       for _ in range(rng.randint(2, 12))] for h in range(12)}
+    frame = spark.createDataFrame([(h, p) for h, ps in hosts.items() for p in ps + ps[:1]], "host string, html string")
+    got = {r.host: (set(r.template), set(r.texts)) for r in html_text.deduce_templates(frame).collect()}
+    for host, pages in hosts.items():
+        assert got.get(host, (set(), set())) == template_by_hand(pages), host
+
+
 # --- URLs ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("most", [4 << 20, 1000])
@@ -316,16 +389,38 @@ def test_cascade_is_exact(spark, most):
 
 
 def test_url_verdicts(spark):
-    rows = [(1, None, "allow", None), (2, "casino.com/de/", "allow", None), (3, "http://A.Example.ORG/es/x?y", "block", "example.org/es/"),
-            (4, "http://xexample.org/es/", "allow", "org/"), (None, "x://org", "allow", None), (5, "a://b.com/de/#q", "block", "com/de/"),
-            (6, "http://m.casino-win.net/", "block", None), (6, "http://m.casino-win.net/", "block", None),
-            (7, "http://best-pills.com/fr/x", "allow", "com/fr/")]
-    frame = spark.createDataFrame([(i, u, "x", "y") for i, u, _, _ in rows], "page_id int, url string, host string, listed string")
+    # (id, url, html, verdict, rule): thin pages of net hosts are blocked by the cascade, rules decide first
+    long, short = "x" * 100, "x" * 10
+    rows = [(1, None, long, "allow", None), (2, "casino.com/de/", short, "allow", None),
+            (3, "http://A.Example.ORG/es/x?y", long, "block", "example.org/es/"), (4, "http://xexample.org/es/", short, "allow", "org/"),
+            (None, "x://org", None, "allow", None), (5, "a://b.com/de/#q", long, "block", "com/de/"),
+            (6, "http://m.net/a", short, "block", None), (6, "http://m.net/a", short, "block", None), (7, "http://M.NET/b?1", long, "allow", None),
+            (8, "http://m.net/b?2", short, "allow", None), (9, "http://m.net/c", None, "block", None), (10, "http://m.net/d", long, "allow", None),
+            (11, "http://best.com/fr/x", short, "allow", "com/fr/"), (12, "http://n.net/", short, "allow", None), (13, "http:///p", long, "allow", None)]
+    frame = spark.createDataFrame([(i, u, h, "x", "y", "k") for i, u, h, _, _ in rows],
+                                  "page_id int, url string, html string, host string, listed string, key string")
     got = [(r.page_id, r.verdict, r.rule) for r in url_filter.judge_urls(frame).collect()]
-    assert sorted(got, key=str) == sorted(((i, v, r) for i, _, v, r in rows), key=str)
+    assert sorted(got, key=str) == sorted(((i, v, r) for i, _, _, v, r in rows), key=str)
+    joined = [(r.page_id, r.verdict, r.rule) for r in url_filter.judge_urls(frame, max_bytes=1).collect()]
+    assert sorted(joined, key=str) == sorted(got, key=str)
     assert url_filter.judge_urls(frame.limit(0)).count() == 0
 
 
+def test_address_list_has_several_levels(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    host, path = url_filter.url_parts(F.col("url"))
+    rows = pages.select(host.alias("host"), F.concat(host, path).alias("key"), F.octet_length("html").cast("long").alias("bytes"))
+    universe = url_filter.thin_addresses(rows)
+    pdf = rows.toPandas()
+    mean = pdf.groupby("host")["bytes"].mean()
+    most = pdf.groupby(["host", "key"])["bytes"].max().reset_index()
+    thin = {k for h, k, b in most.itertuples(index=False) if 2 * b < mean[h]}
+    assert {r.key for r in universe.where("listed").collect()} == thin and 50 < len(thin) < len(most) / 2
+    cascade = url_filter.build_cascade(universe)
+    assert len(cascade.levels) > 2
+    assert cascade.listed(universe, F.col("key"), "got").where("got <> listed").count() == 0
+
+
 # --- repetition ---------------------------------------------------------------------
 
 def repeats_by_hand(words, least):
@@ -351,6 +446,46 @@ def test_maximal_repeats():
         assert (set(np.flatnonzero(got.covered)), got.longest, got.n_maximal) == repeats_by_hand(words, least)
 
 
+def test_lcp_in_text_order_equals_that_of_the_ranks():
+    rng = random.Random(8)
+    for _ in range(80):
+        words = np.array([rng.randint(0, rng.choice((0, 1, 4))) for _ in range(rng.randint(6, 120))])
+        order, lcp = repetition.suffix_array(words)
+        again, same = repetition.suffix_array(words, kept=0)
+        assert np.array_equal(order, again) and np.array_equal(lcp, same)
+    order, lcp = repetition.suffix_array(np.zeros(200_000, np.int64))           # linear in memory
+    assert lcp.max() == 199_999
+
+
+def base_columns_by_hand(text):
+    import re
+    words = re.findall(r"[^ \t-\r]+", text or "")
+    windows, again, lines, dup = {}, set(), set(), 0
+    for i in range(len(words) - 4):
+        windows.setdefault(tuple(words[i:i + 5]), []).append(i)
+    for at in windows.values():
+        if len(at) > 1:
+            again |= {p for i in at for p in range(i, i + 5)}
+    for line in (text or "").split("\n"):
+        if re.search(r"[^ \t-\r]", line):
+            dup += line in lines
+            lines.add(line)
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(again), n < 10 or 100 * len(again) > 20 * n)
+
+
+def test_base_columns_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rng = random.Random(9)
+    odd = ["".join(rng.choice(["a", "b ", "c\n", " ", "#", "x y\n", "\u00a0", "\t", "\x1c"]) for _ in range(rng.randint(0, 200))) for _ in range(150)]
+    frame = docs_frame(spark, [(r.doc_id, r.text, "s") for r in docs.collect()] + [(10 ** 6 + i, t, "s") for i, t in enumerate(odd)] + [(5, None, "s")])
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    got = repetition.judge_repetition(frame).select("id", "row.text", *names).collect()
+    assert len(got) == docs.count() + 151
+    for r in got:
+        assert tuple(r[n] for n in names) == base_columns_by_hand(r.text), r.id
+
+
 def test_repetition_rows(spark):
     rows = [(1, None, "s"), (2, "", "s"), (3, "a b c d e f g h i j k", "s"), (4, "one two three four five\n" * 4, "s"),
             (5, "x " * 50000, "s"), (None, "a\u00a0b c#|", "s"), (4, "one two three four five\n" * 4, "s")]
@@ -389,6 +524,55 @@ def test_license_sample_of_different_whole_texts(spark):
     assert license_scan.corpus_paragraphs(docs_frame(spark, [(1, long, "s")])) == [long]
 
 
+#: Notices as they stand in real files, none of them made by the generator.
+REAL_NOTICES = [
+    ("/*\n * This program is free software; you can redistribute it and/or\n * modify it under the terms of the GNU General Public\n"
+     " * License as published by the Free Software Foundation; either\n * version 2 of the License, or (at your option) any later version.\n */", ["GPL"]),
+    ("# Licensed to the Foundation under one or more contributor license agreements.\n# The ASF licenses this file to You under the Apache License,\n"
+     "# Version 2.0 (the \"License\"); you may not use this file except in compliance\n# with the License.", ["Apache-2.0"]),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are\nmet:\n\n"
+     "    * Redistributions of source code must retain the above copyright\nnotice, this list of conditions and the following disclaimer.", ["BSD"]),
+    ("Copyright (c) 2019 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation "
+     "files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights", ["MIT"]),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+     "copyright notice and this permission notice appear in all copies.", ["ISC"]),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the "
+     "Free Software Foundation; either\nversion 2.1 of the License", ["LGPL"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile", ["MPL"]),
+    ("The text of this page is\nlicensed under the Creative Commons Attribution-ShareAlike\n4.0 International License", ["CC-BY-SA"]),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\n"
+     "distribute this software", ["Unlicense"]),
+    ("a notice of the court\nthat the general public was told about\nin version 2 of the paper", []),
+    ("We ask for permission to use the hall.\nThe above terms apply to the software of the contest.", []),
+    ("Distribution of bread and use of the oven, with or without yeast, are permitted.", []),
+    ("The public may copy the poster for any purpose.\nThe license of the pub was lost.", []),
+]
+
+
+def test_licenses_in_real_notices(spark):
+    model = license_scan.train(spark, [prose(random.Random(k), 40) for k in range(200)])
+    for text, want in REAL_NOTICES:
+        got = sorted({h[0] for lines in license_scan.paragraphs_of(text) for h in license_scan.judge_paragraph(model, lines)})
+        assert got == want, text
+    wrapped = "one two three\nfour released under the\nMIT\nLicense five\n\nsix"
+    got = [license_scan.judge_paragraph(model, p) for p in license_scan.paragraphs_of(wrapped)]
+    assert [[h[0] for h in hs] for hs in got] == [["MIT"], []]
+    assert license_scan.paragraphs_of("\n \na\nb\n\n\nc") == [["a", "b"], ["c"]] and license_scan.paragraphs_of("") == []
+
+
+def test_held_back_templates_are_not_fitted():
+    rows = license_scan.training_rows(["some text of the corpus"])
+    named = {}
+    for c, grams, held in rows:
+        if c != license_scan.UNKNOWN:
+            named.setdefault(held, []).append(grams)
+    assert len(named[True]) > 0.1 * len(named[False])
+    fitted, known = {" ".join(w) for c, w in license_scan.templates() for g in named[False] if set(license_scan.ngrams(w)) <= set(g)}, 0
+    for c, w in license_scan.templates():
+        known += any(set(license_scan.ngrams(w)) <= set(g) for g in named[True]) and " ".join(w) in fitted and len(w) > 8
+    assert known == 0
+
+
 def test_license_held_out_accuracy(spark):
     model = license_scan.train(spark, [prose(random.Random(k), 40) for k in range(200)])
     held = [(c, g) for c, g, h in license_scan.training_rows([prose(random.Random(k), 40) for k in range(200, 400)], seed=77) if h]
@@ -435,3 +619,51 @@ def test_toxicity_sample_of_different_texts(spark):
     assert len(fit) == len({r.text for r in fit}) == 40
     caps = toxicity.FEATURES.index("capital_words")
     assert toxicity.text_features("quiet words " * 200 + "YOU ARE LOUD", {}, {})[caps] == 3 / 403
+
+
+# --- self-similar texts, learned topics ---------------------------------------------
+
+def test_leaks_in_self_similar_texts():
+    import time
+    for item, doc in (("a" * 1200, "a" * 100_000), ("ab" * 600, "ab" * 50_000), ("lorem ipsum " * 100, "lorem ipsum " * 8000)):
+        began = time.time()
+        (match,), = decontam.ItemIndex([item]).matches([doc])
+        assert match[0] == 0 and match[3] == 0 and time.time() - began < 30
+    got = decontam.ItemIndex(["a" * 60]).matches(["a" * 60] * 5 + ["a" * 300, "b" * 60, "a" * 59, "a" * 40])
+    assert [bool(m) for m in got] == [True] * 6 + [False, True, False]           # each text by itself
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("ab") for _ in range(rng.randint(1, 3)))
+    for _ in range(30):
+        item = " ".join(word() for _ in range(40))
+        text = " ".join(word() for _ in range(300))
+        index = decontam.ItemIndex([item])
+        chars = decontam.normalised(text, index.letters)
+        edits, _ = decontam.banded_edits(index.chars[0], chars, int(index.budget[0]))
+        got = index.matches([text])[0]
+        assert [m[3] for m in got] == ([edits] if edits <= index.budget[0] else [])
+
+
+def test_topics_are_learned(spark):
+    from tramline.llm import topics
+    rng = random.Random(7)
+    words = {"sport": "ball goal team match coach league".split(), "food": "salt bread oven spice dish soup".split(),
+             "law": "court judge appeal clause tort verdict".split()}
+    rows = [(i, " ".join(rng.choice(words[t]) for _ in range(30)), t) for i, t in enumerate(list(words) * 40)]
+    frame = spark.createDataFrame([*rows, (900, None, "-"), (901, "", "-"), (902, " \n", "-")], "id long, text string, own string").repartition(3)
+    got = topics.learn_topics(frame, k=3).assign(frame).collect()
+    assert {r.topic for r in got if r.own == "-"} == {topics.NO_TOPIC}
+    per = {}
+    for r in got:
+        per.setdefault(r.own, set()).add(r.topic)
+    assert all(len(per[t]) == 1 for t in words) and len({min(per[t]) for t in words}) == 3
+    again = topics.learn_topics(frame.repartition(7), k=3).assign(frame).collect()
+    assert {r.id: r.topic for r in got} == {r.id: r.topic for r in again}
+    assert topics.learn_topics(frame.limit(0)).assign(frame.where("id = 1")).first().topic == "t0"
+
+
+def test_many_cells_are_raked(spark):
+    cells = [(f"s{i % 7}", f"l{i % 180}", f"t{i % 77}", float(1 + i % 50)) for i in range(20_000)]
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens double").groupBy("source", "lang", "topic").agg(
+        F.sum("tokens").alias("tokens"))
+    got = mixing.rake(frame)                         # 13,860 languages x topics
+    assert len(got.langs) * len(got.topics) > 10_000 and got.error < 1e-3
