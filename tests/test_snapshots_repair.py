@@ -70,6 +70,15 @@ def test_keyed_patch_overwrites_nulls(spark):
     assert rows(out) == [(1, 47.5, "u1"), (2, None, "x"), (3, 7.0, "y")]
 
 
+def test_patch_from_table(spark):
+    df = spark.createDataFrame([(1, 2.0, "x"), (2, None, "y"), (3, 7.0, "z"), (None, 1.0, "n")], "k int, a double, b string")
+    patch = spark.createDataFrame([(1, 9.0, None, ["a"]), (2, 5.0, None, ["a", "b"]), (3, 8.0, "q", []), (None, 0.0, "w", ["a"])],
+                                  "k int, a double, b string, cells array<string>")
+    assert rows(R.patch_from_table(df, "k", patch)) == [(1, 9.0, "x"), (2, 5.0, None), (3, 7.0, "z"), (None, 1.0, "n")]
+    with pytest.raises(ValueError):
+        R.patch_from_table(df, "k", patch.unionByName(patch))
+
+
 def test_sentinel_bearing_idempotent(spark):
     df = spark.createDataFrame([(1.0, 2.0, None), (None, 2.0, None), (1.0, 2.0, 90.0)], "lat double, lon double, b double")
     once = R.add_sentinel_bearing(df, "lat", "lon", "b")

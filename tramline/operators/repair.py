@@ -52,6 +52,21 @@ def keyed_patch(df: DataFrame, key: str, patches: dict[str, dict]) -> DataFrame:
     return j.drop("__pk", *[f"__pv_{i}" for i in range(len(cols))], *[f"__ph_{i}" for i in range(len(cols))])
 
 
+def patch_from_table(df: DataFrame, key: str, patch: DataFrame, cells: str = "cells") -> DataFrame:
+    """Patches from a table of any size (Q10): ``patch`` holds ``key``, the new
+    values in columns named as in ``df`` and, in the array ``cells``, the names
+    of the columns that a row overwrites (a listed NULL clears the cell). The
+    key must be unique; rows of ``df`` without a patch stay as they are."""
+    from tramline.operators.joins import assert_unique
+    assert_unique(patch, [key], "patch table")
+    values = [c for c in df.columns if c in patch.columns and c != key]
+    p = patch.select(F.col(key).alias("__pk"), F.col(cells).alias("__cells"), *[F.col(c).alias(f"__p_{c}") for c in values])
+    j = df.join(p, df[key] == p["__pk"], "left")
+    listed = lambda c: F.coalesce(F.array_contains("__cells", c), F.lit(False))
+    return j.select(*[F.when(listed(c), F.col(f"__p_{c}").cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+                      if c in values else F.col(c) for c in df.columns])
+
+
 def narrowable(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, all_whole): may the float column become an integer (P6)?
     One aggregation; any NULL blocks narrowing."""

@@ -20,11 +20,13 @@ from tramline.operators.joins import composite_consistency
 from tramline.operators.paging import PageIndex
 from tramline.plans import timetable as TT
 from tramline.plans.tables import audit_frame, every, load, snapshots
-from tramline.session import scratch_path
+from tramline.session import materialize, scratch_path
 from tramline.sources.catalog import sql_source
-from tramline.sources.files import read_csv, rejected_cells, rejected_counts, with_decimal_comma
+from tramline.sources.files import header_columns, pick_separator, read_csv, rejected_cells, rejected_counts, with_decimal_comma
+from tramline.sources.ledger import Ledger, StepResult, run_steps
 from tramline.sources.lookups import CANTONS
 from tramline.sources.periods import PeriodTable
+from tramline.sources.sinks import read_latest, write_single_file, write_versioned
 
 
 # ------------------------------------------------------------------ cells that do not fit
@@ -179,6 +181,64 @@ def merge_decision(spark, d):
     return gates[0].unionByName(gates[1])
 
 
+def patched_from_table(spark, d):
+    """Customers patched from a table of corrections (Q10), the suppliers of
+    the same number: balances of some, segments of others cleared."""
+    c = load(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    k = F.col("s_suppkey")
+    patch = load(spark, d, "supplier").select(
+        k.alias("c_custkey"), F.col("s_acctbal").alias("c_acctbal"), F.lit(None).cast("string").alias("c_mktsegment"),
+        F.when(k % 3 == 0, F.array(F.lit("c_acctbal"))).when(k % 3 == 1, F.array(F.lit("c_mktsegment")))
+        .otherwise(F.array().cast("array<string>")).alias("cells"))
+    return R.patch_from_table(c, "c_custkey", patch)
+
+
+# ------------------------------------------------------------------ sinks, steps
+
+def versioned_rows(spark, d):
+    """Two versions of a table, partitioned by year; readers see the newer."""
+    o = load(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("yr"))
+    base = scratch_path(spark, "versions")
+    write_versioned(o, base, "orders", partition_by=["yr"], version="20240101T000000000")
+    write_versioned(o.where(~every("o_orderkey", 3)), base, "orders", partition_by=["yr"], version="20240102T000000000")
+    return read_latest(spark, base, "orders")
+
+
+def single_file_rows(spark, d):
+    """One CSV file, written by all tasks and joined by its bytes (S10), read
+    with the separator and columns its header gives (S3, S7)."""
+    p = load(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    path = write_single_file(p, scratch_path(spark, "single-file"), order_by=["p_partkey"])
+    sep = pick_separator(spark, path, p.columns)
+    return read_csv(spark, path, "p_partkey bigint, p_name string, p_size int", sep=sep, columns=header_columns(spark, path, sep))
+
+
+def step_ledger(spark, d):
+    """Cleaning steps with their ledger (S18, Q25, D4): all run once, the
+    second run finds them recorded and changes nothing."""
+    def deduplicate(df):
+        r = Q.dedup_counts(df).first()
+        return StepResult(Q.dedup_exact(df), {"Duplicate Rows": r["duplicates_removed"]}, True)
+
+    def drop_small(df):
+        return StepResult(df.where(F.col("l_quantity") >= 2), {"Small Rows": df.where(F.col("l_quantity") < 2).count()}, True)
+
+    li = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    steps = [(deduplicate, "Lineitem_Deleting_Duplicate_Rows"), (drop_small, "Lineitem_Dropping_Small_Rows")]
+    table = run_steps(li.unionByName(li.where(every("l_orderkey", 5))), steps, ledger, lambda df: materialize(df, "steps"))
+    again = run_steps(table, steps, ledger)
+    rows = ledger.rows().select("process", "output")
+    return rows.unionByName(again.agg(F.concat(F.lit("Rows: "), F.count(F.lit(1)).cast("string")).alias("output"))
+                            .select(F.lit("Lineitem").alias("process"), "output"))
+
+
+def mapped_batches(spark, d):
+    """A user's function over Arrow batches (D1): words of a part's name, capitalised."""
+    p = load(spark, d, "part").select("p_partkey", "p_name")
+    return P.map_batches(p, lambda pdf: pdf.assign(p_name=pdf["p_name"].str.upper()), p.schema)
+
+
 # ------------------------------------------------------------------ stations
 
 def _stations(spark, d):
@@ -237,6 +297,11 @@ QUERIES = {
     "snapshot_last_year": snapshot_last_year,
     "snapshot_union": snapshot_union,
     "merge_decision": merge_decision,
+    "patched_from_table": patched_from_table,
+    "versioned_rows": versioned_rows,
+    "single_file_rows": single_file_rows,
+    "step_ledger": step_ledger,
+    "mapped_batches": mapped_batches,
     "owner_operator_counts": owner_operator_counts,
     "top_stations_null_year": top_stations_null_year,
     "stations_per_canton": stations_per_canton,

@@ -108,6 +108,21 @@ ORACLE_SQL = {
         + _gate("AFRICA", 0, _CHANGED.format("x.grp IS DISTINCT FROM y.grp")) + " UNION ALL "
         + _gate("AMERICA", 1, _CHANGED.format("x.grp IS DISTINCT FROM y.grp OR x.label IS DISTINCT FROM y.label"))
         + ") SELECT *, consistent AND contained AND unmerged AS mergeable FROM g",
+    "patched_from_table": """
+        SELECT c_custkey, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal ELSE c_acctbal END AS c_acctbal,
+               CASE WHEN s_suppkey % 3 = 1 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+        FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey""",
+    "versioned_rows": "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders WHERE o_orderkey % 3 <> 0",
+    "single_file_rows": "SELECT p_partkey, p_name, CAST(p_size AS INTEGER) AS p_size FROM part",
+    "step_ledger": """
+        WITH a AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem UNION ALL
+                   SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 5 = 0),
+             b AS (SELECT DISTINCT * FROM a)
+        SELECT 'Lineitem_Deleting_Duplicate_Rows' AS process,
+               'Duplicate Rows: ' || CAST((SELECT count(*) FROM a) - (SELECT count(*) FROM b) AS VARCHAR) AS output
+        UNION ALL SELECT 'Lineitem_Dropping_Small_Rows', 'Small Rows: ' || CAST((SELECT count(*) FROM b WHERE l_quantity < 2) AS VARCHAR)
+        UNION ALL SELECT 'Lineitem', 'Rows: ' || CAST((SELECT count(*) FROM b WHERE l_quantity >= 2) AS VARCHAR)""",
+    "mapped_batches": "SELECT p_partkey, upper(p_name) AS p_name FROM part",
     "owner_operator_counts": f"""WITH {STATIONS},
         a AS (SELECT owner AS company, count(*) AS n FROM st WHERE owner IS NOT NULL GROUP BY 1),
         b AS (SELECT company, count(*) AS n FROM (SELECT trim(unnest(string_split(companies, ';'))) AS company FROM st)
