@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import random
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -121,6 +120,25 @@ def templates() -> list[tuple[str, list[str]]]:
     return out + [(family, words_of(t)) for family, ts in NOTICES.items() for t in ts]
 
 
+def held_back(seed: int) -> set[int]:
+    """The numbers of a fifth of the templates, with all that hold or are held
+    by one of them; every family keeps some to fit."""
+    split, known = random.Random(seed), templates()
+    texts = [f" {' '.join(w)} " for _, w in known]
+    group = list(range(len(known)))
+    for i, (family, _) in enumerate(known):
+        for j in range(i):
+            if known[j][0] == family and (texts[i] in texts[j] or texts[j] in texts[i]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    held: set[int] = set()
+    for family in sorted(NAMES):
+        own = sorted({group[i] for i, (f, _) in enumerate(known) if f == family})
+        split.shuffle(own)
+        held.update(i for i, g in enumerate(group) if g in own[:max(1, len(own) // 5)] and len(own) > 1)
+    return held
+
+
 def training_rows(corpus: list[str], seed: int = 5) -> list[tuple[str, list[str], bool]]:
     """(class, n-grams, held back) from the notices and corpus paragraphs."""
     rng = random.Random(seed)
@@ -146,10 +164,7 @@ def training_rows(corpus: list[str], seed: int = 5) -> list[tuple[str, list[str]
         pairs = set(zip(words, words[1:], strict=False))
         if not any(k and len(k & pairs) >= 0.4 * len(k) for k in known):      # a licence notice is no example of unknown
             rows.append((UNKNOWN, words))
-    # whole templates are held back, of families with more than one; other rows one by one
-    split = random.Random(seed + 1)
-    count = Counter(f for f, _ in templates())
-    held = {no for no, (f, _) in enumerate(templates()) if count[f] > 1 and split.random() < 0.2}
+    split, held = random.Random(seed + 1), held_back(seed)
     return [(c, sorted(ngrams(w)), of[i] in held if i < len(of) else split.random() < 0.2) for i, (c, w) in enumerate(rows)]
 
 
