@@ -70,23 +70,24 @@ def _shard(key: Column, n_shards: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("shard"), key), F.lit(n_shards))
 
 
-def _bit(key: Column, level: int, probe: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(f"{level}/{probe}"), key), F.lit(SHARD_BITS))
+def _bit(key: Column, level: int, probe: int, width: int = SHARD_BITS) -> Column:
+    return F.pmod(F.xxhash64(F.lit(f"{level}/{probe}"), key), F.lit(width))
 
 
 class Level:
     """One Bloom filter: its number, probes per key, and its bits as one
-    literal (shards in order) or as the column of a joined shard table."""
+    literal (shards in order) or as the column of a joined shard table. The
+    only shard of a small list uses its first ``width`` bits."""
 
-    def __init__(self, number: int, probes: int, n_shards: int, bits: bytes | None):
-        self.number, self.probes, self.n_shards, self.bits = number, probes, n_shards, bits
+    def __init__(self, number: int, probes: int, n_shards: int, bits: bytes | None, width: int = SHARD_BITS):
+        self.number, self.probes, self.n_shards, self.bits, self.width = number, probes, n_shards, bits, width
 
     def holds(self, key: Column, shard_bits: Column | None = None) -> Column:
         bits = F.lit(self.bits) if shard_bits is None else shard_bits
         base = _shard(key, self.n_shards) * SHARD_BYTES if shard_bits is None else F.lit(0)
         tests = None
         for i in range(self.probes):
-            bit = _bit(key, self.number, i)
+            bit = _bit(key, self.number, i, self.width)
             byte = F.conv(F.hex(F.substring(bits, (base + F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
             test = F.getbit(byte, (bit % 8).cast("int")) == 1
             tests = test if tests is None else tests & test
@@ -121,7 +122,9 @@ def build_cascade(universe: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
     n_in, n_out = counts.get(True, 0), counts.get(False, 0)
     # bits per key for the first level; its false positives are about as many as half the listed keys
     rate = min(0.5, max(n_in, 1) / math.sqrt(2) / max(n_out, 1))
-    n_shards = max(1, math.ceil(1.5 * n_in * 1.44 * math.log2(1 / rate) / SHARD_BITS))
+    need = 1.5 * n_in * 1.44 * math.log2(1 / rate)
+    n_shards = max(1, math.ceil(need / SHARD_BITS))
+    width = SHARD_BITS if n_shards > 1 else max(64, math.ceil(need))
     joined = 2 * n_shards * SHARD_BYTES > max_bytes
     levels, table_ = [], None
     inside, outside = keys.where("listed").select("key"), keys.where("NOT listed").select("key")
@@ -129,21 +132,21 @@ def build_cascade(universe: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
     while n:
         number = len(levels) + 1
         probes = max(1, round(math.log2(1 / rate)))
-        bits = [F.struct(_shard(F.col("key"), n_shards).alias("shard"), _bit(F.col("key"), number, i).alias("bit"))
+        bits = [F.struct(_shard(F.col("key"), n_shards).alias("shard"), _bit(F.col("key"), number, i, width).alias("bit"))
                 for i in range(probes)]
         built = (inside.select(F.explode(F.array(*bits)).alias("b")).groupBy("b.shard")
                  .agg(F.bitmap_construct_agg("b.bit").alias("bits")))
         if joined:
             built = materialize(built.select("shard", F.col("bits").alias(f"l{number}")), "cascade-level")
             table_ = built if table_ is None else materialize(table_.join(built, "shard", "full"), "cascade-shards")
-            level = Level(number, probes, n_shards, None)
+            level = Level(number, probes, n_shards, None, width)
             checked = (outside.withColumn("shard", _shard(F.col("key"), n_shards)).join(built, "shard", "left")
                        .where(level.holds(F.col("key"), F.col(f"l{number}"))).select("key"))
         else:
             data = bytearray(n_shards * SHARD_BYTES)
             for r in built.collect():
                 data[r["shard"] * SHARD_BYTES:(r["shard"] + 1) * SHARD_BYTES] = r["bits"]
-            level = Level(number, probes, n_shards, bytes(data))
+            level = Level(number, probes, n_shards, bytes(data), width)
             checked = outside.where(level.holds(F.col("key")))
         levels.append(level)
         wrong = materialize(checked, "cascade-wrong")       # what this level lets through by chance
