@@ -57,8 +57,8 @@ def test_stages_take_odd_rows(spark, tmp_path):
         if name in ("toxicity", "line_dedup"):
             assert docs.where("doc_id IS NULL").count() == 2
         else:
-            # equal rows are one document from here on
-            assert docs.groupBy("doc_id", "text").count().where("count > 1").count() == 0
+            # equal rows with words are one document from here on
+            assert docs.where("trim(text) rlike '[a-z]'").groupBy("doc_id", "text").count().where("count > 1").count() == 0
     drawn = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
     assert 0 < drawn.count() <= docs.count() and drawn.columns == [*odd.columns, "mix_topic", "weight", "probability"]
 

@@ -15,7 +15,8 @@ Defined results: a null text stays null and an empty text stays empty; texts
 of fewer lines than the window have none and stay; windows of blank lines
 only are ignored; rows that share an id count as one document, so equal rows
 get equal texts; null ids come before all others; an empty table gives an
-empty table.
+empty table. Ids are whole numbers, for they order the documents: an id of
+another type that is no number fails the run under ANSI rules.
 """
 
 from __future__ import annotations

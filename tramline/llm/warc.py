@@ -30,7 +30,8 @@ empty and read back as null, it never is the id that others refer to, and
 payloads with null ids only are all responses; rows equal in id and payload
 are alike responses if theirs is the smallest id; an empty table gives an
 archive without records; bytes behind the last whole record of a file are
-ignored.
+ignored. A record that a split cuts is put together as one hexadecimal string,
+so a payload of more than about 1 GB cannot be rebuilt (the read fails).
 """
 
 from __future__ import annotations
