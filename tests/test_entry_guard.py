@@ -27,8 +27,7 @@ def test_without_the_optional_part(tmp_path):
 
 
 def test_without_a_package_that_only_it_needs(tmp_path):
-    got = _run(COUNT, tmp_path, corpus_pipeline_py="import a_package_nobody_has\n", tramline__llm__queries_py="QUERIES = ORACLE_SQL = {}\n",
-               tramline__llm____init___py="")
+    got = _run(COUNT, tmp_path, corpus_pipeline_py="import a_package_nobody_has\n", tramline__llm__queries_py="QUERIES = ORACLE_SQL = {}\n")
     assert got.returncode == 0 and "not registered" in got.stderr
 
 
