@@ -6,6 +6,7 @@ import numpy as np
 import xxhash
 
 SHINGLE = 5
+MOST = 200_000
 #: Where ``str.split`` parts words; Java's \\s and trim know fewer.
 WHITE_SPACE = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -20,10 +21,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """Hash of a word, remembered; emptied when it grows past a million words."""
+    """Hash of a word, remembered; emptied when it grows past ``MOST`` words
+    (some 40 MB of a worker)."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > MOST:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
