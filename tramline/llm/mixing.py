@@ -18,8 +18,9 @@ together).
 Targets may be given per axis; an axis without targets gets its own token
 shares to the power ``flatten``, normalised, which lifts small groups.
 
-Topics are learned from the corpus (``topics``: hashed TF-IDF, k-means over a
-bounded sample, all texts assigned); ``topic`` takes any expression instead.
+Topics are learned from the corpus (``topics``: hashed TF-IDF, k-means over all
+different texts, all texts assigned); ``topic`` takes any expression instead.
+Words are counted once, written beside the rows and read by every later pass.
 
 Sources may be many, so they stay distributed: one row per source with its own
 cells (language and topic number, tokens). A round is one pass over these rows:
@@ -41,7 +42,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import materialize, packed, table, unpacked
-from .topics import learn_topics
+from .topics import count_words, learn_topics
 
 KEEP_SHARE = 0.5
 FLATTEN = 0.5
@@ -303,19 +304,26 @@ def _scale(rows: DataFrame, gh: np.ndarray, budget: float, total: float) -> floa
     return float(np.exp(high))
 
 
-def _axes(docs: DataFrame, source_col: str, lang_col: str, topic: Column | None, id_col: str, text_col: str) -> DataFrame:
+def _axes(docs: DataFrame, source_col: str, lang_col: str, topic: Column | None, id_col: str, text_col: str,
+          kept: list[str] | None) -> DataFrame:
     name = lambda c: F.coalesce(F.col(f"row.`{c}`").cast("string"), F.lit(NONE))
     rows = packed(docs, id_col, text_col)
-    named = rows.withColumn("topic", topic) if topic is not None else learn_topics(rows).assign(rows)
-    return named.select("row", "id", "h", name(source_col).alias("source"), name(lang_col).alias("lang"),
-                        F.coalesce(F.col("topic").cast("string"), F.lit(NONE)).alias("topic"), n_tokens(F.col("text")).alias("tokens"))
+    row = F.col("row") if kept is None else F.struct(*[F.col("row").getField(c).alias(c) for c in kept]).alias("row")
+    named = (row, "id", "h", name(source_col).alias("source"), name(lang_col).alias("lang"))
+    if topic is not None:
+        rows = rows.withColumn("topic", topic).select(*named, "topic", n_tokens(F.col("text")).alias("tokens"))
+    else:
+        rows = materialize(count_words(rows).select(*named, "_hash", "_words"), "mix-words")
+        rows = learn_topics(rows).assign(rows).withColumn("tokens", F.col("_words.n").cast("double"))
+    return rows.select("row", "id", "h", "source", "lang", F.coalesce(F.col("topic").cast("string"), F.lit(NONE)).alias("topic"), "tokens")
 
 
 def mix(docs: DataFrame, source_col: str = "source", lang_col: str = "lang", topic: Column | None = None,
-        id_col: str = "doc_id", text_col: str = "text", seed: int = 17, **targets) -> DataFrame:
+        id_col: str = "doc_id", text_col: str = "text", seed: int = 17, kept: list[str] | None = None, **targets) -> DataFrame:
     """The drawn rows with ``row``, id, source, lang, topic, tokens, weight and
-    probability. ``topic`` is an expression over row, id and text."""
-    rows = _axes(docs, source_col, lang_col, topic, id_col, text_col)
+    probability. ``topic`` is an expression over row, id and text; ``row`` holds
+    the columns ``kept`` of ``docs`` (all by default)."""
+    rows = _axes(docs, source_col, lang_col, topic, id_col, text_col, kept)
     cells = materialize(rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")), "mix-cells")
     raked = rake(cells, **targets)
     if raked is None:
@@ -332,6 +340,6 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
-    drawn = mix(table(spark, sf_dir, "documents"))
+    drawn = mix(table(spark, sf_dir, "documents"), kept=["doc_id"])
     return drawn.select(F.col("id").alias("doc_id"), "source", "lang", "topic", F.col("tokens").cast("long").alias("n_tokens"),
                         "weight", "probability")

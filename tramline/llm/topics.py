@@ -1,71 +1,218 @@
 """Topics learned from the corpus: clusters of hashed TF-IDF vectors.
 
-A text's words (lower case) are hashed into ``FEATURES`` counts, damped by the
-logarithm, weighted by inverse document frequency and scaled to length 1;
-k-means over these vectors gives ``k`` topics, named t0, t1, ... . The fit takes
-at most ``SAMPLE`` different texts of at most ``SAMPLE_CHARS`` characters, the
-first ones by text hash (so the same texts for the same corpus, and no text
-twice); every document is assigned, by its whole text.
+A text's words (lower case) are counted in ``FEATURES`` hashed buckets, weighted
+by inverse document frequency and scaled to length 1; k-means over these vectors
+gives ``k`` topics, named t0, t1, ... . Every text takes part, whole and once
+however many copies it has: in the document frequencies, in the choice of the
+first centres (as in k-means||: rows drawn by their squared distance to the rows
+drawn so far; the means of the texts nearest to each are then reduced to ``k``,
+weighted by their numbers of texts) and in every round.
+Every document is assigned, by its whole text.
+
+Words are counted once per row (``count_words``); a round is one pass over the
+different texts' counts, and the driver sees a sum per centre and bucket. Vectors
+and centres are rounded to whole numbers (1 is ``UNIT``), so sums do not depend on
+the order in which tasks are added: the same corpus has the same topics in every
+run.
 
 Defined results: a text without words has the topic ``NO_TOPIC``; with fewer
-different vectors in the sample than ``k``, there are as many topics as vectors;
-a sample of fewer than two puts all texts in one topic.
+different vectors than ``k``, there are as many topics as vectors; fewer than two
+put all texts in one topic.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+import zlib
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize
+from .common import col, materialize
 
 K, FEATURES = 8, 1 << 12
-SAMPLE, SAMPLE_CHARS = 2000, 20_000
+SEED, ROUNDS, TOLERANCE = 7, 15, 1e-4
+SEED_ROUNDS, OVERSAMPLED = 2, 2
+UNIT = 1 << 20
+CHUNK = 1 << 16
 NO_TOPIC = "none"
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")
+def count_words(rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """``rows`` with ``_hash`` of the text and ``_words``: the number of words
+    (``n``), the buckets they fall in (``at``) and their counts (``times``)."""
+    @F.pandas_udf("struct<n: long, at: binary, times: binary>")
+    def counts(texts: pd.Series) -> pd.DataFrame:
+        n, at, times = [], [], []
+        for text in texts:
+            words = text.split()                     # bytes: at the white space of \s
+            met = np.bincount(np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % FEATURES, minlength=FEATURES)
+            on = np.flatnonzero(met)
+            n.append(len(words))
+            at.append(on.astype("<u2").tobytes())
+            times.append(met[on].astype("<u4").tobytes())
+        return pd.DataFrame({"n": n, "at": at, "times": times})
+
+    text = col(text_col)
+    return rows.withColumn("_hash", F.xxhash64(text)).withColumn("_words", counts(F.lower(F.coalesce(text, F.lit(""))).cast("binary")))
+
+
+def _vectors(at, times, idf: np.ndarray):
+    """Runs of rows of about ``CHUNK`` components as (the run, where its rows
+    begin, buckets, components). No row may be empty."""
+    sizes = np.fromiter(map(len, at), np.int64, len(at)) // 2
+    runs = np.cumsum(sizes) // CHUNK
+    for run in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(runs)) + 1):
+        if len(run):
+            rows = slice(run[0], run[-1] + 1)
+            begin = np.cumsum(sizes[rows]) - sizes[rows]
+            buckets = np.frombuffer(b"".join(at[rows]), "<u2").astype(np.int64)
+            w = np.frombuffer(b"".join(times[rows]), "<u4") * idf[buckets]
+            length = np.sqrt(np.add.reduceat(w * w, begin))
+            w *= np.repeat(UNIT / np.where(length > 0, length, 1.0), sizes[rows])
+            yield rows, begin, buckets, np.rint(w)
+
+
+def _distances(begin: np.ndarray, buckets: np.ndarray, w: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, row by centre; exact, as all are whole numbers."""
+    inner = np.stack([np.add.reduceat(c[buckets] * w, begin) for c in centres], axis=1)
+    return np.add.reduceat(w * w, begin)[:, None] + (centres * centres).sum(1)[None, :] - 2 * inner
+
+
+def _added(parts: DataFrame, size: int) -> np.ndarray:
+    """The tasks' sums ``s`` by number ``i``; whole numbers."""
+    sums = parts.groupBy("i").agg(F.sum("s").alias("s")).toArrow()
+    out = np.zeros(size)
+    out[sums["i"].to_numpy()] = sums["s"].to_numpy()
+    return out
+
+
+def _part(total: np.ndarray) -> pd.DataFrame:
+    at = np.flatnonzero(total)
+    return pd.DataFrame({"i": at, "s": total[at].astype(np.int64)})
+
+
+def _idf(texts: DataFrame) -> np.ndarray:
+    def run(batches):
+        total = np.zeros(FEATURES + 1)
+        for pdf in batches:
+            total[:-1] += np.bincount(np.frombuffer(b"".join(pdf["at"]), "<u2"), minlength=FEATURES)
+            total[-1] += len(pdf)
+        yield _part(total)
+
+    total = _added(texts.select("at").mapInPandas(run, "i long, s long"), FEATURES + 1)
+    return np.log((total[-1] + 1) / (total[:-1] + 1))
+
+
+def _sums(texts: DataFrame, idf: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of the vectors nearest to each centre, and their number."""
+    shape = (len(centres), FEATURES + 1)
+
+    def run(batches):
+        total = np.zeros(shape[0] * shape[1])
+        for pdf in batches:
+            for _, begin, buckets, w in _vectors(pdf["at"].array, pdf["times"].array, idf):
+                nearest = _distances(begin, buckets, w, centres).argmin(1) * shape[1]
+                sizes = np.diff(np.r_[begin, len(w)])
+                total += np.bincount(np.repeat(nearest, sizes) + buckets, w, len(total))
+                total += np.bincount(nearest + FEATURES, minlength=len(total))
+        yield _part(total)
+
+    total = _added(texts.select("at", "times").mapInPandas(run, "i long, s long"), shape[0] * shape[1]).reshape(shape)
+    return total[:, :-1], total[:, -1]
+
+
+def _drawn(texts: DataFrame, idf: np.ndarray, centres: np.ndarray, number: int, turn: int) -> np.ndarray:
+    """``number`` rows at most, drawn without replacement by their squared
+    distance to ``centres`` (any row, if there are none); never one of them."""
+    def run(batches):
+        for pdf in batches:
+            far = np.ones(len(pdf))
+            if len(centres):
+                for rows, begin, buckets, w in _vectors(pdf["at"].array, pdf["times"].array, idf):
+                    far[rows] = _distances(begin, buckets, w, centres).min(1)
+            with np.errstate(divide="ignore"):
+                pdf["key"] = np.where(far > 0, -np.log(pdf["u"]) / np.where(far > 0, far, 1), np.inf)
+            yield pdf[pdf["key"] < np.inf].nsmallest(number, ["key", "hash"])[["key", "hash", "at", "times"]]
+
+    u = (F.pmod(F.xxhash64(F.lit(SEED), F.lit(turn), "hash"), F.lit(1 << 40)) + 1) / float((1 << 40) + 1)
+    keyed = texts.select("hash", "at", "times", u.alias("u")).mapInPandas(run, "key double, hash long, at binary, times binary")
+    found = keyed.orderBy("key", "hash", "at", "times").limit(number).collect()
+    out = np.zeros((len(found), FEATURES))
+    for row, r in zip(out, found, strict=True):
+        for _, _, buckets, w in _vectors([bytes(r["at"])], [bytes(r["times"])], idf):
+            row[buckets] = w
+    return out
+
+
+def _reduced(rows: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
+    """``k`` centres of a few weighted means: k-means++ and its rounds."""
+    rng = np.random.default_rng(SEED)
+    apart = lambda a, b: ((a[:, None, :] - b[None, :, :]) ** 2).sum(2)
+    chosen = [int(rng.choice(len(rows), p=weights / weights.sum()))]
+    while len(chosen) < k:
+        near = apart(rows, rows[chosen]).min(1)
+        odds = weights * near if (weights * near).any() else near
+        tried = rng.choice(len(rows), size=4, p=odds / odds.sum())
+        left = [(weights * np.minimum(near, apart(rows, rows[[t]])[:, 0])).sum() for t in tried]
+        chosen.append(int(tried[int(np.argmin(left))]))
+    centres = rows[chosen]
+    for _ in range(30):
+        member = (apart(rows, centres).argmin(1)[:, None] == np.arange(k)) * weights[:, None]
+        mass = member.sum(0)
+        centres = np.where(mass[:, None] > 0, member.T @ rows / np.where(mass > 0, mass, 1)[:, None], centres)
+    return np.rint(centres)
 
 
 class Topics:
-    """A fitted model; None as the model puts all texts in one topic."""
+    """Centres by number; none put all texts in one topic."""
 
-    def __init__(self, model: PipelineModel | None):
-        self.model = model
+    def __init__(self, idf: np.ndarray | None = None, centres: np.ndarray | None = None):
+        self.idf, self.centres = idf, centres
 
     def assign(self, rows: DataFrame, text_col: str = "text", name: str = "topic") -> DataFrame:
-        """``rows`` with their topic; no column may be called ``_words`` and the like."""
-        worded = rows.withColumn("_words", _words(F.col(text_col)))
-        if self.model is None:
-            return worded.withColumn(name, F.when(F.size("_words") > 0, "t0").otherwise(NO_TOPIC)).drop("_words")
-        out = self.model.transform(worded)
-        topic = F.when(F.size("_words") > 0, F.concat(F.lit("t"), F.col("_cluster").cast("string"))).otherwise(NO_TOPIC)
-        return out.withColumn(name, topic).drop("_words", "_counts", "_weighted", "_unit", "_cluster")
-
-
-def learn_topics(rows: DataFrame, text_col: str = "text", k: int = K, sample: int = SAMPLE) -> Topics:
-    """Topics of the texts of ``rows``."""
-    short = rows.where(F.length(text_col).between(1, SAMPLE_CHARS)).select(F.col(text_col).alias("text"))
-    short = short.select("text", F.xxhash64("text").alias("h"))
-    chosen = [r["h"] for r in short.select("h").distinct().orderBy("h").limit(sample).collect()]
-    if not chosen:
-        return Topics(None)
-    texts = short.where(F.col("h").isin(chosen)).groupBy("h").agg(F.min("text").alias("text"))
-    texts = texts.select("h", _words(F.col("text")).alias("_words")).where(F.size("_words") > 0)
-    # one ordered partition: the same sums, and so the same topics, in every run
-    texts = materialize(texts, "topics-sample").coalesce(1).sortWithinPartitions("h")
-    if texts.isEmpty():
-        return Topics(None)
-    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=FEATURES)
-    idf = IDF(inputCol="_counts", outputCol="_weighted").fit(counts.transform(texts))
-    unit = Normalizer(inputCol="_weighted", outputCol="_unit")
-    ready = unit.transform(idf.transform(counts.transform(texts)))
-    different = ready.select(F.xxhash64(vector_to_array("_unit")).alias("u")).distinct().count()
-    if different < 2:
-        return Topics(None)
-    clusters = KMeans(k=min(k, different), featuresCol="_unit", predictionCol="_cluster", seed=7, maxIter=15).fit(ready)
-    return Topics(PipelineModel([counts, idf, unit, clusters]))
+        """``rows`` with their topic; their words are counted unless they are
+        already (``count_words``), so no other column may be called ``_words``."""
+        counted = rows if "_words" in rows.columns else count_words(rows, text_col)
+        topic = F.lit("t0")
+        if self.centres is not None:
+            idf, centres = self.idf, self.centres
+
+            @F.pandas_udf("long")
+            def nearest(at: pd.Series, times: pd.Series) -> pd.Series:
+                out = np.zeros(len(at), np.int64)
+                full = np.flatnonzero(at.str.len() > 0)
+                at, times = at.array[full], times.array[full]
+                for rows, begin, buckets, w in _vectors(at, times, idf):
+                    out[full[rows]] = _distances(begin, buckets, w, centres).argmin(1)
+                return pd.Series(out)
+
+            topic = F.concat(F.lit("t"), nearest("_words.at", "_words.times").cast("string"))
+        return counted.withColumn(name, F.when(F.col("_words.n") > 0, topic).otherwise(NO_TOPIC)).select(*rows.columns, name)
+
+
+def learn_topics(rows: DataFrame, text_col: str = "text", k: int = K) -> Topics:
+    """Topics of the texts of ``rows``, whose words may be counted already."""
+    counted = rows if "_words" in rows.columns else count_words(rows, text_col)
+    texts = counted.where("_words.n > 0").select(F.col("_hash").alias("hash"), "_words.at", "_words.times").distinct()
+    texts = materialize(texts, "topics-texts")
+    idf = _idf(texts)
+    seeds = _drawn(texts, idf, np.zeros((0, FEATURES)), 1, 0)
+    turn, more = 0, len(seeds) > 0
+    while more and (turn < SEED_ROUNDS or len(seeds) < k):
+        turn += 1
+        drawn = _drawn(texts, idf, seeds, OVERSAMPLED * k, turn)
+        more = len(drawn) > 0
+        seeds = np.concatenate([seeds, np.unique(drawn, axis=0)]) if more else seeds
+    if len(seeds) < 2:
+        return Topics()
+    sums, number = _sums(texts, idf, seeds)
+    centres = _reduced(sums / number[:, None], number, min(k, len(seeds)))     # a seed is nearest to itself
+    for _ in range(ROUNDS):
+        sums, number = _sums(texts, idf, centres)
+        new = np.where(number[:, None] > 0, np.rint(sums / np.where(number > 0, number, 1)[:, None]), centres)
+        moved = np.sqrt(((new - centres) ** 2).sum(1)).max()
+        centres = new
+        if moved <= TOLERANCE * UNIT:
+            break
+    return Topics(idf, centres)
