@@ -702,6 +702,15 @@ def test_topics_of_few_vectors_and_counted_words(spark):
     assert {r.topic for r in topics.learn_topics(same).assign(same).collect()} == {"t0"}
 
 
+def test_pipeline_mixing_learns_from_whole_texts(spark):
+    import corpus_pipeline
+    rows = [(i, t, own) for i, (_, t, own) in enumerate(topic_groups(long_words=4000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own string").withColumn("source", F.lit("s")).withColumn("lang", F.lit("en"))
+    per = topics_by_group(corpus_pipeline.mixing(spark, docs, "").collect())
+    assert set(per) == {"sport", "food", "law"}
+    assert all(a == b or not per[a] & per[b] for a in per for b in per)
+
+
 def test_many_cells_are_raked(spark):
     cells = [(f"s{i % 7}", f"l{i % 180}", f"t{i % 77}", float(1 + i % 50)) for i in range(20_000)]
     frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens double").groupBy("source", "lang", "topic").agg(
