@@ -702,6 +702,38 @@ def test_topics_of_few_vectors_and_counted_words(spark):
     assert {r.topic for r in topics.learn_topics(same).assign(same).collect()} == {"t0"}
 
 
+def test_topics_count_words_of_odd_texts(spark):
+    from collections import Counter
+
+    from tramline.llm import topics
+    rng = random.Random(11)
+    piece = lambda: rng.choice(["a", "bb", "\u00e9", "q" * rng.choice([31, 32, 33, 300]), " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\u00a0"])
+    texts = ["".join(piece() for _ in range(rng.choice([0, 1, 5, 60]))) for _ in range(200)]
+    texts += ["x " * 300, "x " * 70_000 + "y", " ", "x " * 300]
+    for run in (texts, texts[::-1]):                 # a text's counts don't depend on its neighbours
+        frame = spark.createDataFrame(list(enumerate(run)), "id long, text string").repartition(2)
+        for r in topics.count_words(frame).collect():
+            words = run[r.id].encode().split()
+            want = Counter(zlib.crc32(w) % topics.FEATURES for w in words)
+            kind = f"<u{1 if max(want.values(), default=0) < 256 else 2 if max(want.values()) < 65536 else 4}"
+            assert r._words.n == len(words) and np.frombuffer(r._words.at, "<u2").tolist() == sorted(want)
+            assert np.frombuffer(r._words.times, kind).tolist() == [want[b] for b in sorted(want)]
+    same = frame.where("id in (0, 2, 3)")            # words with counts of two widths, read together
+    got = topics.learn_topics(frame).assign(frame)
+    assert same.count() == 3 and got.where("text in (' ', '')").select("topic").distinct().collect() == [(topics.NO_TOPIC,)]
+    assert got.where(F.col("text") == "x " * 300).select("topic").distinct().count() == 1
+
+
+def test_topics_are_assigned_once_and_read_packed(spark, monkeypatch):
+    from tramline.llm import topics
+    docs = spark.createDataFrame([(i, t, "s", "en") for i, (_, t, _) in enumerate(topic_groups())], "doc_id long, text string, source string, lang string")
+    written = {}
+    monkeypatch.setattr(topics, "materialize", lambda df, name: written.setdefault(name, mixing.materialize(df, name)))
+    drawn = mixing.mix(docs, kept=["doc_id"])
+    assert "PythonUDF" not in drawn._jdf.queryExecution().analyzed().toString() and drawn.count() > 0
+    assert written["topics-texts"].count() < docs.select("text").distinct().count() / 5
+
+
 def test_pipeline_mixing_learns_from_whole_texts(spark):
     import corpus_pipeline
     rows = [(i, t, own) for i, (_, t, own) in enumerate(topic_groups(long_words=4000))]

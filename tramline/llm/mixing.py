@@ -315,7 +315,8 @@ def _axes(docs: DataFrame, source_col: str, lang_col: str, topic: Column | None,
     else:
         rows = materialize(count_words(rows).select(*named, "_hash", "_words"), "mix-words")
         rows = learn_topics(rows).assign(rows).withColumn("tokens", F.col("_words.n").cast("double"))
-    return rows.select("row", "id", "h", "source", "lang", F.coalesce(F.col("topic").cast("string"), F.lit(NONE)).alias("topic"), "tokens")
+    rows = rows.select("row", "id", "h", "source", "lang", F.coalesce(F.col("topic").cast("string"), F.lit(NONE)).alias("topic"), "tokens")
+    return rows if kept is None else materialize(rows, "mix-topics")
 
 
 def mix(docs: DataFrame, source_col: str = "source", lang_col: str = "lang", topic: Column | None = None,

@@ -10,7 +10,8 @@ weighted by their numbers of texts) and in every round.
 Every document is assigned, by its whole text.
 
 Words are counted once per row (``count_words``); a round is one pass over the
-different texts' counts, and the driver sees a sum per centre and bucket. Vectors
+different texts' counts, which are written with many texts a row and read as Arrow
+buffers, and the driver sees a sum per centre and bucket. Vectors
 and centres are rounded to whole numbers (1 is ``UNIT``), so sums do not depend on
 the order in which tasks are added: the same corpus has the same topics in every
 run.
@@ -25,7 +26,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import col, materialize
@@ -34,49 +35,158 @@ K, FEATURES = 8, 1 << 12
 SEED, ROUNDS, TOLERANCE = 7, 15, 1e-4
 SEED_ROUNDS, OVERSAMPLED = 2, 2
 UNIT = 1 << 20
-CHUNK = 1 << 16
+CHUNK, SLAB = 1 << 14, 1 << 19
+LONG = 32
+CRC = np.array([zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)], np.uint32)
+SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))   # as bytes.split
 NO_TOPIC = "none"
 
 
+def _bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values' bytes end to end, and how many each has; nothing is copied."""
+    if not len(values):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, np.int64 if pa.types.is_large_binary(values.type) else np.int32)[values.offset:values.offset + len(values) + 1]
+    return np.frombuffer(data or b"", np.uint8)[ends[0]:ends[-1]], np.diff(ends).astype(np.int64)
+
+
+def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    ends = np.r_[0, np.cumsum(lengths)].astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _slices(sizes: np.ndarray, about: int) -> list[slice]:
+    """Runs of rows whose sizes add up to about as much."""
+    edges = np.flatnonzero(np.diff(np.cumsum(sizes) // about)) + 1
+    return [slice(a, b) for a, b in zip(np.r_[0, edges], np.r_[edges, len(sizes)], strict=True) if a < b]
+
+
+def _crcs(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``zlib.crc32`` of the words that begin at ``first``: a byte of each at a
+    time, shorter words in front; the long ones one by one."""
+    order = np.argsort(np.minimum(size, LONG + 1).astype(np.uint8), kind="stable")
+    first, size = first[order], size[order]
+    crc = np.full(len(first), 0xFFFFFFFF, np.uint32)
+    more = np.searchsorted(size, np.arange(LONG + 1), side="right")
+    for j in range(LONG):
+        if more[j] == len(first):
+            break
+        now = crc[more[j]:]
+        crc[more[j]:] = CRC[(now ^ data[first[more[j]:] + j]) & 255] ^ (now >> np.uint32(8))
+    crc ^= np.uint32(0xFFFFFFFF)
+    for i in range(more[LONG], len(first)):
+        crc[i] = zlib.crc32(data[first[i]:first[i] + size[i]])
+    out = np.empty_like(crc)
+    out[order] = crc
+    return out
+
+
+def _words(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the texts' words begin, how long they are and whose they are."""
+    ends = np.cumsum(lengths)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[np.r_[0, ends]] = True                      # no word goes on in the next text
+    word = ~SPACE[data]
+    edge[1:-1] |= word[1:] != word[:-1]
+    at = np.flatnonzero(edge)
+    on = np.flatnonzero(word[at[:-1]])
+    return at[on], at[on + 1] - at[on], np.searchsorted(ends, at[on], side="right")
+
+
+def _counted(texts: pa.Array) -> pa.Array:
+    """Per text: its number of words, the buckets and their counts (in as few
+    bytes each as all of the text's fit in)."""
+    data, lengths = _bytes(texts)
+    begin, out = np.r_[0, np.cumsum(lengths)], []
+    for rows in _slices(lengths + FEATURES, SLAB):
+        own, number = data[begin[rows.start]:begin[rows.stop]], rows.stop - rows.start
+        first, size, text = _words(own, lengths[rows])
+        met = np.bincount(text * FEATURES + _crcs(own, first, size) % FEATURES, minlength=number * FEATURES)
+        on = np.flatnonzero(met)
+        sizes, top = np.bincount(on // FEATURES, minlength=number), met.reshape(number, FEATURES).max(1)
+        widths = np.where(top < 1 << 8, 1, np.where(top < 1 << 16, 2, 4))
+        times = np.empty((sizes * widths).sum(), np.uint8)
+        for width in np.unique(widths):
+            times[np.repeat(widths == width, sizes * widths)] = met[on][np.repeat(widths == width, sizes)].astype(f"<u{width}").view(np.uint8)
+        out.append((np.bincount(text, minlength=number), sizes, widths, (on % FEATURES).astype("<u2").view(np.uint8), times))
+    n, sizes, widths, at, times = map(np.concatenate, zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 5
+    return pa.StructArray.from_arrays([pa.array(n, pa.int64()), _binary(at, 2 * sizes), _binary(times, sizes * widths)], ["n", "at", "times"])
+
+
 def count_words(rows: DataFrame, text_col: str = "text") -> DataFrame:
     """``rows`` with ``_hash`` of the text and ``_words``: the number of words
     (``n``), the buckets they fall in (``at``) and their counts (``times``)."""
-    @F.pandas_udf("struct<n: long, at: binary, times: binary>")
-    def counts(texts: pd.Series) -> pd.DataFrame:
-        n, at, times = [], [], []
-        for text in texts:
-            words = text.split()                     # bytes: at the white space of \s
-            met = np.bincount(np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % FEATURES, minlength=FEATURES)
-            on = np.flatnonzero(met)
-            n.append(len(words))
-            at.append(on.astype("<u2").tobytes())
-            times.append(met[on].astype("<u4").tobytes())
-        return pd.DataFrame({"n": n, "at": at, "times": times})
+    @F.arrow_udf("struct<n: long, at: binary, times: binary>")
+    def counts(texts: pa.Array) -> pa.Array:
+        return _counted(texts)
 
     text = col(text_col)
     return rows.withColumn("_hash", F.xxhash64(text)).withColumn("_words", counts(F.lower(F.coalesce(text, F.lit(""))).cast("binary")))
 
 
-def _vectors(at, times, idf: np.ndarray):
-    """Runs of rows of about ``CHUNK`` components as (the run, where its rows
-    begin, buckets, components). No row may be empty."""
-    sizes = np.fromiter(map(len, at), np.int64, len(at)) // 2
-    runs = np.cumsum(sizes) // CHUNK
-    for run in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(runs)) + 1):
-        if len(run):
-            rows = slice(run[0], run[-1] + 1)
-            begin = np.cumsum(sizes[rows]) - sizes[rows]
-            buckets = np.frombuffer(b"".join(at[rows]), "<u2").astype(np.int64)
-            w = np.frombuffer(b"".join(times[rows]), "<u4") * idf[buckets]
-            length = np.sqrt(np.add.reduceat(w * w, begin))
-            w *= np.repeat(UNIT / np.where(length > 0, length, 1.0), sizes[rows])
-            yield rows, begin, buckets, np.rint(w)
+def _runs(at: pa.Array, times: pa.Array):
+    """Runs of rows of about ``CHUNK`` buckets as (the run, its rows' numbers of
+    buckets, the buckets, their counts). No row may be empty."""
+    (at, sizes), (times, lengths) = _bytes(at), _bytes(times)
+    sizes //= 2
+    widths = lengths // sizes
+    met, begin = np.r_[0, np.cumsum(sizes)], np.r_[0, np.cumsum(lengths)]
+    for rows in _slices(sizes, CHUNK):
+        counts, own = np.zeros(met[rows.stop] - met[rows.start], "<u4"), times[begin[rows.start]:begin[rows.stop]]
+        for width in np.unique(widths[rows]):
+            on = widths[rows] == width
+            counts[np.repeat(on, sizes[rows])] = own[np.repeat(on, lengths[rows])].view(f"<u{width}")
+        yield rows, sizes[rows], at[2 * met[rows.start]:2 * met[rows.stop]].view("<u2"), counts
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    top = counts.max(initial=0)
+    return counts.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4")
+
+
+def _packed(texts: DataFrame) -> DataFrame:
+    """Rows of many texts each: their hashes, their numbers of buckets, the
+    buckets and their counts, end to end."""
+    def run(batches):
+        for batch in batches:
+            hashes = batch["hash"].to_numpy()
+            rows = [(hashes[rows], sizes.astype("<u4").tobytes(), at.tobytes(), _narrow(counts).tobytes())
+                    for rows, sizes, at, counts in _runs(batch["at"], batch["times"])]
+            if rows:
+                kinds = (pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["hash", "sizes", "at", "times"])
+
+    return texts.select("hash", "at", "times").mapInArrow(run, "hash array<long>, sizes binary, at binary, times binary")
+
+
+def _unpacked(batch: pa.RecordBatch):
+    """Per row of many texts: their numbers of buckets, the buckets and counts."""
+    for sizes, at, times in zip(batch["sizes"], batch["at"], batch["times"], strict=True):
+        sizes, at = np.frombuffer(sizes.as_buffer(), "<u4").astype(np.int64), np.frombuffer(at.as_buffer(), "<u2")
+        yield sizes, at, np.frombuffer(times.as_buffer(), f"<u{times.as_buffer().size // len(at)}")
+
+
+def _vectors(sizes: np.ndarray, at: np.ndarray, times: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the rows begin, buckets and components."""
+    begin, buckets = np.cumsum(sizes) - sizes, at.astype(np.int64)
+    w = times * idf[buckets]
+    length = np.sqrt(np.add.reduceat(w * w, begin))
+    w *= np.repeat(UNIT / np.where(length > 0, length, 1.0), sizes)
+    return begin, buckets, np.rint(w)
 
 
 def _distances(begin: np.ndarray, buckets: np.ndarray, w: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances, row by centre; exact, as all are whole numbers."""
-    inner = np.stack([np.add.reduceat(c[buckets] * w, begin) for c in centres], axis=1)
-    return np.add.reduceat(w * w, begin)[:, None] + (centres * centres).sum(1)[None, :] - 2 * inner
+    return np.add.reduceat(w * w, begin)[:, None] + _beyond(begin, buckets, w, centres)
+
+
+def _beyond(begin: np.ndarray, buckets: np.ndarray, w: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances less the row's own square, which has no part in which
+    centre is nearest."""
+    inner = np.stack([np.add.reduceat(np.take(c, buckets) * w, begin) for c in centres], axis=1)
+    return (centres * centres).sum(1)[None, :] - 2 * inner
 
 
 def _added(parts: DataFrame, size: int) -> np.ndarray:
@@ -87,20 +197,21 @@ def _added(parts: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _part(total: np.ndarray) -> pd.DataFrame:
+def _part(total: np.ndarray) -> pa.RecordBatch:
     at = np.flatnonzero(total)
-    return pd.DataFrame({"i": at, "s": total[at].astype(np.int64)})
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["i", "s"])
 
 
 def _idf(texts: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(FEATURES + 1)
-        for pdf in batches:
-            total[:-1] += np.bincount(np.frombuffer(b"".join(pdf["at"]), "<u2"), minlength=FEATURES)
-            total[-1] += len(pdf)
+        for batch in batches:
+            for sizes, at, _ in _unpacked(batch):
+                total[:-1] += np.bincount(at, minlength=FEATURES)
+                total[-1] += len(sizes)
         yield _part(total)
 
-    total = _added(texts.select("at").mapInPandas(run, "i long, s long"), FEATURES + 1)
+    total = _added(texts.select("sizes", "at", "times").mapInArrow(run, "i long, s long"), FEATURES + 1)
     return np.log((total[-1] + 1) / (total[:-1] + 1))
 
 
@@ -110,15 +221,15 @@ def _sums(texts: DataFrame, idf: np.ndarray, centres: np.ndarray) -> tuple[np.nd
 
     def run(batches):
         total = np.zeros(shape[0] * shape[1])
-        for pdf in batches:
-            for _, begin, buckets, w in _vectors(pdf["at"].array, pdf["times"].array, idf):
-                nearest = _distances(begin, buckets, w, centres).argmin(1) * shape[1]
-                sizes = np.diff(np.r_[begin, len(w)])
+        for batch in batches:
+            for sizes, at, times in _unpacked(batch):
+                begin, buckets, w = _vectors(sizes, at, times, idf)
+                nearest = _beyond(begin, buckets, w, centres).argmin(1) * shape[1]
                 total += np.bincount(np.repeat(nearest, sizes) + buckets, w, len(total))
                 total += np.bincount(nearest + FEATURES, minlength=len(total))
         yield _part(total)
 
-    total = _added(texts.select("at", "times").mapInPandas(run, "i long, s long"), shape[0] * shape[1]).reshape(shape)
+    total = _added(texts.select("sizes", "at", "times").mapInArrow(run, "i long, s long"), shape[0] * shape[1]).reshape(shape)
     return total[:, :-1], total[:, -1]
 
 
@@ -126,22 +237,31 @@ def _drawn(texts: DataFrame, idf: np.ndarray, centres: np.ndarray, number: int,
     """``number`` rows at most, drawn without replacement by their squared
     distance to ``centres`` (any row, if there are none); never one of them."""
     def run(batches):
-        for pdf in batches:
-            far = np.ones(len(pdf))
-            if len(centres):
-                for rows, begin, buckets, w in _vectors(pdf["at"].array, pdf["times"].array, idf):
-                    far[rows] = _distances(begin, buckets, w, centres).min(1)
-            with np.errstate(divide="ignore"):
-                pdf["key"] = np.where(far > 0, -np.log(pdf["u"]) / np.where(far > 0, far, 1), np.inf)
-            yield pdf[pdf["key"] < np.inf].nsmallest(number, ["key", "hash"])[["key", "hash", "at", "times"]]
-
-    u = (F.pmod(F.xxhash64(F.lit(SEED), F.lit(turn), "hash"), F.lit(1 << 40)) + 1) / float((1 << 40) + 1)
-    keyed = texts.select("hash", "at", "times", u.alias("u")).mapInPandas(run, "key double, hash long, at binary, times binary")
+        best = []
+        for batch in batches:
+            for hashes, u, (sizes, at, times) in zip(batch["hash"], batch["u"], _unpacked(batch), strict=True):
+                hashes, u, far = hashes.values.to_numpy(), u.values.to_numpy(), np.ones(len(sizes))
+                begin = np.cumsum(sizes) - sizes
+                if len(centres):
+                    far = _distances(*_vectors(sizes, at, times, idf), centres).min(1)
+                with np.errstate(divide="ignore"):
+                    key = np.where(far > 0, -np.log(u) / np.where(far > 0, far, 1), np.inf)
+                first = [r for r in np.lexsort((hashes, key))[:number] if key[r] < np.inf]
+                own = [slice(begin[r], begin[r] + sizes[r]) for r in first]
+                best += [(key[r], hashes[r], at[o].tobytes(), times[o].astype("<u4").tobytes()) for r, o in zip(first, own, strict=True)]
+                best = sorted(best)[:number]
+        if best:
+            kinds = (pa.float64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*best, strict=True), kinds, strict=True)], ["key", "hash", "at", "times"])
+
+    u = F.transform("hash", lambda h: (F.pmod(F.xxhash64(F.lit(SEED), F.lit(turn), h), F.lit(1 << 40)) + 1) / float((1 << 40) + 1))
+    keyed = texts.select("hash", "sizes", "at", "times", u.alias("u")).mapInArrow(run, "key double, hash long, at binary, times binary")
     found = keyed.orderBy("key", "hash", "at", "times").limit(number).collect()
     out = np.zeros((len(found), FEATURES))
     for row, r in zip(out, found, strict=True):
-        for _, _, buckets, w in _vectors([bytes(r["at"])], [bytes(r["times"])], idf):
-            row[buckets] = w
+        at, times = np.frombuffer(r["at"], "<u2"), np.frombuffer(r["times"], "<u4")
+        _, buckets, w = _vectors(np.array([len(at)]), at, times, idf)
+        row[buckets] = w
     return out
 
 
@@ -178,14 +298,13 @@ class Topics:
         if self.centres is not None:
             idf, centres = self.idf, self.centres
 
-            @F.pandas_udf("long")
-            def nearest(at: pd.Series, times: pd.Series) -> pd.Series:
+            @F.arrow_udf("long")
+            def nearest(at: pa.Array, times: pa.Array) -> pa.Array:
                 out = np.zeros(len(at), np.int64)
-                full = np.flatnonzero(at.str.len() > 0)
-                at, times = at.array[full], times.array[full]
-                for rows, begin, buckets, w in _vectors(at, times, idf):
-                    out[full[rows]] = _distances(begin, buckets, w, centres).argmin(1)
-                return pd.Series(out)
+                full = np.flatnonzero(_bytes(at)[1])
+                for rows, *counted in _runs(at.take(pa.array(full)), times.take(pa.array(full))):
+                    out[full[rows]] = _beyond(*_vectors(*counted, idf), centres).argmin(1)
+                return pa.array(out)
 
             topic = F.concat(F.lit("t"), nearest("_words.at", "_words.times").cast("string"))
         return counted.withColumn(name, F.when(F.col("_words.n") > 0, topic).otherwise(NO_TOPIC)).select(*rows.columns, name)
@@ -195,7 +314,7 @@ def learn_topics(rows: DataFrame, text_col: str = "text", k: int = K) -> Topics:
     """Topics of the texts of ``rows``, whose words may be counted already."""
     counted = rows if "_words" in rows.columns else count_words(rows, text_col)
     texts = counted.where("_words.n > 0").select(F.col("_hash").alias("hash"), "_words.at", "_words.times").distinct()
-    texts = materialize(texts, "topics-texts")
+    texts = materialize(_packed(texts), "topics-texts")
     idf = _idf(texts)
     seeds = _drawn(texts, idf, np.zeros((0, FEATURES)), 1, 0)
     turn, more = 0, len(seeds) > 0
