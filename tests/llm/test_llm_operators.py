@@ -734,6 +734,21 @@ def test_topics_are_assigned_once_and_read_packed(spark, monkeypatch):
     assert written["topics-texts"].count() < docs.select("text").distinct().count() / 5
 
 
+def test_topics_count_words_within_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+    from tramline.llm import topics
+    rng = random.Random(5)
+    texts = pa.array([" ".join(f"w{rng.randrange(200)}" for _ in range(8000)).encode() for _ in range(600)], pa.binary())
+    tracemalloc.start()
+    got = topics._counted(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert texts.nbytes > 20 << 20 and len(got) == 600 and got.field("n").to_pylist() == [8000] * 600
+    assert peak < texts.nbytes                       # a slab's arrays, no copy of the batch's texts
+
+
 def test_pipeline_mixing_learns_from_whole_texts(spark):
     import corpus_pipeline
     rows = [(i, t, own) for i, (_, t, own) in enumerate(topic_groups(long_words=4000))]
